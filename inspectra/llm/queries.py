@@ -7,14 +7,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, secrets
-from .common import table
+from . import mixing, neardup_vectors, quality, secrets, warc
+from .common import Workspace, table
+
+
+def op1_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Workspace(spark, "warc").path("archive")
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    return warc.read_records(spark, path).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", F.length("header").cast("long").alias("header_bytes")
+    )
+
+
+def op2_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup_vectors.link(table(spark, sf_dir, "embeddings"))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.sample(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] != secrets.INFERRED)
@@ -29,7 +45,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_archive": op1_warc_archive,
+    "op2_embedding_neardup": op2_embedding_neardup,
     "op7_quality_rules": op7_quality_rules,
+    "op9_source_mixing": op9_source_mixing,
     "op10_secret_scan": op10_secret_scan,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_source_mixing": mixing.oracle()}
