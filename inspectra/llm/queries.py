@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, neardup_vectors, quality, secrets, warc
+from . import mixing, neardup_text, neardup_vectors, quality, secrets, warc
 from .common import Workspace, table
 
 
@@ -27,6 +27,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup_text.link(table(spark, sf_dir, "documents"))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.sample(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op1_warc_archive": op1_warc_archive,
     "op2_embedding_neardup": op2_embedding_neardup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_minhash_neardup": op8_minhash_neardup,
     "op9_source_mixing": op9_source_mixing,
     "op10_secret_scan": op10_secret_scan,
 }
