@@ -9,10 +9,12 @@ any such pair meets under an equal key.  Pairs that meet are held to the
 signature distance, and links are confirmed on the full sets.
 
 Documents with equal sets form a class that is filed once.  What the result
-needs is components, so a pair is only confirmed while its ends are in different
-components: first every member of a bucket against the bucket's least id, then
-the remaining pairs across components.  A hot bucket is thus a star, linear in
-its members.
+needs is components, so no pair is ever emitted: a bucket sends one edge for
+each member that has a close partner in it, the components of these edges are
+the groups of candidates, and each group's sets are brought together once, to
+confirm its close pairs and send one edge for each linked document.  Buckets and
+groups of more than ``BLOCK`` documents are split into blocks, each pair of
+blocks being one piece of bounded size.
 
 Edge cases: null and empty texts have no shingles and link with nothing; a
 null id links with nothing and is kept; rows that repeat an id are one document
@@ -125,13 +127,6 @@ def _file(batches):
         yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(b.column("id").to_numpy(), SYMBOLS))], ["key", "id"])
 
 
-def _near(batches):
-    """Pairs whose signatures are close enough."""
-    for b in batches:
-        d = (_matrix(b.column("sa")) != _matrix(b.column("sb"))).sum(axis=1)
-        yield b.select(["a", "b"]).filter(pa.array(d <= DISTANCE))
-
-
 def _sets(batches):
     for b in batches:
         out = []
@@ -153,72 +148,127 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _confirm(batches):
-    for b in batches:
-        x, y = b.column("set_a"), b.column("set_b")
-        ok = [similar(np.frombuffer(i.as_py(), np.uint64), np.frombuffer(j.as_py(), np.uint64)) for i, j in zip(x, y, strict=True)]
-        yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-
-def _across(batches):
-    """Pairs of different components in each bucket's block, once each: in the
-    least key that both file, close in signature, not yet tried with the least
-    id. Rows come sorted by bucket and block pair."""
-    held: list[pa.RecordBatch] = []
+def _local(pairs: list[tuple[np.ndarray, np.ndarray]], ids: np.ndarray) -> np.ndarray:
+    """Least id reachable within a group, over pairs of places in it."""
+    comp = ids.copy()
+    if pairs:
+        a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
+        while True:
+            before = comp.copy()
+            low = np.minimum(comp[a], comp[b])
+            np.minimum.at(comp, a, low)
+            np.minimum.at(comp, b, low)
+            if (comp == before).all():
+                break
+    return comp
+
+
+def _close(sym: np.ndarray, blk: np.ndarray, cross: bool):
+    """Pairs of places whose signatures are within the distance, by rows."""
+    n = len(sym)
+    for s in range(0, n, 64):
+        e = min(n, s + 64)
+        differ = np.zeros((e - s, n), np.uint8)
+        for j in range(SYMBOLS):
+            differ += sym[s:e, j, None] != sym[:, j]
+        ok = (differ <= DISTANCE) & (np.arange(n) > np.arange(s, e)[:, None])
+        if cross:
+            ok &= blk[s:e, None] != blk
+        a, b = np.nonzero(ok)
+        yield a + s, b
+
+
+def _meet(ids, sym, blk, cross, _sets):
+    return _local([p for p in _close(sym, blk, cross) if len(p[0])], ids)
+
+
+def _verify(ids, sym, blk, cross, sets):
+    """Local components of the confirmed links. A row's set is marked in one
+    table over the group's shingles, against which all its close partners are
+    counted at once; partners already reached are left out."""
+    n = len(ids)
+    values = [np.frombuffer(x, np.uint64) for x in sets]
+    size = np.array([len(v) for v in values])
+    if n == 2:
+        linked = [(np.array([0]), np.array([1]))] if similar(*values) and (not cross or blk[0] != blk[1]) else []
+        return _local(linked, ids)
+    every, flat = np.unique(np.concatenate(values), return_inverse=True)
+    border = np.concatenate([[0], np.cumsum(size)])
+    mark = np.zeros(len(every), np.int32)
+    links, comp = [], ids.copy()
+    for a, b in _close(sym, blk, cross):
+        for i in np.unique(a):
+            j = b[a == i]
+            j = j[(comp[j] != comp[i]) & (100 * np.minimum(size[i], size[j]) >= PERCENT * np.maximum(size[i], size[j]))]
+            if not len(j):
+                continue
+            own = flat[border[i] : border[i + 1]]
+            mark[own] = 1
+            places = np.concatenate([flat[border[k] : border[k + 1]] for k in j])
+            both = np.add.reduceat(mark[places], np.concatenate([[0], np.cumsum(size[j])[:-1]]))
+            mark[own] = 0
+            j = j[100 * both >= PERCENT * (size[i] + size[j] - both)]
+            if len(j):
+                links.append((np.full(len(j), i), j))
+                comp = _local(links[-1:] + [(np.array([0]), np.array([0]))], comp)
+    return _local(links, ids)
+
+
+def _components_of_groups(work, with_sets: bool):
+    """Arrow function over rows sorted by (g, bi, bj): sends ``(id, comp)`` for
+    each row that hangs on another one in its group."""
     shape = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def group(key, cross, ids, comp, blk, leader, sym):
-        keys = chunk_keys(sym)
-        for s in range(0, len(ids), 64):
-            rows = slice(s, s + 64)
-            ok = (comp[rows, None] != comp) & (np.arange(len(ids)) > np.arange(s, min(len(ids), s + 64))[:, None])
-            ok &= ~((ids[rows, None] == leader) | (ids == leader))
-            if cross:
-                ok &= blk[rows, None] != blk
-            a, b = np.nonzero(ok)
-            a += s
-            for c in range(0, len(a), 1 << 16):
-                i, j = a[c : c + (1 << 16)], b[c : c + (1 << 16)]
-                near = (sym[i] != sym[j]).sum(axis=1) <= DISTANCE
-                i, j = i[near], j[near]
-                first = ~((keys[i] == keys[j]) & (keys[i] < key)).any(axis=1)
-                if first.any():
-                    i, j = ids[i[first]], ids[j[first]]
-                    yield np.maximum(i, j), np.minimum(i, j)
-
-    def emit(t: pa.Table, last: bool):
-        g, bi, bj = (t.column(c).to_numpy() for c in ("key", "bi", "bj"))
-        border = np.flatnonzero((np.diff(g) != 0) | (np.diff(bi) != 0) | (np.diff(bj) != 0)) + 1
-        edges = np.concatenate([[0], border, [len(g)]]) if last else np.concatenate([[0], border])
-        upto = int(edges[-1])
-        ids, comp, blk, leader = (t.column(c).to_numpy() for c in ("id", "comp", "blk", "leader"))
-        sym = _matrix(t.column("sym").slice(0, upto)) if upto else None
-        found = []
-        for s, e in zip(edges[:-1], edges[1:], strict=True):
-            if e - s > 1:
-                found += group(g[s], bi[s] != bj[s], ids[s:e], comp[s:e], blk[s:e], leader[s], sym[s:e])
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], schema=shape)
-        rest = t.slice(upto)
-        held[:] = rest.combine_chunks().to_batches() if rest.num_rows else []
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+
+        def emit(t: pa.Table, last: bool):
+            g, bi, bj = (t.column(c).to_numpy() for c in ("g", "bi", "bj"))
+            border = np.flatnonzero((np.diff(g) != 0) | (np.diff(bi) != 0) | (np.diff(bj) != 0)) + 1
+            edges = np.concatenate([[0], border, [len(g)]]) if last else np.concatenate([[0], border])
+            upto = int(edges[-1])
+            out = [[], []]
+            if upto:
+                ids, blk = (t.column(c).to_numpy() for c in ("id", "blk"))
+                sym = _matrix(t.column("sym").slice(0, upto))
+                sets = t.column("set").slice(0, upto).to_pylist() if with_sets else None
+                for s, e in zip(edges[:-1], edges[1:], strict=True):
+                    if e - s < 2:
+                        continue
+                    comp = work(ids[s:e], sym[s:e], blk[s:e], bool(bi[s] != bj[s]), sets[s:e] if with_sets else None)
+                    moved = comp != ids[s:e]
+                    out[0].append(ids[s:e][moved])
+                    out[1].append(comp[moved])
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], schema=shape)
+            rest = t.slice(upto)
+            held[:] = rest.combine_chunks().to_batches() if rest.num_rows else []
+
+        for b in batches:
+            for s in range(0, b.num_rows, 4096):
+                yield from emit(pa.Table.from_batches([*held, b.slice(s, 4096)]), False)
+        if held:
+            yield from emit(pa.Table.from_batches(held), True)
+
+    return run
+
+
+def _blocks_of(rows: DataFrame) -> DataFrame:
+    """Rows ``(g, id, size, ...)`` once for each pair of blocks that they are in."""
+    return (
+        rows.withColumn("nb", F.ceil(F.col("size") / BLOCK).cast("int"))
+        .withColumn("blk", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+        .withColumn("bi", F.least("blk", "other"))
+        .withColumn("bj", F.greatest("blk", "other"))
+        .drop("nb", "other", "size")
+    )
 
-    for b in batches:
-        yield from emit(pa.Table.from_batches([*held, b]), False)
-    if held:
-        yield from emit(pa.Table.from_batches(held), True)
-
-
-def _confirmed(docs: DataFrame, ws: Workspace, pairs: DataFrame) -> DataFrame:
-    """The pairs (a > b) that hold on the full sets."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = ws.save(docs.join(ends, "id", "left_semi").mapInArrow(_sets, "id long, set binary").dropDuplicates(), "sets", "none")
-    # A side's set moves once for each pair that it is in; the least id's side is
-    # the smaller, and joins as the one row that its pairs stream past.
-    with_a = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
-    with_b = with_a.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
-    out = ws.save(with_b.mapInArrow(_confirm, "a long, b long").distinct(), "links")
-    ws.drop(sets)
-    return out
+
+def _in_groups(rows: DataFrame, work, with_sets: bool) -> DataFrame:
+    return (
+        rows.repartition("g", "bi", "bj").sortWithinPartitions("g", "bi", "bj", "id").mapInArrow(_components_of_groups(work, with_sets), "a long, b long").distinct()
+    )
 
 
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -232,34 +282,20 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     reps = ws.save(
         filled.join(classes, ["n", "s1", "s2"]).where("id = rep").dropDuplicates(["n", "s1", "s2"]).select("id", "sym"), "reps"
     )
-    filed = reps.mapInArrow(_file, "key long, id long")
-    buckets = ws.save(filed.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("leader")).where("size > 1"), "buckets")
-    members = ws.save(filed.join(buckets, "key").distinct(), "members")
+    filed = reps.mapInArrow(_file, "g long, id long")
+    buckets = filed.groupBy("g").agg(F.count("*").alias("size")).where("size > 1")
+    meetings = _blocks_of(filed.join(buckets, "g")).join(reps, "id")
+    coarse = components(spark, ws, ws.save(_in_groups(meetings, _meet, False), "meetings"))
+    groups = ws.save(coarse.select("id", F.col("component").alias("g")), "groups")
     free_shuffles(spark)
 
-    stars = members.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
-    a, b = (reps.select(F.col("id").alias(c), F.col("sym").alias(f"s{c}")) for c in "ab")
-    near = ws.save(stars.join(a, "a").join(b, "b").mapInArrow(_near, "a long, b long").distinct(), "stars")
-    links = _confirmed(texts, ws, near)
-    comp = components(spark, ws, links)
-
-    placed = members.join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("size").alias("n")).where("lo < hi and n > 2")
-    blocked = (
-        placed.join(mixed.select("key"), "key")
-        .withColumn("nb", F.ceil(F.col("size") / BLOCK).cast("int"))
-        .withColumn("blk", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-        .select("key", "id", "comp", "leader", "blk", F.least("blk", "other").alias("bi"), F.greatest("blk", "other").alias("bj"))
-        .join(reps, "id")
-    )
-    cross = ws.save(
-        blocked.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj", "id").mapInArrow(_across, "a long, b long").distinct(), "across"
-    )
-    if not cross.isEmpty():
-        links = ws.save(links.unionAll(_confirmed(texts, ws, cross)), "links")
-        comp = components(spark, ws, links)
-    comp = ws.save(comp, "components")
+    # Sets of the documents that have a close partner, and of no others.
+    sets = ws.save(texts.join(groups.select("id"), "id", "left_semi").mapInArrow(_sets, "id long, set binary").where("length(set) > 0").dropDuplicates(), "sets", "none")
+    free_shuffles(spark)
+    sizes = groups.groupBy("g").agg(F.count("*").alias("size"))
+    held = _blocks_of(groups.join(sizes, "g")).join(reps, "id").join(sets, "id")
+    comp = ws.save(components(spark, ws, ws.save(_in_groups(held, _verify, True), "links")), "components")
+    ws.drop(sets)
 
     result = (
         signed.join(classes, ["n", "s1", "s2"], "left")
