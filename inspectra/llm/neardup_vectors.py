@@ -26,6 +26,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -176,7 +177,7 @@ def _link_groups(least: float, width: int):
                 unit = t.column("unit").combine_chunks() if isinstance(t.column("unit"), pa.ChunkedArray) else t.column("unit")
                 keys = np.zeros((upto, width), np.int64) + np.iinfo(np.int64).max
                 lists = t.column("buckets").combine_chunks()
-                lens = np.asarray(pa.compute.list_value_length(lists))[:upto]
+                lens = np.asarray(pc.list_value_length(lists))[:upto]
                 flat = lists.flatten().to_numpy()[: lens.sum()]
                 keys[np.repeat(np.arange(upto), lens), np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)] = flat
                 rows = [[], [], []]

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, neardup_text, neardup_vectors, quality, secrets, substring_dedup, suffix_dedup, warc
+from . import line_dedup, mixing, neardup_text, neardup_vectors, quality, secrets, substring_dedup, suffix_dedup, warc
 from .common import Workspace, table
 
 
@@ -23,6 +23,10 @@ def op2_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup_vectors.link(table(spark, sf_dir, "embeddings"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.find_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
@@ -61,6 +65,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc_archive": op1_warc_archive,
     "op2_embedding_neardup": op2_embedding_neardup,
+    "op4_line_dedup": op4_line_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_rules": op7_quality_rules,

@@ -36,6 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -190,7 +191,7 @@ def _scan(kind: Kind):
 
 
 def _per_document(lists: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
-    lens = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy()
+    lens = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
     return np.repeat(np.arange(n), lens), lists.flatten().to_numpy(zero_copy_only=False)
 
 
@@ -255,7 +256,7 @@ def _find_runs(kind: Kind):
 
 def _places(lists: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows, starts and lengths of lists of runs."""
-    lens = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy()
+    lens = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
     flat = lists.flatten()
     return np.repeat(np.arange(n), lens), flat.field("s").to_numpy(), flat.field("n").to_numpy()
 

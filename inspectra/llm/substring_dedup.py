@@ -42,7 +42,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """``docs`` with the repeats cut; texts that lose words have single spaces
     between the remaining ones, other texts stay as they are."""
-    spans = find_repeats(docs, id_col, text_col, window).where("n_removed > 0").select(F.col(id_col).alias("_id"), "spans").dropDuplicates(["_id"])
+    spans = find_repeats(docs, id_col, text_col, window).where("n_removed > 0").select(F.col(id_col).alias("_id"), F.col("spans").alias("_spans")).dropDuplicates(["_id"])
     kind, at, names = _kind(window), docs.columns.index(text_col), docs.columns
     joined = docs.join(spans, F.col(id_col) == F.col("_id"), "left").drop("_id")
 

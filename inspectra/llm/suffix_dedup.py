@@ -40,7 +40,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """``docs`` with the repeats cut from the text; all columns stay. A text
     that loses part of a character keeps what is valid UTF-8."""
-    spans = find_repeats(docs, id_col, text_col, threshold).where("n_removed > 0").select(F.col(id_col).alias("_id"), "spans").dropDuplicates(["_id"])
+    spans = find_repeats(docs, id_col, text_col, threshold).where("n_removed > 0").select(F.col(id_col).alias("_id"), F.col("spans").alias("_spans")).dropDuplicates(["_id"])
     kind = Kind("byte", threshold, min(GRAM, threshold), True)
     at, names = docs.columns.index(text_col), docs.columns
     joined = docs.join(spans, F.col(id_col) == F.col("_id"), "left").drop("_id")
