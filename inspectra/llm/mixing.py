@@ -150,6 +150,26 @@ def probabilities(fitted: DataFrame, keep: float = KEEP, rounds: int = CAP_ROUND
     return fitted.select(*AXES, "n_docs", "n_tokens", "weight", F.round(F.least(F.lit(1.0), ratio * F.lit(scale)), 9).alias("probability"))
 
 
+def _measures(text_col: str, source_col: str, lang_col: str, topic: Column | None) -> list[Column]:
+    text = F.col(text_col)
+    return [
+        F.col(source_col).alias("source"),
+        F.col(lang_col).alias("lang"),
+        (topic if topic is not None else topic_of(text)).alias("topic"),
+        tokens(text).alias("n_tokens"),
+    ]
+
+
+def _fitted(measured: DataFrame, ws: Workspace, targets: dict[str, dict] | None, keep: float) -> DataFrame:
+    """Probabilities of the cells of measured documents."""
+    return ws.save(probabilities(rake(ws.save(cells(measured), "counts"), ws, targets), keep), "probabilities")
+
+
+def _cell(t: str) -> Column:
+    """A cell's key without nulls; there are as few as there are categories."""
+    return F.struct(*(F.coalesce(F.concat(F.lit("+"), F.col(f"{t}.{a}")), F.lit("-")).alias(a) for a in AXES))
+
+
 def sample(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -163,23 +183,30 @@ def sample(
     """One row per document: id, source, lang, topic, ``n_tokens``,
     ``probability``, ``sampled``."""
     ws = Workspace(docs.sparkSession, "mixing")
-    text = F.col(text_col)
-    measured = ws.save(
-        docs.select(
-            F.col(id_col).alias(id_col),
-            F.col(source_col).alias("source"),
-            F.col(lang_col).alias("lang"),
-            (topic if topic is not None else topic_of(text)).alias("topic"),
-            tokens(text).alias("n_tokens"),
-        ),
-        "measured",
-    )
-    fitted = rake(ws.save(cells(measured), "counts"), ws, targets)
-    p = ws.save(probabilities(fitted, keep), "probabilities")
-    # A cell's key without nulls; the cells' table is as small as its categories.
-    null_safe = lambda t: F.struct(*(F.coalesce(F.concat(F.lit("+"), F.col(f"{t}.{a}")), F.lit("-")).alias(a) for a in AXES))
-    joined = measured.alias("m").join(p.alias("p"), null_safe("m") == null_safe("p"), "left")
+    measured = ws.save(docs.select(F.col(id_col).alias(id_col), *_measures(text_col, source_col, lang_col, topic)), "measured")
+    p = _fitted(measured, ws, targets, keep)
+    joined = measured.alias("m").join(p.alias("p"), _cell("m") == _cell("p"), "left")
     chance = F.when(F.col("m.n_tokens") > 0, F.coalesce("p.probability", F.lit(0.0))).otherwise(F.lit(0.0))
     return joined.select(
         F.col(f"m.{id_col}").alias(id_col), "m.source", "m.lang", "m.topic", "m.n_tokens", chance.alias("probability"), (draw(F.col(f"m.{id_col}")) < chance).alias("sampled")
     )
+
+
+def filter_documents(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    lang_col: str = "lang",
+    topic: Column | None = None,
+    targets: dict[str, dict] | None = None,
+    keep: float = KEEP,
+) -> DataFrame:
+    """The documents that are drawn, all columns kept. Texts meet the cells'
+    small table where they are read; they are not shuffled for it."""
+    ws = Workspace(docs.sparkSession, "mixing")
+    measures = _measures(text_col, source_col, lang_col, topic)
+    p = _fitted(docs.select(*measures), ws, targets, keep)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.struct(*measures).alias("m"), draw(F.col(id_col)).alias("u"))
+    joined = rows.join(p.alias("p"), _cell("m") == _cell("p"))
+    return joined.where("m.n_tokens > 0 and u < p.probability").select("row.*")

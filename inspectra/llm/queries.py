@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, neardup_text, neardup_vectors, quality, secrets, substring_dedup, suffix_dedup, warc
+from . import line_dedup, mixing, neardup_text, neardup_vectors, pieces, quality, secrets, substring_dedup, suffix_dedup, warc
 from .common import Workspace, table
 
 
@@ -23,6 +23,13 @@ def op2_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup_vectors.link(table(spark, sf_dir, "embeddings"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(docs, check=True).select(
+        "doc_id", F.coalesce(F.size("token_ids"), F.lit(0)).cast("long").alias("n_tokens"), F.xxhash64("token_ids").alias("ids_hash"), "round_trip"
+    )
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
@@ -65,6 +72,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc_archive": op1_warc_archive,
     "op2_embedding_neardup": op2_embedding_neardup,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_line_dedup": op4_line_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_substring_dedup": op6_substring_dedup,
