@@ -116,7 +116,7 @@ def boilerplate(docs: DataFrame, id_col: str, text_col: str, ws: Workspace, min_
     hot = held.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
     hits = ws.save(held.join(hot, "leaf", "left_semi").groupBy("id").agg(F.collect_set("leaf").alias("leaves")), "hits")
     free_shuffles(docs.sparkSession)
-    lines = ws.save(texts.join(hits, "id").mapInArrow(_hot_lines, "id long, leaf long, name long, tokens array<long>").dropDuplicates(["id", "leaf", "name"]), "lines")
+    lines = ws.save(texts.join(hits.hint("merge"), "id").mapInArrow(_hot_lines, "id long, leaf long, name long, tokens array<long>").dropDuplicates(["id", "leaf", "name"]), "lines")
     ws.drop(scan, hits)
 
     # Documents of each line; then of each token in its place in the leaf.
@@ -178,7 +178,8 @@ def _cut(at: int, columns: list[str]):
 def _applied(docs: DataFrame, id_col: str, text_col: str, min_docs: int) -> DataFrame:
     ws = Workspace(docs.sparkSession, "lines")
     dropped = boilerplate(docs, id_col, text_col, ws, min_docs).select(F.col("id").alias("_id"), F.col("names").alias("_names"))
-    joined = docs.join(dropped, F.col(id_col).cast("long") == F.col("_id"), "left").drop("_id")
+    # Texts are joined by a shuffle at every size: hits grow with the input.
+    joined = docs.join(dropped.hint("merge"), F.col(id_col).cast("long") == F.col("_id"), "left").drop("_id")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return joined.mapInArrow(_cut(docs.columns.index(text_col), docs.columns), f"{fields}, _n_lines long, _n_dropped long")
 
