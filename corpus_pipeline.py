@@ -31,7 +31,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least id of every group of near-duplicates."""
     ship(spark)
-    return docs.join(neardup_text.link(docs).where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    gone = neardup_text.link(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -290,7 +290,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     free_shuffles(spark)
 
     # Sets of the documents that have a close partner, and of no others.
-    sets = ws.save(texts.join(groups.select("id"), "id", "left_semi").mapInArrow(_sets, "id long, set binary").where("length(set) > 0").dropDuplicates(), "sets", "none")
+    sets = ws.save(texts.join(groups.select("id").hint("merge"), "id", "left_semi").mapInArrow(_sets, "id long, set binary").where("length(set) > 0").dropDuplicates(), "sets", "none")
     free_shuffles(spark)
     sizes = groups.groupBy("g").agg(F.count("*").alias("size"))
     held = _blocks_of(groups.join(sizes, "g")).join(reps, "id").join(sets, "id")
