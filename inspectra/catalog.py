@@ -372,9 +372,9 @@ def elongation(s, d):
 # Fusion and refinement.
 
 
-@query(f"with l as ({_LONG}), m as (select channel, avg(x) as mu, stddev_pop(x) as sd from l group by 1) select vec_id, l.channel::int as channel, round((x - mu) / sd * 0.3 / sqrt(len(embedding)), 6) as value from l join m on l.channel = m.channel")
+@query(f"with l as ({_LONG}), m as (select channel, avg(x) as mu, stddev_pop(x) as sd from l group by 1) select vec_id, l.channel::int as channel, round((x - mu) / sd * 0.3 / sqrt(len(embedding)), 6) + 0.0::double as value from l join m on l.channel = m.channel")
 def block_prep(s, d):
-    return fusion.block_prep(_embeddings(s, d), "vec_id", "embedding", 0.3).select("vec_id", "channel", F.round("value", 6).alias("value"))
+    return fusion.block_prep(_embeddings(s, d), "vec_id", "embedding", 0.3).select("vec_id", "channel", (F.round("value", 6) + F.lit(0.0)).alias("value"))
 
 
 _SPLIT = """e as (select {g} as g, {v}::double as x, {i} as i from {t}), o as (select *, row_number() over w as rn, sum(x) over w as s, sum(x * x) over w as q, lead(x) over (partition by g order by x, i) as nx,
