@@ -60,11 +60,12 @@ def retrain_candidates(results: DataFrame, registry: DataFrame, event_ids: Itera
 
 
 def verdict_summary(results: DataFrame) -> DataFrame:
-    """Counts of the three verdicts, zeros included, and their total."""
-    spark = results.sparkSession
-    domain = spark.createDataFrame([(i, s) for i, s in enumerate(STATUSES)], "place int, status string")
-    counted = domain.join(results.groupBy("status").agg(F.count("*").alias("n")), "status", "left").select("place", "status", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
-    return counted.select("status", "n").unionAll(counted.agg(F.lit("total").alias("status"), F.sum("n").alias("n")))
+    """Counts of the three verdicts, zeros included, and their total: one pass,
+    one row a task to the final sum."""
+    counted = results.agg(*(F.count_if(F.col("status") == s).alias(s) for s in STATUSES))
+    total = sum((F.col(s) for s in STATUSES[1:]), F.col(STATUSES[0]))
+    rows = [F.struct(F.lit(s).alias("status"), F.col(s).alias("n")) for s in STATUSES]
+    return counted.select(F.explode(F.array(*rows, F.struct(F.lit("total").alias("status"), total.alias("n")))).alias("r")).select("r.status", "r.n")
 
 
 def with_clusters(results: DataFrame, clusters: DataFrame) -> DataFrame:
