@@ -12,10 +12,12 @@ where asked, earlier in the same document).
    128-bit hash of the whole text that they span.  A run whose name stands in a
    document of smaller id is repeated as a whole: one row stands for all its
    windows.
-3. *Windows.*  Where one sample heads runs of different names, a run of each
-   name (those in the name's least document) is resolved window by window:
-   128-bit window names are sorted, and every window whose name also stands in
-   a document of smaller id is repeated.  These are the borders of repeats.
+   Where one sample heads runs of different names, a run of each name (those in
+   the name's least document) stays open: these hold the borders of repeats.
+   Their windows are sampled again by longer grams, which makes shorter runs.
+3. *Windows.*  What is still open after the longest gram is resolved window by
+   window: 128-bit window names are sorted, and every window whose name also
+   stands in a document of smaller id is repeated.
 
 With fixed blocks, step 3 first files the blocks of the open runs' texts that lie
 at multiples of the block length (the index of reference blocks), probes the
@@ -25,7 +27,7 @@ least two blocks' length holds a whole reference block wherever it stands.
 
 Equal windows always lie in runs of one sample, so steps 2 and 3 see every pair
 of equal windows through runs that stand for them; nothing is capped.  What
-moves is the samples (one for about ``m / 2`` units), one copy of the texts, one
+moves is the samples (one for about half a window), one copy of the texts, one
 row for each run of step 2 and one for each window at a border.
 """
 
@@ -55,20 +57,17 @@ _SPAN_SQL = "array<struct<s: long, n: long>>"
 
 @dataclass(frozen=True)
 class Kind:
-    """``unit``: bytes or words; ``w``: window; ``k``: gram; ``own``: whether an
-    earlier place in the same document counts; ``block``: units of the fixed
-    blocks that anchor a window (0: none; at most half a window)."""
+    """``unit``: bytes or words; ``w``: window; ``grams``: lengths of the grams
+    that windows are sampled by, growing; ``own``: whether an earlier place in
+    the same document counts; ``block``: units of the fixed blocks that anchor a
+    window (0: none; at most half a window)."""
 
     unit: str
     w: int
-    k: int
+    grams: tuple[int, ...]
     own: bool
     block: int = 0
 
-    @property
-    def m(self) -> int:
-        return self.w - self.k + 1
-
 
 class Units:
     """Values of a block's units in two lanes, and the documents' borders."""
@@ -89,13 +88,13 @@ class Units:
             self._lanes[i] = BYTE_VALUES[i][self.block.buf] if self.words is None else self.words.hashes(lane=i)
         return self._lanes[i]
 
-    def samples(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def samples(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(windows' samples, whether the window lies in one document, grams)."""
-        k = self.kind
-        if self.n < k.w:
+        w = self.kind.w
+        if self.n < w:
             return np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.uint64)
-        grams = gram_hashes(self.lane(0), k.k)
-        return sliding_min(grams, k.m), inside_documents(self.first, k.w, self.n), grams
+        grams = gram_hashes(self.lane(0), k)
+        return sliding_min(grams, w - k + 1), inside_documents(self.first, w, self.n), grams
 
     def spans(self, start: np.ndarray, end: np.ndarray, lane: int) -> np.ndarray:
         """Hash of the units from start to end."""
@@ -136,10 +135,13 @@ def _lists(value: np.ndarray, doc: np.ndarray, n: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(border), pa.array(value.view(np.int64)))
 
 
-def _runs(u: Units):
-    """Borders of the runs of windows with one sample: (first, last, sample)."""
-    sample, ok, _ = u.samples()
+def _runs(u: Units, k: int, among: np.ndarray | None = None):
+    """Borders of the runs of windows with one sample: (first, last, sample);
+    only windows ``among`` the given ones, if there are such."""
+    sample, ok, _ = u.samples(k)
     n = len(sample)
+    if among is not None:
+        ok = ok & among[:n]
     if not n:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(0, np.uint64)
@@ -153,12 +155,12 @@ def _runs(u: Units):
 
 def _own_repeats(u: Units) -> tuple[np.ndarray, np.ndarray]:
     """Samples that stand at two places of a document, as distinct pairs."""
-    sample, ok, grams = u.samples()
+    sample, ok, grams = u.samples(u.kind.grams[0])
     if not len(sample):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     # A gram is taken by a window iff the largest sample of the windows around
     # it equals it; ``~`` turns the sliding minimum into a maximum.
-    m = u.kind.m
+    m = u.kind.w - u.kind.grams[0] + 1
     most = np.concatenate([np.full(m - 1, _MAX, np.uint64), np.where(ok, ~sample, _MAX), np.full(m - 1, _MAX, np.uint64)])
     taken = np.flatnonzero(~sliding_min(most, m) == grams)
     doc = u.document(taken)
@@ -177,7 +179,7 @@ def _scan(kind: Kind):
             for block in blocks(b.column("text")):
                 u = Units(block, kind)
                 n = len(block.rows)
-                start, _, value = _runs(u)
+                start, _, value = _runs(u, kind.grams[0])
                 value, doc = _distinct(value, u.document(start))
                 own, own_doc = _own_repeats(u) if kind.own else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
                 sha = [hashlib.sha256(u.kept_bytes(i, None)).hexdigest() for i in range(n)]
@@ -216,44 +218,49 @@ def _find_runs(kind: Kind):
             shared_doc, shared = _per_document(b.column("shared"), b.num_rows)
             own_doc, own = _per_document(b.column("own"), b.num_rows)
             shared, own = shared.view(np.uint64), own.view(np.uint64)
-            runs: list[list] = [[] for _ in range(b.num_rows)]
-            local: list[list] = [[] for _ in range(b.num_rows)]
             for block in blocks(b.column("text")):
-                u = Units(block, kind)
-                start, stop, value = _runs(u)
+                u, n = Units(block, kind), len(block.rows)
+                start, stop, value = _runs(u, kind.grams[0])
                 doc = u.document(start)
                 row = block.rows[doc] if len(doc) else doc
                 ok = _member(value, row, shared, shared_doc)
-                s, e = start[ok], stop[ok] + kind.w
-                e1, e2 = (u.spans(s, e, lane).view(np.int64) for lane in (0, 1))
-                base = u.first[doc[ok]]
-                for r, *x in zip(row[ok].tolist(), (s - base).tolist(), (stop[ok] - s + 1).tolist(), value[ok].view(np.int64).tolist(), e1.tolist(), e2.tolist(), strict=True):
-                    runs[r].append(dict(zip(("s", "n", "h", "e1", "e2"), x, strict=True)))
-                if not kind.own:
-                    continue
-                ok = np.flatnonzero(_member(value, row, own, own_doc))
-                if not len(ok):
-                    continue
-                length = stop[ok] - start[ok] + 1
-                at = np.repeat(start[ok], length) + np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-                d = np.repeat(doc[ok], length)
-                name = u.spans(at, at + kind.w, 0) ^ mix(u.spans(at, at + kind.w, 1))
-                order = np.lexsort((at, name, d))
-                again = np.zeros(len(at), bool)
-                again[order[1:]] = (name[order[1:]] == name[order[:-1]]) & (d[order[1:]] == d[order[:-1]])
-                at, d = at[again], d[again]
-                for r, s in zip(block.rows[d].tolist(), (at - u.first[d]).tolist(), strict=True):
-                    if local[r] and local[r][-1]["s"] + local[r][-1]["n"] == s:
-                        local[r][-1]["n"] += 1
-                    else:
-                        local[r].append({"s": s, "n": 1})
-            has = pa.array([bool(x or y) for x, y in zip(runs, local, strict=True)])
-            out = pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), b.column("ord"), b.column("text"), pa.array(runs, _RUN), pa.array(local, _SPAN)], ["id", "th", "ord", "text", "runs", "own"])
-            yield out.filter(has)
+                names = [u.spans(start[ok], stop[ok] + kind.w, lane) for lane in (0, 1)]
+                fields = (start[ok] - u.first[doc[ok]], stop[ok] - start[ok] + 1, value[ok], *names)
+                runs = _structs(doc[ok], n, _RUN, fields)
+                at, d = _own_windows(u, start, stop, _member(value, row, own, own_doc)) if kind.own else (start[:0], doc[:0])
+                # Neighbouring windows go as one stretch.
+                new = np.ones(len(at), bool)
+                new[1:] = (np.diff(at) != 1) | (np.diff(d) != 0)
+                first = np.flatnonzero(new)
+                local = _structs(d[first], n, _SPAN, (at[first] - u.first[d[first]], np.diff(np.append(first, len(at)))))
+                part = b.slice(block.rows[0], n)
+                out = pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "th", "ord", "text")), runs, local], ["id", "th", "ord", "text", "runs", "own"])
+                yield out.filter(pa.array(np.diff(np.asarray(runs.offsets)) + np.diff(np.asarray(local.offsets)) > 0))
 
     return run
 
 
+def _structs(doc: np.ndarray, n: int, kind: pa.ListType, fields) -> pa.ListArray:
+    """One list of structs for each of n documents; ``doc`` is ascending."""
+    border = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
+    inner = kind.value_type
+    columns = [pa.array(np.ascontiguousarray(f).view(np.int64)) for f in fields]
+    return pa.ListArray.from_arrays(pa.array(border), pa.StructArray.from_arrays(columns, fields=list(inner)))
+
+
+def _own_windows(u: Units, start: np.ndarray, stop: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of the given runs that an earlier one of their document equals:
+    places and documents, in order."""
+    length = (stop - start + 1)[among]
+    at = _counted(start[among], length)
+    d = u.document(at)
+    name = u.spans(at, at + u.kind.w, 0) ^ mix(u.spans(at, at + u.kind.w, 1))
+    order = np.lexsort((at, name, d))
+    again = np.zeros(len(at), bool)
+    again[order[1:]] = (name[order[1:]] == name[order[:-1]]) & (d[order[1:]] == d[order[:-1]])
+    return at[again], d[again]
+
+
 def _places(lists: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows, starts and lengths of lists of runs."""
     lens = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
@@ -266,6 +273,49 @@ def _counted(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
+def _sub_runs(kind: Kind, k: int):
+    """Runs of the next gram length among the windows of the open runs."""
+    shape = pa.schema([(c, pa.int64()) for c in ("id", "ord", "s", "n", "h", "e1", "e2")])
+
+    def run(batches):
+        for b in batches:
+            run_row, run_s, run_n = _places(b.column("open"), b.num_rows)
+            ids, ords = b.column("id").to_numpy(), b.column("ord").to_numpy()
+            for block in blocks(b.column("text")):
+                u = Units(block, kind)
+                lo, hi = np.searchsorted(run_row, [block.rows[0], block.rows[-1] + 1])
+                among = np.zeros(u.n, bool)
+                among[_counted(u.first[run_row[lo:hi] - block.rows[0]] + run_s[lo:hi], run_n[lo:hi])] = True
+                start, stop, value = _runs(u, k, among)
+                doc = u.document(start)
+                row = block.rows[doc] if len(doc) else doc
+                names = [u.spans(start, stop + kind.w, lane).view(np.int64) for lane in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, (ids[row], ords[row], start - u.first[doc], stop - start + 1, value.view(np.int64), *names))], schema=shape)
+
+    return run
+
+
+def _resolved(runs: DataFrame, ws: Workspace) -> DataFrame:
+    """Per document, of its runs (id, ord, s, n, h, e1, e2): those that are
+    repeated as a whole, and those to be resolved further."""
+    named = runs.groupBy("h", "e1", "e2").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    split = named.groupBy("h").agg(F.count("*").alias("names"))
+    # A name in one document only, under a sample of that name only, matches nothing.
+    named = ws.save(named.join(split, "h").where("names > 1 or lo < hi"), "names", "none")
+    plan = (
+        runs.join(named, ["h", "e1", "e2"])
+        .where("id > lo or names > 1")
+        .groupBy("id", "ord")
+        .agg(
+            F.collect_list(F.when(F.col("id") > F.col("lo"), F.struct("s", "n"))).alias("whole"),
+            F.array_sort(F.collect_list(F.when(F.col("id") == F.col("lo"), F.struct("s", "n")))).alias("open"),
+        )
+    )
+    plan = ws.save(plan, "plan")
+    ws.drop(named)
+    return plan
+
+
 def _probe_rows(kind: Kind):
     """Every rolling block of the open runs' text, once; ``fixed`` marks those
     at multiples of the block length, the index of reference blocks."""
@@ -349,30 +399,35 @@ def _cover(kind: Kind):
 
     def run(batches):
         for b in batches:
-            cols = {c: b.column(c).to_pylist() for c in ("whole", "own", "marks")}
-            out = {c: [] for c in ("removed", "spans", "sha")}
             for block in blocks(b.column("text")):
-                u = Units(block, kind)
-                for d, r in enumerate(block.rows):
-                    size = int(u.first[d + 1] - u.first[d])
-                    edge = np.zeros(size + 1, np.int64)
-                    for name in ("whole", "own"):
-                        for x in cols[name][r] or ():
-                            edge[x["s"]] += 1
-                            edge[x["s"] + x["n"] - 1 + kind.w] -= 1
-                    if cols["marks"][r]:
-                        at = np.array(cols["marks"][r], np.int64)
-                        np.add.at(edge, at, 1)
-                        np.add.at(edge, at + kind.w, -1)
-                    gone = np.cumsum(edge[:-1]) > 0
-                    step = np.diff(gone.astype(np.int8), prepend=0, append=0)
-                    start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-                    out["removed"].append(int(gone.sum()))
-                    out["spans"].append([{"s": s, "n": e - s} for s, e in zip(start.tolist(), end.tolist(), strict=True)])
-                    out["sha"].append(hashlib.sha256(u.kept_bytes(d, ~gone)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("th"), pa.array(out["removed"], pa.int64()), pa.array(out["spans"], _SPAN), pa.array(out["sha"], pa.string())], ["id", "th", "removed", "spans", "kept_sha"]
-            )
+                u, n = Units(block, kind), len(block.rows)
+                part = b.slice(block.rows[0], n)
+                edge = np.zeros(u.n + 1, np.int64)
+                for name in ("whole", "own"):
+                    row, s, size = _places(part.column(name), n)
+                    np.add.at(edge, u.first[row] + s, 1)
+                    np.add.at(edge, u.first[row] + s + size - 1 + kind.w, -1)
+                row, at = _per_document(part.column("marks"), n)
+                np.add.at(edge, u.first[row] + at, 1)
+                np.add.at(edge, u.first[row] + at + kind.w, -1)
+                gone = np.cumsum(edge[:-1]) > 0
+                # Runs of removed units end with their document.
+                start = gone.copy()
+                start[1:] &= ~gone[:-1]
+                head = u.first[:-1][np.diff(u.first) > 0]
+                start[head] = gone[head]
+                stop = gone.copy()
+                stop[:-1] &= ~gone[1:]
+                tail = u.first[1:][np.diff(u.first) > 0] - 1
+                stop[tail] = gone[tail]
+                start, stop = np.flatnonzero(start), np.flatnonzero(stop)
+                doc = u.document(start)
+                spans = _structs(doc, n, _SPAN, (start - u.first[doc], stop - start + 1))
+                total = np.concatenate([[0], np.cumsum(gone)])
+                sha = [hashlib.sha256(u.kept_bytes(i, ~gone[u.first[i] : u.first[i + 1]])).hexdigest() for i in range(n)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), part.column("th"), pa.array(total[u.first[1:]] - total[u.first[:-1]]), spans, pa.array(sha, pa.string())], ["id", "th", "removed", "spans", "kept_sha"]
+                )
 
     return run
 
@@ -402,32 +457,23 @@ def find(docs: DataFrame, kind: Kind, id_col: str, text_col: str, ws: Workspace)
         .select("id", "th", "own", "shared", F.when(F.col("ths").isNull(), F.lit(0)).otherwise(F.array_position("ths", F.col("th")) - 1).cast("long").alias("ord")),
         "hits",
     )
-    free_shuffles(spark)
+    facts = ws.save(scan.select("id", "th", "units", "sha"), "facts")
+    ws.drop(scan)
 
     found = ws.save(
-        texts.join(hits, ["id", "th"]).mapInArrow(_find_runs(kind), f"id long, th long, ord long, text string, runs {_RUN_SQL}, own {_SPAN_SQL}"), "runs"
+        texts.join(hits.hint("merge"), ["id", "th"]).mapInArrow(_find_runs(kind), f"id long, th long, ord long, text string, runs {_RUN_SQL}, own {_SPAN_SQL}"), "runs"
     )
     ws.drop(hits)
 
-    runs = found.select("id", "ord", F.explode("runs").alias("r")).select("id", "ord", "r.*")
-    named = runs.groupBy("h", "e1", "e2").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-    split = named.groupBy("h").agg(F.count("*").alias("names"))
-    # A name in one document only, under a sample of that name only, matches nothing.
-    named = ws.save(named.join(split, "h").where("names > 1 or lo < hi"), "names", "none")
-    plan = (
-        runs.join(named, ["h", "e1", "e2"])
-        .where("id > lo or names > 1")
-        .groupBy("id", "ord")
-        .agg(
-            F.collect_list(F.when(F.col("id") > F.col("lo"), F.struct("s", "n"))).alias("whole"),
-            F.collect_list(F.when(F.col("id") == F.col("lo"), F.struct("s", "n"))).alias("open"),
-        )
-    )
-    plan = ws.save(plan, "plan")
-    ws.drop(named)
-
-    open_ = plan.where("size(open) > 0").select("id", "ord", F.array_sort("open").alias("open"))
-    pieces = found.select("id", "ord", "text").join(open_, ["id", "ord"])
+    plans = [_resolved(found.select("id", "ord", F.explode("runs").alias("r")).select("id", "ord", "r.*"), ws)]
+    text = found.select("id", "ord", "text")
+    for k in kind.grams[1:]:
+        pieces = text.join(plans[-1].where("size(open) > 0").select("id", "ord", "open").hint("merge"), ["id", "ord"])
+        runs = ws.save(pieces.mapInArrow(_sub_runs(kind, k), "id long, ord long, s long, n long, h long, e1 long, e2 long"), "sub-runs", "none")
+        free_shuffles(spark)
+        plans.append(_resolved(runs, ws))
+        ws.drop(runs)
+    pieces = text.join(plans[-1].where("size(open) > 0").select("id", "ord", "open").hint("merge"), ["id", "ord"])
     if kind.block:
         probes = ws.save(pieces.mapInArrow(_probe_rows(kind), "b long, id long, at long, fixed int"), "probes")
         anchored = probes.groupBy("b").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("fixed").alias("fixed")).where("lo < hi and fixed = 1").select("b")
@@ -448,17 +494,21 @@ def find(docs: DataFrame, kind: Kind, id_col: str, text_col: str, ws: Workspace)
     )
     free_shuffles(spark)
 
+    whole = plans[0].select("id", "ord", "whole")
+    for p in plans[1:]:
+        whole = whole.unionAll(p.select("id", "ord", "whole"))
+    whole = whole.where("size(whole) > 0").groupBy("id", "ord").agg(F.flatten(F.collect_list("whole")).alias("whole"))
     done = ws.save(
         found.select("id", "th", "ord", "text", "own")
-        .join(plan.select("id", "ord", "whole"), ["id", "ord"], "left")
-        .join(marks, ["id", "ord"], "left")
+        .join(whole.hint("merge"), ["id", "ord"], "left")
+        .join(marks.hint("merge"), ["id", "ord"], "left")
         .where("size(own) > 0 or size(whole) > 0 or marks is not null")
         .mapInArrow(_cover(kind), f"id long, th long, removed long, spans {_SPAN_SQL}, kept_sha string")
         .dropDuplicates(["id", "th"]),
         "done",
     )
-    ws.drop(found, plan, marks)
-    return scan.select("id", "th", "units", "sha").join(done, ["id", "th"], "left").select(
+    ws.drop(found, marks, *plans)
+    return facts.join(done, ["id", "th"], "left").select(
         "id",
         "units",
         F.coalesce("removed", F.lit(0)).cast("long").alias("removed"),

@@ -27,7 +27,7 @@ WINDOW, GRAM = 50, 12
 
 
 def _kind(window: int) -> Kind:
-    return Kind("word", window, min(GRAM, window), False, window // 2)
+    return Kind("word", window, (min(GRAM, window),), False, window // 2)
 
 
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:

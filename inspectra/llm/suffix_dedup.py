@@ -23,14 +23,20 @@ from pyspark.sql import functions as F
 from .common import Workspace
 from .repeats import Kind, cut, find
 
-THRESHOLD, GRAM = 100, 24
+THRESHOLD = 100
+#: Lengths at which positions are ranked before the threshold, as shares of it.
+GRAMS = (0.28, 0.84)
+
+
+def _kind(threshold: int) -> Kind:
+    return Kind("byte", threshold, tuple(max(1, int(g * threshold)) for g in GRAMS), True)
 
 
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """Per row: id, ``n_bytes``, ``n_removed``, ``spans`` (first byte ``s``,
     bytes ``n``), ``kept_sha256`` of the remaining bytes."""
     ws = Workspace(docs.sparkSession, "suffix")
-    kind = Kind("byte", threshold, min(GRAM, threshold), True)
+    kind = _kind(threshold)
     found = find(docs, kind, id_col, text_col, ws)
     return found.select(
         F.col("id").alias(id_col), F.col("units").alias("n_bytes"), F.col("removed").alias("n_removed"), "spans", F.col("kept_sha").alias("kept_sha256")
@@ -41,7 +47,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thre
     """``docs`` with the repeats cut from the text; all columns stay. A text
     that loses part of a character keeps what is valid UTF-8."""
     spans = find_repeats(docs, id_col, text_col, threshold).where("n_removed > 0").select(F.col(id_col).alias("_id"), F.col("spans").alias("_spans")).dropDuplicates(["_id"])
-    kind = Kind("byte", threshold, min(GRAM, threshold), True)
+    kind = _kind(threshold)
     at, names = docs.columns.index(text_col), docs.columns
     joined = docs.join(spans, F.col(id_col) == F.col("_id"), "left").drop("_id")
 
