@@ -16,6 +16,11 @@ from inspectra.llm.common import Workspace, table
 from inspectra.session import ship
 
 
+#: Similarity, in a hundred, from which the pipeline takes texts as near-duplicates;
+#: op8 keeps its own 85.
+SIMILAR = 80
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the isolation forest."""
     ship(spark)
@@ -31,7 +36,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least id of every group of near-duplicates."""
     ship(spark)
-    gone = neardup_text.link(docs).where("not kept").select("doc_id").distinct()
+    gone = neardup_text.link(docs, percent=SIMILAR).where("not kept").select("doc_id").distinct()
     return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 

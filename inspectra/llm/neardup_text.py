@@ -6,7 +6,8 @@ minima.  Signatures are cut into ``CHUNKS`` chunks; two signatures that differ
 in at most ``DISTANCE`` symbols differ in at most one symbol of some chunk
 (pigeonhole), so a document files each chunk once for each symbol left out, and
 any such pair meets under an equal key.  Pairs that meet are held to the
-signature distance, and links are confirmed on the full sets.
+signature distance, and links are confirmed on the full sets.  These counts are
+for op8's similarity; ``SCHEMES`` has those for a lower one.
 
 Documents with equal sets form a class that is filed once.  What the result
 needs is components, so no pair is ever emitted: a bucket sends one edge for
@@ -24,6 +25,9 @@ columns are read, so extra columns never clash.
 
 from __future__ import annotations
 
+from functools import partial
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,15 +40,40 @@ from .textscan import Words, blocks, gram_hashes, inside_documents, mix
 SHINGLE, PERCENT = 5, 85
 #: Signature: minima, bits of each, chunks, errors enumerated in a chunk.
 SYMBOLS, BITS, CHUNKS, CHUNK_ERRORS = 40, 16, 9, 1
-#: Distance below which every pair is sure to meet: at a similarity of 0.85 six
-#: symbols differ on average, and more than this about once in a million pairs.
+#: Distance up to which every pair is sure to meet: at a similarity of 0.85 six
+#: symbols differ on average, and more than 17 about 6 times in a million pairs.
 DISTANCE = CHUNKS * (CHUNK_ERRORS + 1) - 1
 BLOCK = 1024
 _U = np.uint64
 
+
+class Scheme(NamedTuple):
+    """What a least similarity takes: minima, chunks and the distance that is
+    sure to meet."""
+
+    percent: int
+    symbols: int
+    chunks: int
+
+    @property
+    def distance(self) -> int:
+        return self.chunks * (CHUNK_ERRORS + 1) - 1
+
+
+#: At a similarity of 0.80, 9.6 of 48 symbols differ on average, and more than
+#: 23 about 3 times in a million pairs (more than 17 of 40: 304 times).
+SCHEMES = [Scheme(PERCENT, SYMBOLS, CHUNKS), Scheme(80, 48, 12)]
+
 _rng = np.random.default_rng(41)
-_FACTORS = _rng.integers(1, 2**63, SYMBOLS, dtype=np.uint64) * _U(2) + _U(1)
-_CUTS = np.linspace(0, SYMBOLS, CHUNKS + 1).astype(int)
+_FACTORS = _rng.integers(1, 2**63, max(x.symbols for x in SCHEMES), dtype=np.uint64) * _U(2) + _U(1)
+
+
+def scheme(percent: int) -> Scheme:
+    """The scheme that finds all pairs of this similarity or more."""
+    for x in SCHEMES:
+        if x.percent <= percent <= 100:
+            return x._replace(percent=percent)
+    raise ValueError(f"no scheme for a similarity of {percent} percent")
 
 
 def shingles(block) -> tuple[np.ndarray, np.ndarray]:
@@ -69,21 +98,21 @@ def shingles(block) -> tuple[np.ndarray, np.ndarray]:
     return value[order], owner[order]
 
 
-def signatures(value: np.ndarray, first: np.ndarray) -> np.ndarray:
+def signatures(value: np.ndarray, first: np.ndarray, symbols: int = SYMBOLS) -> np.ndarray:
     """Symbols of every document that has shingles; ``first``: their places."""
-    out = np.empty((len(first), SYMBOLS), np.uint16)
-    for j in range(SYMBOLS):
+    out = np.empty((len(first), symbols), np.uint16)
+    for j in range(symbols):
         least = np.minimum.reduceat(value * _FACTORS[j], first)
         out[:, j] = (mix(least) >> _U(64 - BITS)).astype(np.uint16)
     return out
 
 
-def chunk_keys(symbols: np.ndarray) -> np.ndarray:
+def chunk_keys(symbols: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
     """One key for every chunk and symbol left out of it."""
-    keys = np.empty((len(symbols), SYMBOLS), np.uint64)
+    keys = np.empty(symbols.shape, np.uint64)
     s = symbols.astype(np.uint64)
-    for c in range(CHUNKS):
-        lo, hi = _CUTS[c], _CUTS[c + 1]
+    cuts = np.linspace(0, symbols.shape[1], chunks + 1).astype(int)
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
         for out in range(lo, hi):
             code = np.full(len(s), out + 1, np.uint64)
             for i in range(lo, hi):
@@ -93,7 +122,7 @@ def chunk_keys(symbols: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _measure(batches):
+def _measure(batches, symbols):
     for b in batches:
         ids = b.column(0)
         out = {n: [] for n in ("n", "s1", "s2", "sym")}
@@ -102,10 +131,10 @@ def _measure(batches):
             n = np.bincount(owner, minlength=len(block.rows))
             has = np.flatnonzero(n)
             first = np.searchsorted(owner, has)
-            sym = np.zeros((len(n), SYMBOLS), np.uint16)
+            sym = np.zeros((len(n), symbols), np.uint16)
             s1, s2 = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
             if len(has):
-                sym[has] = signatures(value, first)
+                sym[has] = signatures(value, first, symbols)
                 s1[has] = np.add.reduceat(mix(value), first)
                 s2[has] = np.add.reduceat(mix(value * _U(0xD6E8FEB86659FD93) + _U(17)), first)
             out["n"].append(n.astype(np.int64))
@@ -116,15 +145,15 @@ def _measure(batches):
         yield pa.RecordBatch.from_arrays([ids, *map(pa.array, cols), pa.array(out["sym"], pa.binary())], ["id", "n", "s1", "s2", "sym"])
 
 
-def _matrix(column) -> np.ndarray:
+def _matrix(column, symbols: int) -> np.ndarray:
     flat = b"".join(column.to_pylist())
-    return np.frombuffer(flat, np.uint16).reshape(-1, SYMBOLS)
+    return np.frombuffer(flat, np.uint16).reshape(-1, symbols)
 
 
-def _file(batches):
+def _file(batches, symbols, chunks):
     for b in batches:
-        keys = chunk_keys(_matrix(b.column("sym")))
-        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(b.column("id").to_numpy(), SYMBOLS))], ["key", "id"])
+        keys = chunk_keys(_matrix(b.column("sym"), symbols), chunks)
+        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(b.column("id").to_numpy(), symbols))], ["key", "id"])
 
 
 def _sets(batches):
@@ -163,26 +192,26 @@ def _local(pairs: list[tuple[np.ndarray, np.ndarray]], ids: np.ndarray) -> np.nd
     return comp
 
 
-def _close(sym: np.ndarray, blk: np.ndarray, cross: bool):
+def _close(sym: np.ndarray, blk: np.ndarray, cross: bool, distance: int):
     """Pairs of places whose signatures are within the distance, by rows."""
     n = len(sym)
     for s in range(0, n, 64):
         e = min(n, s + 64)
         differ = np.zeros((e - s, n), np.uint8)
-        for j in range(SYMBOLS):
+        for j in range(sym.shape[1]):
             differ += sym[s:e, j, None] != sym[:, j]
-        ok = (differ <= DISTANCE) & (np.arange(n) > np.arange(s, e)[:, None])
+        ok = (differ <= distance) & (np.arange(n) > np.arange(s, e)[:, None])
         if cross:
             ok &= blk[s:e, None] != blk
         a, b = np.nonzero(ok)
         yield a + s, b
 
 
-def _meet(ids, sym, blk, cross, _sets):
-    return _local([p for p in _close(sym, blk, cross) if len(p[0])], ids)
+def _meet(ids, sym, blk, cross, _sets, how):
+    return _local([p for p in _close(sym, blk, cross, how.distance) if len(p[0])], ids)
 
 
-def _verify(ids, sym, blk, cross, sets):
+def _verify(ids, sym, blk, cross, sets, how):
     """Local components of the confirmed links. A row's set is marked in one
     table over the group's shingles, against which all its close partners are
     counted at once; partners already reached are left out."""
@@ -190,16 +219,16 @@ def _verify(ids, sym, blk, cross, sets):
     values = [np.frombuffer(x, np.uint64) for x in sets]
     size = np.array([len(v) for v in values])
     if n == 2:
-        linked = [(np.array([0]), np.array([1]))] if similar(*values) and (not cross or blk[0] != blk[1]) else []
+        linked = [(np.array([0]), np.array([1]))] if similar(*values, how.percent) and (not cross or blk[0] != blk[1]) else []
         return _local(linked, ids)
     every, flat = np.unique(np.concatenate(values), return_inverse=True)
     border = np.concatenate([[0], np.cumsum(size)])
     mark = np.zeros(len(every), np.int32)
     links, comp = [], ids.copy()
-    for a, b in _close(sym, blk, cross):
+    for a, b in _close(sym, blk, cross, how.distance):
         for i in np.unique(a):
             j = b[a == i]
-            j = j[(comp[j] != comp[i]) & (100 * np.minimum(size[i], size[j]) >= PERCENT * np.maximum(size[i], size[j]))]
+            j = j[(comp[j] != comp[i]) & (100 * np.minimum(size[i], size[j]) >= how.percent * np.maximum(size[i], size[j]))]
             if not len(j):
                 continue
             own = flat[border[i] : border[i + 1]]
@@ -207,14 +236,14 @@ def _verify(ids, sym, blk, cross, sets):
             places = np.concatenate([flat[border[k] : border[k + 1]] for k in j])
             both = np.add.reduceat(mark[places], np.concatenate([[0], np.cumsum(size[j])[:-1]]))
             mark[own] = 0
-            j = j[100 * both >= PERCENT * (size[i] + size[j] - both)]
+            j = j[100 * both >= how.percent * (size[i] + size[j] - both)]
             if len(j):
                 links.append((np.full(len(j), i), j))
                 comp = _local(links[-1:] + [(np.array([0]), np.array([0]))], comp)
     return _local(links, ids)
 
 
-def _components_of_groups(work, with_sets: bool):
+def _components_of_groups(work, with_sets: bool, how: Scheme):
     """Arrow function over rows sorted by (g, bi, bj): sends ``(id, comp)`` for
     each row that hangs on another one in its group."""
     shape = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -230,12 +259,12 @@ def _components_of_groups(work, with_sets: bool):
             out = [[], []]
             if upto:
                 ids, blk = (t.column(c).to_numpy() for c in ("id", "blk"))
-                sym = _matrix(t.column("sym").slice(0, upto))
+                sym = _matrix(t.column("sym").slice(0, upto), how.symbols)
                 sets = t.column("set").slice(0, upto).to_pylist() if with_sets else None
                 for s, e in zip(edges[:-1], edges[1:], strict=True):
                     if e - s < 2:
                         continue
-                    comp = work(ids[s:e], sym[s:e], blk[s:e], bool(bi[s] != bj[s]), sets[s:e] if with_sets else None)
+                    comp = work(ids[s:e], sym[s:e], blk[s:e], bool(bi[s] != bj[s]), sets[s:e] if with_sets else None, how)
                     moved = comp != ids[s:e]
                     out[0].append(ids[s:e][moved])
                     out[1].append(comp[moved])
@@ -265,27 +294,29 @@ def _blocks_of(rows: DataFrame) -> DataFrame:
     )
 
 
-def _in_groups(rows: DataFrame, work, with_sets: bool) -> DataFrame:
+def _in_groups(rows: DataFrame, work, with_sets: bool, how: Scheme) -> DataFrame:
     return (
-        rows.repartition("g", "bi", "bj").sortWithinPartitions("g", "bi", "bj", "id").mapInArrow(_components_of_groups(work, with_sets), "a long, b long").distinct()
+        rows.repartition("g", "bi", "bj").sortWithinPartitions("g", "bi", "bj", "id").mapInArrow(_components_of_groups(work, with_sets, how), "a long, b long").distinct()
     )
 
 
-def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, ``n_shingles``, ``component_id``, ``kept``."""
+def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row per input row: id, ``n_shingles``, ``component_id``, ``kept``.
+    Documents are linked from a similarity of ``percent`` in a hundred on."""
+    how = scheme(percent)
     ws = Workspace(docs.sparkSession, "minhash")
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = ws.save(texts.mapInArrow(_measure, "id long, n long, s1 long, s2 long, sym binary"), "signatures")
+    signed = ws.save(texts.mapInArrow(partial(_measure, symbols=how.symbols), "id long, n long, s1 long, s2 long, sym binary"), "signatures")
     filled = signed.where("n > 0 and id is not null")
     classes = filled.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))
     reps = ws.save(
         filled.join(classes, ["n", "s1", "s2"]).where("id = rep").dropDuplicates(["n", "s1", "s2"]).select("id", "sym"), "reps"
     )
-    filed = reps.mapInArrow(_file, "g long, id long")
+    filed = reps.mapInArrow(partial(_file, symbols=how.symbols, chunks=how.chunks), "g long, id long")
     buckets = filed.groupBy("g").agg(F.count("*").alias("size")).where("size > 1")
     meetings = _blocks_of(filed.join(buckets, "g")).join(reps, "id")
-    coarse = components(spark, ws, ws.save(_in_groups(meetings, _meet, False), "meetings"))
+    coarse = components(spark, ws, ws.save(_in_groups(meetings, _meet, False, how), "meetings"))
     groups = ws.save(coarse.select("id", F.col("component").alias("g")), "groups")
     free_shuffles(spark)
 
@@ -294,7 +325,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     free_shuffles(spark)
     sizes = groups.groupBy("g").agg(F.count("*").alias("size"))
     held = _blocks_of(groups.join(sizes, "g")).join(reps, "id").join(sets, "id")
-    comp = ws.save(components(spark, ws, ws.save(_in_groups(held, _verify, True), "links")), "components")
+    comp = ws.save(components(spark, ws, ws.save(_in_groups(held, _verify, True, how), "links")), "components")
     ws.drop(sets)
 
     result = (
