@@ -12,7 +12,8 @@ never leave the task that reads them.  Counts are pre-aggregated before every
 shuffle; a leaf, line or template that a third of all documents holds is one
 row for each document, spread by document.
 
-Edge cases: lines with fewer than ``MIN_TOKENS`` tokens are never dropped; null
+Edge cases: lines of variable tokens only are never dropped, as no template can
+keep enough of them; lines of ``DEPTH`` tokens or fewer are their own leaf; null
 and empty texts stay as they are; a null id keeps all its lines and counts for
 no template; rows that repeat an id are one document; a text that loses all its
 lines becomes empty and its row stays; an empty table gives an empty result;
@@ -31,7 +32,7 @@ from .common import Workspace, free_shuffles
 from .repeats import _distinct, _lists, _member, _per_document
 from .textscan import Block, Words, blocks, mix, powers
 
-DEPTH, SIMILARITY, MIN_TOKENS = 3, 0.75, 5
+DEPTH, SIMILARITY, MIN_TOKENS = 3, 0.75, 1
 #: Documents that hold a template before it counts as boilerplate.
 MIN_DOCS = 10
 _VARIABLE = np.uint64(0x2545F4914F6CDD1D)
@@ -59,7 +60,8 @@ class Lines:
         # A line's place among its document's lines, empty ones counted.
         self.line = at[self.first] - feeds[block.off[self.doc]] if n else at
         tokens = w.hashes()
-        tokens[digits[w.end] > digits[w.start]] = _VARIABLE
+        masked = digits[w.end] > digits[w.start]
+        tokens[masked] = _VARIABLE
         self.tokens = tokens
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(tokens * powers(n), out=sums[1:])
@@ -69,7 +71,9 @@ class Lines:
         lead = self.first + np.minimum(self.size, DEPTH)
         self.name = mix((sums[to] - sums[self.first]) * back[self.first] + size)
         self.leaf = mix((sums[lead] - sums[self.first]) * back[self.first] ^ mix(size))
-        self.parsed = self.size >= MIN_TOKENS
+        plain = np.zeros(n + 1, np.int64)
+        np.cumsum(~masked, out=plain[1:])
+        self.parsed = (self.size >= MIN_TOKENS) & (plain[to] > plain[self.first])
 
 
 def _leaves(batches):
