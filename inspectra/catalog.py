@@ -542,5 +542,5 @@ def umap_layout(s, d):
 def cluster_assign(s, d):
     """Fit on the bank's rows, then assign every vector."""
     rows = _embeddings(s, d).select("vec_id", F.col("embedding").alias("vec"))
-    fitted = cluster.fit_hdbscan(cluster._matrix(_bank(s, d).orderBy("row_id").limit(cluster.MOST_POINTS).toPandas()["vec"]))
+    fitted = cluster.fit_hdbscan(cluster._matrix(_bank(s, d).orderBy("row_id").toPandas()["vec"]))
     return cluster.assign(rows, fitted, "vec_id", "vec")

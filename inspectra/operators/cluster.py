@@ -1,8 +1,10 @@
 """Density clustering (HDBSCAN), prediction for new points, and UMAP.
 
-These run on an experiment's few thousand reduced vectors: a fit is a global
-model of all points, made in one task and bounded by ``MOST_POINTS``; applying a
-fitted model to any number of points is distributed.
+A fit is a global model of all points, made in one task; applying a fitted model
+to any number of points is distributed.  HDBSCAN holds the points and one row of
+distances at a time, so its time grows with the square of their number and its
+memory with the number; UMAP holds whole matrices and is bounded by
+``MOST_POINTS``.
 """
 
 from __future__ import annotations
@@ -14,11 +16,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 MOST_POINTS = 5000
+#: Rows of distances held at once for the core distances.
+BLOCK = 32
 
 
-def _pairwise(x: np.ndarray) -> np.ndarray:
-    d = (x**2).sum(axis=1)
-    return np.sqrt(np.maximum(0, d[:, None] + d - 2 * x @ x.T))
+def _distances(x: np.ndarray, norms: np.ndarray, s: int, e: int) -> np.ndarray:
+    """Distances of the points from ``s`` to ``e`` to all."""
+    return np.sqrt(np.maximum(0, norms[s:e, None] + norms - 2 * x[s:e] @ x.T))
+
+
+def _core(x: np.ndarray, norms: np.ndarray, k: int) -> np.ndarray:
+    return np.concatenate([np.partition(_distances(x, norms, s, min(s + BLOCK, len(x))), k, axis=1)[:, k] for s in range(0, len(x), BLOCK)])
 
 
 @dataclass
@@ -42,7 +50,8 @@ class Hdbscan:
             d = np.sqrt(((self.points - p) ** 2).sum(axis=1))
             own = np.partition(d, k - 1)[k - 1]
             reach = np.maximum(np.maximum(d, self.core), own)
-            at = int(np.lexsort((d, reach))[0])
+            ties = np.flatnonzero(reach == reach.min())
+            at = int(ties[np.argmin(d[ties])])
             c = int(self.labels[at])
             if c < 0:
                 continue
@@ -57,15 +66,17 @@ class Hdbscan:
     births: dict[int, float] | None = None
 
 
-def _single_linkage(d: np.ndarray) -> list[tuple[int, int, float, int]]:
-    """Merges of a spanning tree in order of length; Prim's algorithm."""
-    n = len(d)
+def _single_linkage(x: np.ndarray, norms: np.ndarray, core: np.ndarray) -> list[tuple[int, int, float, int]]:
+    """Merges of a spanning tree by mutual reachability in order of length;
+    Prim's algorithm, which needs one row of distances at a time."""
+    n = len(x)
     inside, best, link = np.zeros(n, bool), np.full(n, np.inf), np.zeros(n, int)
     at, edges = 0, []
     for _ in range(n - 1):
         inside[at] = True
-        closer = ~inside & (d[at] < best)
-        best[closer], link[closer] = d[at][closer], at
+        d = np.maximum(np.maximum(_distances(x, norms, at, at + 1)[0], core[at]), core)
+        closer = ~inside & (d < best)
+        best[closer], link[closer] = d[closer], at
         at = int(np.argmin(np.where(inside, np.inf, best)))
         edges.append((best[at], int(link[at]), at))
     edges.sort()
@@ -90,13 +101,11 @@ def fit_hdbscan(x: np.ndarray, min_cluster_size: int = 3, min_samples: int | Non
     clusters by excess of mass; the root is never a cluster."""
     n = len(x)
     k = min_samples or min_cluster_size
-    if n < 2 or n > MOST_POINTS:
-        if n > MOST_POINTS:
-            raise ValueError(f"more than {MOST_POINTS} points")
+    if n < 2:
         return Hdbscan(x, np.zeros(n), np.full(n, -1), np.zeros(n), {}, k, {})
-    d = _pairwise(x)
-    core = np.partition(d, min(k, n - 1), axis=1)[:, min(k, n - 1)]
-    merges = _single_linkage(np.maximum(np.maximum(d, core[:, None]), core))
+    norms = (x**2).sum(axis=1)
+    core = _core(x, norms, min(k, n - 1))
+    merges = _single_linkage(x, norms, core)
     left = {n + i: (a, b, w) for i, (a, b, w, _) in enumerate(merges)}
     size = lambda v: 1 if v < n else merges[v - n][3]
 
@@ -183,8 +192,8 @@ def hdbscan(rows: DataFrame, id_col: str, vec: str, min_cluster_size: int = 3) -
 
     from pyspark.sql import functions as F
 
-    # One group by design: the model is global; fit_hdbscan bounds its size.
-    return rows.select(id_col, vec).limit(MOST_POINTS + 1).withColumn("_all", F.lit(1)).groupBy("_all").applyInPandas(run, f"{id_col} {kind}, cluster int, probability double")
+    # One group by design: the model is global.
+    return rows.select(id_col, vec).withColumn("_all", F.lit(1)).groupBy("_all").applyInPandas(run, f"{id_col} {kind}, cluster int, probability double")
 
 
 def assign(rows: DataFrame, model: Hdbscan, id_col: str, vec: str) -> DataFrame:
