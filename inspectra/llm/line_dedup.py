@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import Workspace, free_shuffles
 from .repeats import _distinct, _lists, _member, _per_document
-from .textscan import Block, Words, blocks, mix, powers
+from .textscan import Block, Words, blocks, joined, sequence_hashes
 
 DEPTH, SIMILARITY, MIN_TOKENS = 3, 0.75, 1
 #: Documents that hold a template before it counts as boilerplate.
@@ -63,14 +63,10 @@ class Lines:
         masked = digits[w.end] > digits[w.start]
         tokens[masked] = _VARIABLE
         self.tokens = tokens
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(tokens * powers(n), out=sums[1:])
-        back = powers(n + 1, inverse=True)
-        size = self.size.astype(np.uint64) * _U(0xD6E8FEB86659FD93)
         to = self.first + self.size
         lead = self.first + np.minimum(self.size, DEPTH)
-        self.name = mix((sums[to] - sums[self.first]) * back[self.first] + size)
-        self.leaf = mix((sums[lead] - sums[self.first]) * back[self.first] ^ mix(size))
+        self.name = sequence_hashes(tokens, self.first, to)
+        self.leaf = joined(sequence_hashes(tokens, self.first, lead), self.size.astype(np.uint64))
         plain = np.zeros(n + 1, np.int64)
         np.cumsum(~masked, out=plain[1:])
         self.parsed = (self.size >= MIN_TOKENS) & (plain[to] > plain[self.first])

@@ -1,106 +1,114 @@
-"""Exact repeats of fixed length across a corpus, without a row per position.
+"""Exact repeats of fixed length across a corpus.
 
 Units are bytes or words, a window is ``w`` consecutive units of one document.
 The aim: every window that also starts earlier, in a document of smaller id (or,
-where asked, earlier in the same document).
-
-1. *Sampling.*  A window's sample is the least hash among its k-unit grams.  It
-   depends on the window's content alone, so equal windows have equal samples,
-   and neighbouring windows mostly share one.  Documents send their distinct
-   samples; only samples that two documents (or two places of one) hold go on.
-2. *Runs.*  Windows next to each other with one sample form a run, named by a
-   128-bit hash of the whole text that they span.  A run whose name stands in a
-   document of smaller id is repeated as a whole: one row stands for all its
-   windows.
-   Where one sample heads runs of different names, a run of each name (those in
-   the name's least document) stays open: these hold the borders of repeats.
-   Their windows are sampled again by longer grams, which makes shorter runs.
-3. *Windows.*  What is still open after the longest gram is resolved window by
-   window: 128-bit window names are sorted, and every window whose name also
-   stands in a document of smaller id is repeated.
-
-With fixed blocks, step 3 first files the blocks of the open runs' texts that lie
-at multiples of the block length (the index of reference blocks), probes the
-index with every rolling block of the other documents' open runs, and extends the
-hits: only windows that hold an anchored block are resolved.  A window of at
-least two blocks' length holds a whole reference block wherever it stands.
-
-Equal windows always lie in runs of one sample, so steps 2 and 3 see every pair
-of equal windows through runs that stand for them; nothing is capped.  What
-moves is the samples (one for about half a window), one copy of the texts, one
-row for each run of step 2 and one for each window at a border.
+where asked, earlier in the same document).  Two ways lead to *runs*, stretches
+of neighbouring windows that may be repeated (a candidate run is headed by a hash
+``h`` such that equal windows always lie in runs of one ``h``):
+
+*Samples* (bytes).  A window's sample is the least hash among its ``gram``-byte
+prefixes of positions: the first, sampled ranking round.  Positions whose sample
+no other place holds are unique already and go no further.  Windows next to each
+other with one sample form a run.
+
+*Blocks* (words).  Non-overlapping blocks of ``block`` words are the index; every
+rolling window of ``block`` words of every document probes it.  A hit in a later
+document, extended both ways, is the run of all windows that hold the block.
+
+1. *Whole runs.*  A run is named by 128 bits of the text that it spans.  One whose
+   name stands earlier is repeated as a whole, one row for all its windows.  Where
+   one ``h`` heads runs of several names, or a run meets itself, the first run of
+   each name stays open: these hold the ends of maximal repeats.
+2. *Positions* of open runs.  Bytes: prefix doubling.  A position's rank pair
+   (rank of its prefix, rank at the offset of the prefix's length) is sorted by
+   Spark, ranked anew (dense within a partition, the partition's number above),
+   unique ranks are dropped; the next offset is larger, until the threshold.
+   Words: the 128-bit names of the windows are sorted likewise, once.  A position
+   whose last name stands earlier starts a repeat.
+
+The first run of a name speaks for all runs of the name, so step 2 sees every
+distinct pair of equal windows; nothing is capped.  Copies that meet in one batch
+are settled there, which leaves a hot key one row for each batch.
 """
 
 from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Workspace, free_shuffles
-from .textscan import BYTE_VALUES, Block, Words, blocks, gram_hashes, inside_documents, mix, powers, sliding_min
+from .textscan import Block, Words, blocks, byte_gram_hashes, gram_hashes, inside_documents, joined, mix, sliding_min
 
 #: Rows that repeat an id are told apart by this much in their positions.
 ORDINAL = 1 << 40
+#: Bytes that name a position before the first doubling.
+START = 32
+#: Hash slices, one after the other, in which positions and probes are sorted:
+#: each holds this part of the rows on disk.
+SLICES = 3
 _U = np.uint64
 _MAX = np.iinfo(np.uint64).max
 _SPAN = pa.list_(pa.struct([("s", pa.int64()), ("n", pa.int64())]))
-_RUN = pa.list_(pa.struct([("s", pa.int64()), ("n", pa.int64()), ("h", pa.int64()), ("e1", pa.int64()), ("e2", pa.int64())]))
-_RUN_SQL = "array<struct<s: long, n: long, h: long, e1: long, e2: long>>"
+_RUN = pa.list_(pa.struct([(c, pa.int64()) for c in ("s", "n", "h", "e1", "e2", "f")]))
+_RUN_SQL = "array<struct<s: long, n: long, h: long, e1: long, e2: long, f: long>>"
 _SPAN_SQL = "array<struct<s: long, n: long>>"
 
 
 @dataclass(frozen=True)
 class Kind:
-    """``unit``: bytes or words; ``w``: window; ``grams``: lengths of the grams
-    that windows are sampled by, growing; ``own``: whether an earlier place in
-    the same document counts; ``block``: units of the fixed blocks that anchor a
-    window (0: none; at most half a window)."""
+    """``unit``: bytes or words; ``w``: window; ``gram``: bytes of the samples'
+    grams; ``own``: whether an earlier place in the same document counts;
+    ``block``: words of the fixed blocks (at most half a window)."""
 
     unit: str
     w: int
-    grams: tuple[int, ...]
+    gram: int
     own: bool
     block: int = 0
 
 
 class Units:
-    """Values of a block's units in two lanes, and the documents' borders."""
+    """A block's units, hashes of their grams, and the documents' borders."""
 
     def __init__(self, block: Block, kind: Kind):
         self.kind, self.block = kind, block
-        if kind.unit == "byte":
-            self.words, self.first = None, block.off
-            self._lanes = [BYTE_VALUES[0][block.buf], None]
-        else:
-            self.words = Words(block)
-            self.first = self.words.first
-            self._lanes = [self.words.hashes(), None]
-        self.n = len(self._lanes[0])
+        self.words = None if kind.unit == "byte" else Words(block)
+        self.first = block.off if self.words is None else self.words.first
+        self.n = int(self.first[-1])
+        self._hashes: dict[int, np.ndarray] = {}
 
-    def lane(self, i: int) -> np.ndarray:
-        if self._lanes[i] is None:
-            self._lanes[i] = BYTE_VALUES[i][self.block.buf] if self.words is None else self.words.hashes(lane=i)
-        return self._lanes[i]
+    def grams(self, k: int, lane: int = 0) -> np.ndarray:
+        if self.words is None:
+            return byte_gram_hashes(self.block.buf, k, lane)
+        if lane not in self._hashes:
+            self._hashes[lane] = self.words.hashes(lane=lane)
+        return gram_hashes(self._hashes[lane], k, lane)
 
     def samples(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(windows' samples, whether the window lies in one document, grams)."""
         w = self.kind.w
         if self.n < w:
             return np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.uint64)
-        grams = gram_hashes(self.lane(0), k)
+        grams = self.grams(k)
         return sliding_min(grams, w - k + 1), inside_documents(self.first, w, self.n), grams
 
-    def spans(self, start: np.ndarray, end: np.ndarray, lane: int) -> np.ndarray:
-        """Hash of the units from start to end."""
-        sums = np.zeros(self.n + 1, np.uint64)
-        np.cumsum(self.lane(lane) * powers(self.n, lane), out=sums[1:])
-        return mix((sums[end] - sums[start]) * powers(self.n + 1, lane, inverse=True)[start] + (end - start).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+    def names(self, start: np.ndarray, stop: np.ndarray) -> list[np.ndarray]:
+        """128-bit names of runs of at most w windows: two windows cover one."""
+        if not len(start):
+            return [np.zeros(0, np.uint64)] * 2
+        out = []
+        for lane in (0, 1):
+            g = self.grams(self.kind.w, lane)
+            out.append(joined(joined(g[start], g[stop], lane), (stop - start).astype(np.uint64), lane))
+        return out
 
     def document(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.first, at, side="right") - 1
@@ -135,36 +143,48 @@ def _lists(value: np.ndarray, doc: np.ndarray, n: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(border), pa.array(value.view(np.int64)))
 
 
-def _runs(u: Units, k: int, among: np.ndarray | None = None):
-    """Borders of the runs of windows with one sample: (first, last, sample);
-    only windows ``among`` the given ones, if there are such."""
-    sample, ok, _ = u.samples(k)
-    n = len(sample)
-    if among is not None:
-        ok = ok & among[:n]
+def _taken(u: Units, sample: np.ndarray, ok: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Places of the grams that some window takes as its sample: the largest
+    sample of the windows around equals the gram (``~`` turns the sliding
+    minimum into a maximum)."""
+    m = u.kind.w - u.kind.gram + 1
+    edge = np.full(m - 1, _MAX, np.uint64)
+    most = np.concatenate([edge, np.where(ok, ~sample, _MAX), edge])
+    return np.flatnonzero(~sliding_min(most, m) == grams)
+
+
+def _runs(u: Units):
+    """Borders of the runs of windows with one sample: first, last, sample, and
+    whether the sample stands at two places of the run (it may meet itself).
+    Runs have at most w windows."""
+    sample, ok, grams = u.samples(u.kind.gram)
+    n, w, k = len(sample), u.kind.w, u.kind.gram
     if not n:
         z = np.zeros(0, np.int64)
-        return z, z, np.zeros(0, np.uint64)
+        return z, z, np.zeros(0, np.uint64), z, z
     new = np.ones(n, bool)
     new[1:] = (sample[1:] != sample[:-1]) | ~ok[:-1]
     # Windows of two documents never share a run: those across are left out.
     start = np.flatnonzero(new & ok)
     stop = np.flatnonzero(np.append(new[1:] | ~ok[1:], True) & ok)
-    return start, stop, sample[start]
-
-
-def _own_repeats(u: Units) -> tuple[np.ndarray, np.ndarray]:
+    pieces = (stop - start) // w + 1
+    if (pieces > 1).any():
+        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        start, stop = np.repeat(start, pieces) + w * nth, np.repeat(stop, pieces)
+        stop = np.minimum(stop, start + w - 1)
+    taken = _taken(u, sample, ok, grams)
+    lo, hi = np.searchsorted(taken, start), np.searchsorted(taken, stop + w - k, side="right")
+    at = _counted(lo, hi - lo)
+    run = np.repeat(np.arange(len(start)), hi - lo)
+    again = np.bincount(run[grams[taken[at]] == sample[start[run]]], minlength=len(start))
+    return start, stop, sample[start], (again > 1).astype(np.int64), taken
+
+
+def _own_repeats(u: Units, taken: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Samples that stand at two places of a document, as distinct pairs."""
-    sample, ok, grams = u.samples(u.kind.grams[0])
-    if not len(sample):
+    if not len(taken):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    # A gram is taken by a window iff the largest sample of the windows around
-    # it equals it; ``~`` turns the sliding minimum into a maximum.
-    m = u.kind.w - u.kind.grams[0] + 1
-    most = np.concatenate([np.full(m - 1, _MAX, np.uint64), np.where(ok, ~sample, _MAX), np.full(m - 1, _MAX, np.uint64)])
-    taken = np.flatnonzero(~sliding_min(most, m) == grams)
-    doc = u.document(taken)
-    value = grams[taken]
+    value, doc = u.grams(u.kind.gram)[taken], u.document(taken)
     order = np.lexsort((value, doc))
     v, d = value[order], doc[order]
     again = np.zeros(len(v), bool)
@@ -173,21 +193,26 @@ def _own_repeats(u: Units) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _scan(kind: Kind):
+    """Number of units and digest of every document; bytes: its samples too."""
+
     def run(batches):
         for b in batches:
             parts = []
             for block in blocks(b.column("text")):
                 u = Units(block, kind)
                 n = len(block.rows)
-                start, _, value = _runs(u, kind.grams[0])
-                value, doc = _distinct(value, u.document(start))
-                own, own_doc = _own_repeats(u) if kind.own else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
                 sha = [hashlib.sha256(u.kept_bytes(i, None)).hexdigest() for i in range(n)]
-                parts.append((np.diff(u.first).astype(np.int64), sha, _lists(value, doc, n), _lists(own, own_doc, n)))
+                part = [np.diff(u.first).astype(np.int64), sha]
+                if not kind.block:
+                    start, _, value, _, taken = _runs(u)
+                    value, doc = _distinct(value, u.document(start))
+                    own = _own_repeats(u, taken) if kind.own else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+                    part += [_lists(value, doc, n), _lists(*own, n)]
+                parts.append(part)
             if not parts:
                 continue
-            cols = [pa.array(np.concatenate([p[0] for p in parts])), pa.array([x for p in parts for x in p[1]]), *(pa.concat_arrays([p[i] for p in parts]) for i in (2, 3))]
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), *cols], ["id", "th", "units", "sha", "samples", "own"])
+            cols = [pa.array(np.concatenate([p[0] for p in parts])), pa.array([x for p in parts for x in p[1]]), *(pa.concat_arrays([p[i] for p in parts]) for i in range(2, len(parts[0])))]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), *cols], ["id", "th", "units", "sha", "samples", "own"][: 2 + len(cols)])
 
     return run
 
@@ -199,68 +224,67 @@ def _per_document(lists: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _member(value: np.ndarray, doc: np.ndarray, has: np.ndarray, has_doc: np.ndarray) -> np.ndarray:
     """Which (document, value) pairs are among the others."""
-    salt = lambda v, d: mix(v ^ (d.astype(np.uint64) * _U(0x9E3779B97F4A7C15)))
-    pool = np.sort(salt(has, has_doc))
-    if not len(pool):
+    if not len(has):
         return np.zeros(len(value), bool)
-    key = salt(value, doc)
-    at = np.searchsorted(pool, key)
-    at[at == len(pool)] = 0
-    return pool[at] == key
+    order = np.lexsort((has, has_doc))
+    has, has_doc = has[order], has_doc[order]
+    every, place = np.unique(has, return_inverse=True)
+    pool = has_doc * len(every) + place
+    at = np.minimum(np.searchsorted(every, value), len(every) - 1)
+    key = doc * len(every) + at
+    pool = np.sort(pool)
+    found = np.minimum(np.searchsorted(pool, key), len(pool) - 1)
+    return (every[at] == value) & (pool[found] == key)
+
+
+def _structs(doc: np.ndarray, n: int, kind: pa.ListType, fields) -> pa.ListArray:
+    """One list of structs for each of n documents; ``doc`` is ascending."""
+    border = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
+    inner = kind.value_type
+    columns = [pa.array(np.ascontiguousarray(f).view(np.int64)) for f in fields]
+    return pa.ListArray.from_arrays(pa.array(border), pa.StructArray.from_arrays(columns, fields=list(inner)))
+
+
+def _block_runs(u: Units, doc: np.ndarray, inside: np.ndarray):
+    """Runs of the windows that hold the blocks at the given places; places
+    past a document's end (of another row with its id) are left out."""
+    kind, at = u.kind, u.first[doc] + inside
+    ok = at + kind.block <= u.first[doc + 1]
+    at, doc = at[ok], doc[ok]
+    start = np.maximum(at - (kind.w - kind.block), u.first[doc])
+    stop = np.minimum(at, u.first[doc + 1] - kind.w)
+    ok = stop >= start
+    at, start, stop = at[ok], start[ok], stop[ok]
+    order = np.argsort(start, kind="stable")
+    head = u.grams(kind.block)[at[order]] if len(at) else np.zeros(0, np.uint64)
+    return start[order], stop[order], head, np.zeros(len(at), np.int64)
 
 
 def _find_runs(kind: Kind):
-    """Candidate runs of each document, and the windows that its own earlier
-    text repeats (as runs of windows)."""
+    """Candidate runs of each document."""
 
     def run(batches):
         for b in batches:
-            shared_doc, shared = _per_document(b.column("shared"), b.num_rows)
-            own_doc, own = _per_document(b.column("own"), b.num_rows)
-            shared, own = shared.view(np.uint64), own.view(np.uint64)
+            row_of, shared = _per_document(b.column("shared"), b.num_rows)
             for block in blocks(b.column("text")):
                 u, n = Units(block, kind), len(block.rows)
-                start, stop, value = _runs(u, kind.grams[0])
+                if kind.block:
+                    lo, hi = np.searchsorted(row_of, [block.rows[0], block.rows[-1] + 1])
+                    start, stop, value, self_ = _block_runs(u, row_of[lo:hi] - block.rows[0], shared[lo:hi])
+                else:
+                    start, stop, value, self_, _ = _runs(u)
+                    d = u.document(start)
+                    ok = _member(value, block.rows[d] if len(d) else d, shared.view(np.uint64), row_of)
+                    start, stop, value, self_ = start[ok], stop[ok], value[ok], self_[ok]
                 doc = u.document(start)
-                row = block.rows[doc] if len(doc) else doc
-                ok = _member(value, row, shared, shared_doc)
-                names = [u.spans(start[ok], stop[ok] + kind.w, lane) for lane in (0, 1)]
-                fields = (start[ok] - u.first[doc[ok]], stop[ok] - start[ok] + 1, value[ok], *names)
-                runs = _structs(doc[ok], n, _RUN, fields)
-                at, d = _own_windows(u, start, stop, _member(value, row, own, own_doc)) if kind.own else (start[:0], doc[:0])
-                # Neighbouring windows go as one stretch.
-                new = np.ones(len(at), bool)
-                new[1:] = (np.diff(at) != 1) | (np.diff(d) != 0)
-                first = np.flatnonzero(new)
-                local = _structs(d[first], n, _SPAN, (at[first] - u.first[d[first]], np.diff(np.append(first, len(at)))))
+                runs = _structs(doc, n, _RUN, (start - u.first[doc], stop - start + 1, value, *u.names(start, stop), self_))
                 part = b.slice(block.rows[0], n)
-                out = pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "th", "ord", "text")), runs, local], ["id", "th", "ord", "text", "runs", "own"])
-                yield out.filter(pa.array(np.diff(np.asarray(runs.offsets)) + np.diff(np.asarray(local.offsets)) > 0))
+                out = pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "th", "ord", "text")), runs], ["id", "th", "ord", "text", "runs"])
+                yield out.filter(pa.array(np.diff(np.asarray(runs.offsets)) > 0))
 
     return run
 
 
-def _structs(doc: np.ndarray, n: int, kind: pa.ListType, fields) -> pa.ListArray:
-    """One list of structs for each of n documents; ``doc`` is ascending."""
-    border = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
-    inner = kind.value_type
-    columns = [pa.array(np.ascontiguousarray(f).view(np.int64)) for f in fields]
-    return pa.ListArray.from_arrays(pa.array(border), pa.StructArray.from_arrays(columns, fields=list(inner)))
-
-
-def _own_windows(u: Units, start: np.ndarray, stop: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of the given runs that an earlier one of their document equals:
-    places and documents, in order."""
-    length = (stop - start + 1)[among]
-    at = _counted(start[among], length)
-    d = u.document(at)
-    name = u.spans(at, at + u.kind.w, 0) ^ mix(u.spans(at, at + u.kind.w, 1))
-    order = np.lexsort((at, name, d))
-    again = np.zeros(len(at), bool)
-    again[order[1:]] = (name[order[1:]] == name[order[:-1]]) & (d[order[1:]] == d[order[:-1]])
-    return at[again], d[again]
-
-
 def _places(lists: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows, starts and lengths of lists of runs."""
     lens = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
@@ -273,42 +297,26 @@ def _counted(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
-def _sub_runs(kind: Kind, k: int):
-    """Runs of the next gram length among the windows of the open runs."""
-    shape = pa.schema([(c, pa.int64()) for c in ("id", "ord", "s", "n", "h", "e1", "e2")])
-
-    def run(batches):
-        for b in batches:
-            run_row, run_s, run_n = _places(b.column("open"), b.num_rows)
-            ids, ords = b.column("id").to_numpy(), b.column("ord").to_numpy()
-            for block in blocks(b.column("text")):
-                u = Units(block, kind)
-                lo, hi = np.searchsorted(run_row, [block.rows[0], block.rows[-1] + 1])
-                among = np.zeros(u.n, bool)
-                among[_counted(u.first[run_row[lo:hi] - block.rows[0]] + run_s[lo:hi], run_n[lo:hi])] = True
-                start, stop, value = _runs(u, k, among)
-                doc = u.document(start)
-                row = block.rows[doc] if len(doc) else doc
-                names = [u.spans(start, stop + kind.w, lane).view(np.int64) for lane in (0, 1)]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, (ids[row], ords[row], start - u.first[doc], stop - start + 1, value.view(np.int64), *names))], schema=shape)
-
-    return run
-
-
-def _resolved(runs: DataFrame, ws: Workspace) -> DataFrame:
-    """Per document, of its runs (id, ord, s, n, h, e1, e2): those that are
-    repeated as a whole, and those to be resolved further."""
-    named = runs.groupBy("h", "e1", "e2").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+def _resolved(runs: DataFrame, own: bool, ws: Workspace) -> DataFrame:
+    """Per document, of its runs (id, ord, s, n, h, e1, e2, f): those that are
+    repeated as a whole, and those whose positions are looked at."""
+    place = F.struct("id", "ord", "s")
+    named = runs.groupBy("h", "e1", "e2").agg(F.min(place).alias("lo"), F.count("*").alias("runs"), F.max("f").alias("f"))
     split = named.groupBy("h").agg(F.count("*").alias("names"))
-    # A name in one document only, under a sample of that name only, matches nothing.
-    named = ws.save(named.join(split, "h").where("names > 1 or lo < hi"), "names", "none")
+    # A name of one run, alone under its head, matches nothing.
+    named = ws.save(named.join(split, "h").where("names > 1 or runs > 1 or f > 0").select("h", "e1", "e2", "lo", "f", "names"), "names", "none")
+    earlier = F.col("id") > F.col("lo.id")
+    if own:
+        earlier = earlier | ((F.col("id") == F.col("lo.id")) & (F.col("ord") == F.col("lo.ord")) & (F.col("s") > F.col("lo.s")))
+    again = (F.col("names") > 1) | (F.col("named.f") > 0) | (F.lit(own) & (F.col("ord") != F.col("lo.ord")))
     plan = (
-        runs.join(named, ["h", "e1", "e2"])
-        .where("id > lo or names > 1")
+        runs.drop("f")
+        .join(named.alias("named"), ["h", "e1", "e2"])
+        .where(earlier | again)
         .groupBy("id", "ord")
         .agg(
-            F.collect_list(F.when(F.col("id") > F.col("lo"), F.struct("s", "n"))).alias("whole"),
-            F.array_sort(F.collect_list(F.when(F.col("id") == F.col("lo"), F.struct("s", "n")))).alias("open"),
+            F.collect_list(F.when(earlier, F.struct("s", "n"))).alias("whole"),
+            F.array_sort(F.collect_list(F.when(~earlier, F.struct("s", "n")))).alias("open"),
         )
     )
     plan = ws.save(plan, "plan")
@@ -316,82 +324,211 @@ def _resolved(runs: DataFrame, ws: Workspace) -> DataFrame:
     return plan
 
 
-def _probe_rows(kind: Kind):
-    """Every rolling block of the open runs' text, once; ``fixed`` marks those
-    at multiples of the block length, the index of reference blocks."""
-    shape = pa.schema([("b", pa.int64()), ("id", pa.int64()), ("at", pa.int64()), ("fixed", pa.int32())])
+def lengths(w: int) -> list[int]:
+    """Prefix lengths of the rounds: doubling up to w, the last step overlaps."""
+    out = [START if w > 2 * START else max(1, w // 3)]
+    while out[-1] < w or len(out) < 3:
+        out.append(min(w, 2 * out[-1]))
+    return out
+
+
+_PAIR = pa.schema([(c, pa.int64()) for c in ("r1", "r2", "id", "at")] + [("also", pa.list_(pa.int64()))])
+_PAIR_SQL = "r1 long, r2 long, id long, at long, also array<long>"
+_NAMED = pa.schema([(c, pa.int64()) for c in ("r1", "r2", "id", "at")] + [("done", pa.bool_())])
+_NAMED_SQL = "r1 long, r2 long, id long, at long, done boolean"
+
+
+def _grouped(r1, r2, ids, at):
+    """Order by (r1, r2, id, at), and where a new pair begins in it."""
+    order = np.lexsort((at, ids, r2, r1))
+    a, b = r1[order], r2[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return order, new
+
+
+def _packed(r1, r2, ids, at) -> pa.RecordBatch:
+    """One row for each rank pair of a batch: its first position, and the other
+    ones as a flat list (id, place, id, place...)."""
+    order, new = _grouped(r1, r2, ids, at)
+    head, rest = order[new], order[~new]
+    size = 2 * (np.diff(np.append(np.flatnonzero(new), len(order))) - 1)
+    border = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    flat = np.column_stack([ids[rest], at[rest]]).ravel()
+    also = pa.ListArray.from_arrays(pa.array(border), pa.array(flat), mask=pa.array(size == 0))
+    return pa.RecordBatch.from_arrays([*(pa.array(x[head]) for x in (r1, r2, ids, at)), also], schema=_PAIR)
+
+
+def _settled(r1, r2, ids, at, own: bool) -> pa.RecordBatch:
+    """Rows of the last round. What an earlier position of the batch repeats is
+    done and travels under a key of its own; of each name only the positions of
+    the least document go on (its first one, where its own places count)."""
+    order, new = _grouped(r1, r2, ids, at)
+    i, t = ids[order], at[order]
+    group = np.cumsum(new) - 1
+    done = i > i[new][group]
+    if own and len(order):
+        same = ~new
+        same[1:] &= (i[1:] == i[:-1]) & (t[1:] >> 40 == t[:-1] >> 40)
+        done |= same
+    key1, key2 = r1[order], r2[order]
+    own_key = mix(i.view(np.uint64) ^ mix(t.view(np.uint64))).view(np.int64)
+    cols = np.where(done, own_key, key1), np.where(done, t, key2), i, t
+    return pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(done)], schema=_NAMED)
+
+
+def _open_positions(b: pa.RecordBatch, block: Block, u: Units, shifts=(0,)):
+    """Places of the open windows of a block, each shift added; ids and coded
+    places of the same."""
+    row, s, n = _places(b.column("open").slice(block.rows[0], len(block.rows)), len(block.rows))
+    need = np.zeros(u.n + 1, bool)
+    at = _counted(u.first[row] + s, n)
+    for x in shifts:
+        need[at + x] = True
+    at = np.flatnonzero(need)
+    doc = u.document(at)
+    ids, ords = b.column("id").to_numpy()[block.rows[0] + doc], b.column("ord").to_numpy()[block.rows[0] + doc]
+    return at, ids, ords * ORDINAL + at - u.first[doc]
+
+
+def _first_pairs(kind: Kind, part: int):
+    """First rank pairs: names of the prefix at a position and at the first
+    offset, for one slice of the hashes."""
+    steps = lengths(kind.w)
+    shifts = {0}
+    for a, b in zip(steps[1:-1], steps[2:], strict=True):
+        shifts |= {x + b - a for x in shifts}
 
     def run(batches):
         for b in batches:
-            run_row, run_s, run_n = _places(b.column("open"), b.num_rows)
-            ids, ords = b.column("id").to_numpy(), b.column("ord").to_numpy()
             for block in blocks(b.column("text")):
                 u = Units(block, kind)
-                lo, hi = np.searchsorted(run_row, [block.rows[0], block.rows[-1] + 1])
-                doc = run_row[lo:hi] - block.rows[0]
-                # Blocks of a run's text begin up to w - block units after its last window.
-                at = np.unique(_counted(u.first[doc] + run_s[lo:hi], run_n[lo:hi] + kind.w - kind.block))
-                if not len(at):
-                    continue
-                doc = u.document(at)
-                inside, row = at - u.first[doc], doc + block.rows[0]
-                name = u.spans(at, at + kind.block, 0).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(name), pa.array(ids[row]), pa.array(ords[row] * ORDINAL + inside), pa.array((inside % kind.block == 0).astype(np.int32))], schema=shape
-                )
+                at, ids, coded = _open_positions(b, block, u, sorted(shifts))
+                g = u.grams(steps[0])
+                first = g[at]
+                ok = first % _U(SLICES) == part
+                at, ids, coded = at[ok], ids[ok], coded[ok]
+                if len(at):
+                    yield _packed(first[ok].view(np.int64), g[at + steps[1] - steps[0]].view(np.int64), ids, coded)
+
+    return run
+
+
+def _rerank(batches):
+    """Rows sorted by rank pair: a new rank for every pair that two positions
+    hold, and their positions. Unique ones are dropped."""
+    number, last, waiting = TaskContext.get().partitionId() << 36, None, None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        r1, r2, ids, at = (b.column(c).to_numpy() for c in ("r1", "r2", "id", "at"))
+        also = b.column("also")
+        more = pc.fill_null(pc.list_value_length(also), 0).to_numpy()
+        new = np.ones(len(r1), bool)
+        new[1:] = (r1[1:] != r1[:-1]) | (r2[1:] != r2[:-1])
+        goes_on = last is not None and last == (r1[0], r2[0])
+        new[0] = not goes_on
+        group = np.cumsum(new)
+        rank = number + group
+        count = np.bincount(group, minlength=group[-1] + 1)
+        twice = (count > 1) | (np.bincount(group, more, minlength=len(count)) > 0)
+        if goes_on:
+            twice[0] = True
+        keep = twice[group]
+        out = [[ids[keep]], [at[keep]], [rank[keep]]]
+        if goes_on and waiting is not None:
+            for col, v in zip(out, (*waiting, number), strict=True):
+                col.append(np.array([v]))
+        if more.any():
+            pairs = also.flatten().to_numpy(zero_copy_only=False).reshape(-1, 2)
+            out[0].append(pairs[:, 0])
+            out[1].append(pairs[:, 1])
+            out[2].append(np.repeat(rank, more // 2))
+        # The last group may go on in the next batch.
+        tail = group[-1]
+        if tail != 0 or not goes_on:
+            waiting = None if twice[tail] else (ids[-1], at[-1])
+        else:
+            waiting = None
+        last, number = (r1[-1], r2[-1]), int(rank[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["id", "at", "rank"])
+
+
+def _next_pairs(offset: int, last: bool, own: bool):
+    """Rows (id, at, rank) sorted by position: pairs of the ranks at a place and
+    at the offset from it. A place without a partner is unique."""
+
+    def run(batches):
+        held = [np.zeros(0, np.int64)] * 3
+        for b in chain(batches, (None,)):
+            cols = held
+            if b is not None:
+                cols = [np.concatenate([x, b.column(c).to_numpy()]) for x, c in zip(held, ("id", "at", "rank"), strict=True)]
+            ids, at, rank = cols
+            if not len(ids):
+                continue
+            inside = at & (ORDINAL - 1)
+            new = np.ones(len(ids), bool)
+            new[1:] = (ids[1:] != ids[:-1]) | (at[1:] >> 40 != at[:-1] >> 40)
+            doc = np.cumsum(new) - 1
+            # One ascending axis: documents one after the other.
+            axis = doc * (int(inside.max()) + offset + 2) + inside
+            to = np.minimum(np.searchsorted(axis, axis + offset), len(axis) - 1)
+            ok = axis[to] == axis + offset
+            if b is not None:
+                tail = (doc == doc[-1]) & (inside > inside[-1] - offset)
+                ok &= ~tail
+                held = [x[tail] for x in cols]
+            if ok.any():
+                args = rank[ok], rank[to[ok]], ids[ok], at[ok]
+                yield _settled(*args, own) if last else _packed(*args)
 
     return run
 
 
 def _window_rows(kind: Kind):
-    """Names of the windows in the runs that are resolved one by one."""
-    shape = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("id", pa.int64()), ("at", pa.int64())])
+    """Names of the windows of the open runs."""
 
     def run(batches):
         for b in batches:
-            run_row, run_s, run_n = _places(b.column("open"), b.num_rows)
-            ids, ords = b.column("id").to_numpy(), b.column("ord").to_numpy()
-            if kind.block:
-                hit_row, hit = _per_document(b.column("hits"), b.num_rows)
             for block in blocks(b.column("text")):
                 u = Units(block, kind)
-                lo, hi = np.searchsorted(run_row, [block.rows[0], block.rows[-1] + 1])
-                n = run_n[lo:hi]
-                inside, doc = _counted(run_s[lo:hi], n), np.repeat(run_row[lo:hi] - block.rows[0], n)
-                at = u.first[doc] + inside
-                if kind.block:
-                    lo, hi = np.searchsorted(hit_row, [block.rows[0], block.rows[-1] + 1])
-                    anchors = np.zeros(u.n + 2, np.int64)
-                    np.add.at(anchors, u.first[hit_row[lo:hi] - block.rows[0]] + hit[lo:hi] + 1, 1)
-                    anchors = np.cumsum(anchors)
-                    ok = anchors[at + kind.w - kind.block + 1] > anchors[at]
-                    at, inside, doc = at[ok], inside[ok], doc[ok]
-                if not len(at):
-                    continue
-                names = [u.spans(at, at + kind.w, lane).view(np.int64) for lane in (0, 1)]
-                row = doc + block.rows[0]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, names), pa.array(ids[row]), pa.array(ords[row] * ORDINAL + inside)], schema=shape)
+                at, ids, coded = _open_positions(b, block, u)
+                if len(at):
+                    yield _settled(*(u.grams(kind.w, lane)[at].view(np.int64) for lane in (0, 1)), ids, coded, kind.own)
 
     return run
 
 
-def _repeated_windows(batches):
-    """Rows sorted by (w1, w2, id): those whose group began with a smaller id."""
-    last = None
-    for b in batches:
-        if not b.num_rows:
-            continue
-        w1, w2, ids = (b.column(c).to_numpy() for c in ("w1", "w2", "id"))
-        new = np.ones(len(w1), bool)
-        new[1:] = (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])
-        if last is not None and last[0] == w1[0] and last[1] == w2[0]:
-            new[0] = False
-        least = ids[np.maximum.accumulate(np.where(new, np.arange(len(w1)), 0))]
-        if not new[0]:
-            upto = int(np.argmax(new)) if new.any() else len(new)
-            least[:upto] = last[2]
-        last = (w1[-1], w2[-1], least[-1])
-        yield b.select(["id", "at"]).filter(pa.array(ids > least))
+def _repeated(own: bool):
+    """Rows sorted by (r1, r2, id, at): the positions that are done, or whose
+    pair an earlier one holds."""
+
+    def run(batches):
+        last = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            r1, r2, ids, at = (b.column(c).to_numpy() for c in ("r1", "r2", "id", "at"))
+            new = np.ones(len(r1), bool)
+            new[1:] = (r1[1:] != r1[:-1]) | (r2[1:] != r2[:-1])
+            goes_on = last is not None and last[:2] == (r1[0], r2[0])
+            new[0] = not goes_on
+            least = ids[np.maximum.accumulate(np.where(new, np.arange(len(r1)), 0))]
+            if goes_on:
+                upto = int(np.argmax(new)) if new.any() else len(new)
+                least[:upto] = last[2]
+            again = np.asarray(b.column("done")) | (ids > least)
+            if own:
+                ords = at >> 40
+                same = ~new
+                same[1:] &= (ids[1:] == ids[:-1]) & (ords[1:] == ords[:-1])
+                same[0] = goes_on and last[3:] == (ids[0], ords[0])
+                again |= same
+            last = (r1[-1], r2[-1], least[-1], ids[-1], at[-1] >> 40)
+            yield b.select(["id", "at"]).filter(pa.array(again))
+
+    return run
 
 
 def _cover(kind: Kind):
@@ -403,10 +540,9 @@ def _cover(kind: Kind):
                 u, n = Units(block, kind), len(block.rows)
                 part = b.slice(block.rows[0], n)
                 edge = np.zeros(u.n + 1, np.int64)
-                for name in ("whole", "own"):
-                    row, s, size = _places(part.column(name), n)
-                    np.add.at(edge, u.first[row] + s, 1)
-                    np.add.at(edge, u.first[row] + s + size - 1 + kind.w, -1)
+                row, s, size = _places(part.column("whole"), n)
+                np.add.at(edge, u.first[row] + s, 1)
+                np.add.at(edge, u.first[row] + s + size - 1 + kind.w, -1)
                 row, at = _per_document(part.column("marks"), n)
                 np.add.at(edge, u.first[row] + at, 1)
                 np.add.at(edge, u.first[row] + at + kind.w, -1)
@@ -432,89 +568,137 @@ def _cover(kind: Kind):
     return run
 
 
+def _probes(kind: Kind, part: int):
+    """Every rolling block of every document with a window, for one slice of the
+    hashes. Those at multiples of the block length are the index."""
+    shape = pa.schema([(c, pa.int64()) for c in ("b", "id", "at")])
+
+    def run(batches):
+        for b in batches:
+            ids = b.column("id").to_numpy()
+            for block in blocks(b.column("text")):
+                u = Units(block, kind)
+                g = u.grams(kind.block)
+                ok = inside_documents(u.first, kind.block, u.n) & (g % _U(SLICES) == part)
+                at = np.flatnonzero(ok)
+                doc = u.document(at)
+                long = np.diff(u.first)[doc] >= kind.w if len(at) else ok[:0]
+                at, doc = at[long], doc[long]
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([pa.array(g[at].view(np.int64)), pa.array(ids[block.rows[doc]]), pa.array(at - u.first[doc])], schema=shape)
+
+    return run
+
+
+def _block_hits(texts: DataFrame, kind: Kind, ws: Workspace) -> DataFrame:
+    """``(id, shared)``: places of the blocks that are indexed in one document
+    and probed by a later one. A slice is dealt by block once; index and probes
+    meet there, and the index side alone is hashed for the join."""
+    found = None
+    for part in range(SLICES):
+        probes = texts.where("id is not null").select("id", "text").mapInArrow(_probes(kind, part), "b long, id long, at long").repartition("b")
+        index = probes.groupBy("b").agg(F.min(F.when(F.col("at") % kind.block == 0, F.col("id"))).alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("b")
+        hits = ws.save(probes.join(index.hint("shuffle_hash"), "b", "left_semi").select("id", "at"), "hits")
+        free_shuffles(texts.sparkSession)
+        found = hits if found is None else found.unionAll(hits)
+    return found.groupBy("id").agg(F.collect_set("at").alias("shared"))
+
+
+def _sampled(scan: DataFrame) -> DataFrame:
+    """``(id, shared)``: samples that two documents hold."""
+    held = scan.where("id is not null").select("id", F.explode("samples").alias("h"))
+    common = held.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h")
+    return held.join(common, "h").distinct().groupBy("id").agg(F.collect_list("h").alias("shared"))
+
+
+def _marks(kind: Kind, pieces: DataFrame, ws: Workspace) -> DataFrame:
+    """``(id, ord, marks)``: the open positions whose window is repeated."""
+    spark = pieces.sparkSession
+    if kind.unit == "word":
+        named = pieces.mapInArrow(_window_rows(kind), _NAMED_SQL)
+    else:
+        steps = lengths(kind.w)
+        ranked = None
+        for part in range(SLICES):
+            first = pieces.mapInArrow(_first_pairs(kind, part), _PAIR_SQL).repartition("r1", "r2").sortWithinPartitions("r1", "r2")
+            ranks = ws.save(first.mapInArrow(_rerank, "id long, at long, rank long").withColumn("rank", F.col("rank") * SLICES + part), "ranks")
+            free_shuffles(spark)
+            ranked = ranks if ranked is None else ranked.unionAll(ranks)
+        for i in range(1, len(steps) - 1):
+            last = i == len(steps) - 2
+            ordered = ranked.repartition("id").sortWithinPartitions("id", "at")
+            named = ordered.mapInArrow(_next_pairs(steps[i + 1] - steps[i], last, kind.own), _NAMED_SQL if last else _PAIR_SQL)
+            if not last:
+                ranked = ws.save(named.repartition("r1", "r2").sortWithinPartitions("r1", "r2").mapInArrow(_rerank, "id long, at long, rank long"), "ranks")
+    marks = ws.save(
+        named.repartition("r1", "r2")
+        .sortWithinPartitions("r1", "r2", "id", "at")
+        .mapInArrow(_repeated(kind.own), "id long, at long")
+        .groupBy("id", F.shiftright("at", 40).alias("ord"))
+        .agg(F.collect_set(F.col("at").bitwiseAND(ORDINAL - 1)).alias("marks")),
+        "marks",
+    )
+    free_shuffles(spark)
+    return marks
+
+
 def find(docs: DataFrame, kind: Kind, id_col: str, text_col: str, ws: Workspace) -> DataFrame:
     """One row per input row: ``id, units, removed, spans (s, n), kept_sha``.
 
     Null texts are empty; a null id matches nothing and nothing matches it; rows
     that repeat an id are documents of equal rank that do not match each other.
     """
-    spark = docs.sparkSession
     texts = docs.select(
         F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
-    scan = ws.save(texts.mapInArrow(_scan(kind), "id long, th long, units long, sha string, samples array<long>, own array<long>"), "scan")
-
-    # Samples that two documents hold, by document.
-    held = scan.where("id is not null").select("id", F.explode("samples").alias("h"))
-    common = held.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h")
-    shared = held.join(common, "h").distinct().groupBy("id").agg(F.collect_list("h").alias("shared"))
-    names = scan.where("id is not null").select("id", "th", "own").dropDuplicates(["id", "th"])
+    lists = "" if kind.block else ", samples array<long>, own array<long>"
+    scan = ws.save(texts.mapInArrow(_scan(kind), "id long, th long, units long, sha string" + lists), "scan")
+    shared = _block_hits(texts, kind, ws) if kind.block else _sampled(scan)
+    names = scan.where("id is not null").select("id", "th", *(["own"] if lists else [])).dropDuplicates(["id", "th"])
     twice = names.groupBy("id").agg(F.sort_array(F.collect_list("th")).alias("ths")).where("size(ths) > 1")
+    both = F.coalesce("shared", F.array().cast("array<long>"))
     hits = ws.save(
         names.join(shared, "id", "left")
-        .where("shared is not null or size(own) > 0")
+        .withColumn("shared", F.array_union(both, "own") if lists else both)
+        .where("size(shared) > 0")
         .join(twice, "id", "left")
-        .select("id", "th", "own", "shared", F.when(F.col("ths").isNull(), F.lit(0)).otherwise(F.array_position("ths", F.col("th")) - 1).cast("long").alias("ord")),
+        .select("id", "th", "shared", F.when(F.col("ths").isNull(), F.lit(0)).otherwise(F.array_position("ths", F.col("th")) - 1).cast("long").alias("ord")),
         "hits",
     )
     facts = ws.save(scan.select("id", "th", "units", "sha"), "facts")
-    ws.drop(scan)
+    ws.clear(hits, facts)
+    free_shuffles(docs.sparkSession)
 
-    found = ws.save(
-        texts.join(hits.hint("merge"), ["id", "th"]).mapInArrow(_find_runs(kind), f"id long, th long, ord long, text string, runs {_RUN_SQL}, own {_SPAN_SQL}"), "runs"
-    )
+    found = ws.save(texts.join(hits.hint("merge"), ["id", "th"]).mapInArrow(_find_runs(kind), f"id long, th long, ord long, text string, runs {_RUN_SQL}"), "runs")
     ws.drop(hits)
-
-    plans = [_resolved(found.select("id", "ord", F.explode("runs").alias("r")).select("id", "ord", "r.*"), ws)]
-    text = found.select("id", "ord", "text")
-    for k in kind.grams[1:]:
-        pieces = text.join(plans[-1].where("size(open) > 0").select("id", "ord", "open").hint("merge"), ["id", "ord"])
-        runs = ws.save(pieces.mapInArrow(_sub_runs(kind, k), "id long, ord long, s long, n long, h long, e1 long, e2 long"), "sub-runs", "none")
-        free_shuffles(spark)
-        plans.append(_resolved(runs, ws))
-        ws.drop(runs)
-    pieces = text.join(plans[-1].where("size(open) > 0").select("id", "ord", "open").hint("merge"), ["id", "ord"])
-    if kind.block:
-        probes = ws.save(pieces.mapInArrow(_probe_rows(kind), "b long, id long, at long, fixed int"), "probes")
-        anchored = probes.groupBy("b").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("fixed").alias("fixed")).where("lo < hi and fixed = 1").select("b")
-        hits = (
-            probes.join(anchored, "b", "left_semi")
-            .groupBy("id", F.shiftright("at", 40).alias("ord"))
-            .agg(F.collect_set(F.col("at").bitwiseAND(ORDINAL - 1)).alias("hits"))
-        )
-        pieces = pieces.join(hits, ["id", "ord"])
-    windows = pieces.mapInArrow(_window_rows(kind), "w1 long, w2 long, id long, at long")
-    marks = ws.save(
-        windows.repartition("w1", "w2")
-        .sortWithinPartitions("w1", "w2", "id")
-        .mapInArrow(_repeated_windows, "id long, at long")
-        .groupBy("id", F.shiftright("at", 40).alias("ord"))
-        .agg(F.collect_set(F.col("at").bitwiseAND(ORDINAL - 1)).alias("marks")),
-        "marks",
-    )
-    free_shuffles(spark)
-
-    whole = plans[0].select("id", "ord", "whole")
-    for p in plans[1:]:
-        whole = whole.unionAll(p.select("id", "ord", "whole"))
-    whole = whole.where("size(whole) > 0").groupBy("id", "ord").agg(F.flatten(F.collect_list("whole")).alias("whole"))
-    done = ws.save(
-        found.select("id", "th", "ord", "text", "own")
-        .join(whole.hint("merge"), ["id", "ord"], "left")
+    plan = _resolved(found.select("id", "ord", F.explode("runs").alias("r")).select("id", "ord", "r.*"), kind.own, ws)
+    free_shuffles(docs.sparkSession)
+    pieces = ws.save(found.select("id", "ord", "text").join(plan.where("size(open) > 0").select("id", "ord", "open").hint("merge"), ["id", "ord"]), "open")
+    free_shuffles(docs.sparkSession)
+    marks = _marks(kind, pieces, ws)
+    ws.drop(pieces)
+
+    done = (
+        found.select("id", "th", "ord", "text")
+        .join(plan.where("size(whole) > 0").select("id", "ord", "whole").hint("merge"), ["id", "ord"], "left")
         .join(marks.hint("merge"), ["id", "ord"], "left")
-        .where("size(own) > 0 or size(whole) > 0 or marks is not null")
+        .where("whole is not null or marks is not null")
         .mapInArrow(_cover(kind), f"id long, th long, removed long, spans {_SPAN_SQL}, kept_sha string")
-        .dropDuplicates(["id", "th"]),
-        "done",
+        .dropDuplicates(["id", "th"])
     )
-    ws.drop(found, marks, *plans)
-    return facts.join(done, ["id", "th"], "left").select(
-        "id",
-        "units",
-        F.coalesce("removed", F.lit(0)).cast("long").alias("removed"),
-        F.coalesce("spans", F.array().cast(_SPAN_SQL)).alias("spans"),
-        F.coalesce("kept_sha", "sha").alias("kept_sha"),
+    out = ws.save(
+        facts.join(done, ["id", "th"], "left").select(
+            "id",
+            "units",
+            F.coalesce("removed", F.lit(0)).cast("long").alias("removed"),
+            F.coalesce("spans", F.array().cast(_SPAN_SQL)).alias("spans"),
+            F.coalesce("kept_sha", "sha").alias("kept_sha"),
+        ),
+        "result",
     )
+    ws.clear(out)
+    free_shuffles(docs.sparkSession)
+    return out
 
 
 def cut(texts: pa.Array, spans: list, kind: Kind) -> list[bytes]:

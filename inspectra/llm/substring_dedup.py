@@ -1,17 +1,20 @@
 """Substring dedup: every word covered by a window of 50 words that also starts
 in a document of smaller id is removed.
 
-Fixed-block anchors: non-overlapping blocks of 25 words are the index, every
-rolling window of 25 words probes it, and hits are extended to maximal exact
-repeats.  Filing and probing every position of a corpus moves a row for each
-word, some eight times the input, so :mod:`.repeats` first leaves out what no
-other document can share (samples) and takes repeats that agree as whole runs;
-blocks are filed and probed where a repeat's ends have to be found.
+Fixed-block anchors (:mod:`.repeats`): the non-overlapping blocks of 25 words of
+every document are the index, every rolling window of 25 words of every document
+probes it, and a hit in a later document is extended both ways: first as the
+whole stretch of windows that hold the block, named by its text, then, where
+stretches differ, window by window.  Any window of 50 words that an earlier
+document holds has one of that document's blocks inside, so the hits find every
+repeat, and what they extend to is maximal.
 
 Edge cases: null and empty texts have no words; null ids match nothing; rows
 that repeat an id do not match each other; texts of fewer words than the window
-match nothing; an empty table gives an empty result.  Words stay as they are;
-white space between them is not part of a match.
+match nothing; an empty table gives an empty result; very long texts are one
+block of their own, handled in memory linear in their length; ids are cast to
+long (text that is no number counts as a null id); other columns may have any
+names.  Words stay as they are; white space between them is not part of a match.
 """
 
 from __future__ import annotations
@@ -23,11 +26,11 @@ from pyspark.sql import functions as F
 from .common import Workspace
 from .repeats import Kind, cut, find
 
-WINDOW, GRAM = 50, 12
+WINDOW = 50
 
 
 def _kind(window: int) -> Kind:
-    return Kind("word", window, (min(GRAM, window),), False, window // 2)
+    return Kind("word", window, 0, False, window // 2)
 
 
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:

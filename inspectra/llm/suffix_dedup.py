@@ -1,17 +1,21 @@
 """Suffix-array dedup: every byte covered by a 100-byte string that also starts
 earlier (smaller id, or earlier in the document) is removed.
 
-Prefix doubling ranks suffixes by prefixes of growing length and drops those
-whose rank is unique.  A row for every byte and round does not fit a corpus, so
-the rounds run on fewer and fewer positions (:mod:`.repeats`): samples of
-``GRAM`` bytes first, then whole runs of windows, and single positions only at
-the borders of repeats; a round's ranks are 128-bit names of the prefix instead
-of dense numbers, since only equality and the order of documents matter here.
-Spark sorts each round's names and keeps the positions whose name is not unique.
+Distributed prefix doubling (:mod:`.repeats`).  A row for every byte and round
+does not fit a corpus, so one sampled round comes first: positions are ranked by
+``GRAM`` bytes where a window of 100 bytes takes its sample, and positions under
+a sample that stands nowhere else are unique and dropped; stretches that agree
+as a whole with an earlier one are settled as runs.  The positions that are
+left, in the same document or in others, go through the rounds: rank pairs at
+offsets 32 and 36 (prefixes of 32, 64, 100 bytes), sorted by Spark, ranked anew,
+unique ranks dropped, until the threshold.
 
 Edge cases: null and empty texts have no bytes; null ids match nothing; rows
 that repeat an id do not match each other; texts shorter than the threshold
-match nothing; an empty table gives an empty result.
+match nothing; an empty table gives an empty result; very long texts are one
+block of their own, handled in memory linear in their length; ids are cast to
+long (text that is no number counts as a null id); other columns may have any
+names.
 """
 
 from __future__ import annotations
@@ -24,12 +28,12 @@ from .common import Workspace
 from .repeats import Kind, cut, find
 
 THRESHOLD = 100
-#: Lengths at which positions are ranked before the threshold, as shares of it.
-GRAMS = (0.28, 0.84)
+#: Length of the samples' grams, as a share of the threshold.
+GRAM = 0.64
 
 
 def _kind(threshold: int) -> Kind:
-    return Kind("byte", threshold, tuple(max(1, int(g * threshold)) for g in GRAMS), True)
+    return Kind("byte", threshold, max(1, int(GRAM * threshold)), True)
 
 
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:

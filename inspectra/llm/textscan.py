@@ -5,13 +5,17 @@ Texts arrive as Arrow string columns.  They are cut into blocks of bounded size
 numpy: word borders, word hashes, n-gram hashes and sliding minima cost a few
 passes over the block and no Python loop over words.
 
-Hashes are linear over the byte (or word) values modulo 2**64 and finished with
-a multiply-xorshift mixer.  They are seeded constants, so every executor
-computes the same values.
+Hashes are keyed and non-linear: a span is read eight bytes at a time, each step
+a bijection of what is read, and grams grow by doubling, each half mixed before
+the halves meet.  Nothing is a polynomial in the bytes, so no regular text
+(Thue-Morse words, long runs) makes two spans collide.  A lane has 64 bits;
+wherever equality decides a result, two lanes (128 bits) or the bytes themselves
+are compared.  Keys are constants, so every executor computes the same values.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,28 +33,13 @@ _LOWER[65:91] += 32
 _U = np.uint64
 
 
-def _table(seed: int, n: int = 256) -> np.ndarray:
-    return np.random.default_rng(seed).integers(1, 2**63, n, dtype=np.uint64) | _U(1)
-
-
-#: Two independent byte tables; the second backs 128-bit comparisons.
-BYTE_VALUES = _table(0x5EED1), _table(0x5EED2)
-_BASES = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
-_INVERSES = tuple(pow(b, -1, 2**64) for b in _BASES)
-_powers: dict[tuple[int, bool], np.ndarray] = {}
-
-
-def powers(n: int, lane: int = 0, inverse: bool = False) -> np.ndarray:
-    """``base**i`` (or its inverse) modulo 2**64 for i < n; grown on demand."""
-    have = _powers.get((lane, inverse))
-    if have is None or len(have) < n:
-        base = (_INVERSES if inverse else _BASES)[lane]
-        step = np.full(max(n, 1024), base, np.uint64)
-        step[0] = 1
-        have = np.multiply.accumulate(step)
-        if n <= 4 * BLOCK_BYTES:
-            _powers[lane, inverse] = have
-    return have[:n]
+#: Keys and multipliers of the two lanes.
+_KEYS = _U(0x5EED1C0FFEE0DD01), _U(0x9D8F6B1A3C5E7F23)
+_ODD = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
+#: Low bytes of a word, by their number.
+_LOW = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+#: Longer spans are hashed one by one with BLAKE2b.
+_LONG_SPAN = 512
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -131,23 +120,75 @@ class Words:
         return span_hashes(buf, self.start, self.end, lane)
 
 
+def _loads(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on, zeros behind the end."""
+    padded = np.zeros(len(buf) + 8, np.uint8)
+    padded[: len(buf)] = buf
+    return np.ndarray((len(buf) + 1,), "<u8", padded, strides=(1,))
+
+
 def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, lane: int = 0) -> np.ndarray:
-    """Hash of each byte span of ``buf``."""
-    sums = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(BYTE_VALUES[lane][buf] * powers(len(buf), lane), out=sums[1:])
-    back = powers(len(buf) + 1, lane, inverse=True)
-    return mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+    """Hash of each byte span of ``buf``; spans of one length of at most eight
+    bytes never collide."""
+    size = end - start
+    out = mix(size.astype(np.uint64) * _ODD[lane] + _KEYS[lane])
+    words = _loads(buf)
+    at = np.flatnonzero((size > 0) & (size <= _LONG_SPAN))
+    h, place, left = out[at], start[at], size[at]
+    while len(at):
+        h = mix(h ^ (words[place] & _LOW[np.minimum(left, 8)])) + _KEYS[lane]
+        done = left <= 8
+        if done.any():
+            out[at[done]] = h[done]
+            more = ~done
+            at, h, place, left = at[more], h[more], place[more], left[more]
+        place, left = place + 8, left - 8
+    for i in np.flatnonzero(size > _LONG_SPAN).tolist():
+        digest = hashlib.blake2b(buf[start[i] : end[i]].tobytes(), digest_size=8, key=bytes([lane + 1]))
+        out[i] = int.from_bytes(digest.digest(), "little")
+    return out
+
+
+def sequence_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray, lane: int = 0) -> np.ndarray:
+    """Hash of each span of 64-bit values."""
+    return span_hashes(np.ascontiguousarray(values).view(np.uint8), 8 * start, 8 * end, lane)
+
+
+def joined(a: np.ndarray, b: np.ndarray, lane: int = 0) -> np.ndarray:
+    """One hash of two, in their order."""
+    return mix(a * _ODD[lane] + b)
+
+
+def _doubled(h: np.ndarray, have: int, k: int, lane: int) -> np.ndarray:
+    """Hashes of k units from those of ``have`` units, lengths doubling (the
+    last step overlaps)."""
+    while have < k:
+        step = min(have, k - have)
+        h = joined(h[: len(h) - step], h[step:], lane)
+        have += step
+    return h
 
 
 def gram_hashes(values: np.ndarray, k: int, lane: int = 0) -> np.ndarray:
     """Hash of every run of k consecutive values; entry i covers i..i+k-1.
     The last k - 1 places are missing."""
-    n = len(values)
-    if n < k:
+    if len(values) < k:
         return np.zeros(0, np.uint64)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * powers(n, lane), out=sums[1:])
-    return mix((sums[k:] - sums[:-k]) * powers(n - k + 1, lane, inverse=True))
+    return _doubled(mix(values + _KEYS[lane]), 1, k, lane)
+
+
+def byte_gram_hashes(buf: np.ndarray, k: int, lane: int = 0) -> np.ndarray:
+    """Hash of every run of k consecutive bytes."""
+    if len(buf) < k:
+        return np.zeros(0, np.uint64)
+    n = min(k, 8)
+    first = np.array(_loads(buf)[: len(buf) - n + 1]) & _LOW[n]
+    return _doubled(mix(first + _KEYS[lane]), n, k, lane)
+
+
+def longer(h: np.ndarray, have: int, k: int, lane: int = 0) -> np.ndarray:
+    """Hashes of k units from those of ``have`` of them."""
+    return _doubled(h, have, k, lane) if len(h) > k - have else h[:0]
 
 
 def inside_documents(first: np.ndarray, k: int, n: int) -> np.ndarray:
