@@ -9,7 +9,7 @@ of neighbouring windows that may be repeated (a candidate run is headed by a has
 *Samples* (bytes).  A window's sample is the least hash among its ``gram``-byte
 prefixes of positions: the first, sampled ranking round.  Positions whose sample
 no other place holds are unique already and go no further.  Windows next to each
-other with one sample form a run.
+other that take one place as their sample form a run.
 
 *Blocks* (words).  Non-overlapping blocks of ``block`` words are the index; every
 rolling window of ``block`` words of every document probes it.  A hit in a later
@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Workspace, free_shuffles
-from .textscan import Block, Words, blocks, byte_gram_hashes, gram_hashes, inside_documents, joined, mix, sliding_min
+from .textscan import Block, Words, blocks, byte_gram_hashes, gram_hashes, inside_documents, joined, longer, mix, sliding_argmin
 
 #: Rows that repeat an id are told apart by this much in their positions.
 ORDINAL = 1 << 40
@@ -55,10 +55,9 @@ START = 32
 #: each holds this part of the rows on disk.
 SLICES = 3
 _U = np.uint64
-_MAX = np.iinfo(np.uint64).max
 _SPAN = pa.list_(pa.struct([("s", pa.int64()), ("n", pa.int64())]))
-_RUN = pa.list_(pa.struct([(c, pa.int64()) for c in ("s", "n", "h", "e1", "e2", "f")]))
-_RUN_SQL = "array<struct<s: long, n: long, h: long, e1: long, e2: long, f: long>>"
+_RUN = pa.list_(pa.struct([(c, pa.int64()) for c in ("s", "n", "h", "e")]))
+_RUN_SQL = "array<struct<s: long, n: long, h: long, e: long>>"
 _SPAN_SQL = "array<struct<s: long, n: long>>"
 
 
@@ -92,23 +91,14 @@ class Units:
             self._hashes[lane] = self.words.hashes(lane=lane)
         return gram_hashes(self._hashes[lane], k, lane)
 
-    def samples(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(windows' samples, whether the window lies in one document, grams)."""
-        w = self.kind.w
-        if self.n < w:
-            return np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.uint64)
-        grams = self.grams(k)
-        return sliding_min(grams, w - k + 1), inside_documents(self.first, w, self.n), grams
-
-    def names(self, start: np.ndarray, stop: np.ndarray) -> list[np.ndarray]:
-        """128-bit names of runs of at most w windows: two windows cover one."""
+    def names(self, start: np.ndarray, stop: np.ndarray, have: np.ndarray | None = None, k: int = 0) -> np.ndarray:
+        """Names of runs of at most w windows: two windows' texts cover one.
+        Hashes of k units that are there already are built upon."""
         if not len(start):
-            return [np.zeros(0, np.uint64)] * 2
-        out = []
-        for lane in (0, 1):
-            g = self.grams(self.kind.w, lane)
-            out.append(joined(joined(g[start], g[stop], lane), (stop - start).astype(np.uint64), lane))
-        return out
+            return np.zeros(0, np.uint64)
+        w = self.kind.w
+        g = longer(have, k, w) if have is not None else self.grams(w)
+        return joined(joined(g[start], g[stop]), (stop - start).astype(np.uint64))
 
     def document(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.first, at, side="right") - 1
@@ -143,53 +133,31 @@ def _lists(value: np.ndarray, doc: np.ndarray, n: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(border), pa.array(value.view(np.int64)))
 
 
-def _taken(u: Units, sample: np.ndarray, ok: np.ndarray, grams: np.ndarray) -> np.ndarray:
-    """Places of the grams that some window takes as its sample: the largest
-    sample of the windows around equals the gram (``~`` turns the sliding
-    minimum into a maximum)."""
-    m = u.kind.w - u.kind.gram + 1
-    edge = np.full(m - 1, _MAX, np.uint64)
-    most = np.concatenate([edge, np.where(ok, ~sample, _MAX), edge])
-    return np.flatnonzero(~sliding_min(most, m) == grams)
-
-
 def _runs(u: Units):
-    """Borders of the runs of windows with one sample: first, last, sample, and
-    whether the sample stands at two places of the run (it may meet itself).
-    Runs have at most w windows."""
-    sample, ok, grams = u.samples(u.kind.gram)
-    n, w, k = len(sample), u.kind.w, u.kind.gram
-    if not n:
+    """Runs of the windows that take their sample at one place: first, last, and
+    sample; and all grams. Two windows of a run are never equal, as equal windows
+    take their sample at equal offsets."""
+    w, k = u.kind.w, u.kind.gram
+    if u.n < w:
         z = np.zeros(0, np.int64)
-        return z, z, np.zeros(0, np.uint64), z, z
-    new = np.ones(n, bool)
-    new[1:] = (sample[1:] != sample[:-1]) | ~ok[:-1]
+        return z, z, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    grams = u.grams(k)
+    at, ok = sliding_argmin(grams, w - k + 1), inside_documents(u.first, w, u.n)
+    new = np.ones(len(at), bool)
+    new[1:] = (at[1:] != at[:-1]) | ~ok[:-1]
     # Windows of two documents never share a run: those across are left out.
     start = np.flatnonzero(new & ok)
     stop = np.flatnonzero(np.append(new[1:] | ~ok[1:], True) & ok)
-    pieces = (stop - start) // w + 1
-    if (pieces > 1).any():
-        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        start, stop = np.repeat(start, pieces) + w * nth, np.repeat(stop, pieces)
-        stop = np.minimum(stop, start + w - 1)
-    taken = _taken(u, sample, ok, grams)
-    lo, hi = np.searchsorted(taken, start), np.searchsorted(taken, stop + w - k, side="right")
-    at = _counted(lo, hi - lo)
-    run = np.repeat(np.arange(len(start)), hi - lo)
-    again = np.bincount(run[grams[taken[at]] == sample[start[run]]], minlength=len(start))
-    return start, stop, sample[start], (again > 1).astype(np.int64), taken
-
-
-def _own_repeats(u: Units, taken: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Samples that stand at two places of a document, as distinct pairs."""
-    if not len(taken):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    value, doc = u.grams(u.kind.gram)[taken], u.document(taken)
+    return start, stop, grams[at[start]], grams
+
+
+def _first_of(value: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether an entry is the first of its value in its document."""
     order = np.lexsort((value, doc))
     v, d = value[order], doc[order]
-    again = np.zeros(len(v), bool)
-    again[1:] = (v[1:] == v[:-1]) & (d[1:] == d[:-1])
-    return _distinct(v[again], d[again])
+    out = np.ones(len(v), bool)
+    out[order[1:]] = (v[1:] != v[:-1]) | (d[1:] != d[:-1])
+    return out
 
 
 def _scan(kind: Kind):
@@ -204,10 +172,11 @@ def _scan(kind: Kind):
                 sha = [hashlib.sha256(u.kept_bytes(i, None)).hexdigest() for i in range(n)]
                 part = [np.diff(u.first).astype(np.int64), sha]
                 if not kind.block:
-                    start, _, value, _, taken = _runs(u)
-                    value, doc = _distinct(value, u.document(start))
-                    own = _own_repeats(u, taken) if kind.own else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-                    part += [_lists(value, doc, n), _lists(*own, n)]
+                    start, _, value, _ = _runs(u)
+                    doc = u.document(start)
+                    first = _first_of(value, doc)
+                    own = _distinct(value[~first], doc[~first]) if kind.own else (value[:0], doc[:0])
+                    part += [_lists(value[first], doc[first], n), _lists(*own, n)]
                 parts.append(part)
             if not parts:
                 continue
@@ -257,11 +226,12 @@ def _block_runs(u: Units, doc: np.ndarray, inside: np.ndarray):
     at, start, stop = at[ok], start[ok], stop[ok]
     order = np.argsort(start, kind="stable")
     head = u.grams(kind.block)[at[order]] if len(at) else np.zeros(0, np.uint64)
-    return start[order], stop[order], head, np.zeros(len(at), np.int64)
+    return start[order], stop[order], head
 
 
 def _find_runs(kind: Kind):
-    """Candidate runs of each document."""
+    """Candidate runs of each document. Where its own earlier text counts, a run
+    that it holds before is settled at once (``own``: stretches of windows)."""
 
     def run(batches):
         for b in batches:
@@ -270,16 +240,26 @@ def _find_runs(kind: Kind):
                 u, n = Units(block, kind), len(block.rows)
                 if kind.block:
                     lo, hi = np.searchsorted(row_of, [block.rows[0], block.rows[-1] + 1])
-                    start, stop, value, self_ = _block_runs(u, row_of[lo:hi] - block.rows[0], shared[lo:hi])
+                    start, stop, value = _block_runs(u, row_of[lo:hi] - block.rows[0], shared[lo:hi])
+                    name = u.names(start, stop)
                 else:
-                    start, stop, value, self_, _ = _runs(u)
+                    start, stop, value, grams = _runs(u)
                     d = u.document(start)
                     ok = _member(value, block.rows[d] if len(d) else d, shared.view(np.uint64), row_of)
-                    start, stop, value, self_ = start[ok], stop[ok], value[ok], self_[ok]
+                    start, stop, value = start[ok], stop[ok], value[ok]
+                    name = u.names(start, stop, grams, kind.gram)
                 doc = u.document(start)
-                runs = _structs(doc, n, _RUN, (start - u.first[doc], stop - start + 1, value, *u.names(start, stop), self_))
+                first = _first_of(joined(value, name), doc) if kind.own else np.ones(len(doc), bool)
+                again, d = np.flatnonzero(~first), doc[~first]
+                new = np.ones(len(again), bool)
+                new[1:] = (start[again[1:]] != stop[again[:-1]] + 1) | (d[1:] != d[:-1])
+                head, size = np.flatnonzero(new), (stop - start + 1)[again]
+                total = np.add.reduceat(size, head) if len(head) else size
+                own = _structs(d[head], n, _SPAN, (start[again[head]] - u.first[d[head]], total))
+                start, stop, value, name, doc = (x[first] for x in (start, stop, value, name, doc))
+                runs = _structs(doc, n, _RUN, (start - u.first[doc], stop - start + 1, value, name))
                 part = b.slice(block.rows[0], n)
-                out = pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "th", "ord", "text")), runs], ["id", "th", "ord", "text", "runs"])
+                out = pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "th", "ord", "text")), runs, own], ["id", "th", "ord", "text", "runs", "own"])
                 yield out.filter(pa.array(np.diff(np.asarray(runs.offsets)) > 0))
 
     return run
@@ -298,20 +278,18 @@ def _counted(start: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def _resolved(runs: DataFrame, own: bool, ws: Workspace) -> DataFrame:
-    """Per document, of its runs (id, ord, s, n, h, e1, e2, f): those that are
-    repeated as a whole, and those whose positions are looked at."""
-    place = F.struct("id", "ord", "s")
-    named = runs.groupBy("h", "e1", "e2").agg(F.min(place).alias("lo"), F.count("*").alias("runs"), F.max("f").alias("f"))
+    """Per document, of its runs (id, ord, s, n, h, e): those that are repeated
+    as a whole, and those whose positions are looked at. ``h`` and ``e`` name a
+    run: 64 bits of its head and 64 of all its text."""
+    named = runs.groupBy("h", "e").agg(F.min("id").alias("lo"), F.min(F.struct("id", "ord")).alias("first"), F.count("*").alias("runs"))
     split = named.groupBy("h").agg(F.count("*").alias("names"))
     # A name of one run, alone under its head, matches nothing.
-    named = ws.save(named.join(split, "h").where("names > 1 or runs > 1 or f > 0").select("h", "e1", "e2", "lo", "f", "names"), "names", "none")
-    earlier = F.col("id") > F.col("lo.id")
-    if own:
-        earlier = earlier | ((F.col("id") == F.col("lo.id")) & (F.col("ord") == F.col("lo.ord")) & (F.col("s") > F.col("lo.s")))
-    again = (F.col("names") > 1) | (F.col("named.f") > 0) | (F.lit(own) & (F.col("ord") != F.col("lo.ord")))
+    named = ws.save(named.join(split, "h").where("names > 1 or runs > 1").select("h", "e", "lo", F.col("first.ord").alias("lo_ord"), "names"), "names", "none")
+    earlier = F.col("id") > F.col("lo")
+    # Rows that repeat an id do not match each other, but each may match itself.
+    again = (F.col("names") > 1) | (F.lit(own) & (F.col("ord") != F.col("lo_ord")))
     plan = (
-        runs.drop("f")
-        .join(named.alias("named"), ["h", "e1", "e2"])
+        runs.join(named, ["h", "e"])
         .where(earlier | again)
         .groupBy("id", "ord")
         .agg(
@@ -540,9 +518,10 @@ def _cover(kind: Kind):
                 u, n = Units(block, kind), len(block.rows)
                 part = b.slice(block.rows[0], n)
                 edge = np.zeros(u.n + 1, np.int64)
-                row, s, size = _places(part.column("whole"), n)
-                np.add.at(edge, u.first[row] + s, 1)
-                np.add.at(edge, u.first[row] + s + size - 1 + kind.w, -1)
+                for name in ("whole", "own"):
+                    row, s, size = _places(part.column(name), n)
+                    np.add.at(edge, u.first[row] + s, 1)
+                    np.add.at(edge, u.first[row] + s + size - 1 + kind.w, -1)
                 row, at = _per_document(part.column("marks"), n)
                 np.add.at(edge, u.first[row] + at, 1)
                 np.add.at(edge, u.first[row] + at + kind.w, -1)
@@ -604,11 +583,16 @@ def _block_hits(texts: DataFrame, kind: Kind, ws: Workspace) -> DataFrame:
     return found.groupBy("id").agg(F.collect_set("at").alias("shared"))
 
 
-def _sampled(scan: DataFrame) -> DataFrame:
-    """``(id, shared)``: samples that two documents hold."""
-    held = scan.where("id is not null").select("id", F.explode("samples").alias("h"))
-    common = held.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h")
-    return held.join(common, "h").distinct().groupBy("id").agg(F.collect_list("h").alias("shared"))
+def _sampled(scan: DataFrame, ws: Workspace) -> DataFrame:
+    """``(id, shared)``: samples that two documents hold, slice by slice."""
+    found = None
+    for part in range(SLICES):
+        held = scan.where("id is not null").select("id", F.explode("samples").alias("h")).where(F.pmod("h", F.lit(SLICES)) == part)
+        common = held.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h")
+        got = ws.save(held.join(common, "h").groupBy("id").agg(F.collect_set("h").alias("some")), "shared")
+        free_shuffles(scan.sparkSession)
+        found = got if found is None else found.unionAll(got)
+    return found.groupBy("id").agg(F.flatten(F.collect_list("some")).alias("shared"))
 
 
 def _marks(kind: Kind, pieces: DataFrame, ws: Workspace) -> DataFrame:
@@ -653,7 +637,7 @@ def find(docs: DataFrame, kind: Kind, id_col: str, text_col: str, ws: Workspace)
     )
     lists = "" if kind.block else ", samples array<long>, own array<long>"
     scan = ws.save(texts.mapInArrow(_scan(kind), "id long, th long, units long, sha string" + lists), "scan")
-    shared = _block_hits(texts, kind, ws) if kind.block else _sampled(scan)
+    shared = _block_hits(texts, kind, ws) if kind.block else _sampled(scan, ws)
     names = scan.where("id is not null").select("id", "th", *(["own"] if lists else [])).dropDuplicates(["id", "th"])
     twice = names.groupBy("id").agg(F.sort_array(F.collect_list("th")).alias("ths")).where("size(ths) > 1")
     both = F.coalesce("shared", F.array().cast("array<long>"))
@@ -669,7 +653,7 @@ def find(docs: DataFrame, kind: Kind, id_col: str, text_col: str, ws: Workspace)
     ws.clear(hits, facts)
     free_shuffles(docs.sparkSession)
 
-    found = ws.save(texts.join(hits.hint("merge"), ["id", "th"]).mapInArrow(_find_runs(kind), f"id long, th long, ord long, text string, runs {_RUN_SQL}"), "runs")
+    found = ws.save(texts.join(hits.hint("merge"), ["id", "th"]).mapInArrow(_find_runs(kind), f"id long, th long, ord long, text string, runs {_RUN_SQL}, own {_SPAN_SQL}"), "runs")
     ws.drop(hits)
     plan = _resolved(found.select("id", "ord", F.explode("runs").alias("r")).select("id", "ord", "r.*"), kind.own, ws)
     free_shuffles(docs.sparkSession)
@@ -679,10 +663,10 @@ def find(docs: DataFrame, kind: Kind, id_col: str, text_col: str, ws: Workspace)
     ws.drop(pieces)
 
     done = (
-        found.select("id", "th", "ord", "text")
+        found.select("id", "th", "ord", "text", "own")
         .join(plan.where("size(whole) > 0").select("id", "ord", "whole").hint("merge"), ["id", "ord"], "left")
         .join(marks.hint("merge"), ["id", "ord"], "left")
-        .where("whole is not null or marks is not null")
+        .where("size(own) > 0 or whole is not null or marks is not null")
         .mapInArrow(_cover(kind), f"id long, th long, removed long, spans {_SPAN_SQL}, kept_sha string")
         .dropDuplicates(["id", "th"])
     )

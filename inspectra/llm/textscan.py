@@ -201,18 +201,29 @@ def inside_documents(first: np.ndarray, k: int, n: int) -> np.ndarray:
     return ok
 
 
-def sliding_min(x: np.ndarray, m: int) -> np.ndarray:
-    """Minimum of every m consecutive entries (``len(x) - m + 1`` values), by
-    running minima from both sides of blocks of m."""
+def sliding_argmin(x: np.ndarray, m: int) -> np.ndarray:
+    """Place of the least of every m consecutive entries, the leftmost of equal
+    ones (``len(x) - m + 1`` values), by running minima from both sides of
+    blocks of m.  The low bits of an entry give way to its place."""
     n = len(x)
     if n < m:
-        return x[:0]
-    pad = -n % m
-    top = np.iinfo(x.dtype).max
-    y = np.concatenate([x, np.full(pad, top, x.dtype)]).reshape(-1, m)
-    ahead = np.minimum.accumulate(y, axis=1).ravel()
-    back = np.minimum.accumulate(y[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(back[: n - m + 1], ahead[m - 1 : n])
+        return np.zeros(0, np.int64)
+    bits = m.bit_length() + 1
+    right = _U(1 << (bits - 1))
+    y = np.full(n + -n % m, np.iinfo(np.uint64).max, np.uint64)
+    y[:n] = x
+    y >>= _U(bits)
+    y <<= _U(bits)
+    y = y.reshape(-1, m)
+    y |= np.arange(m, dtype=np.uint64)
+    back = np.minimum.accumulate(y[:, ::-1], axis=1)[:, ::-1].ravel()[: n - m + 1]
+    # An entry of the right block loses to an equal one of the left block.
+    ahead = np.minimum.accumulate(y | right, axis=1).ravel()[m - 1 : n]
+    least = np.minimum(back, ahead)
+    at = np.arange(n - m + 1)
+    block = at - at % m + np.where(least & right, m, 0)
+    block[(at % m == 0) & ((least & right) != 0)] -= m
+    return block + (least & (right - _U(1))).astype(np.int64)
 
 
 def signed(x: np.ndarray) -> np.ndarray:
