@@ -20,9 +20,10 @@ document, extended both ways, is the run of all windows that hold the block.
    one ``h`` heads runs of several names, or a run meets itself, the first run of
    each name stays open: these hold the ends of maximal repeats.
 2. *Positions* of open runs.  Bytes: prefix doubling.  A position's rank pair
-   (rank of its prefix, rank at the offset of the prefix's length) is sorted by
-   Spark, ranked anew (dense within a partition, the partition's number above),
-   unique ranks are dropped; the next offset is larger, until the threshold.
+   (rank of its prefix, rank at an offset of at most the prefix's length) is
+   sorted by Spark, ranked anew (dense within a partition, the partition's number
+   above), unique ranks are dropped; the next offset is larger, until the
+   threshold (for 100 bytes the samples' prefix of 64 leaves one such round).
    Words: the 128-bit names of the windows are sorted likewise, once.  A position
    whose last name stands earlier starts a repeat.
 
@@ -49,8 +50,9 @@ from .textscan import Block, Words, blocks, byte_gram_hashes, gram_hashes, insid
 
 #: Rows that repeat an id are told apart by this much in their positions.
 ORDINAL = 1 << 40
-#: Bytes that name a position before the first doubling.
-START = 32
+#: Bytes of the prefix that a position's first rank stands for (built up by
+#: doubling in the task that reads the text).
+START = 64
 #: Hash slices, one after the other, in which positions and probes are sorted:
 #: each holds this part of the rows on disk.
 SLICES = 3
@@ -281,13 +283,14 @@ def _resolved(runs: DataFrame, own: bool, ws: Workspace) -> DataFrame:
     """Per document, of its runs (id, ord, s, n, h, e): those that are repeated
     as a whole, and those whose positions are looked at. ``h`` and ``e`` name a
     run: 64 bits of its head and 64 of all its text."""
-    named = runs.groupBy("h", "e").agg(F.min("id").alias("lo"), F.min(F.struct("id", "ord")).alias("first"), F.count("*").alias("runs"))
+    named = runs.groupBy("h", "e").agg(F.min("id").alias("lo"), F.max("ord").alias("ords"), F.count("*").alias("runs"))
     split = named.groupBy("h").agg(F.count("*").alias("names"))
     # A name of one run, alone under its head, matches nothing.
-    named = ws.save(named.join(split, "h").where("names > 1 or runs > 1").select("h", "e", "lo", F.col("first.ord").alias("lo_ord"), "names"), "names", "none")
+    named = ws.save(named.join(split, "h").where("names > 1 or runs > 1").drop("runs"), "names", "none")
+    free_shuffles(runs.sparkSession)
     earlier = F.col("id") > F.col("lo")
     # Rows that repeat an id do not match each other, but each may match itself.
-    again = (F.col("names") > 1) | (F.lit(own) & (F.col("ord") != F.col("lo_ord")))
+    again = (F.col("names") > 1) | (F.lit(own) & (F.col("ords") > 0))
     plan = (
         runs.join(named, ["h", "e"])
         .where(earlier | again)
@@ -304,8 +307,8 @@ def _resolved(runs: DataFrame, own: bool, ws: Workspace) -> DataFrame:
 
 def lengths(w: int) -> list[int]:
     """Prefix lengths of the rounds: doubling up to w, the last step overlaps."""
-    out = [START if w > 2 * START else max(1, w // 3)]
-    while out[-1] < w or len(out) < 3:
+    out = [START if w > START else max(1, w // 3)]
+    while out[-1] < w or len(out) < 2:
         out.append(min(w, 2 * out[-1]))
     return out
 
@@ -369,9 +372,9 @@ def _open_positions(b: pa.RecordBatch, block: Block, u: Units, shifts=(0,)):
     return at, ids, ords * ORDINAL + at - u.first[doc]
 
 
-def _first_pairs(kind: Kind, part: int):
+def _first_pairs(kind: Kind, part: int | None):
     """First rank pairs: names of the prefix at a position and at the first
-    offset, for one slice of the hashes."""
+    offset; where more rounds follow, for one slice of the hashes."""
     steps = lengths(kind.w)
     shifts = {0}
     for a, b in zip(steps[1:-1], steps[2:], strict=True):
@@ -384,10 +387,12 @@ def _first_pairs(kind: Kind, part: int):
                 at, ids, coded = _open_positions(b, block, u, sorted(shifts))
                 g = u.grams(steps[0])
                 first = g[at]
-                ok = first % _U(SLICES) == part
-                at, ids, coded = at[ok], ids[ok], coded[ok]
+                if part is not None:
+                    ok = first % _U(SLICES) == part
+                    first, at, ids, coded = first[ok], at[ok], ids[ok], coded[ok]
                 if len(at):
-                    yield _packed(first[ok].view(np.int64), g[at + steps[1] - steps[0]].view(np.int64), ids, coded)
+                    args = first.view(np.int64), g[at + steps[1] - steps[0]].view(np.int64), ids, coded
+                    yield _settled(*args, kind.own) if part is None else _packed(*args)
 
     return run
 
@@ -600,6 +605,8 @@ def _marks(kind: Kind, pieces: DataFrame, ws: Workspace) -> DataFrame:
     spark = pieces.sparkSession
     if kind.unit == "word":
         named = pieces.mapInArrow(_window_rows(kind), _NAMED_SQL)
+    elif len(lengths(kind.w)) == 2:
+        named = pieces.mapInArrow(_first_pairs(kind, None), _NAMED_SQL)
     else:
         steps = lengths(kind.w)
         ranked = None

@@ -6,9 +6,11 @@ does not fit a corpus, so one sampled round comes first: positions are ranked by
 ``GRAM`` bytes where a window of 100 bytes takes its sample, and positions under
 a sample that stands nowhere else are unique and dropped; stretches that agree
 as a whole with an earlier one are settled as runs.  The positions that are
-left, in the same document or in others, go through the rounds: rank pairs at
-offsets 32 and 36 (prefixes of 32, 64, 100 bytes), sorted by Spark, ranked anew,
-unique ranks dropped, until the threshold.
+left, in the same document or in others, go through the rounds: pairs of the rank
+at a position and at an offset from it, sorted by Spark, ranked anew, unique
+ranks dropped, offsets growing until the threshold.  Prefixes of 64 bytes are
+named in the task that reads them, so 100 bytes take one round (offset 36), 300
+bytes three (64, 128, 44).
 
 Edge cases: null and empty texts have no bytes; null ids match nothing; rows
 that repeat an id do not match each other; texts shorter than the threshold

@@ -220,9 +220,9 @@ def sliding_argmin(x: np.ndarray, m: int) -> np.ndarray:
     # An entry of the right block loses to an equal one of the left block.
     ahead = np.minimum.accumulate(y | right, axis=1).ravel()[m - 1 : n]
     least = np.minimum(back, ahead)
-    at = np.arange(n - m + 1)
-    block = at - at % m + np.where(least & right, m, 0)
-    block[(at % m == 0) & ((least & right) != 0)] -= m
+    inside = np.tile(np.arange(m), len(y))[: n - m + 1]
+    block = np.arange(n - m + 1) - inside
+    block[((least & right) != 0) & (inside != 0)] += m
     return block + (least & (right - _U(1))).astype(np.int64)
 
 

@@ -64,6 +64,37 @@ def test_words(spark):
     assert got == brute(rows, True, 50, False)
 
 
+def thue_morse(n, a, b):
+    return "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_regular_texts(spark):
+    """Texts that hashes of polynomials modulo a power of two take for equal,
+    thresholds of one and of several rounds, very long texts."""
+    x, y = thue_morse(1024, "a", "b"), thue_morse(1024, "b", "a")
+    base = " ".join(f"w{i}" for i in range(49))
+    rows = [(1, f"{base} {x}", None, None, None), (2, f"{base} {y}", None, None, None), (3, x + y, None, None, None), (4, y + x, None, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert rows_of(substring_dedup.find_repeats(df)) == brute(rows, True, 50, False)
+    assert rows_of(suffix_dedup.find_repeats(df)) == brute(rows, False, 100, True)
+    assert rows_of(suffix_dedup.find_repeats(df, threshold=300)) == brute(rows, False, 300, True)
+
+
+def test_very_long_text(spark):
+    """A text beyond a block's size, holding a passage of another document and
+    one of its own; the rest is random."""
+    rng = random.Random(8)
+    long = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=3_000_000))
+    passage = words(rng, 90)
+    rows = [(1, passage, None, None, None), (2, long + passage + long[1000:1400], None, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: r for r in suffix_dedup.find_repeats(df).collect()}
+    assert got[1].n_removed == 0 and got[2].n_bytes == len(rows[1][1])
+    assert got[2].n_removed == len(passage) + 400
+    got = {r.doc_id: r for r in substring_dedup.find_repeats(df).collect()}
+    assert got[1].n_removed == 0 and 88 <= got[2].n_removed <= 90
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_small_thresholds(spark, seed):
     """Short thresholds over a tiny alphabet: dense, periodic repeats."""
