@@ -8,22 +8,31 @@ under the automata against that under an automaton of ordinary words; tokens
 above the calibrated ratio become further spans.
 
 The credentials are labelled by the base patterns themselves, which name their
-kind.  Edge cases: null and empty texts have no spans; offsets are code points;
-repeated rows are scanned alike; with no labelled credential no span is added;
-null ids are kept.  Extra columns are never read.
+kind; ordinary tokens are all other candidates, numbers included.  A candidate is
+any run of 8 or more credential characters; its evidence (the log-likelihood
+ratio of the whole token) must outweigh prior odds of one credential in ``ODDS``
+tokens, and its ratio per symbol the calibrated threshold, so short tokens need
+more of it per symbol.
+
+Edge cases: null and empty texts have no spans; offsets are code points; very
+long texts and tokens are read whole; repeated rows are scanned alike; with no
+labelled credential no span is added; an empty table gives an empty result; null
+ids are kept.  Other columns are never read and may have any names.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
+import zlib
 from collections import defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import Workspace
+
 ASSIGN = re.compile(
     r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A
 )
@@ -35,15 +44,16 @@ KINDS = ("assign", "access", "hex")
 #: Name of the spans that the automata add.
 INFERRED = "format"
 #: Runs of credential characters; dots and slashes at the ends are prose.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-][A-Za-z0-9+/_.=-]{14,}[A-Za-z0-9+/_=-]", re.A)
-#: Long runs of letters as prose, paths and host names have them.
-ORDINARY = re.compile(r"[A-Za-z][A-Za-z._/-]{10,}[A-Za-z]", re.A)
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-][A-Za-z0-9+/_.=-]{6,}[A-Za-z0-9+/_=-]", re.A)
 
-#: Bounds of the fitting sample: credentials per kind, and ordinary words.
-FIT_CREDENTIALS, FIT_WORDS = 2000, 4000
+#: Bounds of the fitting sample (tokens of least hash over the whole table):
+#: credentials per kind, ordinary tokens, and symbols of either.
+FIT_CREDENTIALS, FIT_WORDS, FIT_SYMBOLS = 2000, 4000, 200_000
 ALPHA = 0.05
-#: Symbols counted at most when a credential is read into the prefix tree.
-FIT_DEPTH = 48
+#: Prior odds against a token being a credential.
+ODDS = 1e6
+#: Tokens whose verdict a worker remembers; beyond it forgets them all.
+REMEMBER = 200_000
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -80,7 +90,7 @@ class Automaton:
         for s in samples:
             at = 0
             self.count[0] += 1
-            for c in s[:FIT_DEPTH]:
+            for c in s:
                 to = self.next[at].get(c)
                 if to is None:
                     to = self.next[at][c] = len(self.count)
@@ -168,32 +178,48 @@ class Automaton:
         return total / max(1, len(token))
 
 
+def _bounded(values: list[str]) -> list[str]:
+    """The first values whose symbols stay within the bound, one at least."""
+    out, left = [], FIT_SYMBOLS
+    for v in values:
+        left -= len(v)
+        if left < 0 and out:
+            break
+        out.append(v)
+    return out
+
+
 class FormatModel:
-    """Automata of the kinds, one of ordinary words, and the threshold."""
+    """Automata of the kinds, of ordinary words and of other ordinary tokens
+    (numbers, addresses), and the threshold. A quarter of each sample is held out
+    to calibrate it."""
 
     def __init__(self, credentials: dict[str, list[str]], words: list[str]):
         shape = lambda x: [t.translate(_CLASSES) for t in x]
-        self.kinds, self.plain, self.threshold = [], None, math.inf
+        self.kinds, self.plain, self.threshold, self._verdicts = [], [], math.inf, {}
         held_out = []
         for _, values in sorted(credentials.items()):
-            values = sorted(set(values))
+            values = sorted(set(_bounded(values)))
             if len(values) < 4:
                 continue
             self.kinds.append(Automaton(shape([v for i, v in enumerate(values) if i % 4])))
             held_out += [v for i, v in enumerate(values) if i % 4 == 0]
-        if not self.kinds or len(words) < 4:
+        strata = [sorted(set(_bounded([w for w in words if w.isalpha() == plain]))) for plain in (True, False)]
+        strata = [x for x in strata if len(x) >= 4]
+        if not self.kinds or not strata:
             self.kinds = []
             return
-        words = sorted(set(words))
-        self.plain = Automaton(shape([w for i, w in enumerate(words) if i % 4]))
+        self.plain = [Automaton(shape([w for i, w in enumerate(x) if i % 4])) for x in strata]
         good = sorted(self.ratio(v) for v in held_out)
-        bad = sorted(self.ratio(w) for w in words[::4])
-        # Above every ordinary word held out, and above the weakest credentials.
-        self.threshold = max(good[len(good) // 50], bad[-1] + 0.05, 0.1)
+        bad = sorted(self.ratio(w) for x in strata for w in x[::4])
+        weak, strong = good[len(good) // 50], bad[-1 - len(bad) // 500]
+        # Halfway between the weakest credentials and the most suspect ordinary tokens.
+        self.threshold = max((weak + strong) / 2 if weak > strong else strong + 0.05, 0.1)
 
     def ratio(self, token: str) -> float:
+        """Log-likelihood ratio of a symbol."""
         t = token.translate(_CLASSES)
-        return max(k.score(t) for k in self.kinds) - self.plain.score(t)
+        return max(k.score(t) for k in self.kinds) - max(k.score(t) for k in self.plain)
 
     def spans(self, text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         """Further spans: candidates over the threshold that no base span meets."""
@@ -201,33 +227,45 @@ class FormatModel:
             return []
         found, at = [], 0
         for m in CANDIDATE.finditer(text):
+            if not self.known(m.group()):
+                continue
             s, e = m.span()
             while at < len(taken) and taken[at][2] <= s:
                 at += 1
-            if any(x[0] < e and x[2] > s for x in taken[at : at + 8]):
-                continue
-            if self.known(m.group()):
+            i = at
+            while i < len(taken) and taken[i][0] < e and taken[i][2] <= s:
+                i += 1
+            if i == len(taken) or taken[i][0] >= e:
                 found.append((s, len(KINDS), e))
         return found
 
     def known(self, token: str) -> bool:
-        return self.ratio(token) >= self.threshold
+        got = self._verdicts.get(token)
+        if got is None:
+            if len(self._verdicts) >= REMEMBER:
+                self._verdicts.clear()
+            ratio = self.ratio(token)
+            got = self._verdicts[token] = ratio >= self.threshold and ratio * len(token) >= math.log(ODDS)
+        return got
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> FormatModel:
     """Automata from at most FIT_CREDENTIALS values of each kind and FIT_WORDS
-    ordinary words, those with the least hashes over the whole table: tasks
-    send a bounded number each, a top-k picks among them."""
+    ordinary words and other tokens each, those with the least hashes over the whole table: tasks
+    write a bounded number each, once, and a top-k picks among them."""
 
     def gather(batches):
         best: dict[str, dict[str, int]] = defaultdict(dict)
-        key = lambda v: int.from_bytes(hashlib.blake2b(v.encode(), digest_size=7).digest(), "big")
+        key = lambda v: zlib.crc32(v.encode("utf-8", "surrogatepass"))
         cut: dict[str, int] = {}
 
-        def trim(kind: str, most: int) -> None:
-            if len(best[kind]) > 2 * most:
-                best[kind] = dict(sorted(best[kind].items(), key=lambda x: x[1])[:most])
-                cut[kind] = max(best[kind].values())
+        def put(kind: str, value: str, most: int) -> None:
+            k = key(value)
+            if k <= cut.get(kind, 1 << 32):
+                best[kind][value] = k
+                if len(best[kind]) > 2 * most:
+                    best[kind] = dict(sorted(best[kind].items(), key=lambda x: (x[1], x[0]))[:most])
+                    cut[kind] = max(best[kind].values())
 
         for b in batches:
             for text in b.column("_text").to_pylist():
@@ -235,32 +273,31 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Form
                     continue
                 spans = base_spans(text)
                 for s, kind, e in spans:
-                    value = ASSIGN.match(text, s).group(2) if kind == 0 else text[s:e]
-                    best[KINDS[kind]][value] = key(value)
-                    trim(KINDS[kind], FIT_CREDENTIALS)
-                for m in ORDINARY.finditer(text):
-                    k = key(m.group())
-                    if k < cut.get("word", 1 << 60):
-                        best["word"][m.group()] = k
-                        trim("word", FIT_WORDS)
+                    put(KINDS[kind], ASSIGN.match(text, s).group(2) if kind == 0 else text[s:e], FIT_CREDENTIALS)
+                if spans:
+                    # What is labelled is no ordinary token, nor what touches it.
+                    last = 0
+                    for s, _, e in [*spans, (len(text), 0, len(text))]:
+                        for value in CANDIDATE.findall(text[last:s]) if s > last else ():
+                            put("word" if value.isalpha() else "other", value, FIT_WORDS)
+                        last = max(last, e)
+                else:
+                    for value in set(CANDIDATE.findall(text)):
+                        put("word" if value.isalpha() else "other", value, FIT_WORDS)
         rows = [(k, v, h) for k, values in best.items() for v, h in values.items()]
         for i in range(0, len(rows), 5000):
             part = rows[i : i + 5000]
             yield pa.RecordBatch.from_pydict({"kind": [r[0] for r in part], "value": [r[1] for r in part], "h": [r[2] for r in part]})
 
-    got = docs.select(F.col(text_col).alias("_text")).where(F.length("_text") > 0).mapInArrow(gather, "kind string, value string, h long").dropDuplicates()
-    parts = [
-        got.where(F.col("kind") == kind).orderBy("h", "value").limit(FIT_WORDS if kind == "word" else FIT_CREDENTIALS)
-        for kind in (*KINDS, "word")
-    ]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.union(p)
+    ws = Workspace(docs.sparkSession, "secrets")
+    texts = docs.select(F.col(text_col).alias("_text")).where(F.length("_text") > 0)
+    got = ws.save(texts.mapInArrow(gather, "kind string, value string, h long").dropDuplicates(), "gathered")
     by: dict[str, list[str]] = defaultdict(list)
-    for kind, value, _ in union.collect():
-        by[kind].append(value)
-    words = by.pop("word", [])
-    return FormatModel(by, words)
+    for kind in (*KINDS, "word", "other"):
+        top = got.where(F.col("kind") == kind).orderBy("h", "value").limit(FIT_CREDENTIALS if kind in KINDS else FIT_WORDS)
+        by[kind] = [r.value for r in top.select("value").collect()]
+    ws.clear()
+    return FormatModel({k: by[k] for k in KINDS}, by["word"] + by["other"])
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: FormatModel | None = None) -> DataFrame:

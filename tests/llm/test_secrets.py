@@ -62,3 +62,34 @@ def test_empty_table_and_no_credentials(spark):
     assert secrets.scan(spark.createDataFrame([], SCHEMA)).count() == 0
     plain = spark.createDataFrame([(1, "nothing to see", None, None, 1)], SCHEMA)
     assert secrets.scan(plain).collect()[0].spans == []
+
+
+def test_precision_and_recall_of_the_query(spark, tmp_path):
+    """Bare credentials of the labelled format, too short for a base pattern,
+    stand in documents of their own; numbers, names and addresses do not count."""
+    import random
+
+    rng = random.Random(5)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    planted = [(10**9 + i, f"see {''.join(rng.choices('0123456789abcdef', k=rng.randint(24, 31)))} there") for i in range(60)]
+    prose = [(2 * 10**9 + i, f"card {rng.randint(10**15, 10**16 - 1)} call 555-{rng.randint(1000, 9999)} at mail{i}.example.com on 2024-0{i % 9 + 1}-1{i % 9}") for i in range(60)]
+    extra = spark.createDataFrame(planted + prose, "doc_id long, text string")
+    docs.unionByName(extra).write.parquet(str(tmp_path / "documents.parquet"))
+    from inspectra.llm.queries import op10_secret_scan
+
+    model = secrets.fit(docs)
+    found = {r.doc_id: [s for s in r.spans if s.kind == secrets.INFERRED] for r in secrets.scan(extra, model=model).collect()}
+    assert sum(bool(found[i]) for i, _ in planted) >= 54
+    assert not any(found[i] for i, _ in prose)
+    added = {r.doc_id for r in op10_secret_scan(spark, str(tmp_path)).where("spans like '%format:%'").collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    clean = [i for i in added if i in texts]
+    assert len(clean) <= len(texts) // 200
+    assert not any(re.fullmatch(r"[0-9]+", texts[i][s.start : s.end]) for i in clean for s in [x for r in secrets.scan(docs.where(f"doc_id = {i}"), model=model).collect() for x in r.spans if x.kind == secrets.INFERRED])
+
+
+def test_long_texts_and_clashing_names(spark):
+    value = "0123456789abcdef" * 3
+    rows = [(1, "x" * 3_000_000 + f" token={value} " + "y " * 500_000, 5, 6)]
+    got = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, _id int, spans int")).collect()[0]
+    assert [(s.kind, s.start) for s in got.spans] == [("assign", 3_000_001), ("hex", 3_000_007)]
