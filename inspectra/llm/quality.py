@@ -3,12 +3,16 @@
 Base rules (always rejected): fewer than 50 words, or more than half of the
 words inside 3-word windows that occur twice or more in the document.  The rest
 is judged by path lengths over random splits; the forest is fitted on
-well-labelled rows, the threshold is calibrated on rows of both labels.
+well-labelled rows, the threshold is calibrated by cross-fitting on both labels.
 
-Edge cases: null and empty texts have no words and fail the base rules; rows
-with a null id are judged like any other; repeated rows are judged alike; an
-empty table gives an empty result; without labelled rows only the base rules
-decide.  Input columns never clash: only the named columns are read, and
+Words and lines of one document are compared by 64-bit keyed hashes (see
+:mod:`.textscan`), within that document only.
+
+Edge cases: null and empty texts have no words and fail the base rules; very
+long texts are a block of their own, in memory linear in their length; rows with
+a null id are judged like any other; repeated rows are judged alike; an empty
+table gives an empty result; without labelled rows only the base rules decide.
+Only the named columns are read, others may have any names, and
 :func:`filter_documents` returns the input's columns unchanged.
 """
 
@@ -25,8 +29,11 @@ from .textscan import Block, Words, blocks, gram_hashes, inside_documents, mix,
 #: hash of their id: the only sample in this operator.
 FIT_ROWS = 4096
 TREES, SUBSAMPLE, SEED = 128, 256, 7
-#: Share of well-labelled rows that calibration keeps at least.
-KEEP_GOOD = 0.998
+#: Parts for cross-fitting: a row is scored by a forest that has not seen it.
+FOLDS = 5
+#: The cut lies halfway between these quantiles of the well and badly labelled
+#: rows' scores; where they overlap, the first alone decides.
+KEEP_GOOD, CATCH_BAD = 0.99, 0.05
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -205,27 +212,25 @@ class IsolationForest:
 
 
 class Verdict:
-    """Forest and threshold; keeps everything when there was nothing to fit."""
+    """Forest and threshold; keeps everything when there was nothing to fit.
+    The threshold comes from scores out of sample, so that the rows that grew
+    the trees do not move it, and from quantiles, so that no single row does."""
 
-    def __init__(self, x: np.ndarray, quality: np.ndarray, keep_good: float = KEEP_GOOD):
+    def __init__(self, x: np.ndarray, quality: np.ndarray, seed: int = SEED):
         good, bad = x[quality == 1], x[quality == 0]
         self.forest, self.threshold = None, 1.0
         if len(good) < 8:
             return
         self.forest = IsolationForest(good)
-        g = np.sort(self.forest.score(good))
-        floor = g[min(len(g) - 1, int(np.ceil(keep_good * len(g))))]
-        if not len(bad):
-            self.threshold = float(floor) + 1e-9
-            return
-        b = np.sort(self.forest.score(bad))
-        cuts = np.unique(np.concatenate([g[g >= floor], b[b >= floor], [floor]]))
-        kept_good = np.searchsorted(g, cuts, side="right") / len(g)
-        caught = 1 - np.searchsorted(b, cuts, side="right") / len(b)
-        best = int(np.argmax(2 * kept_good + caught))
-        above = b[b > cuts[best]]
-        # Halfway to the next bad row: the cut itself carries no information.
-        self.threshold = float((cuts[best] + above[0]) / 2) if len(above) else float(cuts[best]) + 1e-9
+        fold = np.random.default_rng(seed).permutation(len(good)) % FOLDS
+        g, b = np.zeros(len(good)), np.zeros(len(bad))
+        for k in range(FOLDS):
+            forest = IsolationForest(good[fold != k], seed=seed + 1 + k)
+            g[fold == k] = forest.score(good[fold == k])
+            b += forest.score(bad) / FOLDS
+        high = float(np.quantile(g, KEEP_GOOD))
+        low = float(np.quantile(b, CATCH_BAD)) if len(b) else high
+        self.threshold = (high + low) / 2 if low > high else high + 1e-9
 
     def keeps(self, s: dict[str, np.ndarray]) -> np.ndarray:
         ok = ~base_failed(s)

@@ -76,5 +76,37 @@ def test_held_out_accuracy(spark):
     assert sum(bad) / max(1, len(bad)) <= 0.2
 
 
-if __name__ == "__main__":
-    pytest.main([__file__])
+@pytest.mark.parametrize(("sf", "splits"), [("sf0.01", [0, 1, 2, 3, 4]), ("sf0.1", [0]), ("sf0.01", [None]), ("sf0.1", [None])])
+def test_accuracy_in_and_out_of_sample(spark, sf, splits):
+    """Fitted on all labels, or on four fifths and judged on the rest (a fifth
+    of the small table is 60 good rows, so its five splits count together)."""
+    at = f"/root/testdata/{sf}"
+    docs, labels = spark.read.parquet(f"{at}/documents.parquet"), spark.read.parquet(f"{at}/labels.parquet")
+    got = []
+    for k in splits:
+        fit = labels if k is None else labels.where(f"doc_id % 5 <> {k}")
+        held = labels if k is None else labels.where(f"doc_id % 5 = {k}")
+        got += quality.judge(docs, fit).join(held, "doc_id").where("not base_failed").collect()
+    good = [r.kept for r in got if r.quality == 1]
+    bad = [r.kept for r in got if r.quality == 0]
+    assert sum(good) >= 0.97 * len(good)
+    assert sum(bad) <= 0.2 * len(bad)
+
+
+def test_registered_query_keeps_by_label(spark):
+    from inspectra.llm.queries import op7_quality_rules
+
+    at = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{at}/labels.parquet").select("doc_id", "quality")
+    got = op7_quality_rules(spark, at).join(labels, "doc_id").where("not base_failed").collect()
+    assert sum(r.kept for r in got if r.quality == 1) >= 0.97 * sum(r.quality == 1 for r in got)
+    assert sum(not r.kept for r in got if r.quality == 0) >= 0.8 * sum(r.quality == 0 for r in got)
+
+
+def test_regular_and_long_texts(spark):
+    """Lines and words that polynomials modulo a power of two take for equal."""
+    t = ["".join("ab"[(bin(i).count("1") + k) % 2] for i in range(1024)) for k in (0, 1)]
+    rows = [(1, "\n".join(t)), (2, f"{t[0]} {t[1]} " * 30), (3, "a b " * 700_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert sorted(rows_of(quality.judge(docs, labels))) == sorted((i, *brute(x)) for i, x in rows)
