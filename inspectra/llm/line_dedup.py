@@ -12,12 +12,15 @@ never leave the task that reads them.  Counts are pre-aggregated before every
 shuffle; a leaf, line or template that a third of all documents holds is one
 row for each document, spread by document.
 
+Lines and leaves are compared by 64-bit keyed hashes (see :mod:`.textscan`).
+
 Edge cases: lines of variable tokens only are never dropped, as no template can
 keep enough of them; lines of ``DEPTH`` tokens or fewer are their own leaf; null
-and empty texts stay as they are; a null id keeps all its lines and counts for
-no template; rows that repeat an id are one document; a text that loses all its
-lines becomes empty and its row stays; an empty table gives an empty result;
-columns of the same names as the result's are never read.
+and empty texts stay as they are; very long texts are a block of their own, in
+memory linear in their length; a null id keeps all its lines and counts for no
+template; rows that repeat an id are one document; a text that loses all its
+lines becomes empty and its row stays; an empty table gives an empty result; ids
+are cast to long; other columns may have any names.
 """
 
 from __future__ import annotations
@@ -28,11 +31,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, free_shuffles
+from .common import Workspace, free_shuffles, fresh
 from .repeats import _distinct, _lists, _member, _per_document
 from .textscan import Block, Words, blocks, joined, sequence_hashes
 
-DEPTH, SIMILARITY, MIN_TOKENS = 3, 0.75, 1
+DEPTH, SIMILARITY = 3, 0.75
 #: Documents that hold a template before it counts as boilerplate.
 MIN_DOCS = 10
 _VARIABLE = np.uint64(0x2545F4914F6CDD1D)
@@ -69,7 +72,7 @@ class Lines:
         self.leaf = joined(sequence_hashes(tokens, self.first, lead), self.size.astype(np.uint64))
         plain = np.zeros(n + 1, np.int64)
         np.cumsum(~masked, out=plain[1:])
-        self.parsed = (self.size >= MIN_TOKENS) & (plain[to] > plain[self.first])
+        self.parsed = plain[to] > plain[self.first]
 
 
 def _leaves(batches):
@@ -159,9 +162,11 @@ def _cut(at: int, columns: list[str]):
                 for block in blocks(part):
                     x = Lines(block)
                     gone = _member(x.name, block.rows[x.doc], drop.view(np.uint64), drop_doc) & x.parsed
-                    for d in np.unique(x.doc[gone]).tolist():
+                    places, of = x.line[gone], x.doc[gone]
+                    hit = np.unique(of)
+                    for d, lo, hi in zip(hit.tolist(), np.searchsorted(of, hit), np.searchsorted(of, hit, side="right"), strict=True):
                         lines = block.buf[block.off[d] : block.off[d + 1]].tobytes().split(b"\n")
-                        out = set(x.line[gone & (x.doc == d)].tolist())
+                        out = set(places[lo:hi].tolist())
                         r = int(has[block.rows[d]])
                         new[r] = b"\n".join([v for i, v in enumerate(lines) if i not in out]).decode()
                         n_dropped[r] = len(out)
@@ -170,32 +175,34 @@ def _cut(at: int, columns: list[str]):
                     mask[list(new)] = True
                     texts = pc.replace_with_mask(texts, pa.array(mask), pa.array([new[r] for r in sorted(new)], texts.type))
             cols = [texts if i == at else b.column(i) for i in range(b.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(n_lines), pa.array(n_dropped)], [*columns, "_n_lines", "_n_dropped"])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(n_lines), pa.array(n_dropped)], columns)
 
     return run
 
 
-def _applied(docs: DataFrame, id_col: str, text_col: str, min_docs: int) -> DataFrame:
+def _applied(docs: DataFrame, id_col: str, text_col: str, min_docs: int) -> tuple[DataFrame, str, str]:
+    """``docs`` cut, with two more columns, and their names."""
     ws = Workspace(docs.sparkSession, "lines")
-    dropped = boilerplate(docs, id_col, text_col, ws, min_docs).select(F.col("id").alias("_id"), F.col("names").alias("_names"))
+    key, names, n_lines, n_dropped = fresh(docs.columns, "_id", "_names", "_n_lines", "_n_dropped")
+    dropped = boilerplate(docs, id_col, text_col, ws, min_docs).select(F.col("id").alias(key), F.col("names").alias(names))
     # Texts are joined by a shuffle at every size: hits grow with the input.
-    joined = docs.join(dropped.hint("merge"), F.col(id_col).cast("long") == F.col("_id"), "left").drop("_id")
+    joined = docs.join(dropped.hint("merge"), F.col(id_col).cast("long") == F.col(key), "left").drop(key)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return joined.mapInArrow(_cut(docs.columns.index(text_col), docs.columns), f"{fields}, _n_lines long, _n_dropped long")
+    cut = _cut(docs.columns.index(text_col), [*docs.columns, n_lines, n_dropped])
+    return joined.mapInArrow(cut, f"{fields}, {n_lines} long, {n_dropped} long"), n_lines, n_dropped
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None, min_docs: int = MIN_DOCS) -> DataFrame:
     """``docs`` without boilerplate lines; ``length_col`` follows the text."""
-    out = _applied(docs, id_col, text_col, min_docs)
+    out, _, n_dropped = _applied(docs, id_col, text_col, min_docs)
     if length_col:
         kind = docs.schema[length_col].dataType
-        out = out.withColumn(length_col, F.when(F.col("_n_dropped") > 0, F.length(text_col).cast(kind)).otherwise(F.col(length_col)))
+        out = out.withColumn(length_col, F.when(F.col(n_dropped) > 0, F.length(text_col).cast(kind)).otherwise(F.col(length_col)))
     return out.select(*docs.columns)
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
     """Per row: id, ``n_lines``, ``n_dropped``, ``kept_sha256`` of the text."""
     digest: Column = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
-    return _applied(docs.select(id_col, text_col), id_col, text_col, min_docs).select(
-        id_col, F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), digest.alias("kept_sha256")
-    )
+    out, n_lines, n_dropped = _applied(docs.select(id_col, text_col), id_col, text_col, min_docs)
+    return out.select(id_col, F.col(n_lines).alias("n_lines"), F.col(n_dropped).alias("n_dropped"), digest.alias("kept_sha256"))

@@ -13,8 +13,10 @@ rule every prefix of a unit has exactly one last token, and relaxing finds it.
 A unit is a run of word marks with the text up to the next one, which no piece
 crosses; line feeds stand alone.  Edge cases: null and empty texts have no
 tokens (and decode to null and empty); characters without a piece are their
-UTF-8 bytes' pieces; a literal word mark decodes to a space; very long units are
-merged one by one; only the named columns are read.
+UTF-8 bytes' pieces; a literal word mark decodes to a space; very long texts and
+units are indexed alone, in memory linear in their length; repeated rows are
+encoded alike; an empty table gives an empty result; other columns may have any
+names (one called as a result column is replaced).
 """
 
 from __future__ import annotations
@@ -27,10 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Units longer than this are merged one by one.
-LONG_UNIT = 48
+#: Characters of units that are indexed at once; a longer unit stands alone.
+INDEX_CHARS = 500_000
 #: Units and token pairs that a worker remembers; beyond it forgets them all.
 REMEMBER = 300_000
 #: Characters of documents handled at once.
@@ -151,7 +155,7 @@ class Encoder:
         return out
 
     def _match(self, units: list[str]) -> list[np.ndarray]:
-        """Token ids of units of at most LONG_UNIT characters."""
+        """Token ids of units."""
         size = np.array([len(u) for u in units])
         text = "\0".join(units) + "\0"
         codes = self._codes(text)
@@ -232,14 +236,16 @@ class Encoder:
         return [flat[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
     def _learn(self, new: list[str]) -> None:
-        plain = [u for u in new if len(u) <= LONG_UNIT and not u.startswith(MARK + MARK)]
         found: dict[str, np.ndarray] = {}
-        for i in range(0, len(plain), 60_000):
-            part = plain[i : i + 60_000]
-            found.update(zip(part, self._match(part), strict=True))
-        for u in new:
-            if u not in found:
-                found[u] = np.array(self.v.to_ids(self.v.merge(u)), np.int32)
+        part, chars = [], 0
+        # By length: relaxing takes as many steps as the longest unit has characters.
+        for u in sorted(new, key=len):
+            if part and chars + len(u) > INDEX_CHARS:
+                found.update(zip(part, self._match(part), strict=True))
+                part, chars = [], 0
+            part.append(u)
+            chars += len(u)
+        found.update(zip(part, self._match(part), strict=True))
         ids = [found[u] for u in new]
         size = np.array([len(x) for x in ids])
         base, n = len(self.flat), len(self.known)
@@ -320,7 +326,8 @@ def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, check: b
                 yield pa.RecordBatch.from_arrays(cols, [*rest, "token_ids", *["round_trip"] * check])
 
     comma = ", " if rest else ""
-    return docs.select(*rest, F.col(text_col).alias("_text")).mapInArrow(run, f"{fields}{comma}token_ids array<int>" + ", round_trip boolean" * check)
+    (text,) = fresh(rest, "_text")
+    return docs.select(*rest, F.col(text_col).alias(text)).mapInArrow(run, f"{fields}{comma}token_ids array<int>" + ", round_trip boolean" * check)
 
 
 def decode_documents(encoded: DataFrame, ids_col: str = "token_ids", text_col: str = "text", model: str = MODEL) -> DataFrame:

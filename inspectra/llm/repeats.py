@@ -634,7 +634,8 @@ def _marks(kind: Kind, pieces: DataFrame, ws: Workspace) -> DataFrame:
 
 
 def find(docs: DataFrame, kind: Kind, id_col: str, text_col: str, ws: Workspace) -> DataFrame:
-    """One row per input row: ``id, units, removed, spans (s, n), kept_sha``.
+    """One row per input row: ``id, th (hash of the text), units, removed,
+    spans (s, n), kept_sha``.
 
     Null texts are empty; a null id matches nothing and nothing matches it; rows
     that repeat an id are documents of equal rank that do not match each other.
@@ -680,6 +681,7 @@ def find(docs: DataFrame, kind: Kind, id_col: str, text_col: str, ws: Workspace)
     out = ws.save(
         facts.join(done, ["id", "th"], "left").select(
             "id",
+            "th",
             "units",
             F.coalesce("removed", F.lit(0)).cast("long").alias("removed"),
             F.coalesce("spans", F.array().cast(_SPAN_SQL)).alias("spans"),

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace
+from .common import Workspace, fresh
 from .repeats import Kind, cut, find
 
 WINDOW = 50
@@ -45,9 +45,12 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """``docs`` with the repeats cut; texts that lose words have single spaces
     between the remaining ones, other texts stay as they are."""
-    spans = find_repeats(docs, id_col, text_col, window).where("n_removed > 0").select(F.col(id_col).alias("_id"), F.col("spans").alias("_spans")).dropDuplicates(["_id"])
     kind, at, names = _kind(window), docs.columns.index(text_col), docs.columns
-    joined = docs.join(spans, F.col(id_col) == F.col("_id"), "left").drop("_id")
+    key, mark, spans = fresh(names, "_id", "_th", "_spans")
+    found = find(docs, kind, id_col, text_col, Workspace(docs.sparkSession, "substring")).where("removed > 0")
+    found = found.select(F.col("id").alias(key), F.col("th").alias(mark), F.col("spans").alias(spans)).dropDuplicates([key, mark])
+    same = (F.col(id_col).cast("long") == F.col(key)) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(mark))
+    joined = docs.join(found.hint("merge"), same, "left").drop(key, mark)
 
     def apply(batches):
         for b in batches:

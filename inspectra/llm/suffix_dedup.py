@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace
+from .common import Workspace, fresh
 from .repeats import Kind, cut, find
 
 THRESHOLD = 100
@@ -41,9 +41,7 @@ def _kind(threshold: int) -> Kind:
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """Per row: id, ``n_bytes``, ``n_removed``, ``spans`` (first byte ``s``,
     bytes ``n``), ``kept_sha256`` of the remaining bytes."""
-    ws = Workspace(docs.sparkSession, "suffix")
-    kind = _kind(threshold)
-    found = find(docs, kind, id_col, text_col, ws)
+    found = find(docs, _kind(threshold), id_col, text_col, Workspace(docs.sparkSession, "suffix"))
     return found.select(
         F.col("id").alias(id_col), F.col("units").alias("n_bytes"), F.col("removed").alias("n_removed"), "spans", F.col("kept_sha").alias("kept_sha256")
     )
@@ -52,10 +50,12 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """``docs`` with the repeats cut from the text; all columns stay. A text
     that loses part of a character keeps what is valid UTF-8."""
-    spans = find_repeats(docs, id_col, text_col, threshold).where("n_removed > 0").select(F.col(id_col).alias("_id"), F.col("spans").alias("_spans")).dropDuplicates(["_id"])
-    kind = _kind(threshold)
-    at, names = docs.columns.index(text_col), docs.columns
-    joined = docs.join(spans, F.col(id_col) == F.col("_id"), "left").drop("_id")
+    kind, at, names = _kind(threshold), docs.columns.index(text_col), docs.columns
+    key, mark, spans = fresh(names, "_id", "_th", "_spans")
+    found = find(docs, kind, id_col, text_col, Workspace(docs.sparkSession, "suffix")).where("removed > 0")
+    found = found.select(F.col("id").alias(key), F.col("th").alias(mark), F.col("spans").alias(spans)).dropDuplicates([key, mark])
+    same = (F.col(id_col).cast("long") == F.col(key)) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(mark))
+    joined = docs.join(found.hint("merge"), same, "left").drop(key, mark)
 
     def apply(batches):
         for b in batches:
