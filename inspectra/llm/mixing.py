@@ -3,20 +3,29 @@
 Documents are counted into cells (source, language, topic) first; the fit then
 runs on the cells' token sums alone, so a source with a third of all rows is a
 few cells.  Each round rakes the weights to one marginal after the other with
-window sums.  A document's probability is its cell's weight over its cell's tokens
-times a common scale, at most 1 (see :func:`probabilities`).  Whether a document is drawn
-depends on a hash of its id alone, so a repeated run draws the same documents.
+window sums, until the largest gap between a marginal and its target is below
+``TOLERANCE`` or shrinks no more (reported by a warning and by :func:`gap`).  A document's probability is
+its cell's weight over its cell's tokens times a common scale, at most 1; what
+cells at 1 cannot take goes to the others until the expected size is met or all
+are full (:func:`marginals` tells what that leaves of the targets).  Whether a
+document is drawn depends on a hash of its id alone, so a repeated run draws the
+same documents.
 
 Everything is built from DataFrame functions.
 
 Edge cases: null sources, languages and topics are categories of their own;
-null and empty texts have no tokens, weigh nothing and are not drawn; rows that
-repeat an id are drawn or left together; an empty table gives an empty result;
-a target category without tokens is left out and the others are rescaled.
+null and empty texts have no tokens, weigh nothing and are not drawn; very long
+texts are counted whole; rows that repeat an id are drawn or left together; an
+empty table gives an empty result; a target category without tokens is left out
+and the others are rescaled; columns of other names are never read, and
+:func:`filter_documents` hands them on under any names.
 """
 
 from __future__ import annotations
 
+import math
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,12 +34,15 @@ from .common import WORD, Workspace
 #: Target shares are token shares to this power, rescaled: 1 keeps the mix, 0
 #: makes categories equal.
 TEMPERATURE = {"source": 0.7, "lang": 0.7, "topic": 0.7}
-#: Rounds of raking, and the share of tokens that the sample aims at.
-ROUNDS, KEEP = 12, 0.6
-#: Rounds of handing on what cells at probability 1 cannot take.
+#: Rounds of raking at least; the gap between a marginal and its target that ends
+#: it; the share of tokens that the sample aims at.
+ROUNDS, TOLERANCE, KEEP = 12, 1e-10, 0.6
+#: Rounds of handing on what cells at probability 1 cannot take that the SQL
+#: writes out; the operator goes on until nothing changes.
 CAP_ROUNDS = 6
-#: What marks a text as code.
-CODE = r"[A-Za-z_]+\(|[{};]\s*\n"
+#: What marks a text as code, and words of licences and notices.
+CODE = r"[A-Za-z_]\(|[{};]\s*\n"
+LEGAL = ("icense", "LICENSE", "opyright", "COPYRIGHT", "ights reserved", "arranty")
 AXES = ("source", "lang", "topic")
 
 
@@ -39,14 +51,18 @@ def tokens(text: Column) -> Column:
 
 
 def topic_of(text: Column) -> Column:
-    """Content class from surface form: the topic of tables without one."""
-    head = F.coalesce(text, F.lit(""))
+    """Content class of tables without one, from what stands in the text: rows of
+    cells, code, licences and notices, addresses and contacts, else prose."""
+    t = F.coalesce(text, F.lit(""))
+    legal = F.lit(False)
+    for w in LEGAL:
+        legal = legal | t.contains(w)
     return (
-        F.when(F.instr(head, " | ") > 0, "table")
-        .when(head.rlike(CODE), "code")
-        .when(F.length(head) >= 4000, "long")
-        .when(F.length(head) >= 1000, "medium")
-        .otherwise("short")
+        F.when(t.contains(" | "), "table")
+        .when(t.rlike(CODE), "code")
+        .when(legal, "legal")
+        .when(t.contains("@") | t.contains("://"), "contact")
+        .otherwise("prose")
     )
 
 
@@ -60,10 +76,10 @@ def oracle(table: str = "documents", rounds: int = ROUNDS, keep: float = KEEP) -
     w = r"[^\x20\x09-\x0D]+"
     ctes = [
         f"""m as (select doc_id, source, lang, coalesce(len(regexp_extract_all("text", '{w}')), 0)::bigint n_tokens,
-          case when position(' | ' in coalesce("text", '')) > 0 then 'table'
+          case when contains(coalesce("text", ''), ' | ') then 'table'
                when regexp_matches(coalesce("text", ''), '{CODE}') then 'code'
-               when length(coalesce("text", '')) >= 4000 then 'long'
-               when length(coalesce("text", '')) >= 1000 then 'medium' else 'short' end topic from {table})""",
+               when {" or ".join(f"contains(coalesce(text, ''), '{w}')" for w in LEGAL)} then 'legal'
+               when contains(coalesce("text", ''), '@') or contains(coalesce("text", ''), '://') then 'contact' else 'prose' end topic from {table})""",
         "c as (select source, lang, topic, sum(n_tokens)::double n_tokens from m group by all having sum(n_tokens) > 0)",
     ]
     for a in AXES:
@@ -111,10 +127,22 @@ def _number(df: DataFrame, *what: Column) -> tuple[float, ...]:
     return tuple(float(x or 0.0) for x in df.agg(*what).first())
 
 
-def rake(c: DataFrame, ws: Workspace, targets: dict[str, dict] | None = None, rounds: int = ROUNDS) -> DataFrame:
-    """``weight`` per cell: token mass (summing to 1) fitted to the marginals.
+def gap(fitted: DataFrame) -> float:
+    """Largest difference between a marginal of the weights and its target."""
+    gaps = [fitted.groupBy(a).agg(F.abs(F.sum("weight") - F.first(f"t_{a}")).alias("gap")).select("gap") for a in AXES]
+    every = gaps[0].unionAll(gaps[1]).unionAll(gaps[2])
+    return _number(every, F.max("gap"))[0]
+
 
-    ``targets`` may name shares by axis; other axes use TEMPERATURE."""
+def rake(c: DataFrame, ws: Workspace, targets: dict[str, dict] | None = None, rounds: int = ROUNDS, strict: bool = False) -> DataFrame:
+    """``weight`` per cell: token mass (summing to 1) fitted to the marginals,
+    with the targets as ``t_<axis>``.
+
+    ``targets`` may name shares by axis; other axes use TEMPERATURE. At least
+    ``rounds`` rounds, then on while the gap is above TOLERANCE and halves in
+    three rounds; where it does not (cells that are missing can make targets
+    contradict each other), the weights so far are the fit, with a warning, or
+    an error if ``strict``."""
     live = c.where("n_tokens > 0")
     (total,) = _number(live, F.sum("n_tokens"))
     live = live.withColumn("weight", F.col("n_tokens") / F.lit(total or 1.0))
@@ -123,31 +151,60 @@ def rake(c: DataFrame, ws: Workspace, targets: dict[str, dict] | None = None, ro
         (scale,) = _number(share, F.sum("share"))
         own = Window.partitionBy(a)
         live = live.withColumn("total", F.sum("n_tokens").over(own)).withColumn(f"t_{a}", _share(a, (targets or {}).get(a)) / F.lit(scale or 1.0)).drop("total")
-    live = ws.save(live, "cells")
-    for r in range(rounds):
-        nxt = live
-        for a in AXES:
-            have = F.sum("weight").over(Window.partitionBy(a))
-            nxt = nxt.withColumn("weight", F.when(have > 0, F.col("weight") * F.col(f"t_{a}") / have).otherwise(F.lit(0.0)))
-        if r % 3 == 2 or r == rounds - 1:
-            nxt = ws.save(nxt, "raked")
-            ws.drop(live)
-        live = nxt
+    live, done, before = ws.save(live, "cells"), 0, math.inf
+    while True:
+        nxt, step = live, min(3, rounds - done) if done < rounds else 3
+        for _ in range(step):
+            for a in AXES:
+                have = F.sum("weight").over(Window.partitionBy(a))
+                nxt = nxt.withColumn("weight", F.when(have > 0, F.col("weight") * F.col(f"t_{a}") / have).otherwise(F.lit(0.0)))
+        nxt = ws.save(nxt, "raked")
+        ws.drop(live)
+        live, done = nxt, done + step
+        if done < rounds - 3:
+            continue
+        now = gap(live)
+        if done >= rounds and (now <= TOLERANCE or now > before / 2):
+            break
+        before = now
+    if now > TOLERANCE:
+        text = f"the marginals cannot be met together: a gap of {now:.3g} after {done} rounds"
+        if strict:
+            raise ValueError(text)
+        warnings.warn(text, stacklevel=2)
     return live
 
 
-def probabilities(fitted: DataFrame, keep: float = KEEP, rounds: int = CAP_ROUNDS) -> DataFrame:
+def probabilities(fitted: DataFrame, keep: float = KEEP) -> DataFrame:
     """``probability`` per cell: proportional to weight over tokens, scaled so
     that the expected sample holds ``keep`` of all tokens; what cells at 1
-    cannot take is handed to the others, ``rounds`` times."""
+    cannot take is handed to the others until the scale stays."""
     ratio, scale = F.col("weight") / F.col("n_tokens"), 0.0
     (total,) = _number(fitted, F.sum("n_tokens"))
-    for _ in range(rounds):
+    while True:
         full = ratio * F.lit(scale) >= 1
         taken, mass = _number(fitted, F.sum(F.when(full, F.col("n_tokens")).otherwise(0)), F.sum(F.when(full, 0.0).otherwise(F.col("weight"))))
-        if mass > 0:
-            scale = max(scale, (keep * total - taken) / mass)
-    return fitted.select(*AXES, "n_docs", "n_tokens", "weight", F.round(F.least(F.lit(1.0), ratio * F.lit(scale)), 9).alias("probability"))
+        larger = max(scale, (keep * total - taken) / mass) if mass > 0 else scale
+        if larger <= scale * (1 + 1e-15):
+            break
+        scale = larger
+    targets = [f"t_{a}" for a in AXES if f"t_{a}" in fitted.columns]
+    return fitted.select(*AXES, "n_docs", "n_tokens", "weight", *targets, F.round(F.least(F.lit(1.0), ratio * F.lit(scale)), 9).alias("probability"))
+
+
+def marginals(p: DataFrame) -> DataFrame:
+    """Per axis and category of fitted cells: the target share of tokens, the
+    raked share, and the share of the expected sample (which falls short of the
+    target where cells are at probability 1)."""
+    expected = F.col("n_tokens") * F.col("probability")
+    (size,) = _number(p, F.sum(expected))
+    parts = [
+        p.groupBy(F.lit(a).alias("axis"), F.col(a).cast("string").alias("category")).agg(
+            F.first(f"t_{a}").alias("target"), F.sum("weight").alias("raked"), (F.sum(expected) / F.lit(size or 1.0)).alias("expected"), F.max(F.col("probability") >= 1).alias("capped")
+        )
+        for a in AXES
+    ]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
 
 
 def _measures(text_col: str, source_col: str, lang_col: str, topic: Column | None) -> list[Column]:
@@ -207,6 +264,8 @@ def filter_documents(
     ws = Workspace(docs.sparkSession, "mixing")
     measures = _measures(text_col, source_col, lang_col, topic)
     p = _fitted(docs.select(*measures), ws, targets, keep)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.struct(*measures).alias("m"), draw(F.col(id_col)).alias("u"))
+    # Words were counted once; here a text needs its cell, and any word at all.
+    cell = F.struct(*measures[:3])
+    rows = docs.select(F.struct(*docs.columns).alias("row"), cell.alias("m"), draw(F.col(id_col)).alias("u"), F.col(text_col).rlike(r"[^\x20\x09-\x0D]").alias("filled"))
     joined = rows.join(p.alias("p"), _cell("m") == _cell("p"))
-    return joined.where("m.n_tokens > 0 and u < p.probability").select("row.*")
+    return joined.where("filled and u < p.probability").select("row.*")

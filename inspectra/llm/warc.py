@@ -4,20 +4,25 @@ An archive is a folder of three Parquet tables:
 
 ``payloads``  one row per distinct payload: strong digest (SHA-256), bytes;
 ``headers``   one row per record: id, the exact header block, the payload's
-              strong digest, record type, and the id a revisit refers to;
+              strong digest, and whether the record is a response;
 ``info``      format version.
 
-Records are rebuilt by joining the two on the digest, and a payload is hashed
-again when it is read: bytes that do not match their digest raise.  Payload
-bytes cross the network once, for the payloads' table; everything else moves
-digests only, so a payload shared by a third of all records stays one row.
-
-Edge cases: a null payload is empty; payloads shorter than ``min_revisit``
-bytes are stored once but each of their records is a response; equal payloads
-refer to the record with the smallest id; rows with a null id are archived as
-responses that nobody refers to; rows that repeat an id refer to themselves
-only by type (the first is the response, the others revisit it); a null URL
-leaves the target header out, and line breaks in it are percent-encoded.
+Records are rebuilt by joining the two on the digest and read from their bytes:
+what a reader returns comes out of the header block, a response's payload is
+hashed again, and a revisit is joined with the record that it names.  A missing
+or damaged payload, or a header that says something else, raises.  Payload bytes
+cross the network once in writing and once in reading; everything else moves
+digests only, so a payload shared by a third of all records stays one row, and
+the joins by digest or record are plain ones whose hot keys Spark can split.
+
+Edge cases: a null payload is empty; very long payloads are one value of their
+row; payloads shorter than ``min_revisit`` bytes are stored once but each of
+their records is a response; equal payloads refer to the record with the smallest
+id; rows with a null id are archived as responses that nobody refers to; rows
+that repeat an id have record ids of their own, and where they repeat the payload
+too, one is the response; a null URL leaves the target header out, and line
+breaks in it are percent-encoded; an empty table gives an empty archive; other
+columns are never read and may have any names.
 """
 
 from __future__ import annotations
@@ -27,9 +32,11 @@ import hashlib
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import Workspace
+
 VERSION = "WARC/1.1"
 #: Payloads of fewer bytes are never revisited.
 MIN_REVISIT = 0
@@ -63,91 +70,97 @@ def write_archive(
 ) -> None:
     """Write one record per row of ``pages`` below ``path``."""
     spark = pages.sparkSession
-    rows = pages.select(
-        F.col(id_col).cast("string").alias("key"), F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(F.encode(F.col(payload_col), "UTF-8"), F.lit(b"")).alias("payload")
-    )
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(F.encode(F.col(payload_col), "UTF-8"), F.lit(b"")).alias("payload"))
+    keyed = rows.select("id", F.unhex(F.sha2("payload", 256)).alias("digest"), "payload")
 
     def digests(batches):
         for b in batches:
             p = [v or b"" for v in b.column("payload").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("key"), b.column("id"), b.column("url"), pa.array([len(x) for x in p], pa.int64()), pa.array([hashlib.sha256(x).digest() for x in p], pa.binary()), pa.array([block_digest(x) for x in p])],
-                ["key", "id", "url", "length", "digest", "sha1"],
+                [b.column("id"), b.column("url"), pa.array([len(x) for x in p], pa.int64()), pa.array([hashlib.sha256(x).digest() for x in p], pa.binary()), pa.array([block_digest(x) for x in p])],
+                ["id", "url", "length", "digest", "sha1"],
             )
 
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{path}/_{name}")
+        return spark.read.parquet(f"{path}/_{name}")
+
     kind = pages.schema[id_col].dataType.simpleString()
-    rows.mapInArrow(digests, f"key string, id {kind}, url string, length long, digest binary, sha1 string").write.parquet(f"{path}/_staged")
-    staged = spark.read.parquet(f"{path}/_staged")
-    first = staged.groupBy("digest").agg(F.min("id").alias("first"), F.max("length").alias("length"))
+    # The number tells rows apart that repeat an id; it is written, so it stays.
+    staged = kept(rows.mapInArrow(digests, f"id {kind}, url string, length long, digest binary, sha1 string").withColumn("row", F.monotonically_increasing_id()), "staged")
+    first = staged.where("id is not null").groupBy("digest").agg(F.min(F.struct("id", "row")).alias("f"))
+    first = kept(first.select("digest", F.col("f.id").alias("first_id"), F.col("f.row").alias("first_row")), "first")
+    nameless = kept(staged.where("id is null").select("digest").distinct().join(first, "digest", "left_anti"), "nameless")
+    n_first, n_nameless = first.count(), nameless.count()
+    repeats = staged.where("id is not null").groupBy("id", "digest").count().where("count > 1").limit(1).count() > 0
 
     # Payload bytes move once, to the row that keeps them.
-    keepers = staged.where("id is not null").join(first.withColumnRenamed("first", "id").select("id", "digest"), ["id", "digest"], "left_semi").select("id", "digest").distinct()
-    nameless = staged.where("id is null").join(first.where("first is null").select("digest"), "digest", "left_semi")
-    stored = rows.where("id is not null").join(keepers, "id").select("digest", "payload")
-
-    def verified(batches):
-        for b in batches:
-            d, p = b.column("digest").to_pylist(), b.column("payload").to_pylist()
-            yield b.filter(pa.array([hashlib.sha256(x).digest() == y for x, y in zip(p, d, strict=True)]))
-
-    shape = "digest binary, payload binary"
-    stored = stored.mapInArrow(verified, shape)
-    repeated = staged.where("id is not null").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count() > 0
-    orphans = nameless.limit(1).count() > 0
-    if orphans:
-        extra = rows.where("id is null").select(F.unhex(F.sha2("payload", 256)).alias("digest"), "payload").join(nameless.select("digest").distinct(), "digest", "left_semi")
-        stored = stored.unionAll(extra)
-    if repeated or orphans:
-        # Only a table that repeats ids or lacks them needs this second pass.
+    stored = keyed.where("id is not null").join(first.select(F.col("first_id").alias("id"), "digest"), ["id", "digest"], "left_semi").select("digest", "payload")
+    if repeats:
         stored = stored.dropDuplicates(["digest"])
+    if n_nameless:
+        lonely = keyed.where("id is null").select("digest", "payload").join(nameless, "digest", "left_semi")
+        stored = stored.unionAll(lonely.dropDuplicates(["digest"]))
     stored.write.option("compression", "zstd").parquet(f"{path}/payloads")
+    if spark.read.parquet(f"{path}/payloads").count() != n_first + n_nameless:
+        raise RuntimeError("not every payload was stored once")
 
-    placed = staged.join(first.withColumnRenamed("length", "_length"), "digest")
-    if repeated:
-        turn = Window.partitionBy("id", "digest").orderBy("url")
-        placed = placed.withColumn("turn", F.row_number().over(turn))
-    else:
-        placed = placed.withColumn("turn", F.lit(1))
-    response = F.col("id").isNull() | ((F.col("id") == F.col("first")) & (F.col("turn") == 1)) | (F.col("length") < min_revisit)
-    placed = placed.withColumn("record_type", F.when(response, "response").otherwise("revisit")).withColumn(
-        "refers_to", F.when(F.col("record_type") == "revisit", F.col("first"))
-    )
+    response = F.col("id").isNull() | ((F.col("id") == F.col("first_id")) & (F.col("row") == F.col("first_row"))) | (F.col("length") < min_revisit)
+    placed = staged.join(first, "digest", "left").withColumn("record_type", F.when(response, "response").otherwise("revisit"))
 
     def headers(batches):
+        names = ("id", "row", "url", "length", "sha1", "record_type", "first_id", "first_row")
         for b in batches:
-            cols = {n: b.column(n).to_pylist() for n in ("key", "url", "length", "sha1", "record_type", "refers_to")}
             out = [
-                header_block(t, k if k is not None else "null", u, s, n, None if r is None else str(r), DATE)
-                for k, u, n, s, t, r in zip(cols["key"], cols["url"], cols["length"], cols["sha1"], cols["record_type"], cols["refers_to"], strict=True)
+                header_block(t, f"{i}/{r}", u, s, n, f"{fi}/{fr}", DATE)
+                for i, r, u, n, s, t, fi, fr in zip(*(b.column(c).to_pylist() for c in names), strict=True)
             ]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array(out, pa.binary()), b.column("digest"), b.column("record_type"), b.column("refers_to")], ["id", "header", "digest", "record_type", "refers_to"]
-            )
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(out, pa.binary()), b.column("digest"), b.column("record_type")], ["id", "header", "digest", "record_type"])
 
-    placed.mapInArrow(headers, f"id {kind}, header binary, digest binary, record_type string, refers_to {kind}").write.option("compression", "zstd").parquet(f"{path}/headers")
+    placed.mapInArrow(headers, f"id {kind}, header binary, digest binary, record_type string").write.option("compression", "zstd").parquet(f"{path}/headers")
     spark.createDataFrame([(VERSION, 1)], "version string, layout int").coalesce(1).write.parquet(f"{path}/info")
-    jvm = spark._jvm
-    at = jvm.org.apache.hadoop.fs.Path(f"{path}/_staged")
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    for name in ("staged", "first", "nameless"):
+        at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_{name}")
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def _checked(batches):
+def _read_back(batches):
+    """Records rebuilt from header and payload, and what their bytes say."""
     for b in batches:
-        d, p = b.column("digest").to_pylist(), b.column("payload").to_pylist()
-        for x, y in zip(p, d, strict=True):
-            if hashlib.sha256(x).digest() != y:
-                raise ValueError(f"payload does not match its digest {y.hex()}")
-        yield pa.RecordBatch.from_arrays(
-            [b.column("digest"), pa.array([len(x) for x in p], pa.int64()), pa.array([block_digest(x) for x in p])], ["digest", "payload_bytes", "payload_digest"]
-        )
+        out = {n: [] for n in ("record_id", "payload_bytes", "payload_digest", "record_type", "refers")}
+        columns = (b.column(c).to_pylist() for c in ("header", "payload", "digest", "record_type"))
+        for header, payload, digest, kind in zip(*columns, strict=True):
+            if kind == "response" and payload is None:
+                raise ValueError(f"no payload for digest {digest.hex()}")
+            if kind == "response" and hashlib.sha256(payload).digest() != digest:
+                raise ValueError(f"payload does not match its digest {digest.hex()}")
+            fields, content = parse_record(header + (payload if kind == "response" else b"") + b"\r\n\r\n")
+            sha1 = fields["WARC-Payload-Digest"].removeprefix("sha1:")
+            if fields["WARC-Type"] != kind or (kind == "response" and block_digest(content) != sha1):
+                raise ValueError(f"record {fields['WARC-Record-ID']} does not match its header")
+            for name, v in zip(out, (fields["WARC-Record-ID"], len(content), sha1, fields["WARC-Type"], fields.get("WARC-Refers-To")), strict=True):
+                out[name].append(v)
+        kinds = {"payload_bytes": pa.int64()}
+        cols = [pa.array(v, kinds.get(k, pa.string())) for k, v in out.items()]
+        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("header"), *cols], ["id", "header", *out])
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Per record: id, ``payload_bytes``, ``payload_digest``, ``record_type``,
-    ``refers_to``, ``header``. The payloads are read and verified once each."""
-    facts = spark.read.parquet(f"{path}/payloads").mapInArrow(_checked, "digest binary, payload_bytes long, payload_digest string")
-    heads = spark.read.parquet(f"{path}/headers")
-    return heads.join(facts, "digest").select("id", "payload_bytes", "payload_digest", "record_type", "refers_to", "header")
+    """Per record, read from its rebuilt bytes: id, ``payload_bytes``,
+    ``payload_digest``, ``record_type``, ``refers_to``, ``header``."""
+    heads, stored = spark.read.parquet(f"{path}/headers"), spark.read.parquet(f"{path}/payloads")
+    kind = heads.schema["id"].dataType.simpleString()
+    shape = f"id {kind}, header binary, record_id string, payload_bytes long, payload_digest string, record_type string, refers string"
+    whole = heads.where("record_type = 'response'").join(stored, "digest", "left").select("id", "header", "payload", "digest", "record_type")
+    bare = heads.where("record_type <> 'response'").select("id", "header", F.lit(None).cast("binary").alias("payload"), "digest", "record_type")
+    ws = Workspace(spark, "records")
+    responses = ws.save(whole.mapInArrow(_read_back, shape), "responses")
+    theirs = responses.select(F.col("record_id").alias("refers"), F.col("id").alias("refers_to"), F.col("payload_bytes").alias("n"), F.col("payload_digest").alias("sha1"))
+    revisits = bare.mapInArrow(_read_back, shape).join(theirs, "refers", "left")
+    sound = F.coalesce(F.col("sha1") == F.col("payload_digest"), F.lit(False))
+    n = F.when(sound, F.col("n")).otherwise(F.raise_error(F.concat(F.lit("revisit does not match record "), F.coalesce("refers", F.lit("")))).cast("long"))
+    out = ("id", "payload_bytes", "payload_digest", "record_type", "refers_to", "header")
+    return responses.withColumn("refers_to", F.lit(None).cast(kind)).select(*out).unionAll(revisits.withColumn("payload_bytes", n).select(*out))
 
 
 def reconstruct(spark: SparkSession, path: str) -> DataFrame:

@@ -55,3 +55,42 @@ def test_plan_is_native(spark):
     docs = spark.createDataFrame(edge_documents(), SCHEMA)
     plan = mixing.sample(docs)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_marginals_after_capping(spark):
+    """Raked shares meet their targets; categories without a cell at probability
+    1 keep their proportions among each other only as far as capping allows, and
+    the report says by how much the sample misses."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    ws = Workspace(spark, "t")
+    measured = docs.select(*mixing._measures("text", "source", "lang", None))
+    fitted = mixing.rake(mixing.cells(measured), ws)
+    assert mixing.gap(fitted) <= mixing.TOLERANCE
+    p = mixing.probabilities(fitted)
+    m = mixing.marginals(p).toPandas()
+    assert (m.raked - m.target).abs().max() < 1e-8
+    assert set(m[m.axis == "topic"].category) >= {"prose", "contact"}
+    for _, part in m.groupby("axis"):
+        assert abs(part.target.sum() - 1) < 1e-9 and abs(part.expected.sum() - 1) < 1e-6
+    # Where nothing is capped the sample meets the target.
+    free = mixing.marginals(mixing.probabilities(fitted, keep=0.01)).toPandas()
+    assert not free.capped.any() and (free.expected - free.target).abs().max() < 1e-4
+
+
+def test_unreachable_targets_are_reported(spark):
+    import pytest
+
+    c = spark.createDataFrame([("a", "x", "p", 1, 10), ("b", "y", "p", 1, 10)], "source string, lang string, topic string, n_docs long, n_tokens long")
+    targets = {"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.1, "y": 0.9}}
+    with pytest.raises(ValueError, match="cannot be met"):
+        mixing.rake(c, Workspace(spark, "t"), targets, strict=True)
+    with pytest.warns(UserWarning, match="cannot be met"):
+        mixing.rake(c, Workspace(spark, "t"), targets)
+
+
+def test_filter_with_clashing_names_and_long_text(spark):
+    rows = [(i, "word " * (400_000 if i == 3 else 50), "en", "s", 1, 2, "u") for i in range(20)] + [(50, " ", "en", "s", 1, 2, "u"), (51, None, "en", "s", 1, 2, "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, row int, m int, u string")
+    out = mixing.filter_documents(docs)
+    drawn = {r.doc_id for r in mixing.sample(docs).where("sampled").collect()}
+    assert out.columns == docs.columns and {r.doc_id for r in out.collect()} == drawn

@@ -86,3 +86,30 @@ def test_empty_table_and_query(spark, tmp_path, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     want = expected([(r.page_id, r.url, r.html) for r in pages.collect()])
     assert sorted((tuple(r)[:5] for r in queries.op1_warc_archive(spark, sf_dir).collect()), key=repr) == want
+
+
+def test_record_ids_are_unique_and_headers_count(spark, archive):
+    """Rows that repeat an id have records of their own; what the reader returns
+    comes from the header's bytes, so a wrong header is noticed."""
+    heads = spark.read.parquet(f"{archive}/headers").collect()
+    ids = [bytes(r.header).split(b"WARC-Record-ID: ")[1].split(b"\r\n")[0] for r in heads]
+    assert len(set(ids)) == len(ROWS)
+    wrong = [(r.id, bytes(r.header).replace(b"WARC-Type: revisit", b"WARC-Type: metadata"), bytes(r.digest), r.record_type) for r in heads]
+    spark.createDataFrame(wrong, spark.read.parquet(f"{archive}/headers").schema).write.mode("overwrite").parquet(f"{archive}/headers")
+    with pytest.raises(Exception, match="does not match"):
+        warc.read_records(spark, archive).collect()
+
+
+def test_lost_payload_is_noticed(spark, archive):
+    left = spark.read.parquet(f"{archive}/payloads").collect()[1:]
+    spark.createDataFrame(left, "digest binary, payload binary").write.mode("overwrite").parquet(f"{archive}/payloads")
+    with pytest.raises(Exception, match="no payload"):
+        warc.read_records(spark, archive).collect()
+
+
+def test_long_payload_and_clashing_names(spark, tmp_path):
+    path = f"file://{tmp_path}/long"
+    rows = [(1, "u", "z" * 20_000_000, 1, "a"), (2, None, "z" * 20_000_000, 2, "b")]
+    warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string, id int, digest string"), path)
+    got = sorted(tuple(r)[:5] for r in warc.read_records(spark, path).collect())
+    assert got == [(1, 20_000_000, b32(b"z" * 20_000_000), "response", None), (2, 20_000_000, b32(b"z" * 20_000_000), "revisit", 1)]
