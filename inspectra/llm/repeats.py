@@ -574,15 +574,49 @@ def _probes(kind: Kind, part: int):
     return run
 
 
+def _met(block: int):
+    """Rows sorted by (b, id, at): places of the blocks that one document has in
+    the index and a later one holds, from the first such document on. A block
+    that may still be met holds back the places of one document at most."""
+    shape = pa.schema([("id", pa.int64()), ("at", pa.int64())])
+
+    def run(batches):
+        last, live, kept = None, False, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            b, ids, at = (batch.column(c).to_numpy() for c in ("b", "id", "at"))
+            if kept is not None and last == b[0]:
+                b, ids, at = (np.concatenate(x) for x in zip(kept, (b, ids, at), strict=True))
+            new = np.ones(len(b), bool)
+            new[1:] = b[1:] != b[:-1]
+            first = np.flatnonzero(new)
+            group = np.cumsum(new) - 1
+            none = np.iinfo(np.int64).max
+            low = np.minimum.reduceat(np.where(at % block == 0, ids, none), first)
+            high = ids[np.append(first[1:], len(b)) - 1]
+            met = low < high
+            if live and last == b[0]:
+                met[0], low[0] = True, np.iinfo(np.int64).min
+            ok = met[group] & (ids >= low[group])
+            live, last, kept = bool(met[-1]), b[-1], None
+            if not live:
+                tail = (group == group[-1]) & (ids == ids[-1])
+                kept = b[tail], ids[tail], at[tail]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[ok]), pa.array(at[ok])], schema=shape)
+
+    return run
+
+
 def _block_hits(texts: DataFrame, kind: Kind, ws: Workspace) -> DataFrame:
     """``(id, shared)``: places of the blocks that are indexed in one document
-    and probed by a later one. A slice is dealt by block once; index and probes
-    meet there, and the index side alone is hashed for the join."""
+    and probed by a later one. Index and probes of a slice are dealt by block
+    once and met in sorted order."""
     found = None
     for part in range(SLICES):
-        probes = texts.where("id is not null").select("id", "text").mapInArrow(_probes(kind, part), "b long, id long, at long").repartition("b")
-        index = probes.groupBy("b").agg(F.min(F.when(F.col("at") % kind.block == 0, F.col("id"))).alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("b")
-        hits = ws.save(probes.join(index.hint("shuffle_hash"), "b", "left_semi").select("id", "at"), "hits")
+        probes = texts.where("id is not null").select("id", "text").mapInArrow(_probes(kind, part), "b long, id long, at long")
+        met = probes.repartition("b").sortWithinPartitions("b", "id", "at").mapInArrow(_met(kind.block), "id long, at long")
+        hits = ws.save(met, "hits")
         free_shuffles(texts.sparkSession)
         found = hits if found is None else found.unionAll(hits)
     return found.groupBy("id").agg(F.collect_set("at").alias("shared"))
