@@ -17,7 +17,12 @@ confirm its close pairs and send one edge for each linked document.  Buckets and
 groups of more than ``BLOCK`` documents are split into blocks, each pair of
 blocks being one piece of bounded size.
 
-Edge cases: null and empty texts have no shingles and link with nothing; a
+Shingles are compared by 64-bit keyed hashes of their words (see
+:mod:`.textscan`), so a set is confirmed up to a chance of 2**-64 a pair of
+shingles.
+
+Edge cases: null and empty texts have no shingles and link with nothing; very
+long texts are a block of their own, in memory linear in their length; a
 null id links with nothing and is kept; rows that repeat an id are one document
 and share its component; an empty table gives an empty result.  Only the named
 columns are read, so extra columns never clash.
@@ -295,8 +300,10 @@ def _blocks_of(rows: DataFrame) -> DataFrame:
 
 
 def _in_groups(rows: DataFrame, work, with_sets: bool, how: Scheme) -> DataFrame:
+    # A fixed number of partitions: the work is in the groups, not in their bytes.
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        rows.repartition("g", "bi", "bj").sortWithinPartitions("g", "bi", "bj", "id").mapInArrow(_components_of_groups(work, with_sets, how), "a long, b long").distinct()
+        rows.repartition(n, "g", "bi", "bj").sortWithinPartitions("g", "bi", "bj", "id").mapInArrow(_components_of_groups(work, with_sets, how), "a long, b long").distinct()
     )
 
 

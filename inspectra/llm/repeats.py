@@ -216,19 +216,26 @@ def _structs(doc: np.ndarray, n: int, kind: pa.ListType, fields) -> pa.ListArray
     return pa.ListArray.from_arrays(pa.array(border), pa.StructArray.from_arrays(columns, fields=list(inner)))
 
 
-def _block_runs(u: Units, doc: np.ndarray, inside: np.ndarray):
-    """Runs of the windows that hold the blocks at the given places; places
-    past a document's end (of another row with its id) are left out."""
-    kind, at = u.kind, u.first[doc] + inside
+def _block_runs(u: Units, doc: np.ndarray, coded: np.ndarray):
+    """Runs of the windows that hold the blocks at the given places, each twice
+    its place plus one if the document has the block elsewhere too; places past a
+    document's end (of another row with its id) are left out."""
+    kind, at = u.kind, u.first[doc] + (coded >> 1)
     ok = at + kind.block <= u.first[doc + 1]
-    at, doc = at[ok], doc[ok]
+    at, doc, more = at[ok], doc[ok], (coded[ok] & 1) > 0
+    g = u.grams(kind.block) if len(at) else np.zeros(0, np.uint64)
+    if more.any():
+        every = _counted(u.first[hit := np.unique(doc[more])], np.maximum(np.diff(u.first)[hit] - kind.block + 1, 0))
+        of = u.document(every)
+        again = every[_member(g[every], of, g[at[more]], doc[more])]
+        at = np.union1d(at, again)
+        doc = u.document(at)
     start = np.maximum(at - (kind.w - kind.block), u.first[doc])
     stop = np.minimum(at, u.first[doc + 1] - kind.w)
     ok = stop >= start
     at, start, stop = at[ok], start[ok], stop[ok]
     order = np.argsort(start, kind="stable")
-    head = u.grams(kind.block)[at[order]] if len(at) else np.zeros(0, np.uint64)
-    return start[order], stop[order], head
+    return start[order], stop[order], g[at[order]]
 
 
 def _find_runs(kind: Kind):
@@ -554,7 +561,9 @@ def _cover(kind: Kind):
 
 def _probes(kind: Kind, part: int):
     """Every rolling block of every document with a window, for one slice of the
-    hashes. Those at multiples of the block length are the index."""
+    hashes. Those at multiples of the block length are the index. Equal blocks of
+    a document are one row: four times the first place, plus 2 if there are
+    others, plus 1 if one is in the index."""
     shape = pa.schema([(c, pa.int64()) for c in ("b", "id", "at")])
 
     def run(batches):
@@ -563,18 +572,29 @@ def _probes(kind: Kind, part: int):
             for block in blocks(b.column("text")):
                 u = Units(block, kind)
                 g = u.grams(kind.block)
-                ok = inside_documents(u.first, kind.block, u.n) & (g % _U(SLICES) == part)
-                at = np.flatnonzero(ok)
+                at = np.flatnonzero(inside_documents(u.first, kind.block, u.n) & (g % _U(SLICES) == part))
                 doc = u.document(at)
-                long = np.diff(u.first)[doc] >= kind.w if len(at) else ok[:0]
+                long = np.diff(u.first)[doc] >= kind.w if len(at) else np.zeros(0, bool)
                 at, doc = at[long], doc[long]
-                if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array(g[at].view(np.int64)), pa.array(ids[block.rows[doc]]), pa.array(at - u.first[doc])], schema=shape)
+                if not len(at):
+                    continue
+                value = g[at]
+                order = np.argsort(joined(value, doc.astype(np.uint64)), kind="stable")
+                v, d, t = value[order], doc[order], at[order]
+                new = np.ones(len(v), bool)
+                new[1:] = (v[1:] != v[:-1]) | (d[1:] != d[:-1])
+                head = np.flatnonzero(new)
+                inside = t - u.first[d]
+                fixed = np.logical_or.reduceat(inside % kind.block == 0, head)
+                more = np.diff(np.append(head, len(v))) > 1
+                by = np.argsort(t[head], kind="stable")
+                coded = (inside[head] * 4 + more * 2 + fixed)[by]
+                yield pa.RecordBatch.from_arrays([pa.array(v[head][by].view(np.int64)), pa.array(ids[block.rows[d[head][by]]]), pa.array(coded)], schema=shape)
 
     return run
 
 
-def _met(block: int):
+def _met():
     """Rows sorted by (b, id, at): places of the blocks that one document has in
     the index and a later one holds, from the first such document on. A block
     that may still be met holds back the places of one document at most."""
@@ -593,7 +613,7 @@ def _met(block: int):
             first = np.flatnonzero(new)
             group = np.cumsum(new) - 1
             none = np.iinfo(np.int64).max
-            low = np.minimum.reduceat(np.where(at % block == 0, ids, none), first)
+            low = np.minimum.reduceat(np.where(at & 1 > 0, ids, none), first)
             high = ids[np.append(first[1:], len(b)) - 1]
             met = low < high
             if live and last == b[0]:
@@ -603,7 +623,7 @@ def _met(block: int):
             if not live:
                 tail = (group == group[-1]) & (ids == ids[-1])
                 kept = b[tail], ids[tail], at[tail]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[ok]), pa.array(at[ok])], schema=shape)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[ok]), pa.array(at[ok] >> 1)], schema=shape)
 
     return run
 
@@ -615,7 +635,7 @@ def _block_hits(texts: DataFrame, kind: Kind, ws: Workspace) -> DataFrame:
     found = None
     for part in range(SLICES):
         probes = texts.where("id is not null").select("id", "text").mapInArrow(_probes(kind, part), "b long, id long, at long")
-        met = probes.repartition("b").sortWithinPartitions("b", "id", "at").mapInArrow(_met(kind.block), "id long, at long")
+        met = probes.repartition("b").sortWithinPartitions("b", "id", "at").mapInArrow(_met(), "id long, at long")
         hits = ws.save(met, "hits")
         free_shuffles(texts.sparkSession)
         found = hits if found is None else found.unionAll(hits)

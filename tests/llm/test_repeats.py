@@ -119,3 +119,14 @@ def test_empty_and_removal(spark):
     for r in out.collect():
         n, gone = want[r.doc_id]
         assert len((r.text or "").encode()) <= n - gone
+
+
+def test_clashing_names(spark):
+    """Columns called like the operators' own, and rows that repeat an id."""
+    a = words(random.Random(1), 120)
+    rows = [(1, a, "x", "y", "z", 1), (2, a + " end of it", "x", "y", "z", 2), (2, "other", "x", "y", "z", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _id string, _spans string, _th string, id int")
+    for out in (suffix_dedup.remove(df), substring_dedup.remove(df)):
+        assert out.columns == df.columns
+        got = {r.id: r.text.strip() for r in out.collect()}
+        assert got[1] == a and got[3] == "other" and got[2].endswith("end of it") and len(got[2]) < 120
