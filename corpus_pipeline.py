@@ -2,7 +2,8 @@
 ``inspectra.llm`` applied to all that its predecessor kept.
 
 All stages but the last return the columns of ``documents``; the last returns
-token ids.  A stage's output is written as Parquet in the shared folder and read
+token ids.  Every stage takes null and empty texts, very long ones, repeated rows,
+empty tables and further columns of any names; each says what becomes of them.  A stage's output is written as Parquet in the shared folder and read
 again, so a lost executor repeats one stage's tasks at most.
 """
 
@@ -22,34 +23,43 @@ SIMILAR = 80
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the isolation forest."""
+    """Documents that pass the base rules and the isolation forest. Null, empty
+    and short texts fail the base rules and go; repeated rows are judged alike;
+    without labels the base rules alone decide; columns stay as they are."""
     ship(spark)
     return quality.filter_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines of recurring templates; every row stays."""
+    """Texts without the lines of recurring templates; every row stays, null
+    texts stay null, a text that loses every line becomes empty, ``n_chars``
+    follows; rows with a null id keep their lines."""
     ship(spark)
     return line_dedup.drop_lines(docs, length_col="n_chars")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of every group of near-duplicates."""
+    """The document of least id of every group of near-duplicates. Texts without
+    words and rows with a null id are in no group and stay; rows that repeat a
+    kept id all stay."""
     ship(spark)
     gone = neardup_text.link(docs, percent=SIMILAR).where("not kept").select("doc_id").distinct()
     return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose token shares follow the raked targets."""
+    """A sample whose token shares follow the raked targets. Texts without words
+    are never drawn; null sources and languages are categories of their own; rows
+    that repeat an id are drawn together."""
     return mixing.filter_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the documents that are left."""
+    """Token ids of the documents that are left, and whether decoding them gives
+    the text back. A null text has null ids and no tokens."""
     ship(spark)
-    return pieces.encode(docs.select("doc_id", "source", "lang", "text")).select(
-        "doc_id", "source", "lang", F.coalesce(F.size("token_ids"), F.lit(0)).cast("long").alias("n_tokens"), "token_ids"
+    return pieces.encode(docs.select("doc_id", "source", "lang", "text"), check=True).select(
+        "doc_id", "source", "lang", F.coalesce(F.size("token_ids"), F.lit(0)).cast("long").alias("n_tokens"), "token_ids", "round_trip"
     )
 
 
