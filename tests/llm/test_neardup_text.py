@@ -84,6 +84,6 @@ def test_regular_texts_do_not_collide(spark):
     and a very long text."""
     x, y = ("".join("ab"[(bin(i).count("1") + k) % 2] for i in range(1024)) for k in (0, 1))
     rows = [(1, x), (2, y), (3, " ".join([x] * 6)), (4, " ".join([y] * 6)), (5, "q w e r t y " * 500_000)]
-    got = neardup_text.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = nt.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert all(r.kept and r.component_id == r.doc_id for r in got)
     assert {r.doc_id: r.n_shingles for r in got} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 6}
