@@ -55,12 +55,14 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the documents that are left, and whether decoding them gives
-    the text back. A null text has null ids and no tokens."""
+    """Token ids of the documents that are left. They are decoded again, and a
+    text that does not come back is an error. A null text has null ids and no
+    tokens."""
     ship(spark)
-    return pieces.encode(docs.select("doc_id", "source", "lang", "text"), check=True).select(
-        "doc_id", "source", "lang", F.coalesce(F.size("token_ids"), F.lit(0)).cast("long").alias("n_tokens"), "token_ids", "round_trip"
-    )
+    coded = pieces.encode(docs.select("doc_id", "source", "lang", "text"), check=True)
+    wrong = F.raise_error(F.concat(F.lit("decoding does not give the text of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    coded = coded.withColumn("token_ids", F.when(F.col("round_trip"), F.col("token_ids")).otherwise(wrong.cast("array<int>")))
+    return coded.select("doc_id", "source", "lang", F.coalesce(F.size("token_ids"), F.lit(0)).cast("long").alias("n_tokens"), "token_ids")
 
 
 STAGES = [
