@@ -96,3 +96,11 @@ def test_clashing_columns_and_empty(spark):
     assert ld.report(df).count() == 0
     df = spark.createDataFrame(corpus(), SCHEMA).selectExpr("*", "'x' as leaves", "'y' as names", "1 as id")
     assert ld.drop_lines(df, min_docs=MIN).columns == df.columns
+
+
+def test_clashing_names_and_long_text(spark):
+    rows = [(i, f"the same old line of text here\nown words {'abcdefghijklm'[i]}" + (" word" * 400_000 if i == 3 else ""), "x", "y", i) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id string, _names string, _n_lines long")
+    out = {r.doc_id: r for r in line_dedup.drop_lines(docs).collect()}
+    assert all(r._n_lines == i and r._id == "x" for i, r in out.items())
+    assert out[0].text == rows[0][1] and all(out[i].text == rows[i][1].split("\n", 1)[1] for i in range(1, 12))
