@@ -19,7 +19,7 @@ def brute(rows, least=MIN):
         lines = []
         for line in (t or "").split("\n"):
             tok = tuple("<*>" if re.search("[0-9]", x) else x for x in WORD.findall(line))
-            tok = tok if len(tok) >= ld.MIN_TOKENS else None
+            tok = tok if len(tok) >= 1 else None
             lines.append((line, tok))
             if tok and i is not None:
                 docs[tok].add(i)
@@ -101,6 +101,6 @@ def test_clashing_columns_and_empty(spark):
 def test_clashing_names_and_long_text(spark):
     rows = [(i, f"the same old line of text here\nown words {'abcdefghijklm'[i]}" + (" word" * 400_000 if i == 3 else ""), "x", "y", i) for i in range(12)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, _id string, _names string, _n_lines long")
-    out = {r.doc_id: r for r in line_dedup.drop_lines(docs).collect()}
+    out = {r.doc_id: r for r in ld.drop_lines(docs).collect()}
     assert all(r._n_lines == i and r._id == "x" for i, r in out.items())
     assert out[0].text == rows[0][1] and all(out[i].text == rows[i][1].split("\n", 1)[1] for i in range(1, 12))

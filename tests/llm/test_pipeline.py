@@ -2,7 +2,7 @@ import duckdb
 import pandas as pd
 import sentencepiece
 from test_line_dedup import brute as brute_lines
-from test_neardup_text import brute as brute_near
+from test_neardup_similarity import brute as brute_near
 
 import corpus_pipeline as cp
 from inspectra.llm import line_dedup, mixing, pieces, quality
@@ -28,7 +28,7 @@ def test_every_stage_against_brute_force(spark):
     assert {r[0]: r[1] for r in rows(b)} == want and b.columns == docs.columns
 
     c = ws.save(cp.near_duplicates(spark, b, AT), "c")
-    want = {i for i, _, _, stays in brute_near(rows(b)) if stays}
+    want, _ = brute_near(rows(b), cp.SIMILAR)
     assert {r[0] for r in rows(c)} == want and c.columns == docs.columns
 
     d = ws.save(cp.mix(spark, c, AT), "d")
