@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.events import encode_train
 from ..operators import registry as reg
-from ..operators.results import recent_good
+from ..operators.results import recent_good, retrain_candidates
 from ..operators.vectors import append_bank, calibrate, coreset, image_scores, nearest
+from ..sources import assets, sinks
 
 
 @dataclass
@@ -20,6 +23,7 @@ class Candidate:
     bank: DataFrame
     band: DataFrame
     row: DataFrame
+    base: str
 
 
 def retrain(registry: DataFrame, results: DataFrame, bank: DataFrame, new_patches: DataFrame, validation_patches: DataFrame, previous: tuple[float, float], model_type: str, n_recent: int = 200) -> Candidate:
@@ -40,4 +44,30 @@ def retrain(registry: DataFrame, results: DataFrame, bank: DataFrame, new_patche
     version = reg.next_version(registry, base)
     name = ".".join(map(str, version))
     row = spark.createDataFrame([(f"{model_type}-{name}", model_type, base.bucket, *version, False)], "model_id string, model_type string, bucket string, major_version int, minor_version int, patch_version int, is_valid boolean")
-    return Candidate(version, grown, band, row)
+    return Candidate(version, grown, band, row, base.version)
+
+
+def commit(candidate: Candidate, root: str, registry_path: str, unchanged: Iterable[str] = ()) -> str:
+    """Store a candidate and return its version: bank, band and the assets that
+    stay as in the base version go under its version, and the registry row comes
+    last, so a registered version is whole. What a run that failed left under an
+    unregistered version is replaced; a registered one is never written again
+    (ValueError). Meant for one retrain of a type at a time."""
+    spark, row = candidate.row.sparkSession, candidate.row.first()
+    version = ".".join(map(str, candidate.version))
+    stored = sinks.read_or_empty(spark, registry_path, candidate.row)
+    if not stored.where(F.col("model_id") == row.model_id).isEmpty():
+        raise ValueError(f"{row.model_id} is registered already")
+    assets.write_bank(candidate.bank, root, row.model_type, version, "overwrite")
+    band = candidate.band.first()
+    assets.write_band(spark, root, row.model_type, version, band.lower, band.upper, "overwrite")
+    assets.copy_assets(spark, root, row.model_type, candidate.base, version, unchanged)
+    sinks.insert_if_absent(candidate.row.withColumn("created_at", F.current_timestamp()), registry_path, "model_id")
+    return version
+
+
+def train_events(results: DataFrame, registry: DataFrame, event_ids: Iterable[str] | DataFrame) -> DataFrame:
+    """One train event for each chosen result that is still pending: ``event_id``
+    and the ``key, value`` that :func:`inspectra.sources.sinks.publish` sends."""
+    value = encode_train(F.col("model_type"), F.col("bucket"), F.col("object_key"))
+    return retrain_candidates(results, registry, event_ids).select("event_id", F.lit("train").alias("key"), value.alias("value"))

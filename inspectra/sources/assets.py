@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import os
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,8 +45,47 @@ def asset_path(root: str, model_type: str, version: str, name: str) -> str:
     return f"{root.rstrip('/')}/{model_type}/{version}/{name}"
 
 
-def write_bank(bank: DataFrame, root: str, model_type: str, version: str) -> None:
-    bank.write.mode("errorifexists").parquet(asset_path(root, model_type, version, "memory_bank"))
+def copy_assets(spark: SparkSession, root: str, model_type: str, source: str, target: str, names: Iterable[str]) -> list[str]:
+    """Give a version the assets that it takes over from another one unchanged,
+    and tell which were copied. The file system streams the bytes. If the source
+    lacks one, FileNotFoundError comes before anything is copied; an asset that
+    the target has already stays. A copy gets its name only when it is whole."""
+    at = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    names, conf = list(names), spark._jsc.hadoopConfiguration()
+    pairs = [(n, at(asset_path(root, model_type, source, n)), asset_path(root, model_type, target, n)) for n in names]
+    lacking = [n for n, src, _ in pairs if not src.getFileSystem(conf).exists(src)]
+    if lacking:
+        raise FileNotFoundError(f"{model_type} {source} lacks {', '.join(lacking)}")
+    done = []
+    for n, src, dst in pairs:
+        fs, part = at(dst).getFileSystem(conf), at(dst + ".part")
+        if fs.exists(at(dst)):
+            continue
+        fs.delete(part, True)
+        fs.mkdirs(at(dst).getParent())
+        spark._jvm.org.apache.hadoop.fs.FileUtil.copy(src.getFileSystem(conf), src, fs, part, False, True, conf)
+        if not fs.rename(part, at(dst)):
+            raise OSError(f"{dst} cannot be named")
+        done.append(n)
+    return done
+
+
+def fetch_assets(spark: SparkSession, root: str, model_type: str, version: str, names: Iterable[str]) -> dict[str, str]:
+    """Ship a version's files to every executor, and give the name
+    by which ``SparkFiles.get`` finds each in a task. Spark keeps one file of a name,
+    so a session fetches one version of it. A missing file raises FileNotFoundError before any is shipped."""
+    conf, paths = spark._jsc.hadoopConfiguration(), {n: asset_path(root, model_type, version, n) for n in names}
+    for n, p in paths.items():
+        at = spark._jvm.org.apache.hadoop.fs.Path(p)
+        if not at.getFileSystem(conf).exists(at):
+            raise FileNotFoundError(f"{model_type} {version} lacks {n}")
+    for p in paths.values():
+        spark.sparkContext.addFile(p)
+    return {n: n.rsplit("/", 1)[-1] for n in paths}
+
+
+def write_bank(bank: DataFrame, root: str, model_type: str, version: str, mode: str = "errorifexists") -> None:
+    bank.write.mode(mode).parquet(asset_path(root, model_type, version, "memory_bank"))
 
 
 def read_bank(spark: SparkSession, root: str, model_type: str, version: str) -> DataFrame:
@@ -90,5 +130,5 @@ def read_band(spark: SparkSession, root: str, model_type: str, version: str) ->
     return row["lower"], row["upper"]
 
 
-def write_band(spark: SparkSession, root: str, model_type: str, version: str, lower: float, upper: float) -> None:
-    spark.createDataFrame([(f"lower={lower!r}\nupper={upper!r}",)], "value string").coalesce(1).write.text(asset_path(root, model_type, version, "buffer_zone.txt"))
+def write_band(spark: SparkSession, root: str, model_type: str, version: str, lower: float, upper: float, mode: str = "errorifexists") -> None:
+    spark.createDataFrame([(f"lower={lower!r}\nupper={upper!r}",)], "value string").coalesce(1).write.mode(mode).text(asset_path(root, model_type, version, "buffer_zone.txt"))

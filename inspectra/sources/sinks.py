@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import mimetypes
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import basename
+from ..functions.keys import FALLBACK_TYPE, basename
 from .images import _exists
 
 
@@ -45,9 +48,21 @@ def get_object(spark: SparkSession, path: str, bucket: str, key: str, allowed: t
     return bytes(row[0])
 
 
-def dead_letter(rows: DataFrame, path: str) -> None:
-    """Messages that could not be handled, as JSON lines."""
-    rows.write.mode("append").json(path)
+def stream_object(spark: SparkSession, path: str, bucket: str, key: str, allowed: tuple[str, ...] = ("images",), chunk: int = 32 * 1024) -> tuple[str, Iterator[bytes]]:
+    """An object's media type, by the key's suffix, and its bytes in chunks; the
+    errors are those of :func:`get_object` and come before the first chunk."""
+    content = get_object(spark, path, bucket, key, allowed)
+    return mimetypes.guess_type(key)[0] or FALLBACK_TYPE, (content[i : i + chunk] for i in range(0, len(content), chunk))
+
+
+def dead_letter(rows: DataFrame, path: str, batch: int | None = None) -> None:
+    """Messages that could not be handled, as JSON lines. With the number of a
+    stream's batch, a batch that runs again replaces its own letters; such a path
+    belongs to one checkpoint."""
+    if batch is None:
+        rows.write.mode("append").json(path)
+    else:
+        rows.write.mode("overwrite").json(f"{path}/batch={batch}")
 
 
 def as_kafka(events: DataFrame, key: Column, value: Column) -> DataFrame:
@@ -63,3 +78,14 @@ def cluster_manifest(rows: DataFrame, path: str = "path", label: str = "label",
     """Source and target of each image of a folder export by cluster."""
     folder = F.when(F.col(cluster) == -1, F.lit("noise")).otherwise(F.concat(F.lit("cluster"), F.col(cluster)))
     return rows.select(F.col(path).alias("src"), F.concat_ws("/", folder, F.concat_ws("_", F.col(label), basename(F.col(path)))).alias("dst"))
+
+
+def export_clusters(files: DataFrame, rows: DataFrame, target: str, path: str = "path", label: str = "label", cluster: str = "cluster") -> None:
+    """Copy images into a folder for each cluster: ``files`` (``path, content``)
+    meet the manifest of ``rows`` and are written as ``name, content`` below
+    ``folder=cluster<k>`` or ``folder=noise``, by the tasks. Images whose name and
+    label are equal stay apart as rows; a path without a file is left out."""
+    to = cluster_manifest(rows, path, label, cluster)
+    moved = files.select(F.col("path").alias("src"), "content").join(to, "src")
+    at = F.split("dst", "/")
+    moved.select(F.element_at(at, 1).alias("folder"), F.element_at(at, -1).alias("name"), "content").write.mode("overwrite").partitionBy("folder").parquet(target)

@@ -42,7 +42,7 @@ def ingest(files_: DataFrame, objects: str, images: str, outbox: str, letters: s
     an image's row is there before its event. If the event cannot be written it
     is kept as a dead letter and the batch fails, to run again."""
 
-    def each(batch: DataFrame, _: int) -> None:
+    def each(batch: DataFrame, number: int) -> None:
         key = F.concat(F.substring(F.sha2(F.col("content"), 256), 1, 32), F.lit("."), F.element_at(F.split("path", r"\."), -1))
         rows = batch.select(F.lit(bucket).alias("bucket"), key.alias("object_key"), "content_type", "content", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("created_at")).persist()
         try:
@@ -51,8 +51,11 @@ def ingest(files_: DataFrame, objects: str, images: str, outbox: str, letters: s
             out = rows.withColumn("event", F.lit("inference")).select(stem(F.col("object_key")).alias("image_id"), ev.encode_inference().alias("value"), F.col("event").alias("key"))
             try:
                 sinks.insert_if_absent(out, outbox, "image_id")
-            except Exception:
-                sinks.dead_letter(out, letters)
+            except Exception as e:
+                try:
+                    sinks.dead_letter(out, letters, number)
+                except Exception as second:  # noqa: BLE001  the first error is the one to see
+                    e.add_note(f"the dead letters were not written: {second}")
                 raise
         finally:
             rows.unpersist()
@@ -73,7 +76,7 @@ def inference(messages: DataFrame, score: Callable[[DataFrame], DataFrame], band
             bad = rest.where("error is not null").select("topic", "partition", "offset", "value", "error")
             rows = score(mine).persist()
             lost = rows.where("anomaly_score is null").select("topic", "partition", "offset", "value", F.lit("no score").alias("error"))
-            sinks.dead_letter(bad.unionAll(lost), quarantine)
+            sinks.dead_letter(bad.unionAll(lost), quarantine, number)
             done = rows.where("anomaly_score is not null").select(
                 event_key(F.col("topic"), F.col("partition"), F.col("offset")).alias("event_id"),
                 stem(F.col("object_key")).alias("image_id"),
@@ -91,7 +94,7 @@ def inference(messages: DataFrame, score: Callable[[DataFrame], DataFrame], band
                     sinks.insert_if_absent(second(rows), clusters, "event_id")
                 except Exception as e:  # noqa: BLE001  never fails the primary rows
                     note = batch.sparkSession.createDataFrame([(number, f"{type(e).__name__}: {e}"[:300])], "batch long, error string")
-                    sinks.dead_letter(note, f"{quarantine}-second")
+                    sinks.dead_letter(note, f"{quarantine}-second", number)
             rows.unpersist()
         finally:
             decoded.unpersist()
@@ -103,10 +106,10 @@ def training(messages: DataFrame, retrain: Callable[[DataFrame], None], quaranti
     """Hand each batch's train events to ``retrain``; others are skipped, bad
     ones go to quarantine."""
 
-    def each(batch: DataFrame, _: int) -> None:
+    def each(batch: DataFrame, number: int) -> None:
         decoded = ev.decode_train(batch)
         mine, rest = ev.route(decoded, "train")
-        sinks.dead_letter(rest.where("error is not null").select("value", "error"), quarantine)
+        sinks.dead_letter(rest.where("error is not null").select("value", "error"), quarantine, number)
         if not mine.isEmpty():
             retrain(mine)
 
