@@ -512,9 +512,13 @@ def mask_color_shape(s, d):
     return descriptors.describe_maps(_maps(s, d))
 
 
-@query()
+@query(f"""with o as (select greatest((i + 0.5) * 8 / 224 - 0.5, 0) as u from range(224) t(i)), f as (select least(floor(u), 7)::int as lo, u - least(floor(u), 7) as part from o),
+  w as (select i, sum(w) as w from (select lo as i, 1 - part as w from f union all select least(lo + 1, 7), part from f) group by 1),
+  m as (select vec_id, unnest(embedding::double[]) as v, generate_subscripts(embedding, 1) - 1 as k from embeddings)
+  select vec_id as image_id, 50176::bigint as pixels, round(sum(v * v * y.w * x.w), 4) as mass, {0.8 * _LOW!r}::double as scale_low, {1.2 * _HIGH!r}::double as scale_high
+  from m join w y on y.i = k // 8 join w x on x.i = k % 8 group by 1""")
 def heatmap_upsample(s, d):
-    return descriptors.heatmaps(_maps(s, d), _LOW, _HIGH, 28).select("image_id", F.size("heat").cast("long").alias("pixels"), F.round(F.aggregate("heat", F.lit(0.0), lambda a, x: a + x), 4).alias("mass"), "scale_low", "scale_high")
+    return descriptors.heatmaps(_maps(s, d), _LOW, _HIGH).select("image_id", F.size("heat").cast("long").alias("pixels"), F.round(F.aggregate("heat", F.lit(0.0), lambda a, x: a + x), 4).alias("mass"), "scale_low", "scale_high")
 
 
 @query()

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 NOISE = -1
 #: Rows of a piece in the pairwise pass.
 PIECE = 4000
+#: Values of the hypergeometric support in one array.
+SUPPORT_PIECE = 65536
 
 
 def cells(rows: DataFrame, predicted: str = "predicted", truth: str = "truth") -> DataFrame:
@@ -111,7 +113,10 @@ def adjusted_mutual_information(c: DataFrame) -> DataFrame:
     the hypergeometric law of each pair of margins."""
     margins = c.groupBy().agg(F.collect_set(F.struct("p", "a")).alias("ps"), F.collect_set(F.struct("t", "b")).alias("ts"), F.max("total").alias("total"))
     pairs = margins.select(F.explode("ps").alias("p"), "ts", "total").select("p", F.explode("ts").alias("t"), "total").select(F.col("p.a").alias("a"), F.col("t.b").alias("b"), "total")
-    law = pairs.select("a", "b", "total", F.explode(F.sequence(F.greatest(F.lit(1), F.col("a") + F.col("b") - F.col("total")), F.least("a", "b"))).alias("k"))
+    first, last = F.greatest(F.lit(1), F.col("a") + F.col("b") - F.col("total")), F.least("a", "b")
+    # In pieces, so that no array grows with the table and tasks share a wide margin.
+    pieces = pairs.where(first <= last).select("a", "b", "total", last.alias("last"), F.explode(F.sequence(first, last, F.lit(SUPPORT_PIECE).cast("long"))).alias("k0")).repartition("a", "b", "k0")
+    law = pieces.select("a", "b", "total", F.explode(F.sequence("k0", F.least(F.col("k0") + SUPPORT_PIECE - 1, "last"))).alias("k"))
     a, b, n, k = (F.col(x) for x in ("a", "b", "total", "k"))
     f = ln_factorial
     weight = F.exp(f(a) + f(b) + f(n - a) + f(n - b) - f(n) - f(k) - f(a - k) - f(b - k) - f(n - a - b + k))
