@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, neardup_text, neardup_vectors, pieces, quality, secrets, substring_dedup, suffix_dedup, warc
+from . import divergence, line_dedup, mixing, neardup_text, neardup_vectors, pieces, quality, secrets, substring_dedup, suffix_dedup, warc
 from .common import Workspace, table
 
 
@@ -69,6 +69,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc_archive": op1_warc_archive,
     "op2_embedding_neardup": op2_embedding_neardup,
@@ -80,5 +84,6 @@ QUERIES = {
     "op8_minhash_neardup": op8_minhash_neardup,
     "op9_source_mixing": op9_source_mixing,
     "op10_secret_scan": op10_secret_scan,
+    "op13_source_divergence": op13_source_divergence,
 }
-ORACLES: dict[str, str] = {"op9_source_mixing": mixing.oracle()}
+ORACLES: dict[str, str] = {"op9_source_mixing": mixing.oracle(), "op13_source_divergence": divergence.oracle()}
