@@ -161,14 +161,17 @@ def fit_hdbscan(x: np.ndarray, min_cluster_size: int = 3, min_samples: int | Non
                 chosen[u] = False
                 todo += children[u]
     labels, lam_of = np.full(n, -1), np.zeros(n)
-    final = [c for c in sorted(births) if c and chosen[c]]
-    max_lambda, birth = {}, {}
-    for name, c in enumerate(final):
-        todo, members = [c], []
+    members_of = {}
+    for c in (c for c in births if c and chosen[c]):
+        todo, members_of[c] = [c], []
         while todo:
             u = todo.pop()
-            members += leaves[u]
+            members_of[c] += leaves[u]
             todo += children[u]
+    max_lambda, birth = {}, {}
+    # Clusters are numbered by their first point.
+    for name, c in enumerate(sorted(members_of, key=lambda c: min(p for p, _ in members_of[c]))):
+        members = members_of[c]
         top = max(lam for _, lam in members)
         max_lambda[name], birth[name] = top, births[c]
         for p, lam in members:
