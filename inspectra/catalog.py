@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from . import fixtures as fx
 from .functions import events as ev
 from .functions import keys, verdict
-from .operators import cluster, descriptors, fusion, metrics, registry, results, vectors
+from .operators import cluster, density, descriptors, fusion, metrics, registry, results, vectors
 from .plans.retrain import retrain
 from .sources import assets, sinks
 
@@ -546,5 +546,4 @@ def umap_layout(s, d):
 def cluster_assign(s, d):
     """Fit on the bank's rows, then assign every vector."""
     rows = _embeddings(s, d).select("vec_id", F.col("embedding").alias("vec"))
-    fitted = cluster.fit_hdbscan(cluster._matrix(_bank(s, d).orderBy("row_id").toPandas()["vec"]))
-    return cluster.assign(rows, fitted, "vec_id", "vec")
+    return density.assign(rows, density.fit(_bank(s, d), "row_id", "vec"), "vec_id", "vec")

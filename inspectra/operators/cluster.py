@@ -1,10 +1,7 @@
 """Density clustering (HDBSCAN), prediction for new points, and UMAP.
 
-A fit is a global model of all points, made in one task; applying a fitted model
-to any number of points is distributed.  HDBSCAN holds the points and one row of
-distances at a time, so its time grows with the square of their number and its
-memory with the number; UMAP holds whole matrices and is bounded by
-``MOST_POINTS``.
+:func:`hdbscan` fits any number of rows (:mod:`.density`); :func:`fit_hdbscan` fits
+points held in memory by the same definition.
 """
 
 from __future__ import annotations
@@ -15,18 +12,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-MOST_POINTS = 5000
-#: Rows of distances held at once for the core distances.
-BLOCK = 32
-
+from . import density
+from .neighbours import distances
 
-def _distances(x: np.ndarray, norms: np.ndarray, s: int, e: int) -> np.ndarray:
-    """Distances of the points from ``s`` to ``e`` to all."""
-    return np.sqrt(np.maximum(0, norms[s:e, None] + norms - 2 * x[s:e] @ x.T))
+MOST_POINTS = 5000
+#: Rows of distances held at once.
+BLOCK = 256
 
 
-def _core(x: np.ndarray, norms: np.ndarray, k: int) -> np.ndarray:
-    return np.concatenate([np.partition(_distances(x, norms, s, min(s + BLOCK, len(x))), k, axis=1)[:, k] for s in range(0, len(x), BLOCK)])
+def _core(x: np.ndarray, k: int) -> np.ndarray:
+    return np.concatenate([np.partition(distances(x[s : s + BLOCK], x), k, axis=1)[:, k] for s in range(0, len(x), BLOCK)])
 
 
 @dataclass
@@ -46,138 +41,70 @@ class Hdbscan:
         mutual reachability; noise if that point is noise or too far away."""
         labels, strength = np.full(len(x), -1), np.zeros(len(x))
         k = min(self.min_samples, len(self.points))
-        for i, p in enumerate(x):
-            d = np.sqrt(((self.points - p) ** 2).sum(axis=1))
-            own = np.partition(d, k - 1)[k - 1]
+        births = np.array([self.births[c] for c in sorted(self.births)] + [np.inf])
+        most = np.array([self.max_lambda[c] for c in sorted(self.births)] + [1.0])
+        for s in range(0, len(x), BLOCK):
+            d = distances(x[s : s + BLOCK], self.points)
+            own = np.partition(d, k - 1, axis=1)[:, k - 1 : k]
             reach = np.maximum(np.maximum(d, self.core), own)
-            ties = np.flatnonzero(reach == reach.min())
-            at = int(ties[np.argmin(d[ties])])
-            c = int(self.labels[at])
-            if c < 0:
-                continue
-            lam = np.inf if reach[at] == 0 else 1 / reach[at]
-            birth, top = self.births[c], self.max_lambda[c]
-            if lam <= birth:
-                continue
-            labels[i] = c
-            strength[i] = 1.0 if not np.isfinite(top) or top <= 0 else min(lam, top) / top
+            least = reach.min(axis=1)
+            at = np.where(reach == least[:, None], d, np.inf).argmin(axis=1)
+            lam = np.minimum(np.divide(1, least, out=np.full(len(d), np.inf), where=least > 0), density.MOST_LAMBDA)
+            c = self.labels[at]
+            good = (c >= 0) & (lam > births[c])
+            labels[s : s + BLOCK] = np.where(good, c, -1)
+            strength[s : s + BLOCK] = np.where(good, np.where(most[c] >= density.MOST_LAMBDA, 1.0, np.minimum(lam, most[c]) / most[c]), 0.0)
         return labels, strength
 
     births: dict[int, float] | None = None
 
 
-def _single_linkage(x: np.ndarray, norms: np.ndarray, core: np.ndarray) -> list[tuple[int, int, float, int]]:
-    """Merges of a spanning tree by mutual reachability in order of length;
-    Prim's algorithm, which needs one row of distances at a time."""
+def _tree(x: np.ndarray, core: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Edges of a spanning tree by mutual reachability; Prim's algorithm, which
+    needs one row of distances at a time."""
     n = len(x)
     inside, best, link = np.zeros(n, bool), np.full(n, np.inf), np.zeros(n, int)
     at, edges = 0, []
     for _ in range(n - 1):
         inside[at] = True
-        d = np.maximum(np.maximum(_distances(x, norms, at, at + 1)[0], core[at]), core)
+        d = np.maximum(np.maximum(distances(x[at : at + 1], x)[0], core[at]), core)
         closer = ~inside & (d < best)
         best[closer], link[closer] = d[closer], at
         at = int(np.argmin(np.where(inside, np.inf, best)))
-        edges.append((best[at], int(link[at]), at))
-    edges.sort()
-    parent, size, merges = list(range(2 * n - 1)), [1] * n + [0] * (n - 1), []
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for i, (w, a, b) in enumerate(edges):
-        a, b = root(a), root(b)
-        parent[a] = parent[b] = n + i
-        size[n + i] = size[a] + size[b]
-        merges.append((a, b, w, size[n + i]))
-    return merges
+        edges.append((int(link[at]), at, best[at]))
+    a, b, w = zip(*edges)
+    return np.array(a), np.array(b), np.array(w)
 
 
 def fit_hdbscan(x: np.ndarray, min_cluster_size: int = 3, min_samples: int | None = None) -> Hdbscan:
-    """Campello, Moulavi and Sander (2013): mutual reachability, condensed tree,
-    clusters by excess of mass; the root is never a cluster."""
+    """A model of points held in memory (a layout, a test); :func:`hdbscan` fits any
+    number of rows. Clusters by excess of mass, the root is never one; steps of one
+    length are one step; clusters are numbered by their first point."""
     n = len(x)
     k = min_samples or min_cluster_size
     if n < 2:
         return Hdbscan(x, np.zeros(n), np.full(n, -1), np.zeros(n), {}, k, {})
-    norms = (x**2).sum(axis=1)
-    core = _core(x, norms, min(k, n - 1))
-    merges = _single_linkage(x, norms, core)
-    left = {n + i: (a, b, w) for i, (a, b, w, _) in enumerate(merges)}
-    size = lambda v: 1 if v < n else merges[v - n][3]
-
-    def points(v: int) -> list[int]:
-        out, todo = [], [v]
-        while todo:
-            u = todo.pop()
-            if u < n:
-                out.append(u)
-            else:
-                todo += left[u][:2]
-        return out
-
-    births, parents, leaves, children = {0: 0.0}, {0: None}, {0: []}, {0: []}
-    todo, names = [(2 * n - 2, 0)], 1
-    while todo:
-        v, c = todo.pop()
-        if v < n:
-            leaves[c].append((v, np.inf))
-            continue
-        a, b, w = left[v]
-        lam = np.inf if w == 0 else 1 / w
-        large = [u for u in (a, b) if size(u) >= min_cluster_size]
-        if len(large) == 2:
-            for u in (a, b):
-                births[names], parents[names], leaves[names], children[names] = lam, c, [], []
-                children[c].append(names)
-                todo.append((u, names))
-                names += 1
-        else:
-            for u in (a, b):
-                if u in large:
-                    todo.append((u, c))
-                else:
-                    leaves[c] += [(p, lam) for p in points(u)]
-    total = {c: len(leaves[c]) for c in births}
-    for c in sorted(births, reverse=True):
-        if parents[c] is not None:
-            total[parents[c]] += total[c]
-    cap = lambda lam: 1e300 if np.isinf(lam) else lam
-    stability = {
-        c: sum(cap(lam) - births[c] for _, lam in leaves[c]) + sum((cap(births[k_]) - births[c]) * total[k_] for k_ in children[c]) for c in births
-    }
-    chosen = {c: True for c in births if c}
-    for c in sorted((c for c in births if c), reverse=True):
-        below = sum(stability[k_] for k_ in children[c])
-        if children[c] and below > stability[c]:
-            chosen[c], stability[c] = False, below
-        else:
-            todo = list(children[c])
-            while todo:
-                u = todo.pop()
-                chosen[u] = False
-                todo += children[u]
-    labels, lam_of = np.full(n, -1), np.zeros(n)
-    members_of = {}
-    for c in (c for c in births if c and chosen[c]):
-        todo, members_of[c] = [c], []
-        while todo:
-            u = todo.pop()
-            members_of[c] += leaves[u]
-            todo += children[u]
-    max_lambda, birth = {}, {}
-    # Clusters are numbered by their first point.
-    for name, c in enumerate(sorted(members_of, key=lambda c: min(p for p, _ in members_of[c]))):
-        members = members_of[c]
-        top = max(lam for _, lam in members)
-        max_lambda[name], birth[name] = top, births[c]
-        for p, lam in members:
-            labels[p] = name
-            lam_of[p] = 1.0 if np.isinf(top) or top == 0 else min(lam, top) / top
-    return Hdbscan(x, core, labels, np.where(labels >= 0, lam_of, 0.0), max_lambda, k, birth)
+    core = _core(x, min(k, n - 1))
+    found = density.Merger([], min_cluster_size, n).run(*_tree(x, core))
+    clusters = {c: (parent, birth, chosen) for kind, c, parent, _, birth, _, chosen, _ in found if kind == "cluster"}
+    top = {}
+    for c in clusters:
+        way, best = c, None
+        while way in clusters:
+            best = way if clusters[way][2] else best
+            way = clusters[way][0]
+        top[c] = best
+    members = {}
+    for kind, p, c, _, lam, *_ in found:
+        if kind == "point" and top.get(c) is not None:
+            members.setdefault(top[c], []).append((p, lam))
+    labels, strength, max_lambda, birth = np.full(n, -1), np.zeros(n), {}, {}
+    for name, c in enumerate(sorted(members, key=lambda c: min(members[c]))):
+        most = max_lambda[name] = max(lam for _, lam in members[c])
+        birth[name] = clusters[c][1]
+        for p, lam in members[c]:
+            labels[p], strength[p] = name, 1.0 if most >= density.MOST_LAMBDA else lam / most
+    return Hdbscan(x, core, labels, strength, max_lambda, k, birth)
 
 
 def _matrix(values) -> np.ndarray:
@@ -186,22 +113,13 @@ def _matrix(values) -> np.ndarray:
 
 def hdbscan(rows: DataFrame, id_col: str, vec: str, min_cluster_size: int = 3) -> DataFrame:
     """``id, cluster, probability`` of all rows together (-1 is noise)."""
-    kind = rows.schema[id_col].dataType.simpleString()
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(id_col, kind="stable")
-        m = fit_hdbscan(_matrix(pdf[vec]), min_cluster_size)
-        return pd.DataFrame({id_col: pdf[id_col], "cluster": m.labels, "probability": m.probabilities})
-
-    from pyspark.sql import functions as F
-
-    # One group by design: the model is global.
-    return rows.select(id_col, vec).withColumn("_all", F.lit(1)).groupBy("_all").applyInPandas(run, f"{id_col} {kind}, cluster int, probability double")
+    return density.fit(rows, id_col, vec, min_cluster_size).select(id_col, "cluster", "probability")
 
 
 def assign(rows: DataFrame, model: Hdbscan, id_col: str, vec: str) -> DataFrame:
-    """Label and strength of new rows under a fitted model, in parallel.  A model
-    without prediction data is refused."""
+    """Label and strength of new rows under a model held in memory, in parallel
+    (:func:`density.assign` takes a fitted table). A model without prediction data
+    is refused."""
     if model.births is None or not len(model.points):
         raise ValueError("the model holds no prediction data")
     shared = rows.sparkSession.sparkContext.broadcast(model)

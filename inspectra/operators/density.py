@@ -162,7 +162,7 @@ _STEP = pa.schema(
 _STEP_SQL = "kind string, id long, to long, size long, x double, y double, flag boolean, members array<long>"
 
 
-class _Merger:
+class Merger:
     """Components that a chunk of edges touches, and what they become.
 
     A component below ``least`` points is a list of them. From then on it is a
@@ -255,7 +255,7 @@ def condense(edges: DataFrame, n: int, least: int, tables: Tables, chunk: int =
         t = pa.Table.from_batches(batches)
         kind = t["kind"].to_numpy(zero_copy_only=False)
         e = t.filter(pa.array(kind == "edge"))
-        m = _Merger(t.filter(pa.array(kind == "state")).to_pylist(), least, n)
+        m = Merger(t.filter(pa.array(kind == "state")).to_pylist(), least, n)
         yield from _steps(m.run(e["id"].to_numpy(), e["to"].to_numpy(), e["x"].to_numpy()))
 
     n_edges = edges.count()

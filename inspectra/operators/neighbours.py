@@ -81,7 +81,7 @@ def blocks(points: DataFrame, tables: Tables, rows: int = ROWS, most_pivots: int
     count = points.count()
     n_pivots = min(most_pivots, max(1, -(-count // rows)))
     chosen = points.orderBy(F.xxhash64("idx"), "idx").limit(n_pivots).select("idx", "vec").collect()
-    centres = np.array([r.vec for r in chosen], float).reshape(len(chosen), -1)
+    centres = np.array([r.vec for r in chosen], float) if chosen else np.zeros((0, 0))
     shared = points.sparkSession.sparkContext.broadcast(centres)
 
     def deal(batches):
