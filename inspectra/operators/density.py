@@ -32,8 +32,9 @@ from .neighbours import Blocks, blocks, distances, matrix, meet, nearest_k
 CHUNK = 1 << 18
 #: Density of points that coincide.
 MOST_LAMBDA = 1e290
-#: Rows of a piece of new points, and of fitted points, in an assignment.
-NEW_PIECE, FITTED_PIECE = 5_000, 20_000
+#: Rows of a piece of new points, and of fitted points, in an assignment; new rows
+#: whose distances are held at once.
+NEW_PIECE, FITTED_PIECE, HELD = 5_000, 5_000, 256
 
 _EDGE = "a long, b long, w double"
 
@@ -347,23 +348,26 @@ def assign(rows: DataFrame, fitted: DataFrame, id_col: str, vec: str, min_sample
     point = pa.struct([("d", pa.float64()), ("core", pa.float64()), ("cluster", pa.int32()), ("birth", pa.float64()), ("most", pa.float64())])
     schema = pa.schema([("idx", pa.int64()), ("near", pa.list_(point)), ("best", point)])
 
-    def run(x: pa.Table, y: pa.Table) -> pa.Table:
-        if not x.num_rows or not y.num_rows:
-            return schema.empty_table()
-        d, core = distances(matrix(x["vec"]), matrix(y["vec"])), y["core"].to_numpy()
+    def part(x: pa.Table, y: pa.Table, at_y: np.ndarray) -> pa.Table:
+        d, core = distances(matrix(x["vec"]), at_y), y["core"].to_numpy()
         m = min(k, d.shape[1])
         at = np.argpartition(d, m - 1, axis=1)[:, :m]
         reach = np.maximum(d, core)
-        tied = np.where(reach == reach.min(axis=1, keepdims=True), d, np.inf)
-        one = tied.argmin(axis=1)
+        one = np.where(reach == reach.min(axis=1, keepdims=True), d, np.inf).argmin(axis=1)
 
         def points(d: np.ndarray, of: np.ndarray) -> pa.StructArray:
-            t = y.select(["core", "cluster", "birth", "most"]).take(pa.array(of.ravel())).combine_chunks()
-            return pa.StructArray.from_arrays([pa.array(d.ravel()), *(t[c].combine_chunks() if isinstance(t[c], pa.ChunkedArray) else t[c] for c in t.column_names)], fields=list(point))
+            t = y.select(["core", "cluster", "birth", "most"]).take(pa.array(of.ravel()))
+            return pa.StructArray.from_arrays([pa.array(d.ravel()), *(pa.concat_arrays(c.chunks) for c in t.columns)], fields=list(point))
 
         near = pa.ListArray.from_arrays(pa.array(np.arange(0, m * len(d) + 1, m), pa.int32()), points(np.take_along_axis(d, at, axis=1), at))
         return pa.table({"idx": x["idx"], "near": near, "best": points(d[np.arange(len(d)), one], one)}, schema=schema)
 
+    def run(x: pa.Table, y: pa.Table) -> pa.Table:
+        if not x.num_rows or not y.num_rows:
+            return schema.empty_table()
+        at = matrix(y["vec"])
+        return pa.concat_tables([part(x.slice(s, HELD), y, at) for s in range(0, x.num_rows, HELD)])
+
     kind = "struct<d: double, core: double, cluster: int, birth: double, most: double>"
     met = left.groupBy("p", "q").cogroup(right.groupBy("p", "q")).applyInArrow(run, f"idx long, near array<{kind}>, best {kind}")
     reach = lambda s: F.greatest(s["d"], s["core"])
