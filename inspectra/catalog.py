@@ -526,6 +526,30 @@ def kernel_pca(s, d):
     return fusion.kernel_pca(_embeddings(s, d).select("vec_id", "embedding"), "vec_id", "embedding")
 
 
+_PAIR_SQL = "with x as (select vec_id, embedding::double[] as v from embeddings), l as (select vec_id, i, v[i] as v, v[i] / sqrt(list_sum(list_transform(v, lambda e: e * e))) as u from x, unnest(range(1, len(v) + 1)) as t(i)), m as (select i, avg(u) as m from l group by 1)"
+
+
+def _neighbouring(df: DataFrame) -> DataFrame:
+    """Rows beside those of the next id."""
+    return df.alias("a").join(df.select((F.col("vec_id") - 1).alias("vec_id"), F.col("vec").alias("next")), "vec_id")
+
+
+@query(f"{_PAIR_SQL} select a.vec_id, round(sum((a.u - m) * (b.u - m)), 6) as gram from l a join l b on b.vec_id = a.vec_id + 1 and a.i = b.i join m on a.i = m.i group by 1")
+def kernel_pca_gram(s, d):
+    """Products of all components are entries of the centred cosine kernel."""
+    rows = _embeddings(s, d).select("vec_id", "embedding")
+    pairs = _neighbouring(fusion.kernel_pca(rows, "vec_id", "embedding", 10**6))
+    return pairs.select("vec_id", F.round(F.aggregate(F.zip_with("vec", "next", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x), 6).alias("gram"))
+
+
+@query(f"{_PAIR_SQL} select a.vec_id, round(sum((a.v - b.v) * (a.v - b.v)), 6) as square from l a join l b on b.vec_id = a.vec_id + 1 and a.i = b.i group by 1")
+def pca_distances(s, d):
+    """All components keep the distances."""
+    rows = _embeddings(s, d).select("vec_id", "embedding")
+    pairs = _neighbouring(fusion.project(rows, "vec_id", "embedding", *fusion.fit_pca(rows, "embedding", 2.0)))
+    return pairs.select("vec_id", F.round(F.aggregate(F.zip_with("vec", "next", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x), 6).alias("square"))
+
+
 @query()
 def pca_variance(s, d):
     rows = _embeddings(s, d).select("vec_id", "embedding")

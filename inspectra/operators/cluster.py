@@ -1,7 +1,8 @@
 """Density clustering (HDBSCAN), prediction for new points, and UMAP.
 
-:func:`hdbscan` fits any number of rows (:mod:`.density`); :func:`fit_hdbscan` fits
-points held in memory by the same definition.
+:func:`hdbscan` and :func:`umap` take any number of rows (:mod:`.density`,
+:mod:`.layout`); :func:`fit_hdbscan` fits points held in memory by the same
+definition.
 """
 
 from __future__ import annotations
@@ -11,11 +12,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from . import density
+from . import density, layout
 from .neighbours import distances
 
-MOST_POINTS = 5000
 #: Rows of distances held at once.
 BLOCK = 256
 
@@ -134,76 +135,6 @@ def assign(rows: DataFrame, model: Hdbscan, id_col: str, vec: str) -> DataFrame:
     return rows.select(id_col, vec).mapInPandas(run, f"{id_col} {kind}, cluster_id int, probability double")
 
 
-@dataclass
-class Umap:
-    """A fitted layout, to which new points are added by weighted neighbours."""
-
-    points: np.ndarray
-    layout: np.ndarray
-    neighbours: int
-
-    def transform(self, x: np.ndarray) -> np.ndarray:
-        out = np.empty((len(x), self.layout.shape[1]))
-        for i, p in enumerate(_unit(x)):
-            d = 1 - self.points @ p
-            at = np.argsort(d, kind="stable")[: self.neighbours]
-            w = np.exp(-(d[at] - d[at[0]]) / max(float(d[at].mean() - d[at[0]]), 1e-9))
-            out[i] = w @ self.layout[at] / w.sum()
-        return out
-
-
-def _unit(x: np.ndarray) -> np.ndarray:
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-
-
-def fit_umap(x: np.ndarray, neighbours: int = 15, dims: int = 2, epochs: int = 200, seed: int = 42) -> Umap:
-    """McInnes and Healy (2018) on cosine distance with min_dist 0: fuzzy
-    neighbour graph, spectral start, gradient layout over all edges.  Layouts of
-    other implementations differ in detail; partitions are what to compare."""
-    if len(x) > MOST_POINTS:
-        raise ValueError(f"more than {MOST_POINTS} points")
-    u = _unit(x)
-    n, k = len(x), min(neighbours, len(x) - 1)
-    if k < 2:
-        return Umap(u, np.zeros((n, dims)), max(k, 1))
-    d = np.maximum(0, 1 - u @ u.T)
-    np.fill_diagonal(d, np.inf)
-    at = np.argsort(d, axis=1, kind="stable")[:, :k]
-    near = np.take_along_axis(d, at, axis=1)
-    rho, lo, hi = near[:, 0], np.zeros(n), np.full(n, 1e3)
-    for _ in range(64):  # scale with which the weights sum to log2 k
-        mid = (lo + hi) / 2
-        s = np.exp(-np.maximum(0, near - rho[:, None]) / np.maximum(mid, 1e-12)[:, None]).sum(axis=1)
-        hi, lo = np.where(s > np.log2(k), mid, hi), np.where(s > np.log2(k), lo, mid)
-    w = np.zeros((n, n))
-    np.put_along_axis(w, at, np.exp(-np.maximum(0, near - rho[:, None]) / np.maximum((lo + hi) / 2, 1e-12)[:, None]), axis=1)
-    w = w + w.T - w * w.T
-    deg = np.maximum(w.sum(axis=1), 1e-12)
-    _, vec = np.linalg.eigh(np.eye(n) - w / np.sqrt(deg[:, None] * deg))
-    y = vec[:, 1 : dims + 1]
-    y = 10 * y / max(np.abs(y).max(), 1e-12)
-    rng = np.random.default_rng(seed)
-    y = y + rng.normal(scale=1e-4, size=y.shape)
-    a, b = 1.9328, 0.7905  # fixed values: the curve of min_dist 0, spread 1
-    for e in range(epochs):
-        diff = y[:, None] - y[None]
-        q = (diff**2).sum(axis=2)
-        pull = np.where(w > 0, w * (-2 * a * b * np.power(np.maximum(q, 1e-12), b - 1)) / (1 + a * q**b), 0)
-        push = (1 - w) * 2 * b / ((0.001 + q) * (1 + a * q**b)) * (5.0 * k / n)
-        np.fill_diagonal(pull, 0)
-        np.fill_diagonal(push, 0)
-        grad = np.clip(((pull + push)[:, :, None] * diff), -4, 4).sum(axis=1)
-        y = y + (1 - e / epochs) * np.clip(grad, -4, 4) * 0.25
-    return Umap(u, y, k)
-
-
 def umap(rows: DataFrame, id_col: str, vec: str, neighbours: int = 15, dims: int = 2, seed: int = 42) -> DataFrame:
-    kind = rows.schema[id_col].dataType.simpleString()
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(id_col, kind="stable")
-        return pd.DataFrame({id_col: pdf[id_col], "vec": list(map(list, fit_umap(_matrix(pdf[vec]), neighbours, dims, seed=seed).layout))})
-
-    from pyspark.sql import functions as F
-
-    return rows.select(id_col, vec).limit(MOST_POINTS + 1).withColumn("_all", F.lit(1)).groupBy("_all").applyInPandas(run, f"{id_col} {kind}, vec array<double>")
+    """``id, vec``: the layout of all rows together."""
+    return layout.fit(rows, id_col, vec, neighbours, dims, seed).select(id_col, F.col("y").alias("vec"))

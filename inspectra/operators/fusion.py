@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 WEIGHT_DEEP, WEIGHT_COLOR, WEIGHT_SHAPE = 1.0, 0.3, 0.3
 PCA_VARIANCE, KPCA_COMPONENTS = 0.95, 20
 SPLIT_GAP, MIN_SUB, BALANCE = 0.25, 4, 0.30
-#: Rows that a reduction on the driver takes at most (its Gram matrix is n x n).
-MOST_GRAM_ROWS = 5000
 
 
 def block_prep(rows: DataFrame, id_col: str, vec: str, weight: float) -> DataFrame:
@@ -38,37 +36,19 @@ def concat_blocks(blocks: list[DataFrame], id_col: str, unit: bool = False) -> D
     return out
 
 
-def _gather(rows: DataFrame, id_col: str, vec: str) -> pd.DataFrame:
-    got = rows.select(id_col, vec).orderBy(id_col).limit(MOST_GRAM_ROWS + 1).toPandas()
-    if len(got) > MOST_GRAM_ROWS:
-        raise ValueError(f"more than {MOST_GRAM_ROWS} rows: sample before reducing")
-    return got
-
-
 def _signed(v: np.ndarray) -> np.ndarray:
     """Columns turned so that their entry of largest size is positive."""
+    if not v.size:
+        return v
     at = np.abs(v).argmax(axis=0)
     return v * np.sign(v[at, np.arange(v.shape[1])])
 
 
-def kernel_pca(rows: DataFrame, id_col: str, vec: str, k: int = KPCA_COMPONENTS) -> DataFrame:
-    """Cosine kernel, centred, its leading components scaled by their spread.
-    For an experiment's number of images; more raise ValueError."""
-    got = _gather(rows, id_col, vec)
-    x = np.stack([np.asarray(v, float) for v in got[vec]])
-    x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-    g = x @ x.T
-    g = g - g.mean(axis=0) - g.mean(axis=1, keepdims=True) + g.mean()
-    value, vector = np.linalg.eigh(g)
-    value, vector = value[::-1][:k], _signed(vector[:, ::-1][:, :k])
-    out = vector * np.sqrt(np.maximum(value, 0))
-    return rows.sparkSession.createDataFrame(pd.DataFrame({id_col: got[id_col], "vec": out.tolist()}), f"{id_col} {rows.schema[id_col].dataType.simpleString()}, vec array<double>")
-
-
-def fit_pca(rows: DataFrame, vec: str, variance: float = PCA_VARIANCE) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and components (channels x k) that hold the share of variance. The
-    covariance is summed by channel pairs on the executors; only it is gathered."""
-    n, d = rows.agg(F.count("*"), F.max(F.size(vec))).first()
+def _moments(rows: DataFrame, vec: str) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of rows, sum of their vectors and of their outer products (channels x
+    channels). Tasks sum their rows, as few as can run at once; only the sums meet,
+    channel by channel, and only their total is gathered."""
+    n, d = rows.agg(F.count(vec), F.coalesce(F.max(F.size(vec)), F.lit(0))).first()
 
     def sums(batches):
         total, outer, count = np.zeros(d), np.zeros((d, d)), 0
@@ -79,15 +59,44 @@ def fit_pca(rows: DataFrame, vec: str, variance: float = PCA_VARIANCE) -> tuple[
         for i in range(d if count else 0):
             yield pd.DataFrame({"i": [i], "s": [total[i]], "o": [outer[i].tolist()]})
 
-    parts = rows.select(vec).mapInPandas(sums, "i int, s double, o array<double>")
-    merged = parts.select("i", "s", F.posexplode("o").alias("j", "o")).groupBy("i", "j").agg(F.sum("o").alias("o"), F.sum("s").alias("s")).toPandas()
-    outer, mean = np.zeros((d, d)), np.zeros(d)
-    outer[merged["i"], merged["j"]] = merged["o"]
-    mean[merged["i"]] = merged["s"] / n
-    value, vector = np.linalg.eigh(outer / n - np.outer(mean, mean))
-    value, vector = np.maximum(value[::-1], 0), _signed(vector[:, ::-1])
+    def add(part: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"i": part["i"].iloc[:1], "s": [part["s"].sum()], "o": [np.sum(np.stack(part["o"]), axis=0).tolist()]})
+
+    kind = "i int, s double, o array<double>"
+    few = rows.select(vec).where(F.col(vec).isNotNull()).coalesce(max(1, rows.sparkSession.sparkContext.defaultParallelism))
+    merged = few.mapInPandas(sums, kind).groupBy("i").applyInPandas(add, kind).toPandas()
+    total, outer = np.zeros(d), np.zeros((d, d))
+    if len(merged):
+        total[merged["i"]], outer[merged["i"]] = merged["s"], np.stack(merged["o"])
+    return n, total, outer
+
+
+def _components(n: int, total: np.ndarray, outer: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Mean, variances and components, greatest first."""
+    mean = total / max(n, 1)
+    value, vector = np.linalg.eigh(outer / max(n, 1) - np.outer(mean, mean))
+    return mean, np.maximum(value[::-1], 0), _signed(vector[:, ::-1])
+
+
+def kernel_pca(rows: DataFrame, id_col: str, vec: str, k: int = KPCA_COMPONENTS) -> DataFrame:
+    """``id, vec``: the k leading components of the centred cosine kernel, scaled by
+    their spread. That kernel is the linear one of the unit rows, so its components
+    are the centred unit rows on the eigenvectors of their covariance (channels x
+    channels): exact for any number of rows, none of which leaves its task. Zero
+    vectors stay zero; components turn so that their largest loading is positive."""
+    from .vectors import l2_normalise
+
+    unit = rows.select(id_col, l2_normalise(F.col(vec), 1e-12).alias("vec"))
+    n, total, outer = _moments(unit, "vec")
+    mean, _, parts = _components(n, total, outer)
+    return project(unit, id_col, "vec", mean, parts[:, : min(k, n)])
+
+
+def fit_pca(rows: DataFrame, vec: str, variance: float = PCA_VARIANCE) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and components (channels x k) that hold the share of variance."""
+    mean, value, parts = _components(*_moments(rows, vec))
     share = np.cumsum(value) / max(value.sum(), 1e-300)
-    return mean, vector[:, : int(np.searchsorted(share, variance) + 1)]
+    return mean, parts[:, : int(np.searchsorted(share, variance) + 1)]
 
 
 def project(rows: DataFrame, id_col: str, vec: str, mean: np.ndarray, parts: np.ndarray) -> DataFrame:

@@ -5,59 +5,45 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import cluster, descriptors, fusion
+from ..operators import cluster, density, descriptors, fusion, layout
 from ..operators.vectors import l2_normalise, nearest
 
 
 @dataclass
 class Clusterer:
-    """A fitted second-stage model; small, and broadcast where it is applied."""
+    """A fitted second-stage model: principal components, and the tables of the
+    layout (``vec, y``) and of the clusters in it."""
 
     mean: np.ndarray
     parts: np.ndarray
-    layout: cluster.Umap
-    density: cluster.Hdbscan
-
-    def predict(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return self.density.predict(self.layout.transform((unit - self.mean) @ self.parts))
+    places: DataFrame
+    clusters: DataFrame
+    neighbours: int
+    min_cluster_size: int
 
 
 def fit_clusterer(rows: DataFrame, vec: str, components: int = 50, min_cluster_size: int = 3, neighbours: int = 15) -> Clusterer:
-    """Unit vectors, principal components, layout, densities; from at most
-    ``cluster.MOST_POINTS`` rows (more raise ValueError)."""
-    unit = rows.select(l2_normalise(F.col(vec)).alias("v"))
+    """Unit vectors, principal components, layout, densities, over all rows."""
+    unit = rows.select(F.monotonically_increasing_id().alias("row"), l2_normalise(F.col(vec)).alias("v"))
     mean, parts = fusion.fit_pca(unit, "v", 1.0)
     parts = parts[:, :components]
-    got = unit.limit(cluster.MOST_POINTS + 1).toPandas()["v"]
-    x = (np.stack([np.asarray(v, float) for v in got]) - mean) @ parts
-    layout = cluster.fit_umap(x, neighbours)
-    return Clusterer(mean, parts, layout, cluster.fit_hdbscan(layout.layout, min_cluster_size))
+    places = layout.fit(fusion.project(unit, "row", "v", mean, parts), "row", "vec", neighbours)
+    return Clusterer(mean, parts, places, density.fit(places, "row", "y", min_cluster_size), neighbours, min_cluster_size)
 
 
 def assign_clusters(rows: DataFrame, model: Clusterer, id_col: str, vec: str) -> DataFrame:
     """``id, cluster_id, probability``; -1 is noise. A zero vector has no
-    direction and is noise."""
-    if model.density.births is None or not len(model.density.points):
+    direction and is noise. A model without prediction data is refused."""
+    if model.clusters is None or model.clusters.isEmpty():
         raise ValueError("the model holds no prediction data")
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-    kind = rows.schema[id_col].dataType.simpleString()
-
-    def run(batches):
-        for b in batches:
-            if not len(b):
-                continue
-            x = np.stack([np.asarray(v, float) for v in b["v"]])
-            ok = np.isfinite(x).all(axis=1)
-            label, p = np.full(len(x), -1), np.zeros(len(x))
-            if ok.any():
-                label[ok], p[ok] = shared.value.predict(x[ok])
-            yield pd.DataFrame({id_col: b[id_col], "cluster_id": label, "probability": p})
-
-    return rows.select(id_col, l2_normalise(F.col(vec)).alias("v")).mapInPandas(run, f"{id_col} {kind}, cluster_id int, probability double")
+    unit = rows.select(id_col, l2_normalise(F.col(vec)).alias("v"))
+    reduced = fusion.project(unit.where("not exists(v, x -> isnan(x))"), id_col, "v", model.mean, model.parts)
+    placed = layout.transform(reduced, model.places, id_col, "vec", model.neighbours)
+    lost = unit.where("v is null or exists(v, x -> isnan(x))").select(id_col, F.lit(None).cast("array<double>").alias("y"))
+    return density.assign(placed.unionByName(lost), model.clusters, id_col, "y", model.min_cluster_size)
 
 
 def experiment(patches: DataFrame, bank: DataFrame, colors: DataFrame, shapes: DataFrame, min_cluster_size: int = 3, components: int = fusion.KPCA_COMPONENTS) -> DataFrame:

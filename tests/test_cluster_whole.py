@@ -9,9 +9,9 @@ from inspectra.operators import cluster
 
 
 def test_cluster_assign_fits_on_the_whole_bank(spark, tmp_path):
-    """The cluster of greatest ids lies beyond the first ``MOST_POINTS`` rows."""
+    """The cluster of greatest ids lies beyond the first 5,000 rows."""
     rng = np.random.default_rng(0)
-    n, late = cluster.MOST_POINTS + 60, 60
+    n, late = 5060, 60
     x = rng.normal(size=(n, 3))
     x[-late:] = 50 + 0.01 * rng.normal(size=(late, 3))
     table = pa.table({"vec_id": np.arange(n) * 2, "embedding": pa.array(list(x.astype(np.float32)), pa.list_(pa.float32())), "label": np.zeros(n, np.int32)})

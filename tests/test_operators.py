@@ -228,17 +228,6 @@ def test_hdbscan_and_prediction(spark):
         cluster.assign(df, cluster.Hdbscan(x[:0], x[:0], x[:0], x[:0], {}, 3), "i", "v")
 
 
-def test_umap_keeps_groups_apart():
-    rng = np.random.default_rng(2)
-    centres = np.eye(3, 10) * 4
-    x = np.concatenate([rng.normal(size=(30, 10)) * 0.3 + c for c in centres])
-    y = cluster.fit_umap(x, 10).layout
-    d = np.sqrt(((y[:, None] - y) ** 2).sum(2))
-    own = np.arange(90) // 30
-    same = own[:, None] == own
-    assert d[same].mean() < 0.5 * d[~same].mean()
-
-
 def test_pca_holds_variance(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(200, 5)) * [5, 3, 1, 0.1, 0.1] + 7
