@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from . import fixtures as fx
 from .functions import events as ev
 from .functions import keys, verdict
-from .operators import cluster, density, descriptors, fusion, metrics, registry, results, vectors
+from .operators import cluster, density, descriptors, fusion, metrics, neighbours, registry, results, vectors
 from .plans.retrain import retrain
 from .sources import assets, sinks
 
@@ -561,6 +561,12 @@ def hdbscan(s, d):
     return cluster.hdbscan(_embeddings(s, d).select("vec_id", "embedding"), "vec_id", "embedding")
 
 
+@query()
+def hdbscan_forest(s, d):
+    """The same clusters from a neighbour forest, at linear cost."""
+    return density.fit(_embeddings(s, d), "vec_id", "embedding", trees=neighbours.TREES).select("vec_id", "cluster", "probability")
+
+
 @query()
 def umap_layout(s, d):
     return cluster.umap(_embeddings(s, d).select("vec_id", "embedding"), "vec_id", "embedding")

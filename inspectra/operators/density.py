@@ -15,7 +15,9 @@
 4. The cluster of a point is the topmost chosen one above it, found by doubling
    pointers.
 
-No row goes to the driver, and no task holds more than two blocks or a chunk.
+No row goes to the driver, and no task holds more than two blocks or a chunk. Exact
+edges cost the square of the points where the triangle inequality tells nothing
+apart; the edges of a neighbour forest (``trees``) are linear, and nearly as good.
 """
 
 from __future__ import annotations
@@ -26,10 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..tables import Tables, indexed
-from .neighbours import Blocks, blocks, distances, matrix, meet, nearest_k
+from .neighbours import ROWS, Blocks, blocks, distances, forest_k, matrix, meet, nearest_k
 
 #: Edges of a chunk (about).
 CHUNK = 1 << 18
+#: Neighbours of a point in the graph of a forest.
+GRAPH = 15
 #: Density of points that coincide.
 MOST_LAMBDA = 1e290
 #: Rows of a piece of new points, and of fitted points, in an assignment; new rows
@@ -114,9 +118,11 @@ def _crossing(x: pa.Table, y: pa.Table) -> pa.Table:
     return _edges(names[i], names[j], w)
 
 
-def candidate_edges(b: Blocks, core: DataFrame, tables: Tables) -> DataFrame:
+def candidate_edges(b: Blocks, core: DataFrame, tables: Tables, near: DataFrame | None = None) -> DataFrame:
     """``a, b, w``: edges that hold a least spanning tree by mutual reachability.
-    ``core`` has ``idx`` and ``core``."""
+    ``core`` has ``idx`` and ``core``. With neighbours ``idx, near`` no blocks meet:
+    the edges are the neighbours' and those of the blocks' and pivots' trees, which
+    keep the points connected, but not always by the least ways."""
     rows = b.rows.join(core, "idx")
     n = len(b.centres)
     pivot_core = {r.idx: r.core for r in core.where(F.col("idx").isin(b.points.tolist())).collect()}
@@ -154,7 +160,13 @@ def candidate_edges(b: Blocks, core: DataFrame, tables: Tables) -> DataFrame:
     links, ends, size = spanning(between)
     pivots = rows.sparkSession.createDataFrame([(int(b.points[live[i]]), int(b.points[live[j]]), float(w)) for i, j, w in zip(links, ends, size)], _EDGE)
     inside = trees.where("link >= 0").select(F.col("idx").alias("a"), F.col("link").alias("b"), F.col("reach").alias("w"))
-    return tables.save(inside.unionByName(pivots).unionByName(meet(b, trees, need, _crossing, _EDGE)), "edges")
+    if near is None:
+        between_blocks = meet(b, trees, need, _crossing, _EDGE)
+    else:
+        pairs = near.select(F.col("idx").alias("a"), F.explode("near").alias("n")).select("a", F.col("n.j").alias("b"), F.col("n.d").alias("d"))
+        of = lambda c: core.select(F.col("idx").alias(c), F.col("core").alias(f"core_{c}"))
+        between_blocks = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", F.greatest("d", "core_a", "core_b").alias("w"))
+    return tables.save(inside.unionByName(pivots).unionByName(between_blocks), "edges")
 
 
 _STEP = pa.schema(
@@ -303,19 +315,24 @@ def topmost(clusters: DataFrame, tables: Tables) -> DataFrame:
     return t.select("cluster", "top")
 
 
-def fit(rows: DataFrame, id_col: str, vec: str, min_cluster_size: int = 3, min_samples: int | None = None, block_rows: int | None = None, chunk: int = CHUNK) -> DataFrame:
+def fit(rows: DataFrame, id_col: str, vec: str, min_cluster_size: int = 3, min_samples: int | None = None, block_rows: int = ROWS, chunk: int = CHUNK, trees: int | None = None) -> DataFrame:
     """``id, vec, core, cluster, probability, birth, most``: label (-1 is noise;
     clusters are numbered by their first row), strength, and of the label's cluster
-    the density that it starts at and the greatest in it. Null vectors are left out."""
+    the density that it starts at and the greatest in it. Null vectors are left out.
+
+    Exact, and so of square cost where no two pivots are far apart. With ``trees``
+    neighbours and edges come from a forest instead, at linear cost."""
     tables = Tables(rows.sparkSession, "density")
     points = tables.save(indexed(rows.select(F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("vec")).where("vec is not null").orderBy("id"), tables), "points")
-    b = blocks(points, tables, *(() if block_rows is None else (block_rows,)))
+    b = blocks(points, tables, block_rows)
     k = min(min_samples or min_cluster_size, b.count - 1)
     if k < 1:
         none = F.lit(None).cast("double")
         return points.select(F.col("id").alias(id_col), "vec", F.lit(0.0).alias("core"), F.lit(-1).alias("cluster"), F.lit(0.0).alias("probability"), none.alias("birth"), none.alias("most"))
-    core = tables.save(nearest_k(b, k, tables).select("idx", F.element_at("near", k)["d"].alias("core")), "core")
-    clusters, left = condense(candidate_edges(b, core, tables), b.count, min_cluster_size, tables, chunk)
+    near = tables.save(nearest_k(b, k, tables) if trees is None else forest_k(points, max(k, GRAPH), tables, trees, block_rows), "near")
+    core = tables.save(near.select("idx", F.get("near", F.least(F.lit(k), F.size("near")) - 1)["d"].alias("core")), "core")
+    edges = candidate_edges(b, core, tables, None if trees is None else near)
+    clusters, left = condense(edges, b.count, min_cluster_size, tables, chunk)
     clusters = tables.save(clusters, "clusters")
     placed = tables.save(left.join(topmost(clusters, tables), "cluster", "left").select("idx", F.col("top").alias("cluster"), "lam"), "placed")
     final = placed.where("cluster is not null").groupBy("cluster").agg(F.min("idx").alias("first"), F.max("lam").alias("most")).join(clusters.select("cluster", "birth"), "cluster")

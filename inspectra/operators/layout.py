@@ -1,7 +1,8 @@
 """UMAP layouts of any number of rows (McInnes and Healy 2018, cosine distance,
 min_dist 0).
 
-The neighbour graph comes from :mod:`.neighbours` on unit vectors. The layout
+The neighbour graph comes from a forest (:func:`.neighbours.forest_k`) on unit
+vectors, in time that is linear in their number. The layout
 starts from principal components and moves in rounds: vertices are dealt to parts,
 a part gets its edges with the places of their far ends, moves its own vertices
 for some epochs (far ends in the part move along, others stay until the next
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..tables import Tables, indexed
 from .fusion import fit_pca, project
-from .neighbours import blocks, distances, matrix, nearest_k
+from .neighbours import ROWS, distances, forest_k, matrix
 from .vectors import l2_normalise
 
 #: The curve of min_dist 0, spread 1; repulsion against attraction.
@@ -98,20 +99,20 @@ def _start(points: DataFrame, dims: int, seed: int) -> DataFrame:
     return y.select("idx", F.transform("vec", lambda x, i: x * (10 / max(most, 1e-12)) + noise(i)).alias("y"))
 
 
-def fit(rows: DataFrame, id_col: str, vec: str, neighbours: int = 15, dims: int = 2, seed: int = 42, part: int = PART, block_rows: int | None = None) -> DataFrame:
+def fit(rows: DataFrame, id_col: str, vec: str, neighbours: int = 15, dims: int = 2, seed: int = 42, part: int = PART, block_rows: int = ROWS) -> DataFrame:
     """``id, vec, y``: unit vectors and their layout. Null vectors are left out."""
     tables = Tables(rows.sparkSession, "layout")
     unit = rows.select(F.col(id_col).alias("id"), l2_normalise(F.col(vec), 1e-12).alias("vec")).where("vec is not null").orderBy("id")
     points = tables.save(indexed(unit, tables), "points")
-    b = blocks(points, tables, *(() if block_rows is None else (block_rows,)))
-    k = min(neighbours, b.count - 1)
+    count = points.count()
+    k = min(neighbours, count - 1)
     if k < 2:
         return points.select(F.col("id").alias(id_col), "vec", F.array_repeat(F.lit(0.0), dims).alias("y"))
-    n_parts = -(-b.count // part)
+    n_parts = -(-count // part)
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(n_parts))
-    edges = tables.save(graph(nearest_k(b, k, tables), k), "edges")
+    edges = tables.save(graph(forest_k(points, k, tables, rows=block_rows), k), "edges")
     y = tables.save(_start(points, dims, seed), "places")
-    every = max(1, b.count // NEGATIVES)
+    every = max(1, count // NEGATIVES)
     for r in range(ROUNDS):
         drawn = y.where(F.pmod(F.xxhash64("idx", F.lit(seed + r)), F.lit(every)) == 0).orderBy(F.xxhash64("idx", F.lit(r))).limit(2 * NEGATIVES)
         first = r * EPOCHS

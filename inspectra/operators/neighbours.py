@@ -1,10 +1,13 @@
-"""Points in blocks, and exact nearest neighbours between blocks.
+"""Points in blocks, and nearest neighbours within and between blocks.
 
 Points go to the nearest of at most ``MOST_PIVOTS`` pivots; a pivot's points are
 dealt to blocks of about ``ROWS``, so a dense spot (or a third of all points in one
 place) is many blocks. Work on pairs of points is work on pairs of blocks: a task
 holds two blocks, never more, and pairs of pivots whose points are too far apart
-to matter, by the triangle inequality, do not meet. Nothing is approximate.
+to matter, by the triangle inequality, do not meet. :func:`nearest_k` is exact, and
+where points lie too close for that inequality its time grows with the square of
+their number. :func:`forest_k` is linear instead: neighbours within the blocks of
+several dealings by other pivots, most of them the true ones.
 
 The driver holds the pivots, and one number for each pair of them; both are
 bounded by ``MOST_PIVOTS``.
@@ -54,10 +57,12 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Blocks:
-    """``rows``: idx, vec, pivot, block; by pivot its place and point, the greatest
-    distance of its points, its number of blocks and of the first of them."""
+    """``rows``: idx, vec, pivot, block, read from the table ``dealt``; by pivot its
+    place and point, the greatest distance of its points, its number of blocks and of
+    the first of them."""
 
     rows: DataFrame
+    dealt: DataFrame
     centres: np.ndarray
     points: np.ndarray
     radius: np.ndarray
@@ -76,11 +81,11 @@ class Blocks:
         return d
 
 
-def blocks(points: DataFrame, tables: Tables, rows: int = ROWS, most_pivots: int = MOST_PIVOTS) -> Blocks:
+def blocks(points: DataFrame, tables: Tables, rows: int = ROWS, most_pivots: int = MOST_PIVOTS, seed: int = 0) -> Blocks:
     """Blocks of ``points(idx, vec)``; pivots are points of least hash."""
     count = points.count()
     n_pivots = min(most_pivots, max(1, -(-count // rows)))
-    chosen = points.orderBy(F.xxhash64("idx"), "idx").limit(n_pivots).select("idx", "vec").collect()
+    chosen = points.orderBy(F.xxhash64("idx", F.lit(seed)), "idx").limit(n_pivots).select("idx", "vec").collect()
     centres = np.array([r.vec for r in chosen], float) if chosen else np.zeros((0, 0))
     shared = points.sparkSession.sparkContext.broadcast(centres)
 
@@ -95,7 +100,7 @@ def blocks(points: DataFrame, tables: Tables, rows: int = ROWS, most_pivots: int
     pieces, radius = np.zeros(len(centres), np.int64), np.zeros(len(centres))
     for r in dealt.groupBy("pivot").agg(F.count("*").alias("n"), F.max("apart").alias("r")).collect():
         pieces[r.pivot], radius[r.pivot] = -(-r.n // rows), r.r
-    out = Blocks(dealt, centres, np.array([r.idx for r in chosen], np.int64), radius, pieces, count)
+    out = Blocks(dealt, dealt, centres, np.array([r.idx for r in chosen], np.int64), radius, pieces, count)
     spread = points.sparkSession.createDataFrame(pd.DataFrame({"pivot": np.arange(len(centres), dtype=np.int32), "pieces": pieces, "first": out.first}), "pivot int, pieces long, first long")
     out.rows = dealt.join(F.broadcast(spread), "pivot").select("idx", "vec", "pivot", (F.col("first") + F.pmod(F.xxhash64("idx"), F.col("pieces"))).alias("block"))
     return out
@@ -164,3 +169,29 @@ def nearest_k(b: Blocks, k: int, tables: Tables) -> DataFrame:
     found = meet(b, first.select("idx", "vec", "pivot", "block", "far"), need, cell, "idx long, near array<struct<d: double, j: long>>")
     every = first.select("idx", "near").unionByName(found)
     return every.groupBy("idx").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
+
+
+#: Dealings of a forest.
+TREES = 8
+
+
+def forest_k(points: DataFrame, k: int, tables: Tables, trees: int = TREES, rows: int = ROWS) -> DataFrame:
+    """``idx, near`` as :func:`nearest_k`, of ``points(idx, vec)``: the nearest points
+    that share a block in any of ``trees`` dealings. A table of one block is exact."""
+
+    def own(t: pa.Table) -> pa.Table:
+        x, idx = matrix(t["vec"]), t["idx"].to_numpy()
+        d = distances(x, x)
+        np.fill_diagonal(d, np.inf)
+        return pa.table({"idx": t["idx"], "near": _lists(d, idx, k, np.full(len(d), np.inf))})
+
+    every = None
+    for seed in range(trees):
+        b = blocks(points, tables, rows, seed=seed)
+        one = tables.save(b.rows.select("idx", "vec", "block").groupBy("block").applyInArrow(own, "idx long, near array<struct<d: double, j: long>>"), "tree")
+        tables.drop(b.dealt)
+        every = one if every is None else every.unionByName(one)
+        if b.pieces.sum() <= 1:
+            break
+    near = F.array_distinct(F.array_sort(F.flatten(F.collect_list("near"))))
+    return every.groupBy("idx").agg(F.slice(near, 1, k).alias("near"))

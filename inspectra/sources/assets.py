@@ -45,11 +45,12 @@ def asset_path(root: str, model_type: str, version: str, name: str) -> str:
     return f"{root.rstrip('/')}/{model_type}/{version}/{name}"
 
 
-def copy_assets(spark: SparkSession, root: str, model_type: str, source: str, target: str, names: Iterable[str]) -> list[str]:
+def copy_assets(spark: SparkSession, root: str, model_type: str, source: str, target: str, names: Iterable[str], replace: bool = False) -> list[str]:
     """Give a version the assets that it takes over from another one unchanged,
     and tell which were copied. The file system streams the bytes. If the source
     lacks one, FileNotFoundError comes before anything is copied; an asset that
-    the target has already stays. A copy gets its name only when it is whole."""
+    the target has already stays, unless ``replace``. A copy gets its name only when it
+    is whole."""
     at = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
     names, conf = list(names), spark._jsc.hadoopConfiguration()
     pairs = [(n, at(asset_path(root, model_type, source, n)), asset_path(root, model_type, target, n)) for n in names]
@@ -59,11 +60,13 @@ def copy_assets(spark: SparkSession, root: str, model_type: str, source: str, ta
     done = []
     for n, src, dst in pairs:
         fs, part = at(dst).getFileSystem(conf), at(dst + ".part")
-        if fs.exists(at(dst)):
+        if fs.exists(at(dst)) and not replace:
             continue
         fs.delete(part, True)
         fs.mkdirs(at(dst).getParent())
         spark._jvm.org.apache.hadoop.fs.FileUtil.copy(src.getFileSystem(conf), src, fs, part, False, True, conf)
+        if replace:
+            fs.delete(at(dst), True)
         if not fs.rename(part, at(dst)):
             raise OSError(f"{dst} cannot be named")
         done.append(n)

@@ -1,8 +1,9 @@
 """Streams: ingest, inference and training as Structured Streaming queries.
 
 File sources and ``availableNow`` stand in for Kafka where there is no broker;
-:func:`kafka` is the same stream from one.  Sinks are idempotent, so a batch
-that runs again after a failure writes nothing twice.
+:func:`kafka` is the same stream from one.  Tables are written by key and retrains
+are registered with their event, so a batch that runs again after a failure writes
+nothing twice.
 """
 
 from __future__ import annotations
@@ -104,7 +105,8 @@ def inference(messages: DataFrame, score: Callable[[DataFrame], DataFrame], band
 
 def training(messages: DataFrame, retrain: Callable[[DataFrame], None], quarantine: str, checkpoint: str, once: bool = True, seconds: int = 5) -> StreamingQuery:
     """Hand each batch's train events to ``retrain``; others are skipped, bad
-    ones go to quarantine."""
+    ones go to quarantine. A batch that failed is handed on again;
+    :func:`inspectra.plans.retrain.retrain_events` then does what is left of it."""
 
     def each(batch: DataFrame, number: int) -> None:
         decoded = ev.decode_train(batch)

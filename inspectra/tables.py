@@ -35,12 +35,21 @@ class Tables:
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/inspectra/{name}-{uuid.uuid4().hex}"
         self._n = 0
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         self._n += 1
         path = f"{self.root}/{name}-{self._n}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[id(out)] = (out, path)
+        return out
+
+    def drop(self, table: DataFrame) -> None:
+        """Delete a saved table that nothing reads any more."""
+        _, path = self._paths.pop(id(table))
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def indexed(df: DataFrame, tables: Tables, name: str = "idx") -> DataFrame:

@@ -150,3 +150,21 @@ def test_assignment_in_pieces(spark):
         assert np.allclose([got[i][1] for i in range(len(new))], want[1])
     with pytest.raises(ValueError):
         density.assign(rows, f.limit(0), "i", "v")
+
+
+def test_forest_finds_most_neighbours_and_the_same_groups(spark):
+    """Linear neighbours: recall against brute force, groups against the exact fit."""
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.normal(c, 0.5, (200, 12)) for c in rng.normal(0, 4, (6, 12))])
+    tables = Tables(spark, "t")
+    points = indexed(frame(spark, x).orderBy("i").withColumnRenamed("v", "vec"), tables)
+    d = neighbours.distances(x, x)
+    np.fill_diagonal(d, np.inf)
+    true = [set(r) for r in np.argsort(d, axis=1)[:, :10].tolist()]
+    near = {r.idx: {p.j for p in r.near} for r in neighbours.forest_k(points, 10, tables, rows=150).collect()}
+    assert np.mean([len(near[i] & true[i]) / 10 for i in range(len(x))]) >= 0.9
+    exact = [g[1] for g in fitted(spark, x, 15, block_rows=80)]
+    quick = [g[1] for g in fitted(spark, x, 15, block_rows=150, trees=8)]
+    assert len(set(exact) - {-1}) == 6
+    agree = np.mean([(a == b) == (c == d_) for (a, c), (b, d_) in zip(zip(exact, quick), reversed(list(zip(exact, quick))))])
+    assert agree >= 0.95

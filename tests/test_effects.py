@@ -73,17 +73,57 @@ def test_train_events_of_pending_results(spark):
 
 
 def test_objects_in_chunks(spark, root):
-    rows = spark.createDataFrame([("images", "a.png", "image/png", bytearray(b"x" * 70_000)), ("models", "b", None, bytearray(b"m"))], "bucket string, object_key string, content_type string, content binary")
-    sinks.put_objects(rows, f"{root}/o")
+    rows = spark.createDataFrame([("images", "a.png", "image/png", bytearray(b"x" * 70_000)), ("models", "b", None, bytearray(b"m")), ("images", "e", None, None)], "bucket string, object_key string, content_type string, content binary")
+    sizes = {r.object_key: r.size_bytes for r in sinks.put_objects(rows, f"{root}/o").collect()}
+    assert sizes == {"a.png": 70_000, "b": 1, "e": 0}
     kind, chunks = sinks.stream_object(spark, f"{root}/o", "images", "a.png")
     assert kind == "image/png" and [len(c) for c in chunks] == [32768, 32768, 4464]
     assert sinks.stream_object(spark, f"{root}/o", "models", "b", ("models",))[0] == "application/octet-stream"
+    assert sinks.get_object(spark, f"{root}/o", "images", "e") == b""
     with pytest.raises(PermissionError):
         sinks.stream_object(spark, f"{root}/o", "models", "b")
     with pytest.raises(KeyError):
         sinks.stream_object(spark, f"{root}/o", "images", "b")
 
 
+def test_a_large_object_is_read_window_by_window(spark, root, monkeypatch):
+    """A reader asks for 16 stored chunks at once, and pieces need not fit them."""
+    content = os.urandom(1000) * 2500
+    rows = spark.createDataFrame([("images", "big", None, bytearray(content))], "bucket string, object_key string, content_type string, content binary")
+    sinks.put_objects(rows, f"{root}/o", 10_000)
+    asked = []
+    real = type(rows).collect
+
+    def collect(df):
+        got = real(df)
+        asked.append(sum(len(r.content) for r in got) if got and "content" in got[0] else 0)
+        return got
+
+    monkeypatch.setattr(type(rows), "collect", collect)
+    _, pieces = sinks.stream_object(spark, f"{root}/o", "images", "big", chunk=7777)
+    first = next(pieces)
+    assert first == content[:7777] and sum(asked) == 160_000
+    assert first + b"".join(pieces) == content and max(asked) == 160_000 and sum(asked) == len(content)
+    sinks.put_objects(rows.selectExpr("bucket", "object_key", "content_type", "cast('new' as binary) as content"), f"{root}/o")
+    assert sinks.get_object(spark, f"{root}/o", "images", "big") == b"new"
+
+
+def test_keyed_inserts_read_the_touched_buckets_only(spark, tmp_path, root):
+    rows = spark.range(200).selectExpr("cast(id as string) as k", "id as v")
+    for _ in range(2):
+        sinks.insert_if_absent(rows, f"{root}/t", "k", 16)
+    stored = spark.read.parquet(f"{root}/t")
+    assert stored.count() == 200 and stored.where("v = 7").count() == 1
+    few = rows.where("v in (3, 7)")
+    kept = sinks.stored_keys(few, f"{root}/t", "k", 16)
+    touched = {str(tmp_path / "t" / f"{sinks.BUCKET}={r[0]}") for r in few.select(sinks._bucket("k", 16)).distinct().collect()}
+    assert {"/" + os.path.dirname(f).removeprefix("file:").lstrip("/") for f in kept.select("_metadata.file_path").distinct().toPandas()["file_path"]} <= touched
+    plan = kept._jdf.queryExecution().toString()
+    assert f"PartitionFilters: [{sinks.BUCKET}" in plan and "PartitionFilters: []" not in plan
+    sinks.insert_if_absent(rows.where("v = 3").withColumn("v", F.lit(-1).cast("long")).unionByName(spark.createDataFrame([("new", 1)], rows.schema)), f"{root}/t", "k", 16)
+    assert spark.read.parquet(f"{root}/t").count() == 201 and stored.where("v = -1").count() == 0
+
+
 def test_letters_of_a_batch_are_written_once(spark, root):
     rows = spark.createDataFrame([("bad",)], "value string")
     for batch in (0, 0, 1):
@@ -113,12 +153,65 @@ def test_the_first_error_of_an_ingest_is_seen(spark, tmp_path, root, monkeypatch
         flows.ingest(images.scan_stream(spark, f"{root}/files"), f"{root}/objects", f"{root}/images", f"{root}/out", f"{root}/letters", f"{root}/cp").awaitTermination()
 
 
-def test_export_by_cluster(spark, root):
-    files = spark.createDataFrame([("/d/a.png", bytearray(b"a")), ("/d/b.png", bytearray(b"b"))], "path string, content binary")
-    rows = spark.createDataFrame([("/d/a.png", "cut", 0), ("/d/b.png", "hole", -1), ("/d/c.png", "hole", 1)], "path string, label string, cluster int")
-    sinks.export_clusters(files, rows, f"{root}/x")
-    got = {(r.folder, r.name, bytes(r.content)) for r in spark.read.parquet(f"{root}/x").collect()}
-    assert got == {("cluster0", "cut_a.png", b"a"), ("noise", "hole_b.png", b"b")}
+def test_export_by_cluster(spark, tmp_path, root):
+    """Real files under the manifest's names; what is absent or fails is counted."""
+    files = spark.createDataFrame([("/d/a.png", bytearray(b"a")), ("/e/a.png", bytearray(b"later")), ("/d/b.png", bytearray(b"b"))], "path string, content binary")
+    rows = spark.createDataFrame([("/d/a.png", "cut", 0), ("/e/a.png", "cut", 0), ("/d/b.png", "hole", -1), ("/d/c.png", "hole", 1)], "path string, label string, cluster int")
+    for _ in range(2):
+        assert sinks.export_clusters(files, rows, f"{root}/x", f"{root}/report") == {"written": 2, "failed": 0, "absent": 1}
+    got = {str(p.relative_to(tmp_path / "x")): p.read_bytes() for p in (tmp_path / "x").rglob("*") if p.is_file()}
+    assert got == {"cluster0/cut_a.png": b"later", "noise/hole_b.png": b"b"}
+    (tmp_path / "y").mkdir()
+    (tmp_path / "y" / "noise").write_text("a file where a folder should be")
+    assert sinks.export_clusters(files, rows, f"{root}/y", f"{root}/report") == {"written": 1, "failed": 1, "absent": 1}
+    bad = sinks.write_files(spark.createDataFrame([("../out", bytearray(b"x")), (None, None)], "name string, content binary"), f"{root}/z").collect()
+    assert all(r.bytes is None and r.error for r in bad)
+
+
+def test_a_retrain_that_is_handed_on_twice_registers_once(spark, tmp_path, root):
+    """The batch stops after a commit, before its stream notes it, and runs again."""
+    (tmp_path / "in").mkdir()
+    line = lambda i: json.dumps({"topic": "t", "partition": 0, "offset": i, "timestamp": "2024-01-01T00:00:00", "key": "train", "value": json.dumps({"event": "train", "model": "patchcore", "images": f"/b/{i}.png"})})
+    (tmp_path / "in" / "a.json").write_text("\n".join(line(i) for i in range(3)))
+    made, stop = [], [True]
+
+    def make(event, registry):
+        made.append(event.object_key)
+        if len(made) == 3 and stop[0]:
+            raise OSError("killed")
+        c = candidate(spark)
+        version = (1, 0, registry.count() + 1)
+        row = c.row.withColumn("model_id", F.lit(f"patchcore-{version[2]}")).withColumn("patch_version", F.lit(version[2]))
+        return plan.Candidate(version, c.bank, c.band, row, c.base)
+
+    def handle(events):
+        plan.retrain_events(events, f"{root}/registry", f"{root}/assets", make)
+        if stop[0]:
+            raise OSError("killed after the commit")
+
+    def start():
+        flows.training(flows.files(spark, f"{root}/in"), handle, f"{root}/bad", f"{root}/cp").awaitTermination()
+
+    with pytest.raises(Exception, match="killed"):
+        start()
+    assert spark.read.parquet(f"{root}/registry").count() == 2
+    made.append("again")
+    with pytest.raises(Exception, match="killed after"):
+        start()  # does the third, then dies before the stream notes the batch
+    stop[0] = False
+    start()
+    assert made == ["0.png", "1.png", "2.png", "again", "2.png"]
+    stored = spark.read.parquet(f"{root}/registry").collect()
+    assert len(stored) == 3 == len({r.source_event for r in stored}) and {r.patch_version for r in stored} == {1, 2, 3}
+
+
+def test_leftovers_of_a_failed_run_are_replaced(spark, tmp_path, root):
+    old, left = tmp_path / "assets/patchcore/1.0.0", tmp_path / "assets/patchcore/1.0.1"
+    for folder, text in ((old, b"right"), (left, b"left over")):
+        folder.mkdir(parents=True)
+        (folder / "net.onnx").write_bytes(text)
+    plan.commit(candidate(spark), f"{root}/assets", f"{root}/registry", ["net.onnx"])
+    assert (left / "net.onnx").read_bytes() == b"right"
 
 
 def test_database_in_ranges(spark, tmp_path):

@@ -27,7 +27,7 @@ def kept(x, y, k=10):
 def test_layout_keeps_groups_and_neighbours_in_any_parts(spark):
     x = groups()
     own = np.arange(120) // 40
-    for part, block in ((10**6, None), (25, 30)):
+    for part, block in ((10**6, 1500), (25, 30)):
         rows = sorted((r.i, r.y) for r in layout.fit(frame(spark, x), "i", "v", 10, part=part, block_rows=block).collect())
         y = np.array([r[1] for r in rows])
         d = np.sqrt(((y[:, None] - y) ** 2).sum(2))
