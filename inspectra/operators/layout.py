@@ -6,8 +6,8 @@ vectors, in time that is linear in their number. The layout
 starts from principal components and moves in rounds: vertices are dealt to parts,
 a part gets its edges with the places of their far ends, moves its own vertices
 for some epochs (far ends in the part move along, others stay until the next
-round), and writes their places. Repulsion comes from ``NEGATIVES`` vertices a
-round, drawn by hash, as expected values. Layouts of other implementations differ
+round), and writes their places. Repulsion comes from about ``NEGATIVES`` vertices a
+round, drawn by hash. Layouts of other implementations differ
 in detail; neighbours and groups are what to compare.
 """
 
@@ -25,8 +25,11 @@ from .vectors import l2_normalise
 
 #: The curve of min_dist 0, spread 1; repulsion against attraction.
 A, B, REPULSION = 1.9328, 0.7905, 5.0
-#: Rounds and epochs of a round; vertices of a part (about); vertices that repel.
-ROUNDS, EPOCHS, PART, NEGATIVES = 10, 20, 20_000, 1024
+#: Rounds and epochs of a round; vertices of a part (about).
+ROUNDS, EPOCHS, PART = 10, 20, 4_000
+#: Vertices that repel in a round (about), and how many of them each vertex meets in
+#: an epoch.
+NEGATIVES, DRAWS = 1024, 16
 #: Rows of a piece of new rows and of a piece of points that meet; new rows whose
 #: distances are held at once.
 NEW_PIECE, POINT_PIECE, HELD = 5_000, 5_000, 256
@@ -71,7 +74,7 @@ def _lists(y: np.ndarray) -> pa.Array:
 def _moved(y: np.ndarray, head: np.ndarray, w: np.ndarray, tail: np.ndarray, inside: np.ndarray, still: np.ndarray, away: np.ndarray, first: int, epochs: int) -> np.ndarray:
     """Places of a part's vertices after some epochs. ``tail`` is a place in the
     part where ``inside``, else the far end stays at ``still``."""
-    n = len(y)
+    n, rng = len(y), np.random.default_rng(first)
     pull_on = np.bincount(head, w, n)
     for e in range(first, first + epochs):
         far = still.copy()
@@ -80,11 +83,10 @@ def _moved(y: np.ndarray, head: np.ndarray, w: np.ndarray, tail: np.ndarray, ins
         q = np.maximum((diff**2).sum(axis=1), 1e-12)
         pull = np.clip((-2 * A * B * q ** (B - 1) / (1 + A * q**B))[:, None] * diff, -4, 4) * w[:, None]
         step = np.stack([np.bincount(head, pull[:, c], n) for c in range(y.shape[1])], axis=1)
-        for s in range(0, n, 2048):
-            gap = y[s : s + 2048, None] - away
-            q = (gap**2).sum(axis=2)
-            push = np.clip((2 * B / ((0.001 + q) * (1 + A * q**B)))[:, :, None] * gap, -4, 4).mean(axis=1)
-            step[s : s + 2048] += REPULSION * pull_on[s : s + 2048, None] * push
+        gap = y[:, None] - away[rng.integers(0, len(away), (n, DRAWS))]
+        q = (gap**2).sum(axis=2)
+        push = np.clip((2 * B / ((0.001 + q) * (1 + A * q**B)))[:, :, None] * gap, -4, 4).mean(axis=1)
+        step += REPULSION * pull_on[:, None] * push
         y = y + (1 - e / (ROUNDS * EPOCHS)) * np.clip(step, -4, 4) * 0.25
     return y
 

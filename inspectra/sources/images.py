@@ -118,12 +118,16 @@ class OnnxEmbedder:
     def __getstate__(self):
         return {"path": self.path, "_session": None}
 
-    def __call__(self, tensor: np.ndarray) -> np.ndarray:
+    def session(self):
         if self._session is None:
             import onnxruntime
 
             self._session = onnxruntime.InferenceSession(self.path, providers=["CPUExecutionProvider"])
-        out = self._session.run(None, {self._session.get_inputs()[0].name: tensor[None].astype(np.float32)})[0]
+        return self._session
+
+    def __call__(self, tensor: np.ndarray) -> np.ndarray:
+        session = self.session()
+        out = session.run(None, {session.get_inputs()[0].name: tensor[None].astype(np.float32)})[0]
         return np.asarray(out, np.float32).reshape(-1, out.shape[-1])
 
 
@@ -143,3 +147,114 @@ def embed(images: DataFrame, embedder, preprocess=preprocess_square, id_col: str
             yield pd.DataFrame(rows, columns=[id_col, "patch_idx", "vec", "error"])
 
     return images.select(id_col, "h", "w", "rgb").mapInPandas(run, f"{id_col} {kind}, patch_idx int, vec array<float>, error string")
+
+
+class PyramidStub:
+    """Deterministic maps of several levels where no weights are there: each level
+    is a grid of other size, its cells as in :class:`StubEmbedder`."""
+
+    def __init__(self, grids: dict[str, int] | None = None, dim: int = 16, seed: int = 0):
+        self.levels = {k: StubEmbedder(n, dim, seed + i) for i, (k, n) in enumerate((grids or {"fine": 14, "coarse": 7}).items())}
+
+    def __call__(self, tensor: np.ndarray) -> dict[str, np.ndarray]:
+        return {k: e(tensor).reshape(e.grid, e.grid, -1) for k, e in self.levels.items()}
+
+
+class OnnxPyramid(OnnxEmbedder):
+    """Maps of several levels from one pass of an ONNX network: ``levels`` names the
+    output of each, channels first."""
+
+    def __init__(self, path: str, levels: dict[str, str]):
+        super().__init__(path)
+        self.levels = levels
+
+    def __getstate__(self):
+        return {"path": self.path, "levels": self.levels, "_session": None}
+
+    def __call__(self, tensor: np.ndarray) -> dict[str, np.ndarray]:
+        session = self.session()
+        found = session.run(list(self.levels.values()), {session.get_inputs()[0].name: tensor[None].astype(np.float32)})
+        return {k: np.moveaxis(np.asarray(m[0], np.float32), 0, -1) for k, m in zip(self.levels, found)}
+
+
+def embed_levels(images: DataFrame, embedder, preprocess=preprocess_square, id_col: str = "path") -> DataFrame:
+    """``id, level, patch_idx, h, w, vec`` of decoded images: the cells of every
+    level's map, row by row. A picture that fails has one row with a null level and
+    the error."""
+    kind = images.schema[id_col].dataType.simpleString()
+    columns = [id_col, "level", "patch_idx", "h", "w", "vec", "error"]
+
+    def run(batches):
+        for b in batches:
+            for i, h, w, rgb in zip(b[id_col], b["h"], b["w"], b["rgb"], strict=True):
+                try:
+                    maps = embedder(preprocess(np.asarray(rgb, float).reshape(h, w, 3)))
+                    rows = [(i, k, p, m.shape[0], m.shape[1], v.tolist(), None) for k, m in maps.items() for p, v in enumerate(m.reshape(-1, m.shape[2]))]
+                except Exception as e:  # noqa: BLE001  a row's failure is data here
+                    rows = [(i, None, -1, 0, 0, None, f"{type(e).__name__}: {e}"[:200])]
+                yield pd.DataFrame(rows, columns=columns)
+
+    return images.select(id_col, "h", "w", "rgb").mapInPandas(run, f"{id_col} {kind}, level string, patch_idx int, h int, w int, vec array<float>, error string")
+
+
+#: Objects that a task fetches at once.
+THREADS = 16
+
+
+def fetch(rows: DataFrame, get, keys: tuple[str, ...] = ("bucket", "object_key"), threads: int = THREADS) -> DataFrame:
+    """``rows`` with ``content`` and ``error``: ``get(*keys)`` is called in the tasks,
+    for at most ``threads`` objects of a task at a time, whose bytes are handed on
+    before the next are asked for. An object that cannot be fetched is a row with
+    its error."""
+
+    def one(args):
+        try:
+            if any(a is None for a in args):
+                raise KeyError("no key")
+            return bytes(get(*args)), None
+        except Exception as e:  # noqa: BLE001  an object's failure is data here
+            return None, f"{type(e).__name__}: {e}"[:200]
+
+    def run(batches):
+        from concurrent.futures import ThreadPoolExecutor
+
+        import pyarrow as pa
+
+        with ThreadPoolExecutor(threads) as pool:
+            for b in batches:
+                for at in range(0, b.num_rows, threads):
+                    part = b.slice(at, threads)
+                    got = list(pool.map(one, zip(*(part[k].to_pylist() for k in keys))))
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.string())], [*part.schema.names, "content", "error"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(run, f"{fields}, content binary, error string")
+
+
+def validation_patches(rows: DataFrame, get, open_image, embedder, at: str, preprocess=preprocess_square, id_col: str = "image_id", threads: int = THREADS) -> tuple[DataFrame, DataFrame]:
+    """Patches of the objects of ``rows`` (``id, bucket, object_key``) and those that
+    could not be had, ``id, error``. An object that cannot be fetched or opened
+    (``open_image`` gives rows x columns x 3 in 0..1) is skipped and counted; an
+    image that the embedder fails on ends the job. Objects are fetched once: what
+    comes of them is a table at ``at``."""
+    kind = rows.schema[id_col].dataType.simpleString()
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for i, content, error in zip(b[id_col], b["content"], b["error"], strict=True):
+                if error is None:
+                    try:
+                        image = np.asarray(open_image(bytes(content)), float)
+                    except Exception as e:  # noqa: BLE001  so is one that is no image
+                        error = f"{type(e).__name__}: {e}"[:200]
+                if error is not None:
+                    out.append((i, -1, None, error))
+                else:
+                    out += [(i, p, v.tolist(), None) for p, v in enumerate(embedder(preprocess(image)))]
+            yield pd.DataFrame(out, columns=[id_col, "patch_idx", "vec", "error"])
+
+    fetched = fetch(rows.select(id_col, "bucket", "object_key"), get, threads=threads)
+    fetched.mapInPandas(run, f"{id_col} {kind}, patch_idx int, vec array<float>, error string").write.mode("overwrite").parquet(at)
+    done = rows.sparkSession.read.parquet(at)
+    return done.where("error is null").drop("error"), done.where("error is not null").select(id_col, "error")
