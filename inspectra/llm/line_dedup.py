@@ -20,7 +20,8 @@ and empty texts stay as they are; very long texts are a block of their own, in
 memory linear in their length; a null id keeps all its lines and counts for no
 template; rows that repeat an id are one document; a text that loses all its
 lines becomes empty and its row stays; an empty table gives an empty result; ids
-are cast to long; other columns may have any names.
+are cast to long (text that is no number counts as a null id); other columns may
+have any names.
 """
 
 from __future__ import annotations
@@ -113,7 +114,7 @@ def _hot_lines(batches):
 
 def boilerplate(docs: DataFrame, id_col: str, text_col: str, ws: Workspace, min_docs: int = MIN_DOCS) -> DataFrame:
     """``(id, names)``: hashes of the lines to drop from each document."""
-    texts = docs.where(F.col(id_col).isNotNull() & (F.length(F.col(text_col)) > 0)).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = docs.where(F.col(id_col).try_cast("long").isNotNull() & (F.length(F.col(text_col)) > 0)).select(F.col(id_col).try_cast("long").alias("id"), F.col(text_col).alias("text"))
     scan = ws.save(texts.mapInArrow(_leaves, "id long, leaves array<long>").where("size(leaves) > 0"), "leaves")
     held = scan.select("id", F.explode("leaves").alias("leaf"))
     hot = held.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
@@ -186,7 +187,7 @@ def _applied(docs: DataFrame, id_col: str, text_col: str, min_docs: int) -> tupl
     key, names, n_lines, n_dropped = fresh(docs.columns, "_id", "_names", "_n_lines", "_n_dropped")
     dropped = boilerplate(docs, id_col, text_col, ws, min_docs).select(F.col("id").alias(key), F.col("names").alias(names))
     # Texts are joined by a shuffle at every size: hits grow with the input.
-    joined = docs.join(dropped.hint("merge"), F.col(id_col).cast("long") == F.col(key), "left").drop(key)
+    joined = docs.join(dropped.hint("merge"), F.col(id_col).try_cast("long") == F.col(key), "left").drop(key)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     cut = _cut(docs.columns.index(text_col), [*docs.columns, n_lines, n_dropped])
     return joined.mapInArrow(cut, f"{fields}, {n_lines} long, {n_dropped} long"), n_lines, n_dropped

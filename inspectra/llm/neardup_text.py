@@ -23,7 +23,7 @@ shingles.
 
 Edge cases: null and empty texts have no shingles and link with nothing; very
 long texts are a block of their own, in memory linear in their length; a
-null id links with nothing and is kept; rows that repeat an id are one document
+null id (or text that is no number) links with nothing and is kept; rows that repeat an id are one document
 and share its component; an empty table gives an empty result.  Only the named
 columns are read, so extra columns never clash.
 """
@@ -313,7 +313,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percen
     how = scheme(percent)
     ws = Workspace(docs.sparkSession, "minhash")
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).try_cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = ws.save(texts.mapInArrow(partial(_measure, symbols=how.symbols), "id long, n long, s1 long, s2 long, sym binary"), "signatures")
     filled = signed.where("n > 0 and id is not null")
     classes = filled.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))

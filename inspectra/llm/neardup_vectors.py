@@ -15,8 +15,9 @@ counts in the one of least key.
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite
 components, and rows with a null label or id, link with nothing; vectors of
-different lengths never link; repeated rows are vectors of their own; an empty
-table gives an empty result.  Only the named columns are read.
+different lengths never link; repeated rows are vectors of their own; ids and
+labels are cast to long (text that is no number counts as null); an empty table
+gives an empty result.  Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -218,7 +219,7 @@ def link(
     spark = vectors.sparkSession
     ws = Workspace(spark, "vectors")
     rows = vectors.select(
-        F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"), F.col(vec_col).cast("array<double>").alias("v")
+        F.col(id_col).try_cast("long").alias("id"), F.col(label_col).try_cast("long").alias("label"), F.col(vec_col).cast("array<double>").alias("v")
     )
     n = rows.count()
     # So many joint hashes that random vectors share a bucket with few others.

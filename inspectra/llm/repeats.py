@@ -695,7 +695,7 @@ def find(docs: DataFrame, kind: Kind, id_col: str, text_col: str, ws: Workspace)
     that repeat an id are documents of equal rank that do not match each other.
     """
     texts = docs.select(
-        F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
+        F.col(id_col).try_cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
     lists = "" if kind.block else ", samples array<long>, own array<long>"
     scan = ws.save(texts.mapInArrow(_scan(kind), "id long, th long, units long, sha string" + lists), "scan")

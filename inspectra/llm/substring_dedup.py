@@ -49,7 +49,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
     key, mark, spans = fresh(names, "_id", "_th", "_spans")
     found = find(docs, kind, id_col, text_col, Workspace(docs.sparkSession, "substring")).where("removed > 0")
     found = found.select(F.col("id").alias(key), F.col("th").alias(mark), F.col("spans").alias(spans)).dropDuplicates([key, mark])
-    same = (F.col(id_col).cast("long") == F.col(key)) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(mark))
+    same = (F.col(id_col).try_cast("long") == F.col(key)) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(mark))
     joined = docs.join(found.hint("merge"), same, "left").drop(key, mark)
 
     def apply(batches):
