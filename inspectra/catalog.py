@@ -11,6 +11,7 @@ from . import fixtures as fx
 from .functions import events as ev
 from .functions import keys, verdict
 from .operators import cluster, density, descriptors, fusion, metrics, neighbours, registry, results, vectors
+from .plans import clustering
 from .plans.retrain import retrain
 from .sources import assets, sinks
 
@@ -201,10 +202,16 @@ def keyword_predict(s, d):
     return ev.project_demo(fx.view(s, d, fx.DEMO, "events")).select("offset", verdict.keyword_predict(F.col("data")).alias("prediction"))
 
 
-@query("select 17.5::double as lower, 18.25::double as upper")
+#: A file of bounds with a line for each event: blanks, notes, both bounds over and
+#: over (the last counts) and other names.
+_BAND_LINES = """select event_id as line, case event_id % 5 when 0 then '' when 1 then concat('lower=', cast(cast(round(value) as bigint) as string))
+  when 2 then concat('  upper =  ', cast(cast(round(value) as bigint) as string), ' ') when 3 then '# note' else concat('other=', cast(event_id as string), '=lower') end as value from events"""
+
+
+@query("""select max_by(cast(round(value) as bigint), event_id) filter (where event_id % 5 = 1)::double as lower,
+  max_by(cast(round(value) as bigint), event_id) filter (where event_id % 5 = 2)::double as upper from events""")
 def band_parse(s, d):
-    text = ["", "# note", "lower=16.2815", "upper = 18.25", "other=1=2", "lower=17.5"]
-    return assets.parse_band(s.createDataFrame(list(enumerate(text)), "line int, value string"))
+    return assets.parse_band(fx.view(s, d, _BAND_LINES, "events"))
 
 
 @query(f"""with res as ({_RES}) select event_id, status from res where cast(event_id as bigint) % 3 <> 0""")
@@ -577,3 +584,25 @@ def cluster_assign(s, d):
     """Fit on the bank's rows, then assign every vector."""
     rows = _embeddings(s, d).select("vec_id", F.col("embedding").alias("vec"))
     return density.assign(rows, density.fit(_bank(s, d), "row_id", "vec"), "vec_id", "vec")
+
+
+def _experiment(s, d, shape_block):
+    p = _patches(s, d)
+    values = F.transform(F.min_by("vec", "patch_idx").cast("array<double>"), lambda x: x * x)
+    maps = p.groupBy("image_id").agg(values.alias("values")).select("image_id", F.lit(8).alias("h"), F.lit(8).alias("w"), "values")
+    # Two levels of every patch: the vector, and its channels the other way round.
+    levels = lambda rows, *keys: rows.select(*keys, F.lit("a").alias("level"), "vec").unionByName(rows.select(*keys, F.lit("b").alias("level"), F.reverse("vec").alias("vec")))
+    patches, bank = levels(p, "image_id", "patch_idx"), levels(_bank(s, d))
+    return clustering.experiment_of_maps(patches, bank, maps, shape_block=shape_block)
+
+
+@query()
+def experiment_clusters(s, d):
+    """Both clustering layers from patches of two levels and score maps."""
+    return _experiment(s, d, False)
+
+
+@query()
+def experiment_clusters_shape(s, d):
+    """The variant with a block of shapes and rows of unit length."""
+    return _experiment(s, d, True)

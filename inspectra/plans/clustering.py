@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cluster, density, descriptors, fusion, layout
 from ..operators.vectors import l2_normalise, nearest
+from ..tables import Tables
 
 
 @dataclass
@@ -46,8 +47,10 @@ def assign_clusters(rows: DataFrame, model: Clusterer, id_col: str, vec: str) ->
     return density.assign(placed.unionByName(lost), model.clusters, id_col, "y", model.min_cluster_size)
 
 
-def experiment(patches: DataFrame, bank: DataFrame, colors: DataFrame, shapes: DataFrame, min_cluster_size: int = 3, components: int = fusion.KPCA_COMPONENTS) -> DataFrame:
-    """First and second clustering layer of an experiment's images.
+def experiment(patches: DataFrame, bank: DataFrame, colors: DataFrame, shapes: DataFrame, min_cluster_size: int = 3, components: int = fusion.KPCA_COMPONENTS, shape_block: bool = False) -> DataFrame:
+    """First and second clustering layer of an experiment's images. With
+    ``shape_block`` shapes are a block of their own beside depths and colours, and
+    the joined rows get unit length.
 
     ``patches``: ``image_id, level, patch_idx, vec``; ``bank``: ``level, vec``;
     ``colors`` and ``shapes``: ``image_id`` with ``color`` and ``shape`` arrays.
@@ -61,8 +64,18 @@ def experiment(patches: DataFrame, bank: DataFrame, colors: DataFrame, shapes: D
         pooled = one if pooled is None else pooled.unionAll(one)
     deep = descriptors.deep_vectors(pooled, ["image_id"])
     blocks = [fusion.block_prep(deep, "image_id", "deep", fusion.WEIGHT_DEEP), fusion.block_prep(colors, "image_id", "color", fusion.WEIGHT_COLOR)]
-    reduced = fusion.kernel_pca(fusion.concat_blocks(blocks, "image_id"), "image_id", "vec", components)
+    if shape_block:
+        blocks.append(fusion.block_prep(shapes, "image_id", "shape", fusion.WEIGHT_SHAPE))
+    reduced = fusion.kernel_pca(fusion.concat_blocks(blocks, "image_id", unit=shape_block), "image_id", "vec", components)
     first = cluster.hdbscan(cluster.umap(reduced, "image_id", "vec"), "image_id", "vec", min_cluster_size)
     magnitude = F.sqrt(F.aggregate("color", F.lit(0.0), lambda a, x: a + x * x))
     rows = first.join(colors.select("image_id", magnitude.alias("color_mag")), "image_id").join(shapes.select("image_id", F.col("shape")[1].alias("ecc")), "image_id")
     return fusion.refine(rows, "image_id").select("image_id", "cluster", "refined")
+
+
+def experiment_of_maps(patches: DataFrame, bank: DataFrame, maps: DataFrame, min_cluster_size: int = 3, components: int = fusion.KPCA_COMPONENTS, shape_block: bool = False) -> DataFrame:
+    """The experiment from its score maps (``image_id, h, w, values``): the defect's
+    mask in each map gives the image's colour and shape. They are described once,
+    into a table."""
+    described = Tables(maps.sparkSession, "experiment").save(descriptors.describe_maps(maps).select("image_id", "color", "shape"), "described")
+    return experiment(patches, bank, described.select("image_id", "color"), described.select("image_id", "shape"), min_cluster_size, components, shape_block)
