@@ -27,9 +27,9 @@ from .vectors import l2_normalise
 A, B, REPULSION = 1.9328, 0.7905, 5.0
 #: Rounds and epochs of a round; vertices of a part (about).
 ROUNDS, EPOCHS, PART = 10, 20, 4_000
-#: Vertices that repel in a round (about), and how many of them each vertex meets in
-#: an epoch.
-NEGATIVES, DRAWS = 1024, 16
+#: Vertices that repel in a round (about), and how many of them do in an epoch: the
+#: same for all vertices of a part, so that neighbours are pushed alike.
+NEGATIVES, DRAWS = 1024, 64
 #: Rows of a piece of new rows and of a piece of points that meet; new rows whose
 #: distances are held at once.
 NEW_PIECE, POINT_PIECE, HELD = 5_000, 5_000, 256
@@ -83,7 +83,7 @@ def _moved(y: np.ndarray, head: np.ndarray, w: np.ndarray, tail: np.ndarray, ins
         q = np.maximum((diff**2).sum(axis=1), 1e-12)
         pull = np.clip((-2 * A * B * q ** (B - 1) / (1 + A * q**B))[:, None] * diff, -4, 4) * w[:, None]
         step = np.stack([np.bincount(head, pull[:, c], n) for c in range(y.shape[1])], axis=1)
-        gap = y[:, None] - away[rng.integers(0, len(away), (n, DRAWS))]
+        gap = y[:, None] - away[rng.permutation(len(away))[:DRAWS]]
         q = (gap**2).sum(axis=2)
         push = np.clip((2 * B / ((0.001 + q) * (1 + A * q**B)))[:, :, None] * gap, -4, 4).mean(axis=1)
         step += REPULSION * pull_on[:, None] * push
