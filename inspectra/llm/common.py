@@ -3,34 +3,17 @@ cluster's shared folder, table readers, connected components."""
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..tables import shared_dir
+
 #: Words everywhere in this subpackage: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or the session's
-    checkpoint folder. Only a session on one machine (``local``, tests) may do
-    without: it takes a temporary folder. Elsewhere that would lose rows."""
-    sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir")
-    if not base:
-        current = sc._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            return current.get()
-        if not re.fullmatch(r"local(\[.*\])?", sc.master):
-            raise RuntimeError("spark.checkpoint.dir is not set, and the executors share no other folder")
-        base = "file://" + tempfile.mkdtemp(prefix="inspectra-")
-        sc.setCheckpointDir(base)
-    return base
-
-
 def fresh(columns: list[str], *names: str) -> list[str]:
     """The names, with underscores in front until none is among the columns."""
     taken = {c.lower() for c in columns}
