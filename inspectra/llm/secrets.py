@@ -8,11 +8,13 @@ under the automata against that under an automaton of ordinary words; tokens
 above the calibrated ratio become further spans.
 
 The credentials are labelled by the base patterns themselves, which name their
-kind; ordinary tokens are all other candidates, numbers included.  A candidate is
-any run of 8 or more credential characters; its evidence (the log-likelihood
-ratio of the whole token) must outweigh prior odds of one credential in ``ODDS``
-tokens, and its ratio per symbol the calibrated threshold, so short tokens need
-more of it per symbol.
+kind; ordinary tokens are all other candidates, numbers included, and tokens of
+formats that carry no secret whether the table holds any or not (``ordinary``).
+A candidate is any run of 8 or more credential characters; its evidence (the
+log-likelihood ratio of the whole token) must outweigh prior odds of one
+credential in ``ODDS`` tokens, and be more than that of all but one in 500
+ordinary tokens that were held out, so the bound is the same for tables of every
+size unless ordinary tokens reach it.
 
 Edge cases: null and empty texts have no spans; offsets are code points; very
 long texts and tokens are read whole; repeated rows are scanned alike; with no
@@ -23,7 +25,9 @@ ids are kept.  Other columns are never read and may have any names.
 from __future__ import annotations
 
 import math
+import random
 import re
+import uuid
 import zlib
 from collections import defaultdict
 
@@ -49,6 +53,8 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-][A-Za-z0-9+/_.=-]{6,}[A-Za-z0-9+/_=-]",
 #: Bounds of the fitting sample (tokens of least hash over the whole table):
 #: credentials per kind, ordinary tokens, and symbols of either.
 FIT_CREDENTIALS, FIT_WORDS, FIT_SYMBOLS = 2000, 4000, 200_000
+#: Tokens made of each ordinary format.
+FIT_ORDINARY = 800
 ALPHA = 0.05
 #: Prior odds against a token being a credential.
 ODDS = 1e6
@@ -189,40 +195,48 @@ def _bounded(values: list[str]) -> list[str]:
     return out
 
 
+def ordinary(n: int = FIT_ORDINARY) -> dict[str, list[str]]:
+    """Tokens of formats that carry no secret, the same at each call: unique ids,
+    numbers of 8 to 24 digits (grouped or not), dates and times."""
+    rng = random.Random(0)
+    number = lambda k: "".join(rng.choices("0123456789", k=k))
+    pick = lambda *f: rng.choice(f)()
+    day = lambda: f"{rng.randint(1900, 2099)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}"
+    return {
+        "uuid": [str(uuid.UUID(int=rng.getrandbits(128), version=rng.choice((1, 4, 5)))) for _ in range(n)],
+        "number": [pick(lambda: number(rng.randint(8, 24)), lambda: "-".join(number(4) for _ in range(rng.randint(2, 5)))) for _ in range(n)],
+        "date": [pick(day, lambda: f"{day()}T{rng.randint(0, 23):02}", lambda: day().replace("-", "") + f"T{number(6)}Z") for _ in range(n)],
+    }
+
+
 class FormatModel:
-    """Automata of the kinds, of ordinary words and of other ordinary tokens
-    (numbers, addresses), and the threshold. A quarter of each sample is held out
-    to calibrate it."""
+    """Automata of the kinds, of ordinary words, of other ordinary tokens of the
+    table (addresses, numbers) and of each ordinary format, and the evidence that
+    a credential needs. A quarter of each sample is held out to calibrate it."""
 
     def __init__(self, credentials: dict[str, list[str]], words: list[str]):
         shape = lambda x: [t.translate(_CLASSES) for t in x]
-        self.kinds, self.plain, self.threshold, self._verdicts = [], [], math.inf, {}
-        held_out = []
+        self.kinds, self.plain, self.needed, self._verdicts = [], [], math.inf, {}
         for _, values in sorted(credentials.items()):
             values = sorted(set(_bounded(values)))
             if len(values) < 4:
                 continue
             self.kinds.append(Automaton(shape([v for i, v in enumerate(values) if i % 4])))
-            held_out += [v for i, v in enumerate(values) if i % 4 == 0]
         strata = [sorted(set(_bounded([w for w in words if w.isalpha() == plain]))) for plain in (True, False)]
-        strata = [x for x in strata if len(x) >= 4]
-        if not self.kinds or not strata:
-            self.kinds = []
+        strata = [x for x in strata if len(x) >= 4] + [sorted(set(x)) for x in ordinary().values()]
+        if not self.kinds:
             return
         self.plain = [Automaton(shape([w for i, w in enumerate(x) if i % 4])) for x in strata]
-        good = sorted(self.ratio(v) for v in held_out)
-        bad = sorted(self.ratio(w) for x in strata for w in x[::4])
-        weak, strong = good[len(good) // 50], bad[-1 - len(bad) // 500]
-        # Halfway between the weakest credentials and the most suspect ordinary tokens.
-        self.threshold = max((weak + strong) / 2 if weak > strong else strong + 0.05, 0.1)
-
-    def ratio(self, token: str) -> float:
-        """Log-likelihood ratio of a symbol."""
+        bad = sorted(self.evidence(w) for x in strata for w in x[::4])
+        self.needed = max(math.log(ODDS), bad[-1 - len(bad) // 500] + 1)
+
+    def evidence(self, token: str) -> float:
+        """Log-likelihood ratio of the token: best kind against best ordinary format."""
         t = token.translate(_CLASSES)
-        return max(k.score(t) for k in self.kinds) - max(k.score(t) for k in self.plain)
+        return (max(k.score(t) for k in self.kinds) - max(k.score(t) for k in self.plain)) * len(t)
 
     def spans(self, text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        """Further spans: candidates over the threshold that no base span meets."""
+        """Further spans: candidates with enough evidence that no base span meets."""
         if not self.kinds:
             return []
         found, at = [], 0
@@ -244,8 +258,7 @@ class FormatModel:
         if got is None:
             if len(self._verdicts) >= REMEMBER:
                 self._verdicts.clear()
-            ratio = self.ratio(token)
-            got = self._verdicts[token] = ratio >= self.threshold and ratio * len(token) >= math.log(ODDS)
+            got = self._verdicts[token] = self.evidence(token) >= self.needed
         return got
 
 

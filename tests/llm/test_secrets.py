@@ -93,3 +93,36 @@ def test_long_texts_and_clashing_names(spark):
     rows = [(1, "x" * 3_000_000 + f" token={value} " + "y " * 500_000, 5, 6)]
     got = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, _id int, spans int")).collect()[0]
     assert [(s.kind, s.start) for s in got.spans] == [("assign", 3_000_001), ("hex", 3_000_007)]
+
+
+def test_formats_held_out(spark):
+    """By format, on the fit of a table whose labelled credentials are hexadecimal:
+    bare ones below the base length are found; formats that no credential was
+    labelled in, and ordinary ones, are left alone, whatever the table's size."""
+    import base64
+    import random
+    import uuid
+
+    rng, n = random.Random(77), 300
+    some = lambda letters, k: "".join(rng.choices(letters, k=k))
+    names = "server partition bytes model table value index order record stream window".split()
+    ordinary = {
+        "uuid": [str(uuid.UUID(int=rng.getrandbits(128), version=4)) for _ in range(n)],
+        "number": [some("0123456789", rng.randint(8, 24)) for _ in range(n)],
+        "phone": [f"{some('0123456789', 3)}-{some('0123456789', 3)}-{some('0123456789', 4)}" for _ in range(n)],
+        "snake": ["_".join(rng.choices(names, k=3)) for _ in range(n)],
+        "camel": ["".join(w.title() for w in rng.choices(names, k=3)) for _ in range(n)],
+        "path": ["/".join(rng.choices(names, k=4)) for _ in range(n)],
+        "base64": [base64.b64encode(" ".join(rng.choices(names, k=5)).encode()).decode() for _ in range(n)],
+        "date": [f"20{rng.randint(10, 30)}-0{rng.randint(1, 9)}-{rng.randint(10, 28)}" for _ in range(n)],
+    }
+    short = [some("0123456789abcdef", rng.randint(24, 31)) for _ in range(n)]
+    for sf in ("sf0.001", "sf0.01"):
+        docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text")
+        model = secrets.fit(docs)
+        if not model.kinds:
+            continue
+        for kind, tokens in ordinary.items():
+            assert sum(map(model.known, tokens)) <= n // 100, (sf, kind)
+        assert sum(map(model.known, short)) >= 0.9 * n, sf
+    assert model.kinds
