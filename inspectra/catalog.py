@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from . import fixtures as fx
 from .functions import events as ev
 from .functions import keys, verdict
-from .operators import cluster, density, descriptors, fusion, metrics, neighbours, registry, results, vectors
+from .operators import cluster, density, descriptors, fusion, metrics, neighbours, regions, registry, results, vectors
+from .operators.regions_sql import masks_sql
 from .plans import clustering
 from .plans.retrain import retrain
 from .sources import assets, sinks
@@ -514,9 +515,31 @@ def _maps(s, d):
     return _embeddings(s, d).select(F.col("vec_id").alias("image_id"), F.lit(8).alias("h"), F.lit(8).alias("w"), F.transform(F.col("embedding").cast("array<double>"), lambda x: x * x).alias("values"))
 
 
-@query()
+def _tiles(s, d, side: int):
+    """Score maps of ``side`` x ``side`` vectors, each 8 x 8 pixels, with colours;
+    places without a vector hold zeros."""
+    at, n, k = F.col("vec_id"), side * side, F.col("vec_id") % (side * side)
+    place = (F.floor(k / side) * 8 + F.floor(F.col("i") / 8)) * 8 * side + (k % side) * 8 + F.col("i") % 8
+    px = _embeddings(s, d).select(F.floor(at / n).alias("image_id"), "vec_id", F.posexplode(F.col("embedding").cast("array<double>")).alias("i", "x"))
+    found = px.groupBy("image_id").agg(F.map_from_entries(F.collect_list(F.struct(place.alias("at"), (F.col("x") * F.col("x")).alias("v")))).alias("m"))
+    values = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(64 * n - 1).cast("bigint")), lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0)))
+    maps = found.select("image_id", F.lit(8 * side).alias("h"), F.lit(8 * side).alias("w"), values.alias("values"))
+    return maps.withColumn("rgb", F.flatten(F.transform("values", lambda v: F.array(v, v * v, F.lit(1.0) - v))))
+
+
+def _rounded(described: DataFrame) -> DataFrame:
+    return described.select("image_id", "mask_pixels", *(F.round(c, 6).alias(c) for c in (*regions.COLOR, *regions.SHAPE)))
+
+
+@query(masks_sql("select vec_id as image_id, (i - 1) // 8 as y, (i - 1) % 8 as x, embedding[i]::double * embedding[i]::double as v from embeddings, range(1, 65) t(i)", 8, "v", "v", "v"))
 def mask_color_shape(s, d):
-    return descriptors.describe_maps(_maps(s, d))
+    return _rounded(regions.describe(_maps(s, d)))
+
+
+@query(masks_sql("""select image_id, y, x, coalesce(v, 0) as v from (select image_id, y, x from (select distinct vec_id // 25 as image_id from embeddings), range(40) a(y), range(40) b(x)) left join
+  (select vec_id // 25 as image_id, vec_id % 25 // 5 * 8 + (i - 1) // 8 as y, vec_id % 5 * 8 + (i - 1) % 8 as x, embedding[i]::double * embedding[i]::double as v from embeddings, range(1, 65) t(i)) using (image_id, y, x)""", 40, "v", "v * v", "1 - v"))
+def mask_regions(s, d):
+    return _rounded(regions.describe(_tiles(s, d, 5), pixels="rgb"))
 
 
 @query(f"""with o as (select greatest((i + 0.5) * 8 / 224 - 0.5, 0) as u from range(224) t(i)), f as (select least(floor(u), 7)::int as lo, u - least(floor(u), 7) as part from o),
