@@ -7,7 +7,9 @@ window sums, until the largest gap between a marginal and its target is below
 ``TOLERANCE`` or shrinks no more (reported by a warning and by :func:`gap`).  A document's probability is
 its cell's weight over its cell's tokens times a common scale, at most 1; what
 cells at 1 cannot take goes to the others until the expected size is met or all
-are full (:func:`marginals` tells what that leaves of the targets).  Whether a
+are full; what that leaves of the targets is told by :func:`marginals`, and by a
+warning where a share is missed. With ``meet`` the sample is as large as it can be
+with every target met (:func:`reachable`), at most ``keep``.  Whether a
 document is drawn depends on a hash of its id alone, so a repeated run draws the
 same documents.
 
@@ -37,6 +39,8 @@ TEMPERATURE = {"source": 0.7, "lang": 0.7, "topic": 0.7}
 #: Rounds of raking at least; the gap between a marginal and its target that ends
 #: it; the share of tokens that the sample aims at.
 ROUNDS, TOLERANCE, KEEP = 12, 1e-10, 0.6
+#: A share of the expected sample that differs more from its target is told.
+MISS = 0.01
 #: Rounds of handing on what cells at probability 1 cannot take that the SQL
 #: writes out; the operator goes on until nothing changes.
 CAP_ROUNDS = 6
@@ -175,6 +179,14 @@ def rake(c: DataFrame, ws: Workspace, targets: dict[str, dict] | None = None, ro
     return live
 
 
+def reachable(fitted: DataFrame) -> float:
+    """The largest share of all tokens that a sample can hold while no cell has to
+    give more than it has."""
+    (total,) = _number(fitted, F.sum("n_tokens"))
+    (most,) = _number(fitted.where("weight > 0"), F.min(F.col("n_tokens") / F.col("weight")))
+    return min(1.0, most / total) if total else 1.0
+
+
 def probabilities(fitted: DataFrame, keep: float = KEEP) -> DataFrame:
     """``probability`` per cell: proportional to weight over tokens, scaled so
     that the expected sample holds ``keep`` of all tokens; what cells at 1
@@ -207,6 +219,14 @@ def marginals(p: DataFrame) -> DataFrame:
     return parts[0].unionAll(parts[1]).unionAll(parts[2])
 
 
+def missed(p: DataFrame) -> list[str]:
+    """The categories whose share of the expected sample misses the target by
+    more than MISS of it, worst first."""
+    off = F.abs(F.col("expected") - F.col("target"))
+    worst = marginals(p).where(off > MISS * F.col("target")).orderBy(off.desc(), "axis", "category").limit(10).collect()
+    return [f"{r.axis} {r.category}: {r.expected:.4f} for {r.target:.4f}" for r in worst]
+
+
 def _measures(text_col: str, source_col: str, lang_col: str, topic: Column | None) -> list[Column]:
     text = F.col(text_col)
     return [
@@ -217,9 +237,13 @@ def _measures(text_col: str, source_col: str, lang_col: str, topic: Column | Non
     ]
 
 
-def _fitted(measured: DataFrame, ws: Workspace, targets: dict[str, dict] | None, keep: float) -> DataFrame:
+def _fitted(measured: DataFrame, ws: Workspace, targets: dict[str, dict] | None, keep: float, meet: bool) -> DataFrame:
     """Probabilities of the cells of measured documents."""
-    return ws.save(probabilities(rake(ws.save(cells(measured), "counts"), ws, targets), keep), "probabilities")
+    raked = rake(ws.save(cells(measured), "counts"), ws, targets)
+    p = ws.save(probabilities(raked, min(keep, reachable(raked)) if meet else keep), "probabilities")
+    if off := missed(p):
+        warnings.warn(f"the sample misses its targets, as some cells are drawn whole: {'; '.join(off)}", stacklevel=3)
+    return p
 
 
 def _cell(t: str) -> Column:
@@ -236,12 +260,13 @@ def sample(
     topic: Column | None = None,
     targets: dict[str, dict] | None = None,
     keep: float = KEEP,
+    meet: bool = False,
 ) -> DataFrame:
     """One row per document: id, source, lang, topic, ``n_tokens``,
     ``probability``, ``sampled``."""
     ws = Workspace(docs.sparkSession, "mixing")
     measured = ws.save(docs.select(F.col(id_col).alias(id_col), *_measures(text_col, source_col, lang_col, topic)), "measured")
-    p = _fitted(measured, ws, targets, keep)
+    p = _fitted(measured, ws, targets, keep, meet)
     joined = measured.alias("m").join(p.alias("p"), _cell("m") == _cell("p"), "left")
     chance = F.when(F.col("m.n_tokens") > 0, F.coalesce("p.probability", F.lit(0.0))).otherwise(F.lit(0.0))
     return joined.select(
@@ -258,12 +283,13 @@ def filter_documents(
     topic: Column | None = None,
     targets: dict[str, dict] | None = None,
     keep: float = KEEP,
+    meet: bool = False,
 ) -> DataFrame:
     """The documents that are drawn, all columns kept. Texts meet the cells'
     small table where they are read; they are not shuffled for it."""
     ws = Workspace(docs.sparkSession, "mixing")
     measures = _measures(text_col, source_col, lang_col, topic)
-    p = _fitted(docs.select(*measures), ws, targets, keep)
+    p = _fitted(docs.select(*measures), ws, targets, keep, meet)
     # Words were counted once; here a text needs its cell, and any word at all.
     cell = F.struct(*measures[:3])
     rows = docs.select(F.struct(*docs.columns).alias("row"), cell.alias("m"), draw(F.col(id_col)).alias("u"), F.col(text_col).rlike(r"[^\x20\x09-\x0D]").alias("filled"))

@@ -94,3 +94,31 @@ def test_filter_with_clashing_names_and_long_text(spark):
     out = mixing.filter_documents(docs)
     drawn = {r.doc_id for r in mixing.sample(docs).where("sampled").collect()}
     assert out.columns == docs.columns and {r.doc_id for r in out.collect()} == drawn
+
+
+def test_missed_targets_are_told_or_met(spark):
+    """A sample too large for its targets says which shares it misses and by how
+    much; with ``meet`` it is smaller and every share is within one per cent."""
+    import pytest
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    with pytest.warns(UserWarning, match="misses its targets.*topic"):
+        large = mixing.sample(docs)
+    small = mixing.sample(docs, meet=True).toPandas()
+    weight = small.n_tokens * small.probability
+    share = weight.sum() / small.n_tokens.sum()
+    assert 0 < share < mixing.KEEP and small.probability.max() <= 1
+    measured = docs.select(*mixing._measures("text", "source", "lang", None))
+    fitted = mixing.rake(mixing.cells(measured), Workspace(spark, "t"))
+    want = mixing.marginals(mixing.probabilities(fitted)).toPandas()
+    assert abs(share - mixing.reachable(fitted)) < 1e-4
+    for axis in mixing.AXES:
+        got = weight.groupby(small[axis].fillna("")).sum() / weight.sum()
+        for r in want[want.axis == axis].itertuples():
+            assert abs(got[r.category or ""] - r.target) <= 0.01 * r.target
+    assert large.count() == len(small)
+    assert mixing.filter_documents(docs, meet=True).count() == small.sampled.sum()
+
+
+def test_meeting_targets_on_an_empty_table(spark):
+    assert mixing.sample(spark.createDataFrame([], SCHEMA), meet=True).count() == 0
