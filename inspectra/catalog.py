@@ -518,11 +518,13 @@ def _maps(s, d):
 def _tiles(s, d, side: int):
     """Score maps of ``side`` x ``side`` vectors, each 8 x 8 pixels, with colours;
     places without a vector hold zeros."""
-    at, n, k = F.col("vec_id"), side * side, F.col("vec_id") % (side * side)
-    place = (F.floor(k / side) * 8 + F.floor(F.col("i") / 8)) * 8 * side + (k % side) * 8 + F.col("i") % 8
-    px = _embeddings(s, d).select(F.floor(at / n).alias("image_id"), "vec_id", F.posexplode(F.col("embedding").cast("array<double>")).alias("i", "x"))
-    found = px.groupBy("image_id").agg(F.map_from_entries(F.collect_list(F.struct(place.alias("at"), (F.col("x") * F.col("x")).alias("v")))).alias("m"))
-    values = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(64 * n - 1).cast("bigint")), lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0)))
+    n, w = side * side, 8 * side
+    vecs = F.struct((F.col("vec_id") % n).alias("k"), F.transform(F.col("embedding").cast("array<double>"), lambda x: x * x).alias("v"))
+    found = _embeddings(s, d).groupBy(F.floor(F.col("vec_id") / n).alias("image_id")).agg(F.map_from_entries(F.collect_list(vecs)).alias("m"))
+    line, col = lambda i: F.floor(i / w), lambda i: i % w
+    tile = lambda i: F.floor(line(i) / 8) * side + F.floor(col(i) / 8)
+    within = lambda i: (line(i) % 8 * 8 + col(i) % 8).cast("int")
+    values = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(w * w - 1).cast("bigint")), lambda i: F.coalesce(F.get(F.element_at("m", tile(i)), within(i)), F.lit(0.0)))
     maps = found.select("image_id", F.lit(8 * side).alias("h"), F.lit(8 * side).alias("w"), values.alias("values"))
     return maps.withColumn("rgb", F.flatten(F.transform("values", lambda v: F.array(v, v * v, F.lit(1.0) - v))))
 
