@@ -22,10 +22,10 @@ names (one called as a result column is replaced).
 from __future__ import annotations
 
 import heapq
-import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,11 +35,12 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Characters of units that are indexed at once; a longer unit stands alone.
 INDEX_CHARS = 500_000
-#: Units and token pairs that a worker remembers; beyond it forgets them all.
-REMEMBER = 300_000
+#: Units that a worker remembers; beyond it forgets them all (and token pairs beyond four times as many).
+REMEMBER = 1_000_000
+#: Places, as a power of two, for the token pairs asked for last.
+PAIR_BITS = 21
 #: Characters of documents handled at once.
 CHUNK_CHARS = 4_000_000
-_UNIT = re.compile(f"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+")
 
 
 class Vocabulary:
@@ -60,7 +61,6 @@ class Vocabulary:
         self.bytes = [b"" if p.is_control(i) else self.pieces[i].encode() for i in range(n)]
         for b, i in enumerate(self.byte_ids):
             self.bytes[i] = bytes([b])
-        self.longest = max(map(len, self.ids))
         # A piece that merging does not give back can never be a token.
         self.reached = [t for t in self.ids if self.merge(t) == [t]]
 
@@ -111,166 +111,232 @@ class Vocabulary:
 
 
 class Encoder:
-    """A worker's encoder: pieces as fixed-width keys, remembered units."""
+    """A worker's encoder: pieces as blocks of four codes, remembered units.
+
+    Inside it word marks are spaces, one byte where the text is cut."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.alphabet = np.array(sorted({ord(c) for t in vocabulary.reached for c in t}), np.uint32)
-        self.width = -(-vocabulary.longest // 4) * 4
-        self.tokens = vocabulary.reached
-        codes = np.zeros((len(self.tokens), self.width), np.uint16)
-        self.token_len = np.array([len(t) for t in self.tokens])
-        for i, t in enumerate(self.tokens):
-            codes[i, : len(t)] = self._codes(t)
-        upto = codes.copy()
-        upto[np.arange(self.width) >= self.token_len[:, None]] = 0xFFFF
-        self.low, self.high = self._keys(codes), self._keys(upto)
+        self.tokens = [t for t in vocabulary.reached if " " not in t]
+        texts = [t.replace(MARK, " ") for t in self.tokens]
+        alphabet = sorted({ord(c) for t in texts for c in t})
+        #: Places in the alphabet from 1 on; 0xFFFE for other characters.
+        self.place = np.full(0x110000, 0xFFFE, np.uint16)
+        self.place[alphabet] = np.arange(1, len(alphabet) + 1)
+        self.token_len = np.array([len(t) for t in texts])
         self.token_id = np.array([vocabulary.ids[t] for t in self.tokens], np.int32)
+        #: Of pieces of up to 4, 8, 16 ... characters: which, and the least and greatest blocks that they begin.
+        self.classes = []
+        blocks, below = 1, 0
+        while below < self.token_len.max():
+            which = np.flatnonzero((self.token_len > below) & (self.token_len <= 4 * blocks))
+            low = np.zeros((len(which), 4 * blocks), np.uint16)
+            for i, w in enumerate(which.tolist()):
+                low[i, : len(texts[w])] = self._codes(texts[w])
+            high = low.copy()
+            high[np.arange(4 * blocks) >= self.token_len[which][:, None]] = 0xFFFF
+            self.classes.append((which, self._quads(low), self._quads(high)))
+            below, blocks = 4 * blocks, 2 * blocks
+        self.pairs: dict[int, bool] = {}
+        #: The last pair asked for in each place, and whether it may stand: 2 * pair + 1 or 2 * pair.
+        self.recent = np.full(1 << PAIR_BITS, -1, np.int64)
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.pairs: dict[int, bool] = {}
         self.flat, self.start, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _codes(self, text: str) -> np.ndarray:
-        """Places in the alphabet from 1 on; 0xFFFE for other characters."""
-        cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        at = np.minimum(np.searchsorted(self.alphabet, cp), len(self.alphabet) - 1)
-        return np.where(self.alphabet[at] == cp, at + 1, 0xFFFE).astype(np.uint16)
+        return self.place[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
 
-    def _keys(self, codes: np.ndarray) -> np.ndarray:
-        """Rows of codes as byte strings that sort like them."""
-        return np.ascontiguousarray(codes.astype(">u2")).view(f"S{2 * self.width}").ravel()
+    @staticmethod
+    def _quads(codes: np.ndarray) -> np.ndarray:
+        """Rows of codes as numbers of four, that sort like them."""
+        q = codes.astype(np.uint64).reshape(len(codes), -1, 4)
+        return (q[..., 0] << np.uint64(48)) | (q[..., 1] << np.uint64(32)) | (q[..., 2] << np.uint64(16)) | q[..., 3]
 
     def _compatible(self, pairs: np.ndarray) -> np.ndarray:
-        known, n = self.pairs, len(self.tokens)
-        out = np.empty(len(pairs), bool)
-        for i, p in enumerate(pairs.tolist()):
-            ok = known.get(p)
-            if ok is None:
-                a, b = self.tokens[p // n], self.tokens[p % n]
-                ok = known[p] = self.v.merge(a + b) == [a, b]
-            out[i] = ok
-        return out
-
-    def _match(self, units: list[str]) -> list[np.ndarray]:
-        """Token ids of units."""
-        size = np.array([len(u) for u in units])
-        text = "\0".join(units) + "\0"
-        codes = self._codes(text)
+        """Whether merging the texts of two tokens gives these two."""
+        at = (pairs * 0x9E3779B1 >> 30) & ((1 << PAIR_BITS) - 1)
+        got = self.recent[at]
+        new = np.flatnonzero(got >> 1 != pairs)
+        if len(new):
+            ask, inverse = np.unique(pairs[new], return_inverse=True)
+            if len(self.pairs) > 4 * REMEMBER:
+                self.pairs = {}
+            known, n = self.pairs, len(self.tokens)
+            said = np.empty(len(ask), np.int64)
+            for i, p in enumerate(ask.tolist()):
+                ok = known.get(p)
+                if ok is None:
+                    a, b = self.tokens[p // n], self.tokens[p % n]
+                    ok = known[p] = self.v.merge(a + b) == [a, b]
+                said[i] = ok
+            got[new] = (2 * ask + said)[inverse]
+            self.recent[at[new]] = got[new]
+        return (got & 1).astype(bool)
+
+    def _suffixes(self, codes: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """The suffix array, sorted to the longest piece's length by doubling; for
+        each length of 4, 8, 16 ... the keys that occur and where each begins."""
+        n = len(codes)
+        c = np.concatenate([codes, np.zeros(3, np.uint16)]).astype(np.uint64)
+        key = (c[:n] << np.uint64(48)) | (c[1 : n + 1] << np.uint64(32)) | (c[2 : n + 2] << np.uint64(16)) | c[3:]
+        levels, step = [], 4
+        while True:
+            order = np.argsort(key)
+            key = key[order]
+            first = np.concatenate([[True], key[1:] != key[:-1]])
+            begins = np.flatnonzero(first)
+            levels.append((key[begins], np.append(begins, n)))
+            if len(levels) == len(self.classes):
+                return order, levels
+            rank = np.zeros(n + step, np.int64)
+            rank[order] = np.cumsum(first) - 1
+            # What lies beyond the end is behind a separator, which no piece crosses.
+            key = (rank[:n] << 32) + rank[step:]
+            step *= 2
+
+    def _edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and tokens of all occurrences of pieces."""
+        order, levels = self._suffixes(codes)
+        found, begin, number = [], [], []
+        for k, (which, low, high) in enumerate(self.classes):
+            lo, hi = np.searchsorted(levels[0][0], low), np.searchsorted(levels[0][0], high, side="right") - 1
+            for keys, _ in levels[1 : k + 1]:
+                lo = np.searchsorted(keys, (lo[:, 0::2] << 32) + lo[:, 1::2])
+                hi = np.searchsorted(keys, (hi[:, 0::2] << 32) + hi[:, 1::2], side="right") - 1
+            lo, hi = lo[:, 0], hi[:, 0]
+            some = np.flatnonzero(lo <= hi)
+            place = levels[k][1]
+            found.append(which[some])
+            begin.append(place[lo[some]])
+            number.append(place[hi[some] + 1] - place[lo[some]])
+        found, begin, number = np.concatenate(found), np.concatenate(begin), np.concatenate(number)
+        return order[np.repeat(begin - np.cumsum(number) + number, number) + np.arange(number.sum())], np.repeat(found, number)
+
+    def _match(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of units, one after the other, and how many each has."""
+        size = np.fromiter(map(len, units), np.int64, len(units))
+        codes = self._codes("\0".join(units) + "\0")
         border = np.cumsum(size + 1) - 1
         codes[border] = 0
         first = border - size
         n = len(codes)
-        padded = np.concatenate([codes, np.zeros(self.width, np.uint16)])
-        quad = [padded[i : i + n].astype(np.uint64) for i in range(4)]
-        quad = (quad[0] << np.uint64(48)) | (quad[1] << np.uint64(32)) | (quad[2] << np.uint64(16)) | quad[3]
-        quad = np.concatenate([quad, np.zeros(self.width, np.uint64)])
-        # Suffixes that begin with a separator match no piece.
-        at = np.flatnonzero(codes)
-        order = at[np.lexsort([quad[at + 4 * i] for i in reversed(range(self.width // 4))])]
-        sorted_keys = self._keys(np.stack([padded[order + i] for i in range(self.width)], axis=1))
-        lo, hi = np.searchsorted(sorted_keys, self.low), np.searchsorted(sorted_keys, self.high, side="right")
-        found = np.flatnonzero(hi > lo)
-        n_found = hi[found] - lo[found]
-        token = np.repeat(found, n_found)
-        start = order[np.repeat(lo[found], n_found) + np.arange(n_found.sum()) - np.repeat(np.cumsum(n_found) - n_found, n_found)]
-        end = start + self.token_len[token]
+        start, token = self._edges(codes)
+        length = self.token_len[token]
         # A character without a piece of its own is an edge that joins nothing.
         single = np.zeros(n, bool)
-        single[start[self.token_len[token] == 1]] = True
+        single[start[length == 1]] = True
         odd = np.flatnonzero((codes != 0) & ~single)
         none = len(self.tokens)
-        start, end, token = np.concatenate([start, odd]), np.concatenate([end, odd + 1]), np.concatenate([token, np.full(len(odd), none)])
-        unit = np.searchsorted(border, start)
-        depth = end - first[unit]
+        start, token = np.concatenate([start, odd]), np.concatenate([token, np.full(len(odd), none)])
+        end = start + np.concatenate([length, np.ones(len(odd), np.int64)])
+        longest = int(size.max())
+        depth = (np.arange(n) - np.repeat(first, size + 1))[end].astype(np.uint16 if longest < 1 << 16 else np.int64)
         by = np.argsort(depth, kind="stable")
-        start, end, token, depth = start[by], end[by], token[by], depth[by]
-        steps = np.searchsorted(depth, np.arange(1, int(size.max()) + 2))
-        last, back = np.full(n + 1, -1), np.zeros(n + 1, np.int64)
+        start, end, token = start[by], end[by], token[by]
+        steps = np.searchsorted(depth[by], np.arange(1, longest + 2))
+        last, back = np.full(n, -1), np.zeros(n, np.int64)
         last[first] = -2
-        for a, b in zip(steps[:-1], steps[1:], strict=True):
-            s, e, t = start[a:b], end[a:b], token[a:b]
+        for a, b in zip(steps[:-1].tolist(), steps[1:].tolist(), strict=True):
+            s, t = start[a:b], token[a:b]
             before = last[s]
             free = (before == -2) | (before == none) | ((t == none) & (before != -1))
-            ask = ~free & (before >= 0)
-            if ask.any():
-                pairs, inverse = np.unique(before[ask] * none + t[ask], return_inverse=True)
-                free[ask] = self._compatible(pairs)[inverse]
-            last[e[free]], back[e[free]] = t[free], s[free]
-        return self._read_back(units, border, first, last, back, none)
-
-    def _read_back(self, units, border, first, last, back, none) -> list[np.ndarray]:
-        rows, ids, at = [], [], border.copy()
-        unit = np.arange(len(units))
-        while len(unit):
-            rows.append(unit)
-            ids.append((last[at], at.copy()))
+            ask = np.flatnonzero(~free & (before >= 0))
+            if len(ask):
+                free[ask] = self._compatible(before[ask] * none + t[ask])
+            e = end[a:b][free]
+            last[e], back[e] = t[free], s[free]
+        return self._read_back(codes, units, border, first, last, back)
+
+    def _read_back(self, codes, units, border, first, last, back) -> tuple[np.ndarray, np.ndarray]:
+        none = len(self.tokens)
+        on_path, at = np.zeros(len(codes), bool), border[border > first]
+        start = np.zeros(len(codes), bool)
+        start[first] = True
+        while len(at):
+            on_path[at] = True
             at = back[at]
-            open_ = at > first[unit]
-            unit, at = unit[open_], at[open_]
-        row = np.concatenate(rows)
-        token, end = np.concatenate([x for x, _ in ids]), np.concatenate([x for _, x in ids])
+            at = at[~start[at]]
+        ends = np.flatnonzero(on_path)
+        token = last[ends]
         if (token < 0).any():
             raise AssertionError("a unit has no path")
-        order = np.lexsort((end, row))
-        row, token, end = row[order], token[order], end[order]
-        if (token == none).any():
-            size = np.ones(len(row), np.int64)
-            chars = {}
-            for i in np.flatnonzero(token == none).tolist():
-                u = row[i]
-                chars[i] = self.v.to_ids([units[u][int(end[i] - first[u]) - 1]])
-                size[i] = len(chars[i])
-            place = np.cumsum(size) - size
-            flat = np.zeros(int(size.sum()), np.int32)
-            known = token != none
-            flat[place[known]] = self.token_id[token[known]]
-            for i, x in chars.items():
-                flat[place[i] : place[i] + len(x)] = x
-            row = np.repeat(row, size)
-        else:
-            flat = self.token_id[token]
-        cut = np.searchsorted(row, np.arange(len(units) + 1))
-        return [flat[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        unit = np.searchsorted(border, ends)
+        odd = np.flatnonzero(token == none)
+        if not len(odd):
+            return self.token_id[token], np.bincount(unit, minlength=len(units))
+        size = np.ones(len(ends), np.int64)
+        chars = {}
+        for i in odd.tolist():
+            u = unit[i]
+            chars[i] = self.v.to_ids([units[u][int(ends[i] - first[u]) - 1].replace(" ", MARK)])
+            size[i] = len(chars[i])
+        place = np.cumsum(size) - size
+        flat = np.zeros(int(size.sum()), np.int32)
+        plain = token != none
+        flat[place[plain]] = self.token_id[token[plain]]
+        for i, x in chars.items():
+            flat[place[i] : place[i] + len(x)] = x
+        return flat, np.bincount(np.repeat(unit, size), minlength=len(units))
 
     def _learn(self, new: list[str]) -> None:
-        found: dict[str, np.ndarray] = {}
-        part, chars = [], 0
         # By length: relaxing takes as many steps as the longest unit has characters.
-        for u in sorted(new, key=len):
-            if part and chars + len(u) > INDEX_CHARS:
-                found.update(zip(part, self._match(part), strict=True))
-                part, chars = [], 0
-            part.append(u)
-            chars += len(u)
-        found.update(zip(part, self._match(part), strict=True))
-        ids = [found[u] for u in new]
-        size = np.array([len(x) for x in ids])
+        new = sorted(new, key=len)
+        found = [self._match(new[a:b]) for a, b in _ranges(list(map(len, new)), INDEX_CHARS)]
+        size = np.concatenate([x for _, x in found])
         base, n = len(self.flat), len(self.known)
         self.start = np.concatenate([self.start, base + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
-        self.flat = np.concatenate([self.flat, *ids])
+        self.flat = np.concatenate([self.flat, *(x for x, _ in found)])
         self.known.update(zip(new, range(n, n + len(new)), strict=True))
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Token ids of each text."""
-        if len(self.known) > REMEMBER or len(self.pairs) > 4 * REMEMBER:
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of the texts, one after the other, and the borders between them."""
+        if len(self.known) > REMEMBER:
             self.forget()
-        units = [_UNIT.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        every = [u for x in units for u in x]
-        new = list(dict.fromkeys(u for u in every if u not in self.known))
+        units, border = split_units(texts)
+        units = units.dictionary_encode()
+        every, names = units.indices.to_numpy(), units.dictionary.to_pylist()
+        new = [u for u in names if u not in self.known]
         if new:
             self._learn(new)
-        at = np.fromiter(map(self.known.__getitem__, every), np.int64, len(every))
+        at = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))[every]
         size = self.size[at]
-        flat = self.flat[np.repeat(self.start[at], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)]
         total = np.concatenate([[0], np.cumsum(size)])
-        cut = total[np.concatenate([[0], np.cumsum([len(x) for x in units])]).astype(np.int64)]
+        flat = self.flat[np.repeat(self.start[at] - total[:-1], size) + np.arange(total[-1])]
+        return flat, total[border]
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Token ids of each text."""
+        flat, cut = self.encode_array(pa.array(texts, pa.string()))
         return [flat[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
+def split_units(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The units of all texts, with word marks as spaces, and the number of units
+    before each text and after the last. A text gets a mark in front, unless it is
+    null or empty."""
+    filled = pc.replace_substring(pc.fill_null(texts.cast(pa.string()), ""), MARK, " ")
+    filled = pc.binary_join_element_wise(pc.if_else(pc.equal(pc.binary_length(filled), 0), "", " "), filled, "")
+    _, offsets, data = filled.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[filled.offset : filled.offset + len(filled) + 1] if len(filled) else np.zeros(1, np.int32)
+    low, high = int(offsets[0]), int(offsets[-1])
+    if low == high:
+        return pa.array([], pa.string()), np.zeros(len(filled) + 1, np.int64)
+    raw = np.frombuffer(data, np.uint8)[low:high]
+    mark, feed = raw == 0x20, raw == 0x0A
+    begins = feed.copy()
+    begins[1:] |= feed[:-1]
+    begins[0] |= mark[0]
+    begins[1:] |= mark[1:] & ~mark[:-1]
+    begins[offsets[:-1][offsets[:-1] < offsets[1:]] - low] = True
+    at = np.flatnonzero(begins)
+    cut = np.append(at, high - low).astype(np.int32) + np.int32(low)
+    return pa.StringArray.from_buffers(len(at), pa.py_buffer(cut), data), np.searchsorted(at, offsets - low)
+
+
 def decode(vocabulary: Vocabulary, ids) -> str:
     """Text of token ids: pieces and bytes joined, word marks as spaces, the
     mark that encoding put first left out."""
@@ -288,17 +354,16 @@ def _encoder(vocabulary: Vocabulary, name: str) -> Encoder:
     return _encoders[name]
 
 
-def _chunks(texts: list):
+def _ranges(sizes: list[int], most: int):
     """Ranges of texts of bounded length; a longer text is a range of its own."""
     start, chars = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t or "")
-        if i > start and chars + n > CHUNK_CHARS:
+    for i, n in enumerate(sizes):
+        if i > start and chars + n > most:
             yield start, i
             start, chars = i, 0
         chars += n
-    if texts:
-        yield start, len(texts)
+    if sizes:
+        yield start, len(sizes)
 
 
 def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, check: bool = False) -> DataFrame:
@@ -313,16 +378,14 @@ def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, check: b
     def run(batches):
         enc = _encoder(shared.value, model)
         for b in batches:
-            texts = b.column(n).to_pylist()
-            for s, e in _chunks(texts):
-                ids = enc.encode(texts[s:e])
-                size = np.array([len(x) for x in ids])
-                border = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-                null = pa.array([t is None for t in texts[s:e]])
-                lists = pa.ListArray.from_arrays(pa.array(border), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)), mask=null)
+            for s, e in _ranges(pc.fill_null(pc.utf8_length(b.column(n)), 0).to_pylist(), CHUNK_CHARS):
+                texts = b.column(n).slice(s, e - s)
+                flat, border = enc.encode_array(texts)
+                lists = pa.ListArray.from_arrays(pa.array(border.astype(np.int32)), pa.array(flat), mask=texts.is_null())
                 cols = [*(b.column(i).slice(s, e - s) for i in range(n)), lists]
                 if check:
-                    cols.append(pa.array([decode(enc.v, x.tolist()) == (t or "").replace(MARK, " ") for x, t in zip(ids, texts[s:e], strict=True)], pa.bool_()))
+                    ids = (flat[x:y].tolist() for x, y in zip(border[:-1].tolist(), border[1:].tolist(), strict=True))
+                    cols.append(pa.array([decode(enc.v, x) == (t or "").replace(MARK, " ") for x, t in zip(ids, texts.to_pylist(), strict=True)], pa.bool_()))
                 yield pa.RecordBatch.from_arrays(cols, [*rest, "token_ids", *["round_trip"] * check])
 
     comma = ", " if rest else ""

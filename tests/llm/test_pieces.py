@@ -1,5 +1,8 @@
 import random
+import re
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 from data import SCHEMA, edge_documents, words
@@ -49,3 +52,50 @@ def test_documents_round_trip(spark):
     back = pieces.decode_documents(enc.drop("round_trip")).collect()
     assert sorted(((r.doc_id, r.text) for r in back), key=repr) == sorted(((r[0], r[1]) for r in rows), key=repr)
     assert pieces.encode(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_units_are_cut_as_the_rule_says():
+    cut = re.compile(f"{pieces.MARK}+[^{pieces.MARK}\n]*|\n|[^{pieces.MARK}\n]+")
+    every = [None, *texts(), "", None, "\n", " \n \n\n  x", "▁", "a\n▁▁b ▁\n", None]
+    for rows in (every, every[3:9], [], [None], ["", ""]):
+        # A slice, as the texts of a batch come in slices.
+        units, border = pieces.split_units(pa.array(["before it", *rows, "after it"], pa.string()).slice(1, len(rows)))
+        units = [u.replace(" ", pieces.MARK) for u in units.to_pylist()]
+        want = [cut.findall(pieces.MARK + t.replace(" ", pieces.MARK)) if t else [] for t in rows]
+        assert [units[a:b] for a, b in zip(border[:-1], border[1:], strict=True)] == want
+
+
+def test_edges_are_all_occurrences_of_pieces():
+    rng = random.Random(5)
+    tokens = list(dict.fromkeys("".join(rng.choice("ab▁") for _ in range(n)) for n in [1, 2, 3, 4, 5, 7, 8, 9, 12, 16, 17, 20, 33] * 30))
+    text = "".join(rng.choice("ab c\0") for _ in range(3000)) + "".join(rng.sample(tokens, 200)).replace(pieces.MARK, " ") + "\0"
+    encoder = pieces.Encoder(SimpleNamespace(reached=tokens, ids={t: i for i, t in enumerate(tokens)}))
+    assert len(encoder.classes) == 5
+    codes = encoder._codes(text)
+    codes[[i for i, c in enumerate(text) if c == "\0"]] = 0
+    start, token = encoder._edges(codes)
+    want = [(i, k) for k, t in enumerate(tokens) for i in range(len(text)) if text.startswith(t.replace(pieces.MARK, " "), i)]
+    assert sorted(zip(start.tolist(), token.tolist(), strict=True)) == sorted(want)
+
+
+def test_token_pairs_outlive_units():
+    """What costs most, merging the text of two tokens, is done once for a pair."""
+    asked = []
+    encoder = pieces.Encoder(pieces.Vocabulary())
+    merge = encoder.v.merge
+    encoder.v.merge = lambda text: asked.append(text) or merge(text)
+    first = encoder.encode(texts())
+    assert asked and len(asked) == len(encoder.pairs)
+    asked.clear()
+    encoder.forget()
+    for a, b in zip(first, encoder.encode(texts()), strict=True):
+        assert a.tolist() == b.tolist()
+    assert not asked
+
+
+def test_small_limits_give_the_same(library, monkeypatch):
+    for name, value in {"PAIR_BITS": 3, "REMEMBER": 4, "INDEX_CHARS": 40}.items():
+        monkeypatch.setattr(pieces, name, value)
+    encoder = pieces.Encoder(pieces.Vocabulary())
+    for t in texts()[::5]:
+        assert encoder.encode([t, None, t])[2].tolist() == library.encode(t or "")
