@@ -2,11 +2,11 @@
 
 1. Core distances are exact neighbour distances between blocks (:mod:`.neighbours`).
 2. Edges. Every block has a spanning tree by mutual reachability, its pivot
-   included; two blocks that meet add the edges between them that a spanning tree
-   of both needs. Together these edges keep all points connected at every distance
-   at which they are connected at all. Pivots do not need each other when all
-   edges between their points are at least as long as a way between them that is
-   known: through both pivots' trees and a tree of the pivots.
+   included. Two points of two blocks have a way that is known: up both trees to the
+   pivots, and from pivot to pivot by a tree of these; only shorter edges are kept,
+   and of all that a task finds those that a spanning forest of its blocks needs.
+   Together these edges keep all points connected at every distance at which they
+   are connected at all. Pivots whose points have no shorter edge do not meet.
 3. Clusters. Edges are taken by length in chunks of bounded size; a chunk merges
    components and carries, for each, a summary of fixed size: points, the density
    that they leave at, the best choice below. Merges of one length are one step, so
@@ -15,9 +15,10 @@
 4. The cluster of a point is the topmost chosen one above it, found by doubling
    pointers.
 
-No row goes to the driver, and no task holds more than two blocks or a chunk. Exact
-edges cost the square of the points where the triangle inequality tells nothing
-apart; the edges of a neighbour forest (``trees``) are linear, and nearly as good.
+No row goes to the driver, and no task holds more than its partitions' blocks or a
+chunk. Exact edges cost the square of the points in time (not on the disk) where the
+triangle inequality tells nothing apart; the edges of a neighbour forest (``trees``)
+are linear, and nearly as good.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..tables import Tables, indexed
-from .neighbours import ROWS, Blocks, blocks, distances, forest_k, matrix, meet, nearest_k
+from .neighbours import ROWS, Blocks, blocks, cross, distances, forest_k, matrix, nearest_k, needed, pack
 
 #: Edges of a chunk (about).
 CHUNK = 1 << 18
@@ -39,6 +40,8 @@ MOST_LAMBDA = 1e290
 #: Rows of a piece of new points, and of fitted points, in an assignment; new rows
 #: whose distances are held at once.
 NEW_PIECE, FITTED_PIECE, HELD = 5_000, 5_000, 256
+#: Edges between blocks that a task holds before it drops those it can do without.
+HELD_EDGES = 1 << 20
 
 _EDGE = "a long, b long, w double"
 
@@ -84,38 +87,78 @@ def _edges(a: np.ndarray, b: np.ndarray, w: np.ndarray, **more: np.ndarray) -> p
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "w": pa.array(w, pa.float64())} | {k: pa.array(v) for k, v in more.items()})
 
 
-def _crossing(x: pa.Table, y: pa.Table) -> pa.Table:
-    """Edges between two blocks in a spanning tree of both. Inside each, the edges
-    of its own tree are enough; rows carry theirs as ``link`` and ``reach``."""
-    (px, cx, ix), (py, cy, iy) = _columns(x), _columns(y)
-    n, m = len(ix), len(ix) + len(iy)
-    over = _reach(px, cx, py, cy)
-    back = np.ascontiguousarray(over.T)
-    near: list[list[tuple[int, float]]] = [[] for _ in range(m)]
-    for names, t, shift in ((ix, x, 0), (iy, y, n)):
-        place = {v: i + shift for i, v in enumerate(names.tolist())}
-        for i, (link, w) in enumerate(zip(t["link"].to_pylist(), t["reach"].to_pylist())):
-            if link in place:
-                near[i + shift].append((place[link], w))
-                near[place[link]].append((i + shift, w))
-    best, link, out, at = np.full(m, np.inf), np.zeros(m, np.int64), np.ones(m, bool), 0
-    found = []
-    for _ in range(m - 1):
-        out[at] = False
-        best[at] = np.inf
-        row, side = (over[at], slice(n, m)) if at < n else (back[at - n], slice(0, n))
-        closer = np.flatnonzero((row < best[side]) & out[side])
-        best[closer + side.start] = row[closer]
-        link[closer + side.start] = at
-        for v, w in near[at]:
-            if w < best[v] and out[v]:
-                best[v], link[v] = w, at
-        at = int(best.argmin())
-        if (at < n) != (link[at] < n):
-            found.append((at, link[at], best[at]))
-    i, j, w = (np.array(c) for c in zip(*found)) if found else (np.zeros(0, int),) * 3
-    names = np.concatenate([ix, iy])
-    return _edges(names[i], names[j], w)
+def spanning_forest(a: np.ndarray, b: np.ndarray, w: np.ndarray, n: int) -> np.ndarray:
+    """Places of the edges of a least spanning forest of ``n`` points; of equal
+    lengths the first come first. In rounds, each part takes its least edge."""
+    order = np.argsort(w, kind="stable")
+    a, b, at, part, taken = a[order], b[order], np.arange(len(w)), np.arange(n), []
+    while len(at):
+        x, y = part[a[at]], part[b[at]]
+        apart = x != y
+        at, x, y = at[apart], x[apart], y[apart]
+        if not len(at):
+            break
+        least = np.full(n, len(w))
+        for ends in (x, y):
+            one = np.full(n, len(w))
+            one[ends[::-1]] = at[::-1]
+            least = np.minimum(least, one)
+        some = np.flatnonzero(least < len(w))
+        best = least[some]
+        taken.append(np.unique(best))
+        up = np.arange(n)
+        up[some] = part[a[best]] + part[b[best]] - some
+        # Two parts that take one edge: the lesser is the root.
+        roots = some[(up[up[some]] == some) & (some < up[some])]
+        up[roots] = roots
+        while (up[up] != up).any():
+            up = up[up]
+        part = up[part]
+    return order[np.concatenate(taken)] if taken else np.zeros(0, np.int64)
+
+
+class _Crossing:
+    """Edges between a task's blocks that are shorter than the way known between
+    their ends (``up``: the longest step from a row to its pivot in its block's tree,
+    ``ways``: the same between pivots), without those that a least spanning forest of
+    all these blocks can do without."""
+
+    def __init__(self, ways: np.ndarray):
+        self.ways, self.trees, self.found, self.size, self.most = ways, {}, [], 0, HELD_EDGES
+
+    def add(self, p: int, x: pa.Table, q: int, y: pa.Table) -> None:
+        for name, t in ((p, x), (q, y)):
+            if name not in self.trees:
+                self.trees[name] = [c[t["link"].to_numpy() >= 0] for c in (t["idx"].to_numpy(), t["link"].to_numpy(), t["reach"].to_numpy())]
+        (px, cx, ix), (py, cy, iy) = _columns(x), _columns(y)
+        up_x = np.maximum(x["up"].to_numpy(), self.ways[x["pivot"][0].as_py(), y["pivot"][0].as_py()])
+        up_y = y["up"].to_numpy()
+        for s in range(0, len(ix), HELD):
+            d = distances(px[s : s + HELD], py)
+            i, j = np.nonzero(d < np.maximum(up_x[s : s + HELD, None], up_y))
+            d, i = d[i, j], i + s
+            w = np.maximum(np.maximum(d, cx[i]), cy[j])
+            some = w < np.maximum(up_x[i], up_y[j])
+            if some.any():
+                self.found.append((ix[i[some]], iy[j[some]], w[some]))
+                self.size += int(some.sum())
+                if self.size > self.most:
+                    self.reduce()
+
+    def reduce(self) -> None:
+        trees = list(self.trees.values())
+        own = sum(len(t[0]) for t in trees)
+        a, b, w = (np.concatenate(c) for c in zip(*trees, *self.found))
+        names, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+        kept = spanning_forest(ends[: len(a)], ends[len(a) :], w, len(names))
+        kept = kept[kept >= own]
+        self.found, self.size = [(a[kept], b[kept], w[kept])], len(kept)
+        self.most = max(HELD_EDGES, 2 * self.size)
+
+    def out(self):
+        if self.found:
+            self.reduce()
+            yield from _edges(*self.found[0]).to_batches(max_chunksize=100_000)
 
 
 def candidate_edges(b: Blocks, core: DataFrame, tables: Tables, near: DataFrame | None = None) -> DataFrame:
@@ -142,31 +185,39 @@ def candidate_edges(b: Blocks, core: DataFrame, tables: Tables, near: DataFrame
         else:
             x, c, idx = np.vstack([places[p : p + 1], x]), np.append(pivot_cores[p], c), np.append(points[p], idx)
         links, ends, size = spanning(_reach(x, c, x, c))
-        link, reach = np.full(len(idx), -1), np.zeros(len(idx))
+        link, reach, up = np.full(len(idx), -1), np.zeros(len(idx)), np.zeros(len(idx))
         link[ends], reach[ends] = idx[links], size
+        for i, j, w in zip(ends.tolist(), links.tolist(), size.tolist()):
+            up[i] = max(up[j], w)
         skip = len(idx) - t.num_rows
-        return t.append_column("link", pa.array(link[skip:], pa.int64())).append_column("reach", pa.array(reach[skip:]))
+        return t.append_column("link", pa.array(link[skip:], pa.int64())).append_column("reach", pa.array(reach[skip:])).append_column("up", pa.array(up[skip:]))
 
     fields = "idx long, vec array<double>, pivot int, block long, core double"
-    trees = tables.save(rows.select("idx", "vec", "pivot", "block", "core").groupBy("block").applyInArrow(own, f"{fields}, link long, reach double"), "trees")
+    trees = tables.save(rows.select("idx", "vec", "pivot", "block", "core").groupBy("block").applyInArrow(own, f"{fields}, link long, reach double, up double"), "trees")
     inner, least = np.zeros(n), np.full(n, np.inf)
     for r in trees.groupBy("pivot").agg(F.max("reach").alias("reach"), F.min("core").alias("core")).collect():
         inner[r.pivot], least[r.pivot] = r.reach, r.core
     live = np.flatnonzero(b.pieces > 0)
     between = _reach(b.centres[live], cores[live], b.centres[live], cores[live])
-    known = np.maximum(inner[:, None], inner)
-    known[np.ix_(live, live)] = np.maximum(known[np.ix_(live, live)], _ways(between))
+    ways = np.zeros((n, n))
+    ways[np.ix_(live, live)] = _ways(between)
+    known = np.maximum(np.maximum(inner[:, None], inner), ways)
     need = np.maximum(b.gaps(), np.maximum(least[:, None], least)) < known
     links, ends, size = spanning(between)
     pivots = rows.sparkSession.createDataFrame([(int(b.points[live[i]]), int(b.points[live[j]]), float(w)) for i, j, w in zip(links, ends, size)], _EDGE)
     inside = trees.where("link >= 0").select(F.col("idx").alias("a"), F.col("link").alias("b"), F.col("reach").alias("w"))
     if near is None:
-        between_blocks = meet(b, trees, need, _crossing, _EDGE)
+        packs = pack(trees, tables, "pivot")
+        way = rows.sparkSession.sparkContext.broadcast(ways)
+        between_blocks = cross(*needed(b, packs, need), lambda: _Crossing(way.value), _EDGE)
     else:
         pairs = near.select(F.col("idx").alias("a"), F.explode("near").alias("n")).select("a", F.col("n.j").alias("b"), F.col("n.d").alias("d"))
         of = lambda c: core.select(F.col("idx").alias(c), F.col("core").alias(f"core_{c}"))
         between_blocks = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", F.greatest("d", "core_a", "core_b").alias("w"))
-    return tables.save(inside.unionByName(pivots).unionByName(between_blocks), "edges")
+    edges = tables.save(inside.unionByName(pivots).unionByName(between_blocks), "edges")
+    if near is None:
+        tables.drop(packs)
+    return edges
 
 
 _STEP = pa.schema(
@@ -268,16 +319,20 @@ def condense(edges: DataFrame, n: int, least: int, tables: Tables, chunk: int =
         t = pa.Table.from_batches(batches)
         kind = t["kind"].to_numpy(zero_copy_only=False)
         e = t.filter(pa.array(kind == "edge"))
+        a, b, w = (e[c].to_numpy() for c in ("id", "to", "x"))
+        names, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+        kept = spanning_forest(ends[: len(a)], ends[len(a) :], w, len(names))
         m = Merger(t.filter(pa.array(kind == "state")).to_pylist(), least, n)
-        yield from _steps(m.run(e["id"].to_numpy(), e["to"].to_numpy(), e["x"].to_numpy()))
+        yield from _steps(m.run(a[kept], b[kept], w[kept]))
 
-    n_edges = edges.count()
-    n_chunks = max(1, -(-n_edges // chunk))
-    cuts = edges.agg(F.percentile_approx("w", F.array(*(F.lit(i / n_chunks) for i in range(1, n_chunks))), 10_000)).first()[0] if n_chunks > 1 else []
-    cuts = [*sorted(set(cuts)), None]
     blank = lambda *names: [F.lit(None).cast(t).alias(c) for c, t in (("size", "long"), ("y", "double"), ("flag", "boolean"), ("members", "array<long>")) if c not in names]
-    left, states, outcomes = edges, None, []
-    for cut in cuts:
+    left, states, outcomes, dropped = edges, None, [], []
+    while True:
+        # The next chunk of those that are left: most edges fall inside components soon.
+        count = left.count()
+        if outcomes and not count:
+            break
+        cut = left.agg(F.percentile_approx("w", chunk / count, 10_000)).first()[0] if count > chunk else None
         now = left if cut is None else left.where(F.col("w") <= cut)
         parts = now.select(F.lit("edge").alias("kind"), F.col("a").alias("id"), F.col("b").alias("to"), F.col("w").alias("x"), *blank())
         if states is not None:
@@ -290,14 +345,18 @@ def condense(edges: DataFrame, n: int, least: int, tables: Tables, chunk: int =
         # Components that the chunk touched have a new state, the others keep theirs.
         fresh = done.where("kind = 'state'")
         if states is not None:
-            old = states.join(ends, "id", "left_anti")
-            fresh = fresh.unionByName(old.select(*fresh.columns))
-        states = tables.save(fresh, "states")
+            others = states.join(ends, "id", "left_anti")
+            fresh = fresh.unionByName(others.select(*fresh.columns))
+        fresh = tables.save(fresh, "states")
         names = done.where("kind = 'name'").select("id", "to")
-        left = left.where(F.col("w") > cut)
+        after = left.where(F.col("w") > cut)
         for end in ("a", "b"):
-            left = left.join(names.select(F.col("id").alias(end), F.col("to").alias("_to")), end, "left").withColumn(end, F.coalesce("_to", end)).drop("_to")
-        left = tables.save(left.where("a <> b").select("a", "b", "w"), "left")
+            after = after.join(names.select(F.col("id").alias(end), F.col("to").alias("_to")), end, "left").withColumn(end, F.coalesce("_to", end)).drop("_to")
+        after = tables.save(after.where("a <> b").select("a", "b", "w"), "left")
+        for old in dropped:
+            tables.drop(old)
+        left, states = after, fresh
+        dropped = [left, states]
     every = outcomes[0]
     for o in outcomes[1:]:
         every = every.unionByName(o)

@@ -2,12 +2,14 @@
 
 Points go to the nearest of at most ``MOST_PIVOTS`` pivots; a pivot's points are
 dealt to blocks of about ``ROWS``, so a dense spot (or a third of all points in one
-place) is many blocks. Work on pairs of points is work on pairs of blocks: a task
-holds two blocks, never more, and pairs of pivots whose points are too far apart
-to matter, by the triangle inequality, do not meet. :func:`nearest_k` is exact, and
-where points lie too close for that inequality its time grows with the square of
-their number. :func:`forest_k` is linear instead: neighbours within the blocks of
-several dealings by other pivots, most of them the true ones.
+place) is many blocks. A block's rows are packed into one row, and pairs of blocks
+are a nested-loop join of these: tasks read the packed blocks again, so nothing is
+copied or shuffled for a pair, and a task sums up what its pairs give (:func:`cross`).
+Pairs of pivots whose points are too far apart to matter, by the triangle
+inequality, do not meet. :func:`nearest_k` is exact, and where points lie too close
+for that inequality its time grows with the square of their number; its disk does
+not. :func:`forest_k` is linear instead: neighbours within the blocks of several
+dealings by other pivots, most of them the true ones.
 
 The driver holds the pivots, and one number for each pair of them; both are
 bounded by ``MOST_PIVOTS``.
@@ -20,14 +22,16 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..tables import Tables
 
 #: Points of a block (about), pivots at most.
 ROWS, MOST_PIVOTS = 1500, 1024
+#: Bytes of a file of packed blocks (about), files at least; rows of distances worked
+#: on at once.
+FILE, FILES, STRIP = 16 << 20, 8, 64
 _POINTS = pa.schema([("idx", pa.int64()), ("vec", pa.list_(pa.float64())), ("pivot", pa.int32()), ("apart", pa.float64())])
 
 
@@ -38,21 +42,28 @@ def matrix(column) -> np.ndarray:
     return np.asarray(column.flatten(), float).reshape(n, -1) if n else np.zeros((0, 0))
 
 
-def rounded(x: np.ndarray) -> np.ndarray:
-    """To 40 bits, so that a distance is the same wherever it is worked out."""
-    bits = np.ascontiguousarray(x).view(np.int64)
-    return ((bits + (1 << 12)) >> 13 << 13).view(np.float64)
-
-
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distances; those of close points from their differences."""
-    size = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)
-    square = np.maximum(size - 2 * (a @ b.T), 0)
-    i, j = np.nonzero(square <= 1e-7 * size)
-    for s in range(0, len(i), 100_000):
-        x, y = i[s : s + 100_000], j[s : s + 100_000]
-        square[x, y] = ((a[x] - b[y]) ** 2).sum(axis=1)
-    return rounded(np.sqrt(square))
+    """Euclidean distances, those of close points from their differences; to 40
+    bits, so that a distance is the same wherever it is worked out."""
+    size_a, size_b = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    out = a @ b.T
+    for s in range(0, len(a), STRIP):
+        square = out[s : s + STRIP]
+        size = size_a[s : s + STRIP, None] + size_b
+        square *= -2
+        square += size
+        np.maximum(square, 0, out=square)
+        size *= 1e-7
+        i, j = np.nonzero(square <= size)
+        for t in range(0, len(i), 100_000):
+            x, y = i[t : t + 100_000], j[t : t + 100_000]
+            square[x, y] = ((a[s + x] - b[y]) ** 2).sum(axis=1)
+        np.sqrt(square, out=square)
+        bits = square.view(np.int64)
+        bits += 1 << 12
+        bits >>= 13
+        bits <<= 13
+    return out
 
 
 @dataclass
@@ -106,22 +117,53 @@ def blocks(points: DataFrame, tables: Tables, rows: int = ROWS, most_pivots: int
     return out
 
 
-def meet(b: Blocks, rows: DataFrame, need: np.ndarray, cell, schema: str) -> DataFrame:
-    """``cell(table of one block, table of another)`` for every two blocks whose
-    pivots need each other (a symmetric matrix); ``rows`` have ``pivot`` and
-    ``block``. A block is not met with itself."""
-    live = need & (b.pieces[:, None] > 0) & (b.pieces > 0)
-    p, q = np.nonzero(live)
-    pairs = rows.sparkSession.createDataFrame(pd.DataFrame({"pivot": p.astype(np.int32), "low": b.first[q], "high": b.first[q] + b.pieces[q] - 1}), "pivot int, low long, high long")
-    other = F.explode(F.sequence("low", "high"))
-    dealt = rows.join(F.broadcast(pairs), "pivot").withColumn("other", other).where("other <> block")
-    dealt = dealt.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other", "low", "high")
+def pack(rows: DataFrame, tables: Tables, *keep: str) -> DataFrame:
+    """``block``, the ``keep`` columns (one value in a block) and ``held``: the rows
+    of each block as Arrow bytes, saved in the order of the blocks."""
 
     def run(t: pa.Table) -> pa.Table:
-        mine = pc.equal(t["block"], t["lo"])
-        return cell(t.filter(mine), t.filter(pc.invert(mine)))
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, t.schema) as w:
+            w.write_table(t.combine_chunks())
+        return t.select(["block", *keep]).slice(0, 1).append_column("held", pa.array([sink.getvalue().to_pybytes()], pa.binary()))
+
+    kinds = "".join(f"{c} {rows.schema[c].dataType.simpleString()}, " for c in ("block", *keep))
+    packed = tables.save(rows.groupBy("block").applyInArrow(run, kinds + "held binary"), "packed")
+    n, size = packed.agg(F.count("*"), F.coalesce(F.sum(F.length("held")), F.lit(0))).first()
+    out = tables.save(packed.orderBy("block"), "blocks", maxRecordsPerFile=max(1, -(-n // max(FILES, size // FILE))))
+    tables.drop(packed)
+    return out
+
+
+def cross(packs: DataFrame, where: Column, fold, schema: str) -> DataFrame:
+    """Every two packed blocks for which ``where`` holds (of columns ``name_l`` and
+    ``name_r``) go to ``add(block, its table, other block, its table)`` of a task's
+    ``fold()``, whose ``out()`` yields batches in the end. The join's sides are read
+    from their files by every task: no shuffle, and no more on the disk."""
+    left, right = (packs.select(*(F.col(c).alias(f"{c}_{side}") for c in packs.columns)) for side in "lr")
+    pairs = left.hint("shuffle_replicate_nl").join(right, where).select("block_l", "held_l", "block_r", "held_r")
+
+    def run(batches):
+        f, name, mine = fold(), None, None
+        for b in batches:
+            for l, held_l, r, held_r in zip(*(b.column(i) for i in range(4))):
+                if l.as_py() != name:
+                    name, mine = l.as_py(), pa.ipc.open_stream(pa.BufferReader(held_l.as_buffer().to_pybytes())).read_all()
+                f.add(name, mine, r.as_py(), pa.ipc.open_stream(held_r.as_buffer()).read_all())
+        yield from f.out()
+
+    return pairs.mapInArrow(run, schema)
+
 
-    return dealt.groupBy("lo", "hi").applyInArrow(run, schema)
+def needed(b: Blocks, packs: DataFrame, need: np.ndarray) -> tuple[DataFrame, Column]:
+    """Packed blocks with the pivots that theirs needs (a symmetric matrix), and the
+    condition of :func:`cross`. A block does not meet itself."""
+    less = F.col("block_l") < F.col("block_r")
+    live = np.flatnonzero(b.pieces > 0)
+    if need[np.ix_(live, live)].all():
+        return packs, less
+    wants = packs.sparkSession.createDataFrame([(int(p), np.flatnonzero(need[p]).tolist()) for p in live], "pivot int, wants array<int>")
+    return packs.join(F.broadcast(wants), "pivot"), less & F.array_contains("wants_l", F.col("pivot_r"))
 
 
 _NEAR = pa.list_(pa.struct([("d", pa.float64()), ("j", pa.int64())]))
@@ -157,20 +199,48 @@ def nearest_k(b: Blocks, k: int, tables: Tables) -> DataFrame:
         far[r.pivot] = r.far
     need = b.gaps() < np.maximum(far[:, None], far)
 
-    def cell(x: pa.Table, y: pa.Table) -> pa.Table:
-        d = distances(matrix(x["vec"]), matrix(y["vec"]))
-        out = []
-        for t, o, e in ((x, y, d), (y, x, d.T)):
-            far = t["far"].to_numpy()
-            some = np.flatnonzero(e.min(axis=1) < far)
-            out.append(pa.table({"idx": t["idx"].take(pa.array(some)), "near": _lists(e[some], o["idx"].to_numpy(), k, far[some])}, schema=pa.schema([("idx", pa.int64()), ("near", _NEAR)])))
-        return pa.concat_tables(out)
-
-    found = meet(b, first.select("idx", "vec", "pivot", "block", "far"), need, cell, "idx long, near array<struct<d: double, j: long>>")
+    packs = pack(first.select("idx", "vec", "pivot", "block", "far"), tables, "pivot")
+    found = tables.save(cross(*needed(b, packs, need), lambda: _Nearest(k), "idx long, near array<struct<d: double, j: long>>"), "found")
+    tables.drop(packs)
     every = first.select("idx", "near").unionByName(found)
     return every.groupBy("idx").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
 
 
+class _Nearest:
+    """The k nearest points that a task's blocks find in one another, under the
+    bounds that the rows carry as ``far``."""
+
+    def __init__(self, k: int):
+        self.k, self.held = k, {}
+
+    def add(self, p: int, x: pa.Table, q: int, y: pa.Table) -> None:
+        d = distances(matrix(x["vec"]), matrix(y["vec"]))
+        for name, t, o, e in ((p, x, y, d), (q, y, x, d.T)):
+            if name not in self.held:
+                n = t.num_rows
+                self.held[name] = t["idx"].to_numpy().copy(), t["far"].to_numpy().copy(), np.full((n, self.k), np.inf), np.full((n, self.k), -1)
+            _, far, near, who = self.held[name]
+            some = np.flatnonzero(e.min(axis=1) < far)
+            if not len(some):
+                continue
+            e, m = e[some], min(self.k, e.shape[1])
+            at = np.argpartition(e, m - 1, axis=1)[:, :m]
+            found = np.take_along_axis(e, at, axis=1)
+            found[found >= far[some, None]] = np.inf
+            more, names = np.hstack([near[some], found]), np.hstack([who[some], o["idx"].to_numpy()[at]])
+            order = np.argsort(more, axis=1, kind="stable")[:, : self.k]
+            near[some], who[some] = np.take_along_axis(more, order, axis=1), np.take_along_axis(names, order, axis=1)
+            far[some] = np.minimum(far[some], near[some, -1])
+
+    def out(self):
+        for idx, _, near, who in self.held.values():
+            good = np.isfinite(near)
+            some = good.any(axis=1)
+            flat = pa.StructArray.from_arrays([pa.array(near[good]), pa.array(who[good])], ["d", "j"])
+            ends = np.concatenate([[0], np.cumsum(good[some].sum(axis=1))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(idx[some], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), flat)], ["idx", "near"])
+
+
 #: Dealings of a forest.
 TREES = 8
 

@@ -37,10 +37,10 @@ class Tables:
         self._n = 0
         self._paths: dict[int, tuple[DataFrame, str]] = {}
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, **options) -> DataFrame:
         self._n += 1
         path = f"{self.root}/{name}-{self._n}"
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(out)] = (out, path)
         return out
