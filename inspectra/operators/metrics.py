@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..tables import Tables, indexed
+from .neighbours import cross, distances, matrix, pack
+
 NOISE = -1
 #: Rows of a piece in the pairwise pass.
 PIECE = 4000
+#: Rows of distances held at once.
+HELD = 256
 #: Values of the hypergeometric support in one array.
 SUPPORT_PIECE = 65536
 
@@ -177,42 +184,106 @@ def cluster_sizes(rows: DataFrame, predicted: str = "predicted") -> DataFrame:
     return rows.groupBy(F.col(predicted).alias("cluster")).agg(F.count("*").alias("size"))
 
 
+class _Sums:
+    """Sums of the distances from each row of a task's blocks to the clusters of the
+    other blocks. Rows are cut into blocks in the order of their clusters; of clusters
+    that a task meets whole only the least mean leaves it, of others the sums."""
+
+    def __init__(self) -> None:
+        self.held: dict[int, _Block] = {}
+
+    def block(self, name: int, t: pa.Table) -> _Block:
+        if name not in self.held:
+            idx, c, n = (t[k].to_numpy().copy() for k in ("idx", "c", "n"))
+            first = np.concatenate([[0], np.flatnonzero(np.diff(c)) + 1])
+            self.held[name] = _Block(idx, c, n, first, np.diff(np.append(first, len(c))), np.full(len(c), np.inf), np.zeros(len(c)), {})
+        return self.held[name]
+
+    def add(self, p: int, x: pa.Table, q: int, y: pa.Table) -> None:
+        one, other, at, to = self.block(p, x), self.block(q, y), matrix(x["vec"]), matrix(y["vec"])
+        across = np.zeros((len(one.first), len(to)))
+        for s in range(0, len(at), HELD):
+            d = distances(at[s : s + HELD], to)
+            if p == q:
+                # A point's distance to itself is exactly nothing.
+                d[np.arange(len(d)), np.arange(s, s + len(d))] = 0.0
+            one.note(slice(s, s + HELD), other, np.add.reduceat(d, other.first, axis=1).T)
+            if p != q:
+                c = one.c[s : s + HELD]
+                first = np.concatenate([[0], np.flatnonzero(np.diff(c)) + 1])
+                across[np.searchsorted(one.c[one.first], c[first])] += np.add.reduceat(d, first, axis=0)
+        one.met(other)
+        if p != q:
+            for s in range(0, len(to), HELD):
+                other.note(slice(s, s + HELD), one, across[:, s : s + HELD])
+            other.met(one)
+
+    def out(self):
+        for b in self.held.values():
+            rows = [(b.idx, b.c, b.c, b.own, b.n, np.where(np.isfinite(b.near), b.near, np.nan))]
+            for k, (size, _, sums) in b.partial.items():
+                some = b.c != k
+                m = int(some.sum())
+                rows.append((b.idx[some], b.c[some], np.full(m, k), sums[some], np.full(m, size), np.full(m, np.nan)))
+            for row in rows:
+                yield pa.RecordBatch.from_arrays([pa.array(v, f.type, from_pandas=f.name == "near") for v, f in zip(row, _SUMS)], schema=_SUMS)
+
+
+@dataclass
+class _Block:
+    """Rows in the order of their clusters, ``first`` and ``count`` of each cluster
+    here (``n`` in all); by row the least mean, the sum to its own cluster and those
+    to clusters of which only some members were met."""
+
+    idx: np.ndarray
+    c: np.ndarray
+    n: np.ndarray
+    first: np.ndarray
+    count: np.ndarray
+    near: np.ndarray
+    own: np.ndarray
+    partial: dict[int, list]
+
+    def note(self, part: slice, other: _Block, sums: np.ndarray) -> None:
+        """``sums`` of the rows of ``part`` by cluster of the other block."""
+        kinds, sizes, whole = other.c[other.first], other.n[other.first], other.count == other.n[other.first]
+        same = kinds[:, None] == self.c[part]
+        self.own[part] += np.where(same, sums, 0.0).sum(axis=0)
+        if whole.any():
+            mean = np.where(same[whole], np.inf, sums[whole] / sizes[whole, None])
+            self.near[part] = np.minimum(self.near[part], mean.min(axis=0))
+        for k in np.flatnonzero(~whole):
+            self.partial.setdefault(int(kinds[k]), [int(sizes[k]), 0, np.zeros(len(self.c))])[2][part] += sums[k]
+
+    def met(self, other: _Block) -> None:
+        """All rows have met the other block: clusters that are whole now."""
+        for k, m in zip(other.c[other.first].tolist(), other.count.tolist()):
+            if k in self.partial:
+                found = self.partial[k]
+                found[1] += m
+                if found[1] == found[0]:
+                    self.near = np.minimum(self.near, np.where(self.c == k, np.inf, found[2] / found[0]))
+                    del self.partial[k]
+
+
+_SUMS = pa.schema([("idx", pa.int64()), ("c", pa.int64()), ("other", pa.int64()), ("s", pa.float64()), ("n", pa.int64()), ("near", pa.float64())])
+
+
 def silhouette(rows: DataFrame, id_col: str, cluster: str, vec: str) -> DataFrame:
     """``id, silhouette`` (Euclidean) of every point that is not noise; points
-    alone in their cluster have 0. Every piece of rows meets every other once,
-    and sends a sum for each point and cluster."""
-    live = rows.where(F.col(cluster) != NOISE).select(F.col(id_col).alias("id"), F.col(cluster).cast("long").alias("c"), F.col(vec).cast("array<double>").alias("v"))
-    n = live.count()
-    pieces = max(1, -(-n // PIECE))
-    kind = live.schema["id"].dataType.simpleString()
-    placed = live.withColumn("i", F.pmod(F.xxhash64("id"), F.lit(pieces)).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.lit(pieces - 1)))
-    left, right = placed.withColumn("j", other), placed.withColumnRenamed("i", "j").withColumn("i", other)
-
-    def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if not len(a) or not len(b):
-            return pd.DataFrame(columns=["id", "c", "other", "s", "n"])
-        x, y = np.stack(a["v"].to_numpy()), np.stack(b["v"].to_numpy())
-        codes, inverse = np.unique(b["c"], return_inverse=True)
-        out = []
-        for s in range(0, len(x), 256):
-            d = np.sqrt(((x[s : s + 256, None, :] - y[None, :, :]) ** 2).sum(axis=2)) if x.shape[1] <= 8 else np.sqrt(np.maximum(0, (x[s : s + 256] ** 2).sum(1)[:, None] + (y**2).sum(1) - 2 * x[s : s + 256] @ y.T))
-            # A point's distance to itself is exactly nothing.
-            d[a["id"].to_numpy()[s : s + 256, None] == b["id"].to_numpy()] = 0.0
-            sums = np.zeros((len(d), len(codes)))
-            for k in range(len(codes)):
-                sums[:, k] = d[:, inverse == k].sum(axis=1)
-            out.append(sums)
-        sums, size = np.concatenate(out), np.bincount(inverse)
-        return pd.DataFrame(
-            {"id": np.repeat(a["id"].to_numpy(), len(codes)), "c": np.repeat(a["c"].to_numpy(), len(codes)), "other": np.tile(codes, len(a)), "s": sums.ravel(), "n": np.tile(size, len(a))}
-        )
-
-    met = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(meet, f"id {kind}, c long, other long, s double, n long")
-    per = met.groupBy("id", "c", "other").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+    alone in their cluster, and points without a vector, have 0. Every two blocks of
+    rows meet once (:func:`.neighbours.cross`), and nothing is copied for it."""
+    tables = Tables(rows.sparkSession, "silhouette")
+    live = rows.where(F.col(cluster) != NOISE).select(F.col(id_col).alias("id"), F.col(cluster).cast("long").alias("c"), F.col(vec).cast("array<double>").alias("vec"))
+    points = tables.save(indexed(live.orderBy("c", F.col("vec").isNull(), "id"), tables), "points")
+    sizes = points.groupBy("c").agg(F.count("*").alias("n"))
+    placed = points.where("vec is not null").join(sizes, "c").select("idx", "c", "n", "vec", F.floor(F.col("idx") / PIECE).alias("block"))
+    ordered = placed.repartition("block").sortWithinPartitions("block", "idx")
+    met = cross(pack(ordered, tables), F.col("block_l") <= F.col("block_r"), _Sums, "idx long, c long, other long, s double, n long, near double")
+    per = met.groupBy("idx", "c", "other").agg(F.sum("s").alias("s"), F.max("n").alias("n"), F.min("near").alias("near"))
     own = F.max(F.when(F.col("c") == F.col("other"), F.when(F.col("n") > 1, F.col("s") / (F.col("n") - 1))))
-    near = F.min(F.when(F.col("c") != F.col("other"), F.col("s") / F.col("n")))
-    r = per.groupBy("id").agg(own.alias("a"), near.alias("b"))
+    near = F.least(F.min(F.when(F.col("c") != F.col("other"), F.col("s") / F.col("n"))), F.min("near"))
+    r = points.select("idx", "id").join(per.groupBy("idx").agg(own.alias("a"), near.alias("b")), "idx", "left")
     return r.select(F.col("id").alias(id_col), F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)).alias("silhouette"))
 
 
